@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 from stratus.operators import clean as clean_ops
 from stratus.operators import daily as daily_ops
 from stratus.operators import features as feature_ops
+from stratus.operators import profiling as profiling_ops
+from stratus.operators import quality as quality_ops
+from stratus.operators import report as report_ops
 from stratus.plans import oracle as O
-from stratus.profile import READINGS
-from stratus.sources.readings import readings
+from stratus.profile import FEATURES, READINGS
+from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
+from stratus.sources.readings import raw_readings, readings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +80,305 @@ def q_daily_features(spark, sf_dir):
     return rounded(features(spark, sf_dir), FEATURE_INEXACT)
 
 
+
+# -- split cleaning operators --------------------------------------------------
+
+@register("standardize_columns", O.sql(f"SELECT {O.READINGS_COLUMNS} FROM R", "R"))
+def q_standardize_columns(spark, sf_dir):
+    return clean_ops.standardize_columns(raw_readings(spark, sf_dir), READINGS)
+
+
+@register("dedup_exact", O.sql("SELECT DISTINCT * FROM R", "R"))
+def q_dedup_exact(spark, sf_dir):
+    return clean_ops.dedup_exact(readings(spark, sf_dir))
+
+
+@register("drop_critical_nulls", O.sql(f"SELECT * FROM R WHERE {O.CRITICAL_OK}", "R"))
+def q_drop_critical_nulls(spark, sf_dir):
+    return clean_ops.drop_critical_nulls(readings(spark, sf_dir), READINGS)
+
+
+@register("filter_invalid", O.sql(f"SELECT * FROM R WHERE {O.VALID_PRESSURE}", "R"))
+def q_filter_invalid(spark, sf_dir):
+    return clean_ops.filter_invalid(readings(spark, sf_dir), READINGS, null_policy="drop")
+
+
+@register("filter_invalid_keep", O.sql(
+    f"SELECT * FROM R WHERE pressure_millibars IS NULL OR {O.VALID_PRESSURE}", "R"))
+def q_filter_invalid_keep(spark, sf_dir):
+    return clean_ops.filter_invalid(readings(spark, sf_dir), READINGS, null_policy="keep")
+
+
+# -- split feature operators ---------------------------------------------------
+
+@register("calendar_features", O.sql(
+    "SELECT date, year, month, day_of_week, quarter, is_weekend, season FROM F", "F"))
+def q_calendar_features(spark, sf_dir):
+    return feature_ops.calendar_features(daily(spark, sf_dir)).select(
+        "date", "year", "month", "day_of_week", "quarter", "is_weekend", "season")
+
+
+@register("rolling_features", O.sql(
+    "SELECT date, round(temp_7d_avg, 6) AS temp_7d_avg, round(temp_30d_avg, 6) AS temp_30d_avg, "
+    "round(temp_7d_std, 6) AS temp_7d_std, temp_7d_min, temp_7d_max FROM F", "F"))
+def q_rolling_features(spark, sf_dir):
+    out = feature_ops.rolling_features(daily(spark, sf_dir)).select(
+        "date", *feature_ops.ROLLING_COLUMNS)
+    return rounded(out, ("temp_7d_avg", "temp_30d_avg", "temp_7d_std"))
+
+
+@register("lag_features", O.sql(
+    "SELECT date, avg_tempC, temp_change_1d, temp_change_7d FROM F", "F"))
+def q_lag_features(spark, sf_dir):
+    return feature_ops.lag_features(daily(spark, sf_dir)).select(
+        "date", "avg_tempC", *feature_ops.LAG_COLUMNS)
+
+
+@register("preview_first_days", O.sql(
+    "SELECT date, n_rows, avg_tempC FROM D ORDER BY date LIMIT 10", "D"))
+def q_preview_first_days(spark, sf_dir):
+    # A top-k preview: the limit is the feature (planned as TakeOrderedAndProject).
+    return daily(spark, sf_dir).orderBy("date").limit(10).select("date", "n_rows", "avg_tempC")
+
+
+# -- quality -----------------------------------------------------------------
+
+READINGS_AS_OF = "2000-01-01 00:00:00"
+EVENTS_AS_OF = "2024-01-20 00:00:00"
+
+_R_QUALITY = O.QualitySQL("R", O.R_COLS, O.R_RULES, date_col="formatted_date",
+                          as_of=READINGS_AS_OF, schema_rows=[])
+_F_QUALITY = O.QualitySQL("F", O.F_COLS, O.F_RULES, keys=["date"], date_col="date",
+                          as_of=READINGS_AS_OF, exempt=O.F_EXEMPT)
+
+
+@register("null_counts", O.sql(O.union_rows([
+    f"SELECT {O.lit(c)} AS column_name, count(*) FILTER (WHERE {O.q(c)} IS NULL) AS null_count FROM R"
+    for c, _ in O.R_COLS]), "R"))
+def q_null_counts(spark, sf_dir):
+    return quality_ops.null_counts(readings(spark, sf_dir))
+
+
+def _completeness_sql() -> str:
+    rows = []
+    for c, kind in O.R_COLS:
+        nulls = f"count(*) FILTER (WHERE {O.q(c)} IS NULL)"
+        if kind == "str":
+            empties = f"count(*) FILTER (WHERE {O.q(c)} = '')"
+            empty_breach = f"{O.pct(empties, 'count(*)')} > 10e0"
+        else:
+            empties, empty_breach = "CAST(NULL AS BIGINT)", "CAST(NULL AS BOOLEAN)"
+        rows.append(f"SELECT {O.lit(c)} AS column_name, count(*) AS total_rows, {nulls} AS null_count, "
+                    f"{empties} AS empty_count, 100e0 - {O.pct(nulls, 'count(*)')} AS completeness_pct, "
+                    f"{O.pct(nulls, 'count(*)')} > 10e0 AS null_breach, {empty_breach} AS empty_breach "
+                    f"FROM R")
+    return O.sql(O.union_rows(rows), "R")
+
+
+@register("completeness", _completeness_sql())
+def q_completeness(spark, sf_dir):
+    return quality_ops.completeness(readings(spark, sf_dir), READINGS)
+
+
+@register("range_stats", O.sql(O.union_rows([
+    f"SELECT {O.lit(f)} AS field, CAST(min({O.q(f)}) AS DOUBLE) AS min_value, "
+    f"CAST(max({O.q(f)}) AS DOUBLE) AS max_value, avg({O.q(f)}) AS avg_value, "
+    f"count({O.q(f)}) AS n_values FROM R" for f, _, _ in O.R_RULES]), "R"))
+def q_range_stats(spark, sf_dir):
+    return quality_ops.range_stats(readings(spark, sf_dir), READINGS)
+
+
+@register("range_violations", O.sql(O.union_rows([
+    f"SELECT {O.lit(f)} AS field, {O.dbl(lo)} AS lower_bound, {O.dbl(hi)} AS upper_bound, "
+    f"count(*) FILTER (WHERE {O.q(f)} < {O.dbl(lo)}) AS min_violations, "
+    f"count(*) FILTER (WHERE {O.q(f)} > {O.dbl(hi)}) AS max_violations, "
+    f"count(*) FILTER (WHERE {O.q(f)} < {O.dbl(lo)} OR {O.q(f)} > {O.dbl(hi)}) = 0 AS valid FROM R"
+    for f, lo, hi in O.R_RULES]), "R"))
+def q_range_violations(spark, sf_dir):
+    return quality_ops.range_violations(readings(spark, sf_dir), READINGS)
+
+
+def _duplicates_sql(src: str, keys: list[str], *ctes: str) -> str:
+    k = ", ".join(O.q(c) for c in keys)
+    p = O.pct("t - u", "t")
+    return O.sql(
+        f"SELECT t AS total_rows, u AS unique_rows, t - u AS duplicate_count, {p} AS duplicate_pct, "
+        f"{p} <= 10e0 AS valid FROM (SELECT CAST(coalesce(sum(_m), 0) AS BIGINT) AS t, count(*) AS u "
+        f"FROM (SELECT count(*) AS _m FROM {src} GROUP BY {k}) g) s", *ctes)
+
+
+@register("duplicates_full", _duplicates_sql("R", [c for c, _ in O.R_COLS], "R"))
+def q_duplicates_full(spark, sf_dir):
+    return quality_ops.duplicates(readings(spark, sf_dir), None, READINGS)
+
+
+@register("duplicates_by_key", _duplicates_sql("lineitem", ["l_orderkey", "l_linenumber"]))
+def q_duplicates_by_key(spark, sf_dir):
+    return quality_ops.duplicates(table(spark, sf_dir, "lineitem"),
+                                  ["l_orderkey", "l_linenumber"], READINGS)
+
+
+@register("temporal_check", f"""
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE ts IS NULL) AS invalid_dates,
+       count(*) FILTER (WHERE ts > TIMESTAMP '{EVENTS_AS_OF}') AS future_dates,
+       min(ts) AS min_ts, max(ts) AS max_ts,
+       count(*) FILTER (WHERE ts IS NULL) = 0
+         AND count(*) FILTER (WHERE ts > TIMESTAMP '{EVENTS_AS_OF}') = 0 AS valid
+FROM events""")
+def q_temporal_check(spark, sf_dir):
+    return quality_ops.temporal_check(table(spark, sf_dir, "events"), "ts", EVENTS_AS_OF)
+
+
+@register("temporal_gaps", """
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
+              WHERE o_orderdate IS NOT NULL),
+     n AS (SELECT d, lead(d) OVER (ORDER BY d) AS nxt FROM days)
+SELECT CAST(d + 1 AS DATE) AS gap_start, CAST(nxt - 1 AS DATE) AS gap_end,
+       CAST(datediff('day', d, nxt) - 1 AS BIGINT) AS missing_days
+FROM n WHERE datediff('day', d, nxt) > 1""")
+def q_temporal_gaps(spark, sf_dir):
+    return quality_ops.temporal_gaps(table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+@register("schema_check", """
+SELECT * FROM (VALUES
+  ('Formatted Date', 'type', 'timestamp', 'timestamp_ntz'),
+  ('Precip Type', 'missing', 'string', NULL),
+  ('Apparent Temperature (C)', 'missing', 'double', NULL),
+  ('Wind Bearing (degrees)', 'missing', 'double', NULL),
+  ('Loud Cover', 'missing', 'double', NULL),
+  ('Daily Summary', 'missing', 'string', NULL),
+  ('reading_id', 'extra', NULL, 'bigint')
+) AS t(field, issue, expected_type, actual_type)""")
+def q_schema_check(spark, sf_dir):
+    return quality_ops.schema_check(raw_readings(spark, sf_dir), RAW_CONTRACT)
+
+
+@register("full_validation", O.sql(_R_QUALITY.long_body(), "R", extra=tuple(_R_QUALITY.ctes())))
+def q_full_validation(spark, sf_dir):
+    return quality_ops.full_validation(readings(spark, sf_dir), READINGS, STANDARD_CONTRACT,
+                                       READINGS_AS_OF)
+
+
+def _summary_sql(long_sql_body: str) -> str:
+    return (f"SELECT count(*) AS total_validations, count(*) FILTER (WHERE ok) AS passed_validations, "
+            f"count(*) FILTER (WHERE NOT ok) AS failed_validations, "
+            f"coalesce(bool_and(ok), true) AS overall_valid FROM ("
+            f"SELECT check_name, bool_and(valid) AS ok FROM ({long_sql_body}) v GROUP BY check_name) c")
+
+
+@register("validation_summary", O.sql(_summary_sql(_R_QUALITY.long_body()), "R",
+                                      extra=tuple(_R_QUALITY.ctes())))
+def q_validation_summary(spark, sf_dir):
+    return quality_ops.validation_summary(q_full_validation(spark, sf_dir))
+
+
+@register("quality_report", O.sql(_R_QUALITY.report_body(), "R", extra=tuple(_R_QUALITY.ctes())))
+def q_quality_report(spark, sf_dir):
+    return report_ops.quality_report(readings(spark, sf_dir), READINGS, STANDARD_CONTRACT,
+                                     READINGS_AS_OF)
+
+
+@register("feature_validation", O.sql(_F_QUALITY.long_body(), "F", extra=tuple(_F_QUALITY.ctes())))
+def q_feature_validation(spark, sf_dir):
+    return quality_ops.full_validation(features(spark, sf_dir), FEATURES, None, READINGS_AS_OF)
+
+
+_R_NAMES = ", ".join(O.q(c) for c, _ in O.R_COLS)
+_INVALID = f"NOT coalesce({O.VALID_PRESSURE}, false)"
+
+
+@register("quarantine_rows", O.sql(f"""
+SELECT {_R_NAMES}, 'duplicate' AS reason
+FROM (SELECT {_R_NAMES}, unnest(range(_m - 1)) AS _k FROM G WHERE _m > 1) x
+UNION ALL
+SELECT {_R_NAMES}, 'null_critical' AS reason FROM G WHERE NOT {O.CRITICAL_OK}
+UNION ALL
+SELECT {_R_NAMES}, 'invalid_pressure' AS reason FROM G WHERE {O.CRITICAL_OK} AND {_INVALID}""",
+    "R", extra=(f"G AS (SELECT {_R_NAMES}, count(*) AS _m FROM R GROUP BY {_R_NAMES})",)))
+def q_quarantine_rows(spark, sf_dir):
+    return quality_ops.quarantine_rows(readings(spark, sf_dir), READINGS)
+
+
+def _stage_sql() -> str:
+    g = (f"G AS (SELECT count(*) AS _m, NOT {O.CRITICAL_OK} AS _null, {_INVALID} AS _inv "
+         f"FROM R GROUP BY {_R_NAMES})")
+    s = ("S AS (SELECT CAST(coalesce(sum(_m), 0) AS BIGINT) AS raw_total, "
+         "CAST(coalesce(sum(CASE WHEN _null THEN _m END), 0) AS BIGINT) AS raw_null, "
+         "CAST(coalesce(sum(CASE WHEN _inv THEN _m END), 0) AS BIGINT) AS raw_inv, "
+         "count(*) AS dd_total, count(*) FILTER (WHERE _null) AS dd_null, "
+         "count(*) FILTER (WHERE _inv) AS dd_inv, count(*) FILTER (WHERE NOT _null) AS nn_total, "
+         "count(*) FILTER (WHERE NOT _null AND _inv) AS nn_inv, "
+         "count(*) FILTER (WHERE NOT _null AND NOT _inv) AS cl_total FROM G)")
+
+    def stage(name, total, nulls, dups, inv):
+        valid = f"({total}) - ({nulls}) - ({dups}) - ({inv})"
+        return (f"SELECT {O.lit(name)} AS stage, {total} AS total_rows, {valid} AS valid_rows, "
+                f"CAST({nulls} AS BIGINT) AS null_rows, CAST({dups} AS BIGINT) AS duplicate_rows, "
+                f"CAST({inv} AS BIGINT) AS invalid_rows, {O.pct(valid, total)} AS valid_pct FROM S")
+    body = O.union_rows([
+        stage("raw", "raw_total", "raw_null", "raw_total - dd_total", "raw_inv"),
+        stage("deduplicated", "dd_total", "dd_null", "0", "dd_inv"),
+        stage("non_null", "nn_total", "0", "0", "nn_inv"),
+        stage("cleaned", "cl_total", "0", "0", "0")])
+    return O.sql(body, "R", extra=(g, s))
+
+
+@register("stage_quality_metrics", _stage_sql())
+def q_stage_quality_metrics(spark, sf_dir):
+    return quality_ops.stage_quality_metrics(readings(spark, sf_dir), READINGS)
+
+
+# -- profiles and summaries ----------------------------------------------------
+
+_R_TYPES = {"reading_id": "bigint", "formatted_date": "timestamp_ntz", "summary": "string"}
+
+
+@register("column_profile", O.sql(O.union_rows([
+    f"SELECT {i + 1} AS ordinal, {O.lit(c)} AS column_name, "
+    f"{O.lit(_R_TYPES.get(c, 'double'))} AS data_type, true AS nullable, count(*) AS total_rows, "
+    f"count(*) FILTER (WHERE {O.q(c)} IS NULL) AS null_count FROM R"
+    for i, (c, _) in enumerate(O.R_COLS)]), "R"))
+def q_column_profile(spark, sf_dir):
+    return profiling_ops.column_profile(readings(spark, sf_dir))
+
+
+_D_NUMERIC = ["n_rows", "unique_days", "avg_tempC", "max_tempC", "min_tempC", "std_tempC",
+              "avg_humidity", "avg_wind_speed", "avg_pressure", "avg_visibility"]
+
+
+@register("describe_stats", O.sql(O.union_rows([
+    f"SELECT {O.lit(c)} AS column_name, count({O.q(c)}) AS n, "
+    f"round(avg(CAST({O.q(c)} AS DOUBLE)), 6) AS mean, "
+    f"round(stddev_samp(CAST({O.q(c)} AS DOUBLE)), 6) AS stddev, "
+    f"round(min(CAST({O.q(c)} AS DOUBLE)), 6) AS min, round(max(CAST({O.q(c)} AS DOUBLE)), 6) AS max "
+    f"FROM DR" for c in _D_NUMERIC]), "D",
+    extra=("DR AS (SELECT date, n_rows, unique_days, avg_tempC, max_tempC, min_tempC, "
+           "round(std_tempC, 6) AS std_tempC, avg_humidity, avg_wind_speed, avg_pressure, "
+           "avg_visibility FROM D)",)))
+def q_describe_stats(spark, sf_dir):
+    d = rounded(daily(spark, sf_dir), DAILY_INEXACT)
+    return rounded(profiling_ops.describe_stats(d, _D_NUMERIC), ("mean", "stddev", "min", "max"))
+
+
+@register("transform_summary", O.sql(
+    "SELECT o AS original_rows, t AS transformed_rows, o - t AS rows_removed, "
+    "8 AS original_columns, 24 AS transformed_columns, 16 AS columns_added "
+    "FROM (SELECT (SELECT count(*) FROM R) AS o, (SELECT count(*) FROM F) AS t) s", "R", "F"))
+def q_transform_summary(spark, sf_dir):
+    return profiling_ops.transform_summary(readings(spark, sf_dir), features(spark, sf_dir))
+
+
+@register("pipeline_summary", O.sql(
+    "SELECT e AS extraction_rows, c AS cleaned_rows, f AS final_rows, "
+    "CASE WHEN f > 0 THEN 'SUCCESS' ELSE 'EMPTY' END AS status FROM (SELECT "
+    "(SELECT count(*) FROM R) AS e, (SELECT count(*) FROM C) AS c, (SELECT count(*) FROM F) AS f) s",
+    "R", "C", "F"))
+def q_pipeline_summary(spark, sf_dir):
+    return profiling_ops.pipeline_summary(readings(spark, sf_dir), cleaned(spark, sf_dir),
+                                          features(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
