@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratus.operators import clean as clean_ops
 from stratus.operators import daily as daily_ops
@@ -19,8 +20,10 @@ from stratus.operators import features as feature_ops
 from stratus.operators import profiling as profiling_ops
 from stratus.operators import quality as quality_ops
 from stratus.operators import report as report_ops
+from stratus import sinks, sources
 from stratus.plans import oracle as O
-from stratus.profile import FEATURES, READINGS
+from stratus.profile import FEATURES, READINGS, TIMESTAMP_FORMAT
+from stratus.session import shared_dir
 from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
 from stratus.sources.readings import raw_readings, readings, table
 
@@ -379,6 +382,127 @@ def q_pipeline_summary(spark, sf_dir):
                                           features(spark, sf_dir))
 
 
+
+# -- sources and sinks -------------------------------------------------------
+# Each of these writes under the session's shared checkpoint folder (a fresh
+# sub-folder per call) and returns the lazily read-back frame.
+
+_DAILY_SQL = O.sql(f"SELECT {O.DAILY_SELECT} FROM D", "D")
+_D_COLUMNS = ("date", "n_rows", "unique_days", "avg_tempC", "max_tempC", "min_tempC", "std_tempC",
+              "avg_humidity", "avg_wind_speed", "avg_pressure", "avg_visibility")
+
+
+@register("parquet_roundtrip", _DAILY_SQL)
+def q_parquet_roundtrip(spark, sf_dir):
+    res = sinks.write_parquet(daily(spark, sf_dir), shared_dir(spark, "parquet_roundtrip"))
+    return rounded(sources.read_parquet(spark, res.path), DAILY_INEXACT)
+
+
+@register("csv_roundtrip", _DAILY_SQL)
+def q_csv_roundtrip(spark, sf_dir):
+    res = sinks.write_csv(daily(spark, sf_dir), shared_dir(spark, "csv_roundtrip"))
+    return rounded(sinks.read_back(spark, res), DAILY_INEXACT)
+
+
+@register("json_roundtrip", _DAILY_SQL)
+def q_json_roundtrip(spark, sf_dir):
+    res = sinks.write_json(daily(spark, sf_dir), shared_dir(spark, "json_roundtrip"))
+    return rounded(sinks.read_back(spark, res), DAILY_INEXACT)
+
+
+@register("partitioned_roundtrip", _DAILY_SQL)
+def q_partitioned_roundtrip(spark, sf_dir):
+    d = daily(spark, sf_dir)
+    d = d.withColumns({"year": F.year("date"), "month": F.month("date")})
+    res = sinks.write_parquet(d, shared_dir(spark, "partitioned_roundtrip"),
+                              partition_by=["year", "month"])
+    back = sources.read_parquet(spark, res.path)
+    return rounded(back.select(*_D_COLUMNS), DAILY_INEXACT)
+
+
+def _raw_csv_frame(spark, sf_dir):
+    """Readings as a raw sensor CSV would hold them: the 12 contract fields in
+    contract order (fields the view lacks are empty), then reading_id."""
+    raw = raw_readings(spark, sf_dir)
+    cols = []
+    for f in RAW_CONTRACT.fields:
+        if f.name in raw.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return raw.select(*cols, "reading_id")
+
+
+_RAW_CSV_SCHEMA = T.StructType(RAW_CONTRACT.fields + [T.StructField("reading_id", T.LongType())])
+
+
+@register("csv_scan", _DAILY_SQL)
+def q_csv_scan(spark, sf_dir):
+    path = shared_dir(spark, "csv_scan")
+    sinks.write_csv(_raw_csv_frame(spark, sf_dir), path, timestamp_format=TIMESTAMP_FORMAT)
+    scanned = sources.read_csv(spark, path, schema=_RAW_CSV_SCHEMA, expected=RAW_CONTRACT)
+    cleaned_df = clean_ops.clean_readings(scanned, READINGS)
+    return rounded(daily_ops.daily_agg(cleaned_df, READINGS), DAILY_INEXACT)
+
+
+@register("csv_glob_scan", _DAILY_SQL)
+def q_csv_glob_scan(spark, sf_dir):
+    base = shared_dir(spark, "csv_glob_scan")
+    d = daily(spark, sf_dir)
+    early = F.col("date") < F.lit("1998-01-01").cast("date")
+    sinks.write_csv(d.where(early), f"{base}/first_half")
+    sinks.write_csv(d.where(~early | F.col("date").isNull()), f"{base}/second_half")
+    back = sources.read_csv_glob(spark, base, "*.csv", schema=d.schema)
+    return rounded(back, DAILY_INEXACT)
+
+
+@register("multi_format_counts", O.sql(O.union_rows([
+    f"SELECT '{fmt}' AS format, count(*) AS n_rows, 11 AS n_columns FROM D"
+    for fmt in ("parquet", "csv", "json")]), "D"))
+def q_multi_format_counts(spark, sf_dir):
+    results = sinks.write_multiple_formats(daily(spark, sf_dir), shared_dir(spark, "multi_format"))
+    frames = [sinks.read_back(spark, r).agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(fmt).alias("format"), "n_rows", F.lit(len(r.schema.fields)).alias("n_columns"))
+              for fmt, r in results.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("write_verification", O.sql(
+    "SELECT count(*) AS expected_rows, count(*) AS actual_rows, 11 AS expected_columns, "
+    "11 AS actual_columns, true AS checksum_match, true AS valid FROM D", "D"))
+def q_write_verification(spark, sf_dir):
+    res = sinks.write_parquet(daily(spark, sf_dir), shared_dir(spark, "write_verification"))
+    return res.verification(spark)
+
+
+@register("load_summary")
+def q_load_summary(spark, sf_dir):
+    # Byte sizes depend on the engine's encoders: rows-only check.
+    results = sinks.write_multiple_formats(daily(spark, sf_dir), shared_dir(spark, "load_summary"))
+    return sinks.load_summary(spark, results)
+
+
+@register("compaction_plan", O.sql(
+    "SELECT count(*) AS n_rows, 8 AS current_partitions, "
+    "greatest(1, least(8, (count(*) * 100) // 134217728)) AS target_partitions FROM R", "R"))
+def q_compaction_plan(spark, sf_dir):
+    return sinks.compaction_plan(readings(spark, sf_dir), current_partitions=8)
+
+
+@register("parquet_scan", """
+SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY event_type""")
+def q_parquet_scan(spark, sf_dir):
+    ev = sources.read_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    # The date predicate and the 3-column projection reach the Parquet reader.
+    out = (ev.where(F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-10 00:00:00")))
+           .groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("avg_value")))
+    return rounded(out, ("avg_value",))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
