@@ -9,6 +9,7 @@ same way in the oracle SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,10 @@ from stratus.operators import profiling as profiling_ops
 from stratus.operators import quality as quality_ops
 from stratus.operators import report as report_ops
 from stratus import sinks, sources
+from stratus import streaming
+from stratus.operators import analytics as analytics_ops
+from stratus.operators import joins as join_ops
+from stratus.plans import incremental
 from stratus.plans import oracle as O
 from stratus.profile import FEATURES, READINGS, TIMESTAMP_FORMAT
 from stratus.session import shared_dir
@@ -503,6 +508,102 @@ def q_parquet_scan(spark, sf_dir):
     return rounded(out, ("avg_value",))
 
 
+
+# -- documented extensions (lookup join, increments, streams, statistics) -------
+
+@register("lookup_join", """
+SELECT p_brand, CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS n,
+       avg(l_quantity) AS avg_quantity
+FROM lineitem JOIN part ON l_partkey = p_partkey
+GROUP BY p_brand, year(l_shipdate)""")
+def q_lookup_join(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    # Pre-aggregate the facts to (part, year) before the join: a hot part key
+    # becomes one row per map task, and the join input shrinks accordingly.
+    facts = li.groupBy("l_partkey", F.year("l_shipdate").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+    joined = join_ops.lookup_join(facts, table(spark, sf_dir, "part"), "l_partkey", "p_partkey",
+                                  ["p_brand"])
+    return joined.groupBy("p_brand", "ship_year").agg(
+        F.sum("n").alias("n"), (F.sum("qty") / F.sum("n")).alias("avg_quantity"))
+
+
+@register("metric_correlation", O.sql(O.union_rows([
+    f"SELECT {O.lit(a)} AS metric_a, {O.lit(b)} AS metric_b, round(corr({O.q(a)}, {O.q(b)}), 6) AS corr FROM C"
+    for a, b in combinations(analytics_ops.METRICS, 2)]), "C"))
+def q_metric_correlation(spark, sf_dir):
+    return rounded(analytics_ops.metric_correlation(cleaned(spark, sf_dir)), ("corr",))
+
+
+_SEASON_SQL = ("CASE WHEN month(date) IN (12, 1, 2) THEN 'Winter' WHEN month(date) IN (3, 4, 5) "
+               "THEN 'Spring' WHEN month(date) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END")
+
+
+@register("seasonal_stats", O.sql("""
+SELECT season, n, round(mu, 6) AS mean, round(p50, 6) AS p50,
+       round(m3 / pow(m2, 1.5), 6) AS skewness, round(m4 / (m2 * m2) - 3, 6) AS kurtosis
+FROM (SELECT S.season, M.n, M.mu, M.p50,
+             avg(pow(x - M.mu, 2)) AS m2, avg(pow(x - M.mu, 3)) AS m3, avg(pow(x - M.mu, 4)) AS m4
+      FROM S JOIN M ON S.season = M.season GROUP BY S.season, M.n, M.mu, M.p50) t""", "D",
+    extra=(f"S AS (SELECT {_SEASON_SQL} AS season, avg_tempC AS x FROM D)",
+           "M AS (SELECT season, count(x) AS n, avg(x) AS mu, quantile_cont(x, 0.5) AS p50 "
+           "FROM S GROUP BY season)")))
+def q_seasonal_stats(spark, sf_dir):
+    return rounded(analytics_ops.seasonal_stats(daily(spark, sf_dir)),
+                   ("mean", "p50", "skewness", "kurtosis"))
+
+
+@register("seasonal_decomposition", O.sql("""
+SELECT date, observed, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(observed - trend - seasonal, 6) AS remainder FROM S""", "D",
+    extra=("T AS (SELECT date, avg_tempC AS observed, avg(avg_tempC) OVER (PARTITION BY year(date), "
+           "month(date) ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS trend FROM D)",
+           "S AS (SELECT *, avg(observed - trend) OVER (PARTITION BY month(date)) AS seasonal FROM T)")))
+def q_seasonal_decomposition(spark, sf_dir):
+    return rounded(analytics_ops.seasonal_decomposition(daily(spark, sf_dir)),
+                   ("trend", "seasonal", "remainder"))
+
+
+@register("anomaly_zscore", O.sql("""
+SELECT date, avg_tempC, round(z, 6) AS zscore FROM (
+  SELECT date, avg_tempC, CASE WHEN sd > 0 THEN (avg_tempC - mu) / sd END AS z FROM (
+    SELECT date, avg_tempC,
+           avg(avg_tempC) OVER w AS mu, stddev_samp(avg_tempC) OVER w AS sd
+    FROM D WINDOW w AS (PARTITION BY year(date), month(date) ORDER BY date
+                        ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) a) b
+WHERE abs(z) > 3""", "D"))
+def q_anomaly_zscore(spark, sf_dir):
+    return rounded(analytics_ops.anomaly_zscore(daily(spark, sf_dir)), ("zscore",))
+
+
+INCREMENT_CUTOFF = "1998-06-15 00:00:00"
+
+
+@register("incremental_equals_full", O.sql(f"SELECT {O.FEATURES_SELECT} FROM F", "F"))
+def q_incremental_equals_full(spark, sf_dir):
+    path = shared_dir(spark, "incremental")
+    table_df = incremental.incremental_run(spark, readings(spark, sf_dir), INCREMENT_CUTOFF, path)
+    order = feature_ops_columns()
+    return rounded(table_df.select(*order), FEATURE_INEXACT)
+
+
+def feature_ops_columns() -> list[str]:
+    return list(_D_COLUMNS) + ["year", "month", "day_of_week", "quarter",
+                               *feature_ops.ROLLING_COLUMNS, *feature_ops.LAG_COLUMNS,
+                               "is_weekend", "season"]
+
+
+@register("stream_daily_agg", """
+SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n, round(avg(value), 6) AS avg_value
+FROM events GROUP BY CAST(ts AS DATE), event_type""")
+def q_stream_daily_agg(spark, sf_dir):
+    base = shared_dir(spark, "stream_daily_agg")
+    schema = table(spark, sf_dir, "events").schema
+    out = streaming.daily_event_stream(spark, sf_dir.rstrip("/"), "events.parquet", schema,
+                                       f"{base}/out", f"{base}/checkpoint")
+    return rounded(out, ("avg_value",))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
