@@ -1,8 +1,8 @@
 """Calendar, rolling-window and lag features over a daily frame.
 
-``scope="month"`` (default) partitions every window by (year, month) of the
-date, so rolling values and lags restart on the 1st of each month and frames
-count rows. ``scope="series"`` partitions by caller-given series keys and uses
+``scope="month"`` (default) partitions every window by (series keys, year,
+month of the date), so rolling values and lags restart on the 1st of each
+month and frames count rows. ``scope="series"`` partitions by caller-given series keys and uses
 calendar-day range frames (missing days are not counted as rows).
 
 All window columns share one partitioning and ordering and are added in one
@@ -45,7 +45,7 @@ def _window_exprs(value: str, date_column: str, scope: str,
                   series_keys: tuple[str, ...]) -> dict[str, Column]:
     v = F.col(value)
     if scope == "month":
-        base = Window.partitionBy("year", "month").orderBy(date_column)
+        base = Window.partitionBy(*series_keys, "year", "month").orderBy(date_column)
         w7, w30 = base.rowsBetween(-6, 0), base.rowsBetween(-29, 0)
         prev1, prev7 = F.lag(v, 1).over(base), F.lag(v, 7).over(base)
     elif scope == "series":

@@ -1,12 +1,13 @@
 """Data-quality checks, returned as DataFrames.
 
-All per-column metrics of a frame come from ONE scan aggregate (null and
-empty counts, range statistics and violations, timestamp parse/future counts)
-and the duplicate metrics from ONE group-by on the key columns (map-side
-partial aggregation collapses copies, so a hot key costs one row per map
-task). The two one-row results are merged without a join (union, then max per
-column) into a single wide row; every long-form result below is generated
-from that row with ``inline``. A full validation is therefore one Spark job.
+All per-column metrics of a frame (null and empty counts, range statistics
+and violations, timestamp parse/future counts) are aggregate expressions of
+ONE pass. For a whole-row duplicate check the pass is a group-by on the row
+(map-side partial aggregation collapses copies, so a hot row costs one row per
+map task) and the other metrics are weighted by multiplicity; for a key-subset
+duplicate check a scan aggregate and the key group-by are merged into one row
+without a join. Every long-form result below is generated from that single
+wide row with ``inline``, so a full validation is one query.
 """
 
 from __future__ import annotations
@@ -69,40 +70,58 @@ class QualityPlan:
         self.checks = (("schema",) if expected_schema is not None else ()) + CHECK_ORDER[1:]
 
     # -- aggregates ------------------------------------------------------------
-    def completeness_aggs(self) -> list[Column]:
-        aggs = [F.count(F.lit(1)).alias("total_rows")]
+    # With ``weight`` None the aggregates run over the rows themselves; with a
+    # weight column they run over grouped distinct rows, each standing for
+    # ``weight`` identical rows (see ``wide``).
+    @staticmethod
+    def _count_where(cond: Column, weight: str | None) -> Column:
+        if weight is None:
+            return F.count_if(cond)
+        return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0).cast("long"))
+
+    def completeness_aggs(self, weight: str | None = None) -> list[Column]:
+        total = F.count(F.lit(1)) if weight is None else F.coalesce(
+            F.sum(F.col(weight)), F.lit(0).cast("long"))
+        aggs = [total.alias("total_rows")]
         for i, c in enumerate(self.columns):
-            aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{i}"))
+            aggs.append(self._count_where(F.col(c).isNull(), weight).alias(f"null_{i}"))
         for i, c in enumerate(self.columns):
             if c in self.strings:
-                aggs.append(F.count_if(F.col(c) == F.lit("")).alias(f"empty_{i}"))
+                aggs.append(self._count_where(F.col(c) == F.lit(""), weight).alias(f"empty_{i}"))
         return aggs
 
-    def range_aggs(self) -> list[Column]:
+    def range_aggs(self, weight: str | None = None) -> list[Column]:
         aggs = []
         for j, (rule, name) in enumerate(self.rules):
             v = _numeric(self.df, name)
+            if weight is None:
+                n, mean = F.count(v), F.avg(v)
+            else:
+                n = self._count_where(v.isNotNull(), weight)
+                mean = F.sum(v * F.col(weight)) / F.sum(F.when(v.isNotNull(), F.col(weight)))
             aggs += [F.min(v).alias(f"min_{j}"), F.max(v).alias(f"max_{j}"),
-                     F.avg(v).alias(f"avg_{j}"), F.count(v).alias(f"n_{j}"),
-                     F.count_if(v < F.lit(rule.lower)).alias(f"below_{j}"),
-                     F.count_if(v > F.lit(rule.upper)).alias(f"above_{j}")]
+                     mean.alias(f"avg_{j}"), n.alias(f"n_{j}"),
+                     self._count_where(v < F.lit(rule.lower), weight).alias(f"below_{j}"),
+                     self._count_where(v > F.lit(rule.upper), weight).alias(f"above_{j}")]
         return aggs
 
-    def temporal_aggs(self) -> list[Column]:
+    def temporal_aggs(self, weight: str | None = None) -> list[Column]:
         if self.date_column is None:
             return []
         ts = as_timestamp(self.df, self.date_column, self.profile.timestamp_format)
-        aggs = [F.count_if(ts.isNull()).alias("ts_invalid"),
+        aggs = [self._count_where(ts.isNull(), weight).alias("ts_invalid"),
                 F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max")]
         if self.as_of is not None:
             dtype = self.df.schema[self.date_column].dataType
-            aggs.append(F.count_if(ts > _ts_literal(dtype, self.as_of)).alias("ts_future"))
+            aggs.append(self._count_where(ts > _ts_literal(dtype, self.as_of), weight)
+                        .alias("ts_future"))
         else:
             aggs.append(F.lit(0).cast("long").alias("ts_future"))
         return aggs
 
-    def scan_aggs(self) -> list[Column]:
-        return self.completeness_aggs() + self.range_aggs() + self.temporal_aggs()
+    def scan_aggs(self, weight: str | None = None) -> list[Column]:
+        return (self.completeness_aggs(weight) + self.range_aggs(weight)
+                + self.temporal_aggs(weight))
 
     def duplicates_row(self) -> DataFrame:
         per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
@@ -111,7 +130,19 @@ class QualityPlan:
                            F.count(F.lit(1)).alias("dup_unique"))
 
     def wide(self) -> DataFrame:
-        """One row with every metric (scan aggregate + duplicate aggregate)."""
+        """One row with every metric.
+
+        Duplicates on the whole row: ONE pass. The rows are grouped (partial
+        aggregation collapses copies map-side) and every other metric is
+        computed from the groups, weighted by their multiplicity.
+        Duplicates on a key subset: the scan aggregate and the key group-by
+        are merged without a join (union, then max per column).
+        """
+        if set(self.keys) == set(self.df.columns):
+            groups = self.df.groupBy(*self.df.columns).agg(F.count(F.lit(1)).alias("_m"))
+            return groups.agg(*self.scan_aggs("_m"),
+                              F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("dup_total"),
+                              F.count(F.lit(1)).alias("dup_unique"))
         both = self.df.agg(*self.scan_aggs()).unionByName(self.duplicates_row(),
                                                           allowMissingColumns=True)
         return both.agg(*[F.max(c).alias(c) for c in both.columns])

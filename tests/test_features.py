@@ -72,3 +72,13 @@ def test_feature_columns_order(spark):
         "date", "avg_tempC", "year", "month", "day_of_week", "quarter", "temp_7d_avg",
         "temp_30d_avg", "temp_7d_std", "temp_7d_min", "temp_7d_max", "temp_change_1d",
         "temp_change_7d", "is_weekend", "season"]
+
+
+def test_month_scope_keeps_series_apart(spark):
+    rows = [(dt.date(2020, 1, d), float(d), s) for d in (1, 2, 3) for s in ("a", "b")]
+    rows = [(d, v if s == "a" else 100 * v, s) for d, v, s in rows]
+    df = spark.createDataFrame(rows, "date date, avg_tempC double, station string")
+    out = {(r.station, r.date): r for r in daily_features(df, series_keys=("station",)).collect()}
+    assert out[("a", dt.date(2020, 1, 3))].temp_7d_avg == 2.0
+    assert out[("b", dt.date(2020, 1, 3))].temp_7d_avg == 200.0
+    assert out[("b", dt.date(2020, 1, 2))].temp_change_1d == 100.0
