@@ -1,13 +1,12 @@
 """Data-quality checks, returned as DataFrames.
 
-All per-column metrics of a frame (null and empty counts, range statistics
-and violations, timestamp parse/future counts) are aggregate expressions of
-ONE pass. For a whole-row duplicate check the pass is a group-by on the row
-(map-side partial aggregation collapses copies, so a hot row costs one row per
-map task) and the other metrics are weighted by multiplicity; for a key-subset
-duplicate check a scan aggregate and the key group-by are merged into one row
-without a join. Every long-form result below is generated from that single
-wide row with ``inline``, so a full validation is one query.
+All metrics of a frame (null and empty counts, range statistics and
+violations, timestamp parse/future counts, duplicate counts) come from ONE
+scan and ONE shuffle: a group-by on the duplicate key computes every metric
+per key (map-side partial aggregation collapses a hot key before the
+shuffle), and a global aggregate combines the per-key results. Every
+long-form result below is generated from that single wide row with
+``inline``, so a full validation is one query.
 """
 
 from __future__ import annotations
@@ -70,58 +69,50 @@ class QualityPlan:
         self.checks = (("schema",) if expected_schema is not None else ()) + CHECK_ORDER[1:]
 
     # -- aggregates ------------------------------------------------------------
-    # With ``weight`` None the aggregates run over the rows themselves; with a
-    # weight column they run over grouped distinct rows, each standing for
-    # ``weight`` identical rows (see ``wide``).
-    @staticmethod
-    def _count_where(cond: Column, weight: str | None) -> Column:
-        if weight is None:
-            return F.count_if(cond)
-        return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0).cast("long"))
-
-    def completeness_aggs(self, weight: str | None = None) -> list[Column]:
-        total = F.count(F.lit(1)) if weight is None else F.coalesce(
-            F.sum(F.col(weight)), F.lit(0).cast("long"))
-        aggs = [total.alias("total_rows")]
-        for i, c in enumerate(self.columns):
-            aggs.append(self._count_where(F.col(c).isNull(), weight).alias(f"null_{i}"))
-        for i, c in enumerate(self.columns):
-            if c in self.strings:
-                aggs.append(self._count_where(F.col(c) == F.lit(""), weight).alias(f"empty_{i}"))
-        return aggs
-
-    def range_aggs(self, weight: str | None = None) -> list[Column]:
-        aggs = []
+    # Every metric is decomposable: (name, aggregate over rows, combiner of
+    # the per-group results). ``wide`` aggregates per duplicate key first,
+    # then combines, so all checks share one scan and one shuffle.
+    def completeness_parts(self) -> list[tuple[str, Column, str]]:
+        parts = [("total_rows", F.count(F.lit(1)), "sum")]
+        parts += [(f"null_{i}", F.count_if(F.col(c).isNull()), "sum")
+                  for i, c in enumerate(self.columns)]
+        parts += [(f"empty_{i}", F.count_if(F.col(c) == F.lit("")), "sum")
+                  for i, c in enumerate(self.columns) if c in self.strings]
+        return parts
+
+    def range_parts(self) -> list[tuple[str, Column, str]]:
+        parts = []
         for j, (rule, name) in enumerate(self.rules):
             v = _numeric(self.df, name)
-            if weight is None:
-                n, mean = F.count(v), F.avg(v)
-            else:
-                n = self._count_where(v.isNotNull(), weight)
-                mean = F.sum(v * F.col(weight)) / F.sum(F.when(v.isNotNull(), F.col(weight)))
-            aggs += [F.min(v).alias(f"min_{j}"), F.max(v).alias(f"max_{j}"),
-                     mean.alias(f"avg_{j}"), n.alias(f"n_{j}"),
-                     self._count_where(v < F.lit(rule.lower), weight).alias(f"below_{j}"),
-                     self._count_where(v > F.lit(rule.upper), weight).alias(f"above_{j}")]
-        return aggs
-
-    def temporal_aggs(self, weight: str | None = None) -> list[Column]:
+            parts += [(f"min_{j}", F.min(v), "min"), (f"max_{j}", F.max(v), "max"),
+                      (f"sum_{j}", F.sum(v), "sum"), (f"n_{j}", F.count(v), "sum"),
+                      (f"below_{j}", F.count_if(v < F.lit(rule.lower)), "sum"),
+                      (f"above_{j}", F.count_if(v > F.lit(rule.upper)), "sum")]
+        return parts
+
+    def temporal_parts(self) -> list[tuple[str, Column, str]]:
         if self.date_column is None:
             return []
         ts = as_timestamp(self.df, self.date_column, self.profile.timestamp_format)
-        aggs = [self._count_where(ts.isNull(), weight).alias("ts_invalid"),
-                F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max")]
+        parts = [("ts_invalid", F.count_if(ts.isNull()), "sum"),
+                 ("ts_min", F.min(ts), "min"), ("ts_max", F.max(ts), "max")]
         if self.as_of is not None:
             dtype = self.df.schema[self.date_column].dataType
-            aggs.append(self._count_where(ts > _ts_literal(dtype, self.as_of), weight)
-                        .alias("ts_future"))
-        else:
-            aggs.append(F.lit(0).cast("long").alias("ts_future"))
-        return aggs
+            parts.append(("ts_future", F.count_if(ts > _ts_literal(dtype, self.as_of)), "sum"))
+        return parts
+
+    def parts(self) -> list[tuple[str, Column, str]]:
+        return self.completeness_parts() + self.range_parts() + self.temporal_parts()
 
-    def scan_aggs(self, weight: str | None = None) -> list[Column]:
-        return (self.completeness_aggs(weight) + self.range_aggs(weight)
-                + self.temporal_aggs(weight))
+    def completeness_aggs(self) -> list[Column]:
+        """Single-level aggregates for a plain scan."""
+        return [agg.alias(name) for name, agg, _ in self.completeness_parts()]
+
+    def range_aggs(self) -> list[Column]:
+        aggs = []
+        for j, (_, name) in enumerate(self.rules):
+            aggs.append(F.avg(_numeric(self.df, name)).alias(f"avg_{j}"))
+        return aggs + [agg.alias(n) for n, agg, _ in self.range_parts() if not n.startswith("sum_")]
 
     def duplicates_row(self) -> DataFrame:
         per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
@@ -130,22 +121,25 @@ class QualityPlan:
                            F.count(F.lit(1)).alias("dup_unique"))
 
     def wide(self) -> DataFrame:
-        """One row with every metric.
+        """One row with every metric, from one scan and one shuffle.
 
-        Duplicates on the whole row: ONE pass. The rows are grouped (partial
-        aggregation collapses copies map-side) and every other metric is
-        computed from the groups, weighted by their multiplicity.
-        Duplicates on a key subset: the scan aggregate and the key group-by
-        are merged without a join (union, then max per column).
+        Level 1 groups by the duplicate key (map-side partial aggregation
+        collapses a hot key before the shuffle) and computes every metric per
+        key; level 2 combines the per-key results and counts the keys.
         """
-        if set(self.keys) == set(self.df.columns):
-            groups = self.df.groupBy(*self.df.columns).agg(F.count(F.lit(1)).alias("_m"))
-            return groups.agg(*self.scan_aggs("_m"),
-                              F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("dup_total"),
-                              F.count(F.lit(1)).alias("dup_unique"))
-        both = self.df.agg(*self.scan_aggs()).unionByName(self.duplicates_row(),
-                                                          allowMissingColumns=True)
-        return both.agg(*[F.max(c).alias(c) for c in both.columns])
+        parts = self.parts()
+        per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
+            F.count(F.lit(1)).alias("_m"), *[agg.alias(name) for name, agg, _ in parts])
+        zero = F.lit(0).cast("long")
+        combine = {"sum": lambda c: F.coalesce(F.sum(c), zero), "min": F.min, "max": F.max}
+        combined = per_key.agg(
+            *[combine[how](F.col(name)).alias(name) for name, _, how in parts],
+            F.coalesce(F.sum("_m"), zero).alias("dup_total"),
+            F.count(F.lit(1)).alias("dup_unique"))
+        extra = {f"avg_{j}": F.col(f"sum_{j}") / F.col(f"n_{j}") for j in range(len(self.rules))}
+        if self.date_column is not None and self.as_of is None:
+            extra["ts_future"] = zero
+        return combined.withColumns(extra) if extra else combined
 
     # -- check definitions as expressions over the wide row ----------------------
     def schema_issues(self) -> list[tuple[str, str, str | None, str | None]]:
@@ -341,6 +335,8 @@ def temporal_gaps(df: DataFrame, date_column: str) -> DataFrame:
     days = (df.select(F.to_date(F.col(name)).alias("d")).where(F.col("d").isNotNull())
             .distinct().withColumn("y", F.year("d")))
     within = days.withColumn("nxt", F.lead("d").over(Window.partitionBy("y").orderBy("d")))
+    # A second pass over the (pruned) date column only; partial aggregation
+    # reduces it to one row per year in each map task.
     years = days.groupBy("y").agg(F.min("d").alias("first_d"))
     # One row per distinct year: a global ordering over it is bounded by the
     # calendar span, and so is broadcasting it.
@@ -439,26 +435,42 @@ def quarantine_rows(df: DataFrame, profile: Profile = READINGS,
     null critical column ('null_critical'), then an invalid pressure reading
     ('invalid_pressure'). Cleaned rows + rejected rows = input rows.
 
-    Copies are counted per distinct row (partial aggregation, no row moved
-    twice); the extra copies are regenerated in chunks of at most ``chunk``
-    rows that are spread over ``partitions`` tasks, so a row repeated billions
-    of times is not expanded by a single task.
+    One scan and one group-by on the row give each distinct row its
+    multiplicity and first failing rule, hence the number of rejected rows it
+    stands for. Those rows are regenerated locally; only a row that stands for
+    more than ``chunk`` rejects is cut into chunks spread over ``partitions``
+    tasks (through a shuffle of chunk descriptors reusing the same group-by),
+    so a row repeated billions of times is not expanded by a single task.
     """
     cols = df.columns
     critical = [c for c in (resolve(df, n) for n in profile.critical_columns) if c]
     inv = invalid_condition(df, profile)
     bad = inv if inv is not None else F.lit(False)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    first_rule = (F.when(any_null(critical), F.lit("null_critical"))
+                  .when(bad, F.lit("invalid_pressure")))
+    g = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+         .withColumn("_rule", first_rule)
+         .withColumn("_e", F.col("_m") - 1 + F.when(F.col("_rule").isNotNull(), 1).otherwise(0)))
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    extra = F.col("_m") - 1
-    chunks = (g.where(extra > 0)
-              .select(*cols, "_m", F.explode(F.sequence(
-                  F.lit(0).cast("long"), F.floor((extra - 1) / chunk).cast("long"))).alias("_c"))
-              .repartition(n_parts, "_c", *cols))
-    size = F.least(F.lit(chunk).cast("long"), extra - F.col("_c") * chunk)
-    copies = (chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_k"))
-              .select(*cols, F.lit("duplicate").alias("reason")))
-    nulls = g.where(any_null(critical)).select(*cols, F.lit("null_critical").alias("reason"))
-    invalid = (g.where(~any_null(critical) & bad)
-               .select(*cols, F.lit("invalid_pressure").alias("reason")))
-    return copies.unionByName(nulls).unionByName(invalid)
+    one = F.lit(1).cast("long")
+
+    def emit(frame: DataFrame, start: Column, stop: Column) -> DataFrame:
+        # Reject numbers start..stop of a row; number 0 is the row's own copy,
+        # which carries the failing rule (if any), the rest are extra copies.
+        idx = F.explode(F.sequence(start, stop)).alias("_i")
+        return frame.select(*cols, "_rule", idx).select(
+            *cols, F.when((F.col("_i") == 0) & F.col("_rule").isNotNull(), F.col("_rule"))
+            .otherwise(F.lit("duplicate")).alias("reason"))
+
+    # Row's own copy is number 0 only when it is rejected; otherwise 1..m-1.
+    first = F.when(F.col("_rule").isNotNull(), F.lit(0).cast("long")).otherwise(one)
+    last = F.col("_m") - 1
+    small = emit(g.where((F.col("_e") > 0) & (F.col("_e") <= chunk)), first, last)
+    big = (g.where(F.col("_e") > chunk)
+           .select(*cols, "_m", "_rule", first.alias("_first"),
+                   F.explode(F.sequence(F.lit(0).cast("long"),
+                                        F.floor((last - first) / chunk).cast("long"))).alias("_c"))
+           .repartition(n_parts, "_c", *cols))
+    lo = F.col("_first") + F.col("_c") * chunk
+    hi = F.least(lo + chunk - 1, F.col("_m") - 1)
+    return small.unionByName(emit(big, lo, hi))
