@@ -136,7 +136,8 @@ class QualityPlan:
             *[combine[how](F.col(name)).alias(name) for name, _, how in parts],
             F.coalesce(F.sum("_m"), zero).alias("dup_total"),
             F.count(F.lit(1)).alias("dup_unique"))
-        extra = {f"avg_{j}": F.col(f"sum_{j}") / F.col(f"n_{j}") for j in range(len(self.rules))}
+        extra = {f"avg_{j}": F.try_divide(F.col(f"sum_{j}"), F.col(f"n_{j}"))
+                 for j in range(len(self.rules))}
         if self.date_column is not None and self.as_of is None:
             extra["ts_future"] = zero
         return combined.withColumns(extra) if extra else combined
