@@ -2,10 +2,10 @@
 with quality results stored beside the output.
 
 Actions issued: the quality write of the raw input, the feature write
-(which also fills the input/cleaned counters through ``Observation``), the
-fan-out to extra formats, the verification scan and the feature quality
-write -- a handful of jobs where a count-per-check design issues about a
-hundred.
+(which also fills the input/cleaned counters through ``Observation``), one
+write per extra format, and the feature quality write; the verification frame
+is one scan of the written files when it is read. A handful of actions where
+a count-per-check design issues about a hundred.
 """
 
 from __future__ import annotations
