@@ -604,6 +604,19 @@ def q_stream_daily_agg(spark, sf_dir):
     return rounded(out, ("avg_value",))
 
 
+@register("stream_features", O.sql(f"SELECT {O.FEATURES_SELECT} FROM F", "F"))
+def q_stream_features(spark, sf_dir):
+    base = shared_dir(spark, "stream_features")
+    # Stage the readings as time-ordered files, so that each micro-batch
+    # carries a slice of the calendar (as arriving sensor data would).
+    r = readings(spark, sf_dir)
+    r.repartitionByRange(4, "formatted_date").write.parquet(f"{base}/incoming")
+    out = streaming.feature_stream(spark, f"{base}/incoming", "*.parquet", r.schema,
+                                   f"{base}/store", f"{base}/features", f"{base}/checkpoint",
+                                   max_files_per_trigger=1)
+    return rounded(out.select(*feature_ops_columns()), FEATURE_INEXACT)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -1,5 +1,5 @@
 """Structured Streaming forms of the daily aggregate."""
 
-from stratus.streaming.daily import closed_window_stream, daily_event_stream
+from stratus.streaming.daily import closed_window_stream, daily_event_stream, feature_stream
 
-__all__ = ["closed_window_stream", "daily_event_stream"]
+__all__ = ["closed_window_stream", "daily_event_stream", "feature_stream"]

@@ -71,5 +71,32 @@ def closed_window_stream(spark: SparkSession, directory: str, pattern: str, sche
     return spark.read.parquet(out_path)
 
 
-def sub(path: str, name: str) -> str:
-    return os.path.join(path, name)
+def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.StructType,
+                   store_path: str, features_path: str, checkpoint: str,
+                   profile=None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Maintain the month-scoped feature table from a stream of readings.
+
+    Each micro-batch is stored under its batch id (overwrite: a replayed batch
+    writes the same files), then only the months the batch touches are
+    recomputed from everything stored so far and replaced with dynamic
+    partition overwrite. Rolling and lag windows cannot run inside a stream;
+    this runs them per batch on the touched months, which is exact because
+    every window is scoped to one month.
+    """
+    from stratus.plans import incremental
+    from stratus.profile import READINGS
+
+    prof = profile or READINGS
+    readings = _source(spark, directory, pattern, schema, max_files_per_trigger)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        batch_dir = os.path.join(store_path, f"batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_dir)
+        stored = spark.read.parquet(store_path).drop("batch_id")
+        incremental.apply_batch(stored, spark.read.parquet(batch_dir), features_path, prof)
+
+    query = (readings.writeStream.foreachBatch(upsert)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(features_path)
