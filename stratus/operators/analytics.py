@@ -29,49 +29,65 @@ def metric_correlation(df: DataFrame, metrics: tuple[str, ...] = METRICS) -> Dat
                          for i, (a, b) in enumerate(pairs)])
 
 
-def seasonal_stats(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date") -> DataFrame:
-    """season, n, mean, p50 (exact median), skewness, kurtosis (population,
-    excess) of ``value`` per season."""
+def seasonal_stats(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date",
+                   series_keys: tuple[str, ...] = ()) -> DataFrame:
+    """[series keys], season, n, mean, p50 (exact median), skewness, kurtosis
+    (population, excess) of ``value`` per season.
+
+    The input is a daily frame: a group holds at most one row per day of the
+    season, so the exact median's buffer is bounded by the calendar.
+    """
     v = F.col(value)
     return (daily.withColumn("season", season(F.month(date_column)))
-            .groupBy("season")
+            .groupBy(*series_keys, "season")
             .agg(F.count(v).alias("n"), F.avg(v).alias("mean"),
                  F.percentile(v, 0.5).alias("p50"),
                  F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")))
 
 
 def seasonal_decomposition(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date",
-                           half_width: int = 3) -> DataFrame:
-    """date, observed, trend, seasonal, remainder.
+                           half_width: int = 3, series_keys: tuple[str, ...] = ()) -> DataFrame:
+    """[series keys], date, observed, trend, seasonal, remainder.
 
     trend: centred moving average over +-``half_width`` rows within the month;
     seasonal: mean detrended value of the calendar month across years;
     remainder: observed - trend - seasonal.
+
+    Both windows run on one exchange: rows are hash-partitioned by (series,
+    calendar month), which also clusters every (series, year, month); the
+    trend window is partitioned in the order (series, month, year) so that
+    its sort already orders the seasonal window's partitions. A partition is
+    one calendar month of one series across the years: bounded by the
+    calendar, however large the readings behind the daily frame.
     """
     date = F.col(date_column)
-    base = daily.select(date.alias("date"), F.col(value).alias("observed"),
+    keys = [F.col(k) for k in series_keys]
+    base = daily.select(*keys, date.alias("date"), F.col(value).alias("observed"),
                         F.year(date).alias("_y"), F.month(date).alias("_m"))
-    centred = Window.partitionBy("_y", "_m").orderBy("date").rowsBetween(-half_width, half_width)
+    base = base.repartition(*keys, F.col("_m"))
+    centred = (Window.partitionBy(*keys, "_m", "_y").orderBy("date")
+               .rowsBetween(-half_width, half_width))
     with_trend = base.withColumn("trend", F.avg("observed").over(centred))
-    by_month = Window.partitionBy("_m")
+    by_month = Window.partitionBy(*keys, "_m")
     with_season = with_trend.withColumn(
         "seasonal", F.avg(F.col("observed") - F.col("trend")).over(by_month))
     return with_season.select(
-        "date", "observed", "trend", "seasonal",
+        *series_keys, "date", "observed", "trend", "seasonal",
         (F.col("observed") - F.col("trend") - F.col("seasonal")).alias("remainder"))
 
 
 def anomaly_zscore(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date",
-                   lookback: int = 7, threshold: float = 3.0) -> DataFrame:
-    """date, <value>, zscore for rows whose value lies more than ``threshold``
-    trailing standard deviations from the trailing mean of the previous
-    ``lookback`` rows of the same month (the current row excluded)."""
+                   lookback: int = 7, threshold: float = 3.0,
+                   series_keys: tuple[str, ...] = ()) -> DataFrame:
+    """[series keys], date, <value>, zscore for rows whose value lies more than
+    ``threshold`` trailing standard deviations from the trailing mean of the
+    previous ``lookback`` rows of the same month (the current row excluded)."""
     date = F.col(date_column)
-    w = (Window.partitionBy(F.year(date), F.month(date))
+    w = (Window.partitionBy(*series_keys, F.year(date), F.month(date))
          .orderBy(date).rowsBetween(-lookback, -1))
     v = F.col(value)
-    scored = daily.select(date.alias("date"), v, F.avg(v).over(w).alias("_mu"),
+    scored = daily.select(*series_keys, date.alias("date"), v, F.avg(v).over(w).alias("_mu"),
                           F.stddev_samp(v).over(w).alias("_sd"))
     z = F.when(F.col("_sd") > 0, (F.col(value) - F.col("_mu")) / F.col("_sd"))
     return (scored.withColumn("zscore", z).where(F.abs(F.col("zscore")) > threshold)
-            .select("date", value, "zscore"))
+            .select(*series_keys, "date", value, "zscore"))

@@ -42,6 +42,43 @@ def _inline(df: DataFrame, structs: list[Column]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
+class Metric:
+    """One decomposable metric: ``op`` over ``arg``, reading column ``source``
+    (None for the row count). ``op`` is rows, count_if, count, min, max or sum."""
+
+    def __init__(self, name: str, source: str | None, op: str, arg: Column | None = None):
+        self.name, self.source, self.op, self.arg = name, source, op, arg
+
+    def aggregate(self) -> Column:
+        """The metric over plain rows."""
+        if self.op == "rows":
+            return F.count(F.lit(1))
+        return {"count_if": F.count_if, "count": F.count, "min": F.min, "max": F.max,
+                "sum": F.sum}[self.op](self.arg)
+
+    def combine(self) -> Column:
+        """The metric from per-group partial values in column ``name``."""
+        part = F.col(self.name)
+        if self.op in ("min", "max"):
+            return F.min(part) if self.op == "min" else F.max(part)
+        if self.op == "sum":
+            return F.sum(part)
+        return F.coalesce(F.sum(part), F.lit(0).cast("long"))
+
+    def weighted(self, m: Column) -> Column:
+        """The metric over groups of identical values, each standing for ``m`` rows."""
+        zero = F.lit(0).cast("long")
+        if self.op == "rows":
+            return F.coalesce(F.sum(m), zero)
+        if self.op == "count_if":
+            return F.coalesce(F.sum(F.when(self.arg, m)), zero)
+        if self.op == "count":
+            return F.coalesce(F.sum(F.when(self.arg.isNotNull(), m)), zero)
+        if self.op == "sum":
+            return F.sum(self.arg * m)
+        return F.min(self.arg) if self.op == "min" else F.max(self.arg)
+
+
 class QualityPlan:
     """Aggregate expressions for every check of ``profile`` on ``df``.
 
@@ -64,55 +101,60 @@ class QualityPlan:
         rules = [(r, resolve(df, r.field)) for r in profile.range_rules]
         self.rules = [(r, name) for r, name in rules if name is not None]
         keys = key_columns if key_columns is not None else profile.duplicate_keys
-        self.keys = list(keys) if keys else list(df.columns)
+        self.keys = [resolve(df, k) or k for k in keys] if keys else list(df.columns)
         self.date_column = resolve(df, date_column or profile.date_column)
         self.checks = (("schema",) if expected_schema is not None else ()) + CHECK_ORDER[1:]
 
     # -- aggregates ------------------------------------------------------------
-    # Every metric is decomposable: (name, aggregate over rows, combiner of
-    # the per-group results). ``wide`` aggregates per duplicate key first,
-    # then combines, so all checks share one scan and one shuffle.
-    def completeness_parts(self) -> list[tuple[str, Column, str]]:
-        parts = [("total_rows", F.count(F.lit(1)), "sum")]
-        parts += [(f"null_{i}", F.count_if(F.col(c).isNull()), "sum")
+    # Every metric is decomposable and reads at most one column. ``wide``
+    # groups by the duplicate key first: a metric of a key column is constant
+    # within a group, so it is derived after the shuffle from the key value
+    # and the group's multiplicity; only metrics of non-key columns are
+    # aggregated inside the first group-by. With the whole row as the key
+    # (the default), the shuffle carries the row and one count, nothing else.
+    def completeness_parts(self) -> list[Metric]:
+        parts = [Metric("total_rows", None, "rows")]
+        parts += [Metric(f"null_{i}", c, "count_if", F.col(c).isNull())
                   for i, c in enumerate(self.columns)]
-        parts += [(f"empty_{i}", F.count_if(F.col(c) == F.lit("")), "sum")
+        parts += [Metric(f"empty_{i}", c, "count_if", F.col(c) == F.lit(""))
                   for i, c in enumerate(self.columns) if c in self.strings]
         return parts
 
-    def range_parts(self) -> list[tuple[str, Column, str]]:
+    def range_parts(self) -> list[Metric]:
         parts = []
         for j, (rule, name) in enumerate(self.rules):
             v = _numeric(self.df, name)
-            parts += [(f"min_{j}", F.min(v), "min"), (f"max_{j}", F.max(v), "max"),
-                      (f"sum_{j}", F.sum(v), "sum"), (f"n_{j}", F.count(v), "sum"),
-                      (f"below_{j}", F.count_if(v < F.lit(rule.lower)), "sum"),
-                      (f"above_{j}", F.count_if(v > F.lit(rule.upper)), "sum")]
+            parts += [Metric(f"min_{j}", name, "min", v), Metric(f"max_{j}", name, "max", v),
+                      Metric(f"sum_{j}", name, "sum", v), Metric(f"n_{j}", name, "count", v),
+                      Metric(f"below_{j}", name, "count_if", v < F.lit(rule.lower)),
+                      Metric(f"above_{j}", name, "count_if", v > F.lit(rule.upper))]
         return parts
 
-    def temporal_parts(self) -> list[tuple[str, Column, str]]:
+    def temporal_parts(self) -> list[Metric]:
         if self.date_column is None:
             return []
-        ts = as_timestamp(self.df, self.date_column, self.profile.timestamp_format)
-        parts = [("ts_invalid", F.count_if(ts.isNull()), "sum"),
-                 ("ts_min", F.min(ts), "min"), ("ts_max", F.max(ts), "max")]
+        c = self.date_column
+        ts = as_timestamp(self.df, c, self.profile.timestamp_format)
+        parts = [Metric("ts_invalid", c, "count_if", ts.isNull()),
+                 Metric("ts_min", c, "min", ts), Metric("ts_max", c, "max", ts)]
         if self.as_of is not None:
-            dtype = self.df.schema[self.date_column].dataType
-            parts.append(("ts_future", F.count_if(ts > _ts_literal(dtype, self.as_of)), "sum"))
+            dtype = self.df.schema[c].dataType
+            parts.append(Metric("ts_future", c, "count_if", ts > _ts_literal(dtype, self.as_of)))
         return parts
 
-    def parts(self) -> list[tuple[str, Column, str]]:
+    def parts(self) -> list[Metric]:
         return self.completeness_parts() + self.range_parts() + self.temporal_parts()
 
     def completeness_aggs(self) -> list[Column]:
         """Single-level aggregates for a plain scan."""
-        return [agg.alias(name) for name, agg, _ in self.completeness_parts()]
+        return [m.aggregate().alias(m.name) for m in self.completeness_parts()]
 
     def range_aggs(self) -> list[Column]:
         aggs = []
         for j, (_, name) in enumerate(self.rules):
             aggs.append(F.avg(_numeric(self.df, name)).alias(f"avg_{j}"))
-        return aggs + [agg.alias(n) for n, agg, _ in self.range_parts() if not n.startswith("sum_")]
+        return aggs + [m.aggregate().alias(m.name) for m in self.range_parts()
+                       if not m.name.startswith("sum_")]
 
     def duplicates_row(self) -> DataFrame:
         per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
@@ -124,16 +166,21 @@ class QualityPlan:
         """One row with every metric, from one scan and one shuffle.
 
         Level 1 groups by the duplicate key (map-side partial aggregation
-        collapses a hot key before the shuffle) and computes every metric per
-        key; level 2 combines the per-key results and counts the keys.
+        collapses a hot key before the shuffle) and aggregates only the
+        metrics of non-key columns; level 2 derives the key-column metrics
+        from (key value, multiplicity), combines the rest and counts the keys.
         """
         parts = self.parts()
+        keyset = set(self.keys)
+        inner = [m for m in parts if m.source is not None and m.source not in keyset]
         per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
-            F.count(F.lit(1)).alias("_m"), *[agg.alias(name) for name, agg, _ in parts])
+            F.count(F.lit(1)).alias("_m"), *[m.aggregate().alias(m.name) for m in inner])
         zero = F.lit(0).cast("long")
-        combine = {"sum": lambda c: F.coalesce(F.sum(c), zero), "min": F.min, "max": F.max}
+        inner_names = {m.name for m in inner}
+        level2 = [(m.combine() if m.name in inner_names else m.weighted(F.col("_m"))).alias(m.name)
+                  for m in parts]
         combined = per_key.agg(
-            *[combine[how](F.col(name)).alias(name) for name, _, how in parts],
+            *level2,
             F.coalesce(F.sum("_m"), zero).alias("dup_total"),
             F.count(F.lit(1)).alias("dup_unique"))
         extra = {f"avg_{j}": F.try_divide(F.col(f"sum_{j}"), F.col(f"n_{j}"))

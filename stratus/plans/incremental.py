@@ -9,7 +9,9 @@ other months' files are left as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus import sinks
@@ -19,6 +21,11 @@ from stratus.operators.features import daily_features
 from stratus.profile import READINGS, Profile
 
 PARTITION_COLUMNS = ("year", "month")
+# Layout of a readings store fed batch by batch (see ``store_batch``).
+STORE_PARTITIONS = ("reading_year", "reading_month", "batch_id")
+# Above this many touched months the store is filtered by a semi-join instead
+# of a partition-filter list (both exact; the list only prunes better).
+MAX_PRUNED_MONTHS = 10_000
 
 
 def feature_table(readings: DataFrame, profile: Profile = READINGS) -> DataFrame:
@@ -58,3 +65,53 @@ def incremental_run(spark: SparkSession, readings: DataFrame, cutoff: str, path:
     write_feature_table(readings.where(~is_new), path, profile)
     apply_batch(readings, readings.where(is_new), path, profile)
     return spark.read.parquet(path)
+
+
+def store_batch(batch: DataFrame, store_path: str, batch_id: int,
+                profile: Profile = READINGS) -> None:
+    """Add a batch of readings to a store laid out by reading month.
+
+    The batch goes to its own folder ``batch_id=<n>`` (plain overwrite, so a
+    batch replayed after a failure rewrites exactly that folder), split there
+    into (reading_year, reading_month) directories. The rebalance hint
+    clusters each month's rows into few files, and AQE splits a month that
+    holds a large share of the batch over several tasks.
+    """
+    day = date_of(batch, profile.date_column)
+    keyed = (batch.withColumns({"reading_year": F.year(day), "reading_month": F.month(day)})
+             .hint("rebalance", "reading_year", "reading_month"))
+    (keyed.write.mode("overwrite").partitionBy("reading_year", "reading_month")
+     .parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
+
+
+def _month_filter(months: list[tuple[int, int]]) -> Column:
+    by_year: dict[int, list[int]] = {}
+    for y, m in months:
+        by_year.setdefault(y, []).append(m)
+    return reduce(lambda a, b: a | b, [
+        (F.col("reading_year") == F.lit(y)) & F.col("reading_month").isin(sorted(ms))
+        for y, ms in sorted(by_year.items())])
+
+
+def apply_stored_batch(spark: SparkSession, store_path: str, batch_id: int, path: str,
+                       profile: Profile = READINGS) -> sinks.WriteResult | None:
+    """Recompute the months that stored batch ``batch_id`` touches, reading
+    only those months of the store, and overwrite them at ``path``.
+
+    The touched months are a distinct set bounded by the calendar (at most
+    twelve per year the batch spans); they become a partition filter, so the
+    scan lists and reads only the affected month directories.
+    """
+    store = spark.read.parquet(store_path)
+    months = (spark.read.parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}")
+              .where(F.col("reading_year").isNotNull())
+              .select("reading_year", "reading_month").distinct())
+    touched = [(r[0], r[1]) for r in months.limit(MAX_PRUNED_MONTHS + 1).collect()]
+    if not touched:
+        return None
+    if len(touched) <= MAX_PRUNED_MONTHS:
+        affected = store.where(_month_filter(touched))
+    else:
+        affected = store.join(F.broadcast(months), ["reading_year", "reading_month"], "left_semi")
+    readings = affected.drop(*STORE_PARTITIONS)
+    return write_feature_table(readings, path, profile, dynamic=True)

@@ -14,8 +14,6 @@ processed in bounded micro-batches, then the query stops.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,12 +74,13 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
                    profile=None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Maintain the month-scoped feature table from a stream of readings.
 
-    Each micro-batch is stored under its batch id (overwrite: a replayed batch
-    writes the same files), then only the months the batch touches are
-    recomputed from everything stored so far and replaced with dynamic
-    partition overwrite. Rolling and lag windows cannot run inside a stream;
-    this runs them per batch on the touched months, which is exact because
-    every window is scoped to one month.
+    Each micro-batch is added to a readings store laid out by reading month
+    (dynamic overwrite of its own directories: a replayed batch writes the
+    same files); then only the months the batch touches are recomputed, from
+    those months' directories alone (partition pruning), and replaced in the
+    feature table with dynamic partition overwrite. Rolling and lag windows
+    cannot run inside a stream; running them per batch on the touched months
+    is exact because every window is scoped to one month.
     """
     from stratus.plans import incremental
     from stratus.profile import READINGS
@@ -90,10 +89,8 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
     readings = _source(spark, directory, pattern, schema, max_files_per_trigger)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch_dir = os.path.join(store_path, f"batch_id={batch_id}")
-        batch.write.mode("overwrite").parquet(batch_dir)
-        stored = spark.read.parquet(store_path).drop("batch_id")
-        incremental.apply_batch(stored, spark.read.parquet(batch_dir), features_path, prof)
+        incremental.store_batch(batch, store_path, batch_id, prof)
+        incremental.apply_stored_batch(spark, store_path, batch_id, features_path, prof)
 
     query = (readings.writeStream.foreachBatch(upsert)
              .option("checkpointLocation", checkpoint)

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import re
 
 from pyspark.sql import functions as F
 
@@ -120,3 +121,34 @@ def test_one_job_for_full_validation(spark):
     plan = plan_text(long)
     assert plan.count("HashAggregate") >= 4  # scan + duplicate aggregates, partial and final
     assert long.where(~F.col("valid")).count() > 0
+
+
+def test_metrics_from_multiplicity_equal_direct(spark):
+    """Whole-row key: metrics derived from (row, multiplicity) after the
+    group-by must equal the same metrics aggregated row by row (reading_id
+    as the key keeps every other column's metrics inside the group-by)."""
+    rows = ([reading(1, TS, temp=-60.0, summary="")] * 4 + [reading(2, None, temp=None)] * 3
+            + [reading(3, TS, temp=float("nan"), pressure=None)] * 2
+            + [reading(4, dt.datetime(2031, 1, 1), hum=2.0, wind=250.0, pressure=700.0)]
+            + [reading(5, TS, summary=None)])
+    df = spark.createDataFrame(rows, READING_SCHEMA)
+    as_of = "2030-01-01 00:00:00"
+
+    def metrics(key_columns):
+        return {(x.check_name, x.field, x.metric): (x.metric_value, x.valid)
+                for x in quality.full_validation(df, READINGS, None, as_of, key_columns).collect()
+                if x.check_name != "duplicates"}
+    by_row, by_id = metrics(None), metrics(["reading_id"])
+    assert by_row == by_id
+    assert by_row[("temporal", "formatted_date", "future_dates")] == (1.0, False)
+    assert by_row[("ranges", "temperatureC", "above_max")] == (2.0, False)  # NaN counts above
+
+
+def test_whole_row_shuffle_carries_only_a_count(spark):
+    r = readings(spark, "/root/testdata/sf0.001")
+    plan = plan_text(quality.full_validation(r, READINGS, STANDARD_CONTRACT, "2000-01-01 00:00:00"))
+    # The aggregates keyed on the whole row compute the multiplicity only.
+    keyed = [sec for sec in plan.split("\n\n")
+             if re.match(r"\(\d+\) HashAggregate", sec) and "Keys [8]" in sec]
+    assert len(keyed) == 2
+    assert all(re.search(r"Functions \[1\]: \[(partial_)?count\(1\)\]", sec) for sec in keyed)
