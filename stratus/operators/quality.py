@@ -233,6 +233,15 @@ class QualityPlan:
                         F.lit(0.0), F.lit(0.0), F.lit(True)))
         return out
 
+    def long(self, wide: DataFrame) -> DataFrame:
+        """The long-form result generated from the one-row ``wide`` frame."""
+        structs = [F.struct(F.lit(check).alias("check_name"), F.lit(field).alias("field"),
+                            F.lit(metric).alias("metric"),
+                            value.cast("double").alias("metric_value"),
+                            thr.cast("double").alias("threshold"), valid.alias("valid"))
+                   for check, field, metric, value, thr, valid in self.rows()]
+        return _inline(wide, structs)
+
     def check_valid(self) -> dict[str, Column]:
         """check name -> validity expression over the wide row."""
         by_check: dict[str, list[Column]] = {}
@@ -255,11 +264,7 @@ def full_validation(df: DataFrame, profile: Profile = READINGS,
     """Long-form result of all checks: check_name, field, metric, metric_value,
     threshold, valid (one row per check x field x metric)."""
     plan = QualityPlan(df, profile, expected_schema, as_of, key_columns)
-    structs = [F.struct(F.lit(check).alias("check_name"), F.lit(field).alias("field"),
-                        F.lit(metric).alias("metric"), value.cast("double").alias("metric_value"),
-                        thr.cast("double").alias("threshold"), valid.alias("valid"))
-               for check, field, metric, value, thr, valid in plan.rows()]
-    return _inline(plan.wide(), structs)
+    return plan.long(plan.wide())
 
 
 def validation_summary(long_df: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """The full job: readings -> clean -> daily -> features -> verified sinks,
 with quality results stored beside the output.
 
-Actions issued: the quality write of the raw input, the feature write
-(which also fills the input/cleaned counters through ``Observation``), one
-write per extra format, and the feature quality write; the verification frame
+Actions issued: the quality write of the raw input (which also counts the
+input rows), the feature write (which also counts the cleaned rows), one
+write per extra format, and the feature quality write. Every counter is an
+``Observation`` in the result stage of a write; the verification frame
 is one scan of the written files when it is read. A handful of actions where
 a count-per-check design issues about a hundred.
 """
@@ -20,7 +21,7 @@ from stratus import sinks
 from stratus.operators.clean import clean_readings
 from stratus.operators.daily import daily_agg
 from stratus.operators.features import daily_features
-from stratus.operators.quality import full_validation
+from stratus.operators.quality import QualityPlan, full_validation
 from stratus.profile import FEATURES, READINGS, Profile
 
 
@@ -46,15 +47,20 @@ def run_job(spark: SparkSession, readings: DataFrame, out_dir: str,
             formats: tuple[str, ...] = ("parquet",)) -> JobResult:
     out_dir = out_dir.rstrip("/")
     raw_quality_path = f"{out_dir}/quality/raw"
-    sinks.write_json(full_validation(readings, profile, None, as_of), raw_quality_path,
-                     rebalance=False)
-
+    # The input row count rides on the validation's one-row aggregate, which
+    # is computed in the final stage of that write (no rebalance after it):
+    # a result stage, where each task's metric update is applied once even if
+    # an executor is lost and work is re-run.
     seen = Observation("input")
-    kept = Observation("cleaned")
-    observed = readings.observe(seen, F.count(F.lit(1)).alias("rows"))
-    cleaned = clean_readings(observed, profile).observe(kept, F.count(F.lit(1)).alias("rows"))
-    features = daily_features(daily_agg(cleaned, profile))
-    outputs = sinks.write_multiple_formats(features, f"{out_dir}/features", formats)
+    plan = QualityPlan(readings, profile, None, as_of)
+    wide = plan.wide().observe(seen, F.sum("total_rows").alias("rows"))
+    sinks.write_json(plan.long(wide), raw_quality_path, rebalance=False)
+
+    features = daily_features(daily_agg(clean_readings(readings, profile), profile))
+    # Every cleaned row lands in exactly one daily row (a null date is a group
+    # too), so sum(n_rows) observed on the feature write is the cleaned count.
+    outputs = sinks.write_multiple_formats(features, f"{out_dir}/features", formats,
+                                           metrics={"cleaned_rows": F.sum("n_rows")})
     first = outputs[next(iter(outputs))]
 
     feature_quality_path = f"{out_dir}/quality/features"
@@ -63,8 +69,9 @@ def run_job(spark: SparkSession, readings: DataFrame, out_dir: str,
                      rebalance=False)
 
     final_rows = first.expected_rows
+    cleaned_rows = int(first.metrics["cleaned_rows"] or 0)
     summary = spark.createDataFrame(
-        [(int(seen.get["rows"]), int(kept.get["rows"]), final_rows,
+        [(int(seen.get["rows"] or 0), cleaned_rows, final_rows,
           "SUCCESS" if final_rows > 0 else "EMPTY")], SUMMARY_SCHEMA)
     return JobResult(outputs, summary, first.verification(spark), raw_quality_path,
                      feature_quality_path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ class WriteResult:
     expected_rows: int
     expected_checksum: object
     partition_by: tuple[str, ...] = ()
+    metrics: dict | None = None
 
     def verification(self, spark: SparkSession) -> DataFrame:
         """expected_rows, actual_rows, expected_columns, actual_columns,
@@ -50,19 +51,26 @@ class WriteResult:
                               & F.col("checksum_match"))
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, name: str,
+              metrics: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` with an Observation of its row count, order-free checksum and
+    any caller ``metrics`` (aggregate expressions). The node sits at the top
+    of the written plan, so it runs in the write's result stage, where Spark
+    applies each task's update once even when tasks or stages are re-run."""
     obs = Observation(name)
     cols = df.columns
+    extra = [agg.alias(f"m_{k}") for k, agg in (metrics or {}).items()]
     return df.observe(obs, F.count(F.lit(1)).alias("rows"),
                       F.coalesce(F.sum(row_checksum(cols)), F.lit(0).cast("decimal(30,0)"))
-                      .alias("checksum")), obs
+                      .alias("checksum"), *extra), obs
 
 
 def _finish(df: DataFrame, obs: Observation, path: str, fmt: str,
-            partition_by=()) -> WriteResult:
-    metrics = obs.get
-    return WriteResult(path, fmt, df.schema, int(metrics["rows"]), metrics["checksum"],
-                       tuple(partition_by))
+            partition_by=(), metrics: dict | None = None) -> WriteResult:
+    got = obs.get
+    extra = {k: got[f"m_{k}"] for k in (metrics or {})}
+    return WriteResult(path, fmt, df.schema, int(got["rows"]), got["checksum"],
+                       tuple(partition_by), extra)
 
 
 def _prepared(df: DataFrame, rebalance: bool) -> DataFrame:
@@ -74,10 +82,12 @@ def _prepared(df: DataFrame, rebalance: bool) -> DataFrame:
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   compression: str = "snappy", mode: str = "overwrite",
                   dynamic_partitions: bool = False, rebalance: bool = True,
-                  max_records_per_file: int | None = None) -> WriteResult:
+                  max_records_per_file: int | None = None,
+                  metrics: dict[str, Column] | None = None) -> WriteResult:
     """Write Parquet (optionally hive-partitioned). ``dynamic_partitions``
-    replaces only the partitions present in ``df`` (incremental reruns)."""
-    observed, obs = _observed(_prepared(df, rebalance), "parquet")
+    replaces only the partitions present in ``df`` (incremental reruns);
+    ``metrics`` are extra aggregates observed on the written rows."""
+    observed, obs = _observed(_prepared(df, rebalance), "parquet", metrics)
     writer = observed.write.mode(mode).option("compression", compression)
     if dynamic_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -86,31 +96,33 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return _finish(df, obs, path, "parquet", partition_by or ())
+    return _finish(df, obs, path, "parquet", partition_by or (), metrics)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite", timestamp_format: str | None = None,
-              compression: str | None = None, rebalance: bool = True) -> WriteResult:
-    observed, obs = _observed(_prepared(df, rebalance), "csv")
+              compression: str | None = None, rebalance: bool = True,
+              metrics: dict[str, Column] | None = None) -> WriteResult:
+    observed, obs = _observed(_prepared(df, rebalance), "csv", metrics)
     writer = observed.write.mode(mode).option("header", header).option("sep", sep)
     if timestamp_format:
         writer = writer.option("timestampFormat", timestamp_format)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
-    return _finish(df, obs, path, "csv")
+    return _finish(df, obs, path, "csv", (), metrics)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
-               compression: str | None = None, rebalance: bool = True) -> WriteResult:
+               compression: str | None = None, rebalance: bool = True,
+               metrics: dict[str, Column] | None = None) -> WriteResult:
     """JSON Lines; null fields are written so every column survives a read."""
-    observed, obs = _observed(_prepared(df, rebalance), "json")
+    observed, obs = _observed(_prepared(df, rebalance), "json", metrics)
     writer = observed.write.mode(mode).option("ignoreNullFields", False)
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)
-    return _finish(df, obs, path, "json")
+    return _finish(df, obs, path, "json", (), metrics)
 
 
 def read_back(spark: SparkSession, result: WriteResult) -> DataFrame:
@@ -130,20 +142,23 @@ WRITERS = {"parquet": write_parquet, "csv": write_csv, "json": write_json}
 
 
 def write_multiple_formats(df: DataFrame, base_path: str,
-                           formats: tuple[str, ...] = ("parquet", "csv", "json")) -> dict[str, WriteResult]:
+                           formats: tuple[str, ...] = ("parquet", "csv", "json"),
+                           metrics: dict[str, Column] | None = None) -> dict[str, WriteResult]:
     """Fan one frame out to several formats.
 
-    The frame's plan runs once: the first format is written from it, the
-    others are written from the files just written (a lineage cut on shared
-    storage, no cache that an executor loss could drop). Unknown formats are
-    skipped.
+    The frame's plan runs once: the first format is written from it (with
+    the caller's ``metrics`` observed on that write), the others are written
+    from the files just written (a lineage cut on shared storage, no cache
+    that an executor loss could drop). Unknown formats are skipped.
     """
     known = [f for f in formats if f in WRITERS]
     results: dict[str, WriteResult] = {}
     source = df
     for fmt in known:
-        results[fmt] = WRITERS[fmt](source, os.path.join(base_path, f"data.{fmt}"))
-        if source is df:
+        first = source is df
+        results[fmt] = WRITERS[fmt](source, os.path.join(base_path, f"data.{fmt}"),
+                                    metrics=metrics if first else None)
+        if first:
             source = read_back(df.sparkSession, results[fmt])
     return results
 
