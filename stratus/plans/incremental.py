@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratus import sinks
@@ -68,8 +68,9 @@ def incremental_run(spark: SparkSession, readings: DataFrame, cutoff: str, path:
 
 
 def store_batch(batch: DataFrame, store_path: str, batch_id: int,
-                profile: Profile = READINGS) -> None:
-    """Add a batch of readings to a store laid out by reading month.
+                profile: Profile = READINGS) -> int:
+    """Add a batch of readings to a store laid out by reading month; returns
+    the number of rows stored.
 
     The batch goes to its own folder ``batch_id=<n>`` (plain overwrite, so a
     batch replayed after a failure rewrites exactly that folder), split there
@@ -80,8 +81,11 @@ def store_batch(batch: DataFrame, store_path: str, batch_id: int,
     day = date_of(batch, profile.date_column)
     keyed = (batch.withColumns({"reading_year": F.year(day), "reading_month": F.month(day)})
              .hint("rebalance", "reading_year", "reading_month"))
-    (keyed.write.mode("overwrite").partitionBy("reading_year", "reading_month")
+    stored = Observation(f"store-{batch_id}")
+    (keyed.observe(stored, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").partitionBy("reading_year", "reading_month")
      .parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
+    return int(stored.get["rows"])
 
 
 def _month_filter(months: list[tuple[int, int]]) -> Column:

@@ -4,7 +4,7 @@ Usage: python tools/shuffle_stats.py sf_dir key[,key...]
 
 Runs each key once into the no-op sink with the event log written to a fresh
 scratch folder, then sums the task metrics of that key's jobs: shuffle bytes
-written, records written and task count. Deterministic, unlike
+written, records written, task count, and per stage (id, tasks, ms). Deterministic, unlike
 wall-clock time, so it shows what a plan change does to the data moved.
 """
 
@@ -30,13 +30,15 @@ def main():
                                  "spark.eventLog.compress": "false",
                                  "spark.eventLog.rolling.enabled": "false"})
     sc = spark.sparkContext
+    for i in range(2):  # JVM and code generation warm-up, not counted
+        catalog.QUERIES["daily_features"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for key in keys:
         sc.setJobGroup(key, key)
         catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("", "")
     spark.stop()
     stage_key, stats = {}, {k: {"shuffle_bytes": 0, "shuffle_records": 0,
-                                "tasks": 0} for k in keys}
+                                "tasks": 0, "stages": []}  for k in keys}
     for path in glob.glob(f"{log_dir}/**/*", recursive=True):
         if os.path.isdir(path):
             continue
@@ -48,6 +50,13 @@ def main():
                     group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
                     for sid in ev.get("Stage IDs", []):
                         stage_key[sid] = group
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    key = stage_key.get(info["Stage ID"])
+                    if key in stats and "Completion Time" in info:
+                        stats[key]["stages"].append(
+                            (info["Stage ID"], info["Number of Tasks"],
+                             info["Completion Time"] - info["Submission Time"]))
                 elif kind == "SparkListenerTaskEnd":
                     key = stage_key.get(ev["Stage ID"])
                     m = ev.get("Task Metrics") or {}
