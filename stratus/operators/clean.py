@@ -36,9 +36,18 @@ def _present(df: DataFrame, names) -> list[str]:
 
 
 def drop_critical_nulls(df: DataFrame, profile: Profile = READINGS) -> DataFrame:
-    """Drop rows with a null in any critical column that is present."""
+    """Drop rows with a null in any critical column that is present.
+
+    Only null counts: a NaN reading is a value and stays (``dropna`` would
+    drop NaN too, so the rule is written as an explicit filter).
+    """
     cols = _present(df, profile.critical_columns)
-    return df.dropna(subset=cols) if cols else df
+    if not cols:
+        return df
+    keep = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        keep = keep & F.col(c).isNotNull()
+    return df.filter(keep)
 
 
 def invalid_condition(df: DataFrame, profile: Profile = READINGS,

@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stratus.operators import clean_readings, daily_agg, filter_invalid, standardize_columns
-from stratus.operators.clean import dedup_exact
+from stratus.operators import quality
+from stratus.operators.clean import dedup_exact, drop_critical_nulls
 from stratus.profile import READINGS
 from tests.fixtures import READING_SCHEMA, reading
 
@@ -66,3 +67,13 @@ def test_clean_counts_match_rules(spark):
     c = clean_readings(r)
     assert c.count() == c.dropDuplicates().count()
     assert c.where(F.col("temperatureC").isNull() | (F.col("pressure_millibars") < 800)).count() == 0
+
+
+def test_nan_temperature_is_a_value_not_a_null(spark):
+    # Only nulls are critical; NaN stays (and counts as above the range maximum).
+    ts = dt.datetime(2020, 1, 1)
+    df = spark.createDataFrame([reading(1, ts, temp=float("nan")), reading(2, ts, temp=None),
+                                reading(3, None)], READING_SCHEMA)
+    kept = drop_critical_nulls(df).collect()
+    assert [r.reading_id for r in kept] == [1]
+    assert clean_readings(df).count() + quality.quarantine_rows(df).count() == 3
