@@ -137,3 +137,28 @@ def test_quarantine_brute_force(spark, groups, chunk, parts):
     got = Counter((r.reading_id, r.reason)
                   for r in quality.quarantine_rows(df, chunk=chunk, partitions=parts).collect())
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60),
+                          st.one_of(st.none(), st.integers(-20, 20).map(float))),
+                max_size=40, unique_by=lambda t: (t[0], t[1])))
+def test_series_scope_features_brute_force(spark, points):
+    start = dt.date(2020, 2, 20)
+    rows = [(s, start + dt.timedelta(days=o), v) for s, o, v in points]
+    df = spark.createDataFrame(rows, "station string, date date, avg_tempC double")
+    got = {(r.station, r.date): r for r in daily_features(
+        df, scope="series", series_keys=("station",)).collect()}
+    by_key = {(s, d): v for s, d, v in rows}
+    for (s, d), v in by_key.items():
+        w7 = [by_key[(s, d - dt.timedelta(days=k))] for k in range(7)
+              if (s, d - dt.timedelta(days=k)) in by_key]
+        w7 = [x for x in w7 if x is not None]
+        prev1 = by_key.get((s, d - dt.timedelta(days=1)))
+        prev7 = by_key.get((s, d - dt.timedelta(days=7)))
+        r = got[(s, d)]
+        assert _close(r.temp_7d_avg, sum(w7) / len(w7) if w7 else None)
+        assert _close(r.temp_7d_max, max(w7) if w7 else None)
+        assert _close(r.temp_change_1d, v - prev1 if v is not None and prev1 is not None else None)
+        assert _close(r.temp_change_7d, v - prev7 if v is not None and prev7 is not None else None)
+    assert len(got) == len(by_key)
