@@ -34,22 +34,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def cluster_confs(input_bytes: int, executor_cores: int, executors: int,
-                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+# Sizing bounds for a large run.
+SCAN_SPLIT_BYTES = 512 << 20          # bytes of input per scan task
+SHUFFLE_TARGET_BYTES = 1 << 30        # initial shuffle bytes per reducer
+ADVISORY_PARTITION_BYTES = 256 << 20  # AQE target after coalescing/splitting
+MAX_SHUFFLE_PARTITIONS = 65_536
+
+
+def cluster_confs(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
     """Shuffle/scan sizing for a large run.
 
-    The initial shuffle partition count is sized so that each reducer gets
-    about ``target_partition_bytes`` of the (pruned) input; AQE then coalesces
-    small partitions and splits skewed ones at run time.
+    Map tasks read ``SCAN_SPLIT_BYTES`` each, so 100 TB is about 200k tasks
+    rather than 800k. The initial reducer count gives each reducer about
+    ``SHUFFLE_TARGET_BYTES`` of a shuffle as large as the input (a whole-row
+    de-duplication), rounded to whole waves of the cluster's task slots and
+    capped, so map tasks x reducers (the shuffle blocks to fetch) stays
+    manageable. AQE then coalesces small partitions to the advisory size,
+    honouring it over default parallelism, and splits skewed ones.
     """
     slots = max(1, executor_cores * executors)
-    partitions = max(slots * 2, input_bytes // target_partition_bytes)
+    wanted = max(slots * 2, -(-input_bytes // SHUFFLE_TARGET_BYTES))
+    waves = min(-(-wanted // slots), max(1, MAX_SHUFFLE_PARTITIONS // slots))
+    partitions = waves * slots
     return {
         "spark.sql.shuffle.partitions": str(int(partitions)),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        **{k: v for k, v in REQUIRED_CONFS.items() if k != "spark.sql.adaptive.skewJoin.enabled"},
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        **REQUIRED_CONFS,
     }
 
 

@@ -56,3 +56,14 @@ def test_dimension_size_and_bound(spark):
     assert re.search(r"ResolvedHint .*broadcast", hinted)
     for small in (bounded_broadcast(part, max_rows=rows - 1), bounded_broadcast(part, max_bytes=size - 1)):
         assert "ResolvedHint" not in plan_text(small, "extended")
+
+
+def test_cluster_confs_bounded_at_scale():
+    from stratus.session import MAX_SHUFFLE_PARTITIONS, cluster_confs
+    big = cluster_confs(100 * 10 ** 12, executor_cores=8, executors=1000)
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and n <= MAX_SHUFFLE_PARTITIONS
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    assert big["spark.sql.session.timeZone"] == "UTC"
+    small = cluster_confs(10 ** 9, executor_cores=4, executors=2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -88,3 +88,23 @@ def test_decomposition_one_exchange_and_series_apart(spark):
         shift = 5.0 if r.station == "b" else 0.0
         assert r.observed == ref.observed + shift
         assert abs(r.trend - (ref.trend + shift)) < 1e-9 and abs(r.remainder - ref.remainder) < 1e-9
+
+
+def test_late_rows_behind_watermark_are_dropped(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, n) for n in ("src", "out", "ck"))
+    schema = "ts timestamp_ntz, event_type string, value double"
+
+    def day(d, h=12):
+        return dt.datetime(2024, 1, d, h)
+    first = [(day(1), "a", 1.0), (day(2), "a", 2.0), (day(5), "a", 5.0)]
+    spark.createDataFrame(first, schema).write.mode("append").parquet(src)
+    streaming.closed_window_stream(spark, src, "*.parquet", spark.read.parquet(src).schema, out, ck)
+    # Second run of the same query: a row for Jan 1 arrives after its window
+    # closed (watermark Jan 4 12:00) and is dropped; Jan 6 advances the watermark.
+    late = [(day(1, 13), "a", 100.0), (day(6), "a", 6.0), (day(8), "a", 8.0)]
+    spark.createDataFrame(late, schema).write.mode("append").parquet(src)
+    streaming.closed_window_stream(spark, src, "*.parquet", spark.read.parquet(src).schema, out, ck)
+    got = {r.window_start.date().day: (r.n, r.avg_value) for r in spark.read.parquet(out).collect()}
+    assert got[1] == (1, 1.0)  # the late row did not change the closed window
+    assert got[2] == (1, 2.0) and got[5] == (1, 5.0) and got[6] == (1, 6.0)
+    assert 8 not in got  # still open: watermark is Jan 7 12:00
