@@ -73,21 +73,32 @@ def _finish(df: DataFrame, obs: Observation, path: str, fmt: str,
                        tuple(partition_by), extra)
 
 
-def _prepared(df: DataFrame, rebalance: bool) -> DataFrame:
-    # REBALANCE lets AQE cut the output into advisory-size partitions (and
-    # split skewed ones) instead of coalescing to a guessed count.
-    return df.hint("rebalance") if rebalance else df
+def _prepared(df: DataFrame, rebalance: bool | None, partition_by=()) -> DataFrame:
+    """The frame as it is written.
+
+    ``rebalance=None`` (default): a partitioned write is rebalanced on its
+    partition columns, so each directory's rows come from few tasks (not every
+    task writing a small file into every directory) and AQE splits a
+    directory holding a large share of the rows; an unpartitioned write adds
+    no exchange, its files follow the scan splits or the final stage that AQE
+    has already coalesced. ``True`` forces a plain rebalance (AQE sizes the
+    files), ``False`` never adds one.
+    """
+    if rebalance is None:
+        return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *partition_by) if rebalance else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   compression: str = "snappy", mode: str = "overwrite",
-                  dynamic_partitions: bool = False, rebalance: bool = True,
+                  dynamic_partitions: bool = False, rebalance: bool | None = None,
                   max_records_per_file: int | None = None,
                   metrics: dict[str, Column] | None = None) -> WriteResult:
     """Write Parquet (optionally hive-partitioned). ``dynamic_partitions``
     replaces only the partitions present in ``df`` (incremental reruns);
     ``metrics`` are extra aggregates observed on the written rows."""
-    observed, obs = _observed(_prepared(df, rebalance), "parquet", metrics)
+    observed, obs = _observed(_prepared(df, rebalance, tuple(partition_by or ())), "parquet",
+                              metrics)
     writer = observed.write.mode(mode).option("compression", compression)
     if dynamic_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -101,7 +112,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite", timestamp_format: str | None = None,
-              compression: str | None = None, rebalance: bool = True,
+              compression: str | None = None, rebalance: bool | None = None,
               metrics: dict[str, Column] | None = None) -> WriteResult:
     observed, obs = _observed(_prepared(df, rebalance), "csv", metrics)
     writer = observed.write.mode(mode).option("header", header).option("sep", sep)
@@ -114,7 +125,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
-               compression: str | None = None, rebalance: bool = True,
+               compression: str | None = None, rebalance: bool | None = None,
                metrics: dict[str, Column] | None = None) -> WriteResult:
     """JSON Lines; null fields are written so every column survives a read."""
     observed, obs = _observed(_prepared(df, rebalance), "json", metrics)
