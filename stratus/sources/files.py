@@ -23,13 +23,19 @@ def _schema_issues(actual: T.StructType, expected: T.StructType) -> list[tuple[s
 
 
 def _csv_reader(spark: SparkSession, schema: T.StructType | None, timestamp_format: str,
-                multi_line: bool, corrupt_column: str | None, mode: str):
+                multi_line: bool, corrupt_column: str | None, mode: str,
+                check_headers: bool = False):
     reader = (spark.read.option("header", True)
               .option("timestampFormat", timestamp_format)
               .option("escape", '"')
               .option("multiLine", multi_line)
               .option("mode", mode))
     if schema is not None:
+        # With a given schema Spark would ignore every file's header and take
+        # columns by position; enforceSchema=false makes each task check the
+        # header of each file it reads against the schema (names by position),
+        # so a file with other columns fails the read instead of being misread.
+        reader = reader.option("enforceSchema", not check_headers)
         if corrupt_column:
             schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
             reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
@@ -50,7 +56,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_C
     task. A missing path raises FileNotFoundError; when ``validate_schema`` is
     set, a header that lacks a contract field raises ValueError.
     """
-    reader = _csv_reader(spark, schema, timestamp_format, multi_line, corrupt_column, mode)
+    reader = _csv_reader(spark, schema, timestamp_format, multi_line, corrupt_column, mode,
+                         check_headers=validate_schema)
     try:
         df = reader.csv(path)
     except AnalysisException as exc:
@@ -83,8 +90,15 @@ def read_csv_glob(spark: SparkSession, directory: str, pattern: str = "*.csv",
                   timestamp_format: str = TIMESTAMP_FORMAT, multi_line: bool = False,
                   validate_schema: bool = True, with_source: bool = False) -> DataFrame:
     """All files under ``directory`` (recursively) whose name matches ``pattern``,
-    read as one frame under one contract; optionally with the source file."""
-    reader = (_csv_reader(spark, schema, timestamp_format, multi_line, None, "PERMISSIVE")
+    read as one frame under one contract; optionally with the source file.
+
+    With ``validate_schema`` every file's header is checked against the
+    contract as the file is read (on the executors, no extra pass), so one
+    file with other columns fails any read of its columns (a bare row count
+    parses no columns and is unaffected).
+    """
+    reader = (_csv_reader(spark, schema, timestamp_format, multi_line, None, "PERMISSIVE",
+                          check_headers=validate_schema)
               .option("pathGlobFilter", pattern).option("recursiveFileLookup", True))
     try:
         df = reader.csv(directory)

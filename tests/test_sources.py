@@ -61,3 +61,16 @@ def test_corrupt_record_and_quoted_newline(spark, tmp_dir):
     assert rows[1]["b"] == "line one\nline two"
     assert rows[2]["b"] == 'say "hi"'
     assert rows[3]["_corrupt"] is not None
+
+
+def test_csv_glob_checks_every_header(spark, tmp_dir):
+    write_f1(os.path.join(tmp_dir, "a.csv"))
+    # Same number of columns, two of them renamed: read by position it would
+    # pass silently; the per-file header check rejects it.
+    from tests.fixtures import F1_HEADER, F1_ROWS
+    with open(os.path.join(tmp_dir, "b.csv"), "w") as fh:
+        fh.write(F1_HEADER.replace("Humidity", "Humid").replace("Summary,", "Sumary,", 1) + "\n")
+        fh.write(F1_ROWS[0] + "\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_csv_glob(spark, tmp_dir, "*.csv").collect()
+    assert read_csv_glob(spark, tmp_dir, "*.csv", validate_schema=False).count() == 3
