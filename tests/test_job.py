@@ -67,3 +67,22 @@ def test_cluster_confs_bounded_at_scale():
     assert big["spark.sql.session.timeZone"] == "UTC"
     small = cluster_confs(10 ** 9, executor_cores=4, executors=2)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_lookup_join_above_bound_uses_shuffle_join(spark):
+    from stratus.operators.joins import lookup_join
+    from stratus.plans.inspect import plan_summary
+    facts = table(spark, SF, "lineitem").select("l_partkey", "l_quantity")
+    part = table(spark, SF, "part")
+    key = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = lookup_join(facts, part, "l_partkey", "p_partkey", ["p_brand"], max_broadcast_rows=10)
+        s = plan_summary(shuffled)
+        assert s["sort_merge_joins"] == 1 and s["broadcast_joins"] == 0
+        rows = sorted(tuple(r) for r in shuffled.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", key)
+    hinted = lookup_join(facts, part, "l_partkey", "p_partkey", ["p_brand"])
+    assert plan_summary(hinted)["broadcast_joins"] == 1
+    assert rows == sorted(tuple(r) for r in hinted.collect())
