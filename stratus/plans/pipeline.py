@@ -2,8 +2,9 @@
 with quality results stored beside the output.
 
 Actions issued: the quality write of the raw input (which also counts the
-input rows), the feature write (which also counts the cleaned rows), one
-write per extra format, and the feature quality write. Every counter is an
+input rows and the failed checks), the dead-letter write under
+``on_fail="quarantine"``, the feature write (which also counts the cleaned
+rows), one write per extra format, and the feature quality write. Every counter is an
 ``Observation`` in the result stage of a write; the verification frame
 is one scan of the written files when it is read. A handful of actions where
 a count-per-check design issues about a hundred.
@@ -11,6 +12,7 @@ a count-per-check design issues about a hundred.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +23,13 @@ from stratus import sinks
 from stratus.operators.clean import clean_readings
 from stratus.operators.daily import daily_agg
 from stratus.operators.features import daily_features
-from stratus.operators.quality import QualityPlan, full_validation
+from stratus.operators.policy import QualityError
+from stratus.operators.quality import (
+    QualityPlan,
+    full_validation,
+    quarantine_rows,
+    schema_issues,
+)
 from stratus.profile import FEATURES, READINGS, Profile
 
 
@@ -32,6 +40,8 @@ class JobResult:
     verification: DataFrame
     raw_quality_path: str
     feature_quality_path: str
+    failed_checks: int = 0
+    rejected_path: str | None = None
 
 
 SUMMARY_SCHEMA = T.StructType([
@@ -44,17 +54,47 @@ SUMMARY_SCHEMA = T.StructType([
 
 def run_job(spark: SparkSession, readings: DataFrame, out_dir: str,
             profile: Profile = READINGS, as_of: str | None = None,
-            formats: tuple[str, ...] = ("parquet",)) -> JobResult:
+            formats: tuple[str, ...] = ("parquet",),
+            expected_schema: T.StructType | None = None, on_fail: str = "warn") -> JobResult:
+    """Validate the input, then clean -> daily -> features -> verified sinks.
+
+    A missing contract field or a type mismatch in ``expected_schema`` raises
+    ValueError before any job runs. A failed quality check then, by
+    ``on_fail``: ``"warn"`` warns and continues; ``"raise"`` raises
+    QualityError before the features are built; ``"quarantine"`` continues
+    and also writes the rejected rows, each with its reason, to
+    ``<out_dir>/rejected`` (dead letter).
+    """
+    if on_fail not in ("warn", "raise", "quarantine"):
+        raise ValueError(f"on_fail must be 'warn', 'raise' or 'quarantine', got {on_fail!r}")
+    if expected_schema is not None:
+        bad = [i for i in schema_issues(readings.schema, expected_schema) if i[1] != "extra"]
+        if bad:
+            raise ValueError(f"schema check failed: {bad}")
     out_dir = out_dir.rstrip("/")
     raw_quality_path = f"{out_dir}/quality/raw"
     # The input row count rides on the validation's one-row aggregate, which
     # is computed in the final stage of that write (no rebalance after it):
     # a result stage, where each task's metric update is applied once even if
-    # an executor is lost and work is re-run.
+    # an executor is lost and work is re-run. The failed-check count rides on
+    # the write's own observation.
     seen = Observation("input")
-    plan = QualityPlan(readings, profile, None, as_of)
+    plan = QualityPlan(readings, profile, expected_schema, as_of)
     wide = plan.wide().observe(seen, F.sum("total_rows").alias("rows"))
-    sinks.write_json(plan.long(wide), raw_quality_path, rebalance=False)
+    raw_quality = sinks.write_json(
+        plan.long(wide), raw_quality_path, rebalance=False,
+        metrics={"failed": F.count_if(~F.coalesce(F.col("valid"), F.lit(False)))})
+    failed = int(raw_quality.metrics["failed"] or 0)
+    if failed:
+        message = f"{failed} quality check rows failed on the input (see {raw_quality_path})"
+        if on_fail == "raise":
+            raise QualityError(message)
+        warnings.warn(message, stacklevel=2)
+
+    rejected_path = None
+    if on_fail == "quarantine":
+        rejected_path = f"{out_dir}/rejected"
+        sinks.write_parquet(quarantine_rows(readings, profile), rejected_path)
 
     features = daily_features(daily_agg(clean_readings(readings, profile), profile))
     # Every cleaned row lands in exactly one daily row (a null date is a group
@@ -74,4 +114,4 @@ def run_job(spark: SparkSession, readings: DataFrame, out_dir: str,
         [(int(seen.get["rows"] or 0), cleaned_rows, final_rows,
           "SUCCESS" if final_rows > 0 else "EMPTY")], SUMMARY_SCHEMA)
     return JobResult(outputs, summary, first.verification(spark), raw_quality_path,
-                     feature_quality_path)
+                     feature_quality_path, failed, rejected_path)

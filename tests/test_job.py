@@ -1,6 +1,8 @@
 import os
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratus import sinks
@@ -27,7 +29,9 @@ def _above_first_exchange(plan: str, node: str) -> bool:
 
 def test_run_job_summary_from_result_stages(spark, tmp_dir):
     r = readings(spark, SF)
-    job = run_job(spark, r, os.path.join(tmp_dir, "job"), as_of="2000-01-01 00:00:00")
+    with pytest.warns(UserWarning, match="quality check rows failed"):
+        job = run_job(spark, r, os.path.join(tmp_dir, "job"), as_of="2000-01-01 00:00:00")
+    assert job.failed_checks > 0 and job.rejected_path is None
     s = job.summary.collect()[0]
     features = catalog.features(spark, SF)
     assert (s.extraction_rows, s.cleaned_rows, s.final_rows, s.status) == (
@@ -86,3 +90,22 @@ def test_lookup_join_above_bound_uses_shuffle_join(spark):
     hinted = lookup_join(facts, part, "l_partkey", "p_partkey", ["p_brand"])
     assert plan_summary(hinted)["broadcast_joins"] == 1
     assert rows == sorted(tuple(r) for r in hinted.collect())
+
+
+def test_run_job_reject_policies(spark, tmp_dir):
+    from stratus.operators.policy import QualityError
+    from stratus.operators.quality import quarantine_rows
+    from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
+    r = readings(spark, SF)
+    with pytest.raises(ValueError, match="schema check failed"):
+        run_job(spark, r, os.path.join(tmp_dir, "a"), expected_schema=RAW_CONTRACT)
+    with pytest.raises(QualityError):
+        run_job(spark, r, os.path.join(tmp_dir, "b"), on_fail="raise")
+    assert not os.path.exists(os.path.join(tmp_dir, "b", "features"))
+    with pytest.warns(UserWarning):
+        job = run_job(spark, r, os.path.join(tmp_dir, "c"), expected_schema=STANDARD_CONTRACT,
+                      on_fail="quarantine")
+    rejected = spark.read.parquet(job.rejected_path)
+    assert rejected.count() == quarantine_rows(r).count()
+    s = job.summary.collect()[0]
+    assert s.cleaned_rows + rejected.count() == s.extraction_rows
