@@ -102,6 +102,9 @@ class QualityPlan:
         self.rules = [(r, name) for r, name in rules if name is not None]
         keys = key_columns if key_columns is not None else profile.duplicate_keys
         self.keys = [resolve(df, k) or k for k in keys] if keys else list(df.columns)
+        companions = [resolve(df, c) for c in profile.grouping_companions]
+        self.group_columns = [c for c in companions if c is not None and c not in self.keys]
+        self.group_columns += self.keys
         self.date_column = resolve(df, date_column or profile.date_column)
         self.checks = (("schema",) if expected_schema is not None else ()) + CHECK_ORDER[1:]
 
@@ -157,7 +160,7 @@ class QualityPlan:
                        if not m.name.startswith("sum_")]
 
     def duplicates_row(self) -> DataFrame:
-        per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
+        per_key = self.df.groupBy(*[F.col(k) for k in self.group_columns]).agg(
             F.count(F.lit(1)).alias("_m"))
         return per_key.agg(F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("dup_total"),
                            F.count(F.lit(1)).alias("dup_unique"))
@@ -171,9 +174,9 @@ class QualityPlan:
         from (key value, multiplicity), combines the rest and counts the keys.
         """
         parts = self.parts()
-        keyset = set(self.keys)
+        keyset = set(self.group_columns)
         inner = [m for m in parts if m.source is not None and m.source not in keyset]
-        per_key = self.df.groupBy(*[F.col(k) for k in self.keys]).agg(
+        per_key = self.df.groupBy(*[F.col(k) for k in self.group_columns]).agg(
             F.count(F.lit(1)).alias("_m"), *[m.aggregate().alias(m.name) for m in inner])
         zero = F.lit(0).cast("long")
         inner_names = {m.name for m in inner}

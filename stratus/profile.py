@@ -77,6 +77,11 @@ class Profile:
     # Columns whose nulls are expected (e.g. lag features) and are not checked.
     completeness_exempt: tuple[str, ...] = ()
     duplicate_keys: tuple[str, ...] | None = None
+    # Columns determined by the duplicate key (e.g. year and month of a date
+    # key). They are grouped with the key, which forms the same groups, so a
+    # frame already partitioned by them (a month-scoped window's output) is
+    # aggregated without a new exchange.
+    grouping_companions: tuple[str, ...] = ()
     timestamp_format: str = TIMESTAMP_FORMAT
     rename_map: dict = field(default_factory=lambda: dict(RENAME_MAP))
 
@@ -110,4 +115,5 @@ FEATURES = Profile(
     ),
     completeness_exempt=("std_tempC", "temp_7d_std", "temp_change_1d", "temp_change_7d"),
     duplicate_keys=("date",),
+    grouping_companions=("year", "month"),
 )

@@ -44,3 +44,12 @@ def test_full_validation_single_plan(spark):
     text = plan_text(df)
     # One duplicate shuffle on the row, the rest are one-row gathers.
     assert len(re.findall(r"Arguments: hashpartitioning", text)) == 1
+
+
+def test_feature_validation_reuses_window_partitioning(spark):
+    text = plan_text(catalog.QUERIES["feature_validation"](spark, SF))
+    # dedup (row), daily (date), window (year, month); the per-date duplicate
+    # group-by runs on the window's partitioning, no exchange of its own.
+    hashed = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
+    assert len(hashed) == 3
+    assert plan_summary(catalog.QUERIES["feature_validation"](spark, SF))["exchanges"] == 4
