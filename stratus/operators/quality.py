@@ -102,7 +102,10 @@ class QualityPlan:
         self.rules = [(r, name) for r, name in rules if name is not None]
         keys = key_columns if key_columns is not None else profile.duplicate_keys
         self.keys = [resolve(df, k) or k for k in keys] if keys else list(df.columns)
-        companions = [resolve(df, c) for c in profile.grouping_companions]
+        # Companions are determined by the profile's own key only; with keys
+        # given by the caller they could split groups, so they are not added.
+        companions = ([resolve(df, c) for c in profile.grouping_companions]
+                      if key_columns is None else [])
         self.group_columns = [c for c in companions if c is not None and c not in self.keys]
         self.group_columns += self.keys
         self.date_column = resolve(df, date_column or profile.date_column)

@@ -152,3 +152,13 @@ def test_whole_row_shuffle_carries_only_a_count(spark):
              if re.match(r"\(\d+\) HashAggregate", sec) and "Keys [8]" in sec]
     assert len(keyed) == 2
     assert all(re.search(r"Functions \[1\]: \[(partial_)?count\(1\)\]", sec) for sec in keyed)
+
+
+def test_grouping_companions_only_with_profile_key(spark):
+    from stratus.profile import FEATURES
+    rows = [(dt.date(2020, 1, 1), 2020, 1, "Winter"), (dt.date(2021, 1, 1), 2021, 1, "Winter")]
+    df = spark.createDataFrame(rows, "date date, year int, month int, season string")
+    by_season = quality.duplicates(df, ["season"], FEATURES).collect()[0]
+    assert (by_season.unique_rows, by_season.duplicate_count) == (1, 1)
+    plan = quality.QualityPlan(df, FEATURES)
+    assert plan.group_columns == ["year", "month", "date"]
