@@ -9,6 +9,7 @@ other months' files are left as they are.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -67,25 +68,39 @@ def incremental_run(spark: SparkSession, readings: DataFrame, cutoff: str, path:
     return spark.read.parquet(path)
 
 
+@dataclass(frozen=True)
+class StoredBatch:
+    """What ``store_batch`` wrote: its row count and the (year, month) pairs
+    it touched (a set bounded by the calendar the batch spans)."""
+
+    rows: int
+    months: tuple[tuple[int, int], ...]
+
+
 def store_batch(batch: DataFrame, store_path: str, batch_id: int,
-                profile: Profile = READINGS) -> int:
-    """Add a batch of readings to a store laid out by reading month; returns
-    the number of rows stored.
+                profile: Profile = READINGS) -> StoredBatch:
+    """Add a batch of readings to a store laid out by reading month.
 
     The batch goes to its own folder ``batch_id=<n>`` (plain overwrite, so a
     batch replayed after a failure rewrites exactly that folder), split there
     into (reading_year, reading_month) directories. The rebalance hint
     clusters each month's rows into few files, and AQE splits a month that
-    holds a large share of the batch over several tasks.
+    holds a large share of the batch over several tasks. The row count and
+    the touched months are observed on the write itself (its result stage),
+    so no further job is needed to find them.
     """
     day = date_of(batch, profile.date_column)
     keyed = (batch.withColumns({"reading_year": F.year(day), "reading_month": F.month(day)})
              .hint("rebalance", "reading_year", "reading_month"))
     stored = Observation(f"store-{batch_id}")
-    (keyed.observe(stored, F.count(F.lit(1)).alias("rows"))
+    month = F.when(F.col("reading_year").isNotNull(),
+                   F.struct(F.col("reading_year").alias("y"), F.col("reading_month").alias("m")))
+    (keyed.observe(stored, F.count(F.lit(1)).alias("rows"), F.collect_set(month).alias("months"))
      .write.mode("overwrite").partitionBy("reading_year", "reading_month")
      .parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
-    return int(stored.get["rows"])
+    got = stored.get
+    months = tuple(sorted((int(r["y"]), int(r["m"])) for r in (got["months"] or [])))
+    return StoredBatch(int(got["rows"]), months)
 
 
 def _month_filter(months: list[tuple[int, int]]) -> Column:
@@ -98,24 +113,32 @@ def _month_filter(months: list[tuple[int, int]]) -> Column:
 
 
 def apply_stored_batch(spark: SparkSession, store_path: str, batch_id: int, path: str,
-                       profile: Profile = READINGS) -> sinks.WriteResult | None:
+                       profile: Profile = READINGS,
+                       touched: tuple[tuple[int, int], ...] | None = None
+                       ) -> sinks.WriteResult | None:
     """Recompute the months that stored batch ``batch_id`` touches, reading
     only those months of the store, and overwrite them at ``path``.
 
-    The touched months are a distinct set bounded by the calendar (at most
-    twelve per year the batch spans); they become a partition filter, so the
-    scan lists and reads only the affected month directories.
+    The touched months (``StoredBatch.months``, or read from the batch's
+    folder when not given) are a distinct set bounded by the calendar (at
+    most twelve per year the batch spans); they become a partition filter,
+    so the scan lists and reads only the affected month directories.
     """
-    store = spark.read.parquet(store_path)
-    months = (spark.read.parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}")
-              .where(F.col("reading_year").isNotNull())
-              .select("reading_year", "reading_month").distinct())
-    touched = [(r[0], r[1]) for r in months.limit(MAX_PRUNED_MONTHS + 1).collect()]
+    def batch_months() -> DataFrame:
+        return (spark.read.parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}")
+                .where(F.col("reading_year").isNotNull())
+                .select("reading_year", "reading_month").distinct())
+
+    if touched is None:
+        touched = tuple((r[0], r[1]) for r in
+                        batch_months().limit(MAX_PRUNED_MONTHS + 1).collect())
     if not touched:
         return None
+    store = spark.read.parquet(store_path)
     if len(touched) <= MAX_PRUNED_MONTHS:
         affected = store.where(_month_filter(touched))
     else:
-        affected = store.join(F.broadcast(months), ["reading_year", "reading_month"], "left_semi")
+        affected = store.join(F.broadcast(batch_months()), ["reading_year", "reading_month"],
+                              "left_semi")
     readings = affected.drop(*STORE_PARTITIONS)
     return write_feature_table(readings, path, profile, dynamic=True)

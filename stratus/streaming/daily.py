@@ -89,8 +89,10 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
     readings = _source(spark, directory, pattern, schema, max_files_per_trigger)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if incremental.store_batch(batch, store_path, batch_id, prof):
-            incremental.apply_stored_batch(spark, store_path, batch_id, features_path, prof)
+        stored = incremental.store_batch(batch, store_path, batch_id, prof)
+        if stored.rows:
+            incremental.apply_stored_batch(spark, store_path, batch_id, features_path, prof,
+                                           touched=stored.months)
 
     query = (readings.writeStream.foreachBatch(upsert)
              .option("checkpointLocation", checkpoint)

@@ -39,8 +39,12 @@ def test_stored_batch_replay_is_idempotent(spark, tmp_dir):
     store, out = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "features")
     first = r.where(F.col("formatted_date") < F.lit("1996-01-01").cast("timestamp_ntz"))
     empty = r.where(F.lit(False))
-    assert incremental.store_batch(empty, store, 7) == 0  # nothing to recompute
-    assert incremental.store_batch(first, store, 0) == first.count()
+    assert incremental.store_batch(empty, store, 7) == incremental.StoredBatch(0, ())
+    stored = incremental.store_batch(first, store, 0)
+    assert stored.rows == first.count()
+    assert stored.months == tuple(sorted(
+        (r[0], r[1]) for r in first.select(F.year("formatted_date"), F.month("formatted_date"))
+        .distinct().collect()))
     incremental.apply_stored_batch(spark, store, 0, out)
     before = sorted(tuple(x) for x in spark.read.parquet(out).collect())
     incremental.store_batch(first, store, 0)  # the same batch again, as after a failure
