@@ -69,16 +69,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` as set on the session (the
-    cluster names a shared filesystem there). Only when nothing is set, as in a
-    bare local test session, a local folder is created and registered.
+    cluster names a shared filesystem there), else from the context's own
+    checkpoint folder. A session that names neither gets a local folder only
+    when it runs in local mode, where driver and executors are one process; on
+    a cluster that would be a machine-local folder, so it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="stratus-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return os.path.join(base.rstrip("/"), "stratus", f"{name}-{uuid.uuid4().hex[:12]}")

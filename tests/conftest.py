@@ -14,11 +14,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(master="local[*]", shuffle_partitions=8)
-    # Shared folder for sinks: only set when the session has none (as here
-    # in a bare local run); a cluster names its own.
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stratus-test-"))
+    # Shared folder for sinks: a cluster names its own; here it is a local one.
+    session = build_session(master="local[*]", shuffle_partitions=8, extra={
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stratus-test-")})
     yield session
 
 
