@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import mixing
+from stratus.llm import decontamination, mixing
 from stratus.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_decontaminate", decontamination.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("n_words").cast("long").alias("n_words"),
+                        F.col("n_hit").cast("long").alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 @register("op7_mix_sources")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
