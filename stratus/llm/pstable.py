@@ -62,7 +62,7 @@ def _hasher(seed, tables, projections, width):
 
 def _compare(min_cosine: float):
     """Links between the classes of two blocks of a bucket, counted where a pair first meets."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         t, same = int(pdf["t"].iloc[0]), bool(pdf["lo"].iloc[0] == pdf["hi"].iloc[0])
         a = pdf if same else pdf[pdf["side"] == 0]
         b = pdf if same else pdf[pdf["side"] == 1]
@@ -129,10 +129,12 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
     rows = stage(rows.withColumn("sound", sound)
                  .withColumn("v", F.when(F.col("sound"), F.transform("v", lambda x: x + F.lit(0.0)))), "vectors")
     members = rows.where("sound")
-    classes = stage(members.groupBy("label", "v").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("n")),
+    classes = stage(members.groupBy("label", "v").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                    .withColumn("class", F.xxhash64("label", "v")),
                     "vector-classes")
-    keyed = stage(classes.mapInPandas(_hasher(seed, tables, projections, width),
-                                      "label string, v array<double>, class long, n long, keys array<long>"),
+    keyed = stage(classes.select("label", "v", "class", "n").mapInPandas(
+        _hasher(seed, tables, projections, width),
+        "label string, v array<double>, class long, n long, keys array<long>"),
                   "vector-keys")
     buckets = stage(keyed.select("label", "class", F.size("v").alias("dim"), F.posexplode("keys").alias("t", "key")),
                     "vector-buckets")
@@ -151,10 +153,13 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
     found = stage(found, "vector-links")
     links = found.where("other < 0").groupBy("class").agg(F.sum("links").alias("links"))
     component = connected_components(found.where("other >= 0").select(F.col("class").alias("a"), F.col("other").alias("b")))
-    by_class = (classes.join(links, "class", "left").join(component, classes["class"] == component["node"], "left")
-                .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                        F.coalesce("component", "class").alias("component_id")))
-    by_class = stage(by_class, "vector-result").withColumnsRenamed({"label": "l", "v": "w"})
+    by_class = stage(classes.join(links, "class", "left")
+                     .join(component, classes["class"] == component["node"], "left")
+                     .select("label", "v", "first", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+                             F.coalesce("component", "class").alias("root")), "vector-roots")
+    least = stage(by_class.groupBy("root").agg(F.min("first").alias("component_id")), "vector-least")
+    by_class = stage(by_class.join(least, "root").select("label", "v", "n_links", "component_id"),
+                     "vector-result").withColumnsRenamed({"label": "l", "v": "w"})
     return (rows.join(by_class, (rows["label"] == by_class["l"]) & (rows["v"] == by_class["w"]) & rows["sound"], "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", "vec_id").alias("component_id"))
@@ -164,8 +169,8 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
 ORACLE = """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (SELECT a.r AS a, b.r AS b, a.vec_id AS ia, b.vec_id AS ib FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r
     AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach(x, y) AS (SELECT DISTINCT ia, ib FROM p UNION SELECT reach.x, p.ib FROM reach JOIN p ON reach.y = p.ia),

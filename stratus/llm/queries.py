@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import decontamination, mixing
+from stratus.llm import decontamination, mixing, pstable
 from stratus.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         F.col("id_text").cast("long").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@register("op10_embedding_near_dedup", pstable.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.link(table(spark, sf_dir, "embeddings"))
