@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import decontamination, mixing, pstable
+import public_tokenizers
+
+from stratus.llm import decontamination, language_id, mixing, pstable, token_output
 from stratus.llm.common import table
+from stratus.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,12 +39,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@register("op3_token_output")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-output")
+    token_output.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read(spark, path)
+
+
 @register("op7_mix_sources")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         F.col("id_text").cast("long").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@register("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op10_embedding_near_dedup", pstable.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.link(table(spark, sf_dir, "embeddings"))
