@@ -46,6 +46,16 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few columns that may be broadcast: tens of MB.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A staged table marked for broadcast if it is within MAX_BROADCAST_ROWS;
+    beyond that the join is left to the planner, which shuffles both sides."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Texts of ASCII alone take the faster ``lower``."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratus.llm import decontamination, language_id, mixing, pstable, token_output
+from stratus.llm import decontamination, language_id, lsh_forest, mixing, pstable, token_output
 from stratus.llm.common import table
 from stratus.session import shared_dir
 
@@ -46,6 +46,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path)
 
 
+@register("op6_minhash_near_dedup", lsh_forest.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.link(table(spark, sf_dir, "documents"), shingle=4).drop("text_hash")
+
+
 @register("op7_mix_sources")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(

@@ -37,7 +37,7 @@ BLOCK_TOKENS = 65_536
 CACHED_CHUNKS = 300_000
 
 # Unicode white space (fixed values).
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _WORD = re.compile(f" ?[{_LETTERS}]+")
