@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratus.llm import decontamination, language_id, lsh_forest, mixing, pstable, token_output
+from stratus.llm import decontamination, language_id, lsh_forest, mixing, pii, pstable, token_output
 from stratus.llm.common import table
 from stratus.session import shared_dir
 
@@ -39,6 +39,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@register("op2_personal_data")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def joined(column: str):
+        return F.array_join(F.transform(column, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def n(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[n(k) for k in pii.KINDS], F.sha2(joined("base"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
+
+
 @register("op3_token_output")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-output")
