@@ -23,7 +23,7 @@ WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Bound of the training sample: labelled documents per language (about), windows of each.
 DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 600, 3
 EPOCHS, BATCH = 6, 64
-MIN_SCORE = 0.4
+MIN_SCORE = 0.3
 UNKNOWN = "und"
 HELD_OUT = 2
 
@@ -168,7 +168,7 @@ def predictor(net: ByteNet | None):
                 for i, b, s in zip(block, best, p):
                     lang[i], score[i] = net.languages[b], s
             yield pd.DataFrame({"lang": lang, "score": score})
-    return F.pandas_udf(run, "lang string, score double", F.PandasUDFType.SCALAR_ITER)
+    return F.pandas_udf(run, "lang string, score double")
 
 
 def _blocks(rows: list[int], texts: pd.Series, chars: int = 2_000_000):

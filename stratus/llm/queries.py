@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratus.llm import decontamination, language_id, lsh_forest, mixing, pii, pstable, token_output
+from stratus.llm import decontamination, language_id, licenses, line_dedup, lsh_forest, mixing, pii, pstable, token_output
 from stratus.llm.common import table
 from stratus.session import shared_dir
 
@@ -59,6 +59,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path)
 
 
+@register("op5_license_scan", licenses.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn(
+        "line_licenses", F.array_join("line_licenses", ","))
+
+
 @register("op6_minhash_near_dedup", lsh_forest.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.link(table(spark, sf_dir, "documents"), shingle=4).drop("text_hash")
@@ -75,6 +81,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@register("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_units", "n_removed", "words_removed", F.array_join(
+        F.transform("removed", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("removed"))
+
+
 @register("op10_embedding_near_dedup", pstable.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.link(table(spark, sf_dir, "embeddings"))
