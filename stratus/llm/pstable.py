@@ -15,6 +15,8 @@ tables with probability 1.4e-7; above the threshold the odds only fall.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -34,7 +36,8 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def _keys(dim: int, seed: int, tables: int, projections: int, width: float):
-    """Function from unit vectors to (n, tables) int64 bucket keys."""
+    """Function from unit vectors to (n, tables) bucket keys of 32 bits. (Cells
+    that share a key by chance are one bucket more to compare, nothing else.)"""
     rng = np.random.default_rng([seed, dim])
     directions = rng.standard_normal((dim, tables * projections))
     offsets = rng.uniform(0, width, tables * projections)
@@ -43,7 +46,7 @@ def _keys(dim: int, seed: int, tables: int, projections: int, width: float):
     def keys(unit):
         cells = np.floor((unit @ directions + offsets) / width).astype(np.int64)
         with np.errstate(over="ignore"):
-            return (cells.reshape(len(unit), tables, projections) * mix).sum(axis=2)
+            return ((cells.reshape(len(unit), tables, projections) * mix).sum(axis=2) >> 32).astype(np.int32)
     return keys
 
 
@@ -55,55 +58,72 @@ def _hasher(seed, tables, projections, width):
             for dim, part in pdf.groupby("dim"):
                 if dim not in made:
                     made[dim] = _keys(dim, seed, tables, projections, width)
-                keys = made[dim](_unit(np.vstack(part["v"].to_numpy())))
+                keys = made[dim](_unit(np.vstack(part["v"].to_numpy()).astype(np.float64)))
                 yield part.drop(columns="dim").assign(keys=list(keys))
     return run
 
 
+def _linked(part: pd.DataFrame, starts: np.ndarray, min_cosine: float) -> pd.DataFrame:
+    """Links within the groups of ``part`` (rows of one dimension), counted where a pair first meets."""
+    v = np.vstack(part["v"].to_numpy()).astype(np.float64)
+    unit, keys = _unit(v), np.vstack(part["keys"].to_numpy())
+    side, whole = part["side"].to_numpy(), (part["lo"] == part["hi"]).to_numpy()
+    first, second = [], []
+    for a, b in zip(starts, [*starts[1:], len(part)]):
+        i = np.arange(a, b)
+        left, right = (i, i) if whole[a] else (i[side[a:b] == 0], i[side[a:b] == 1])
+        near = unit[left] @ unit[right].T >= min_cosine - 1e-9
+        x, y = np.nonzero(np.triu(near, 1) if whole[a] else near)
+        first.append(left[x])
+        second.append(right[y])
+    i, j = np.concatenate(first), np.concatenate(second)
+    # the exact cosine of the few that are left, in the first table that has both
+    norm = np.sqrt((v * v).sum(axis=1))
+    cosine = (v[i] * v[j]).sum(axis=1) / (norm[i] * norm[j])
+    keep = (cosine >= min_cosine) & ((keys[i] == keys[j]).argmax(axis=1) == part["t"].to_numpy()[i])
+    i, j = i[keep], j[keep]
+    ids, n = part["class"].to_numpy(), part["n"].to_numpy()
+    ends, counts = np.concatenate([ids[i], ids[j]]), np.concatenate([n[j], n[i]])
+    seen, at = np.unique(ends, return_inverse=True)
+    rows = [(int(x), int(c), False, 0) for x, c in zip(seen, np.bincount(at, counts, len(seen)))]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    for x, y in zip(ids[i].tolist(), ids[j].tolist()):
+        rx, ry = find(x), find(y)
+        if rx != ry:  # a spanning forest of these links is enough for components
+            root[max(rx, ry)] = min(rx, ry)
+            rows.append((x, 0, True, y))
+    return pd.DataFrame(rows, columns=["class", "links", "edge", "other"])
+
+
+_GROUP = ["dim", "label", "t", "key", "lo", "hi"]
+
+
 def _compare(min_cosine: float):
-    """Links between the classes of two blocks of a bucket, counted where a pair first meets."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, same = int(pdf["t"].iloc[0]), bool(pdf["lo"].iloc[0] == pdf["hi"].iloc[0])
-        a = pdf if same else pdf[pdf["side"] == 0]
-        b = pdf if same else pdf[pdf["side"] == 1]
-        out = pd.DataFrame({"class": [], "links": [], "other": []}).astype(
-            {"class": "int64", "links": "int64", "other": "int64"})
-        if a.empty or b.empty:
-            return out
-        va, vb = (_unit(np.vstack(x["v"].to_numpy())) for x in (a, b))
-        linked = va @ vb.T >= min_cosine - 1e-9
-        i, j = np.nonzero(np.triu(linked, 1) if same else linked)
-        if not len(i):
-            return out
-        # the exact cosine of the few that are left
-        xa, xb = np.vstack(a["v"].to_numpy())[i], np.vstack(b["v"].to_numpy())[j]
-        cosine = (xa * xb).sum(axis=1) / (np.sqrt((xa * xa).sum(axis=1)) * np.sqrt((xb * xb).sum(axis=1)))
-        ka, kb = np.vstack(a["keys"].to_numpy())[i], np.vstack(b["keys"].to_numpy())[j]
-        first = (ka == kb).argmax(axis=1) == t
-        keep = (cosine >= min_cosine) & first
-        i, j = i[keep], j[keep]
-        ids_a, ids_b = a["class"].to_numpy(), b["class"].to_numpy()
-        n_a, n_b = a["n"].to_numpy(), b["n"].to_numpy()
-        counts: dict[int, int] = {}
-        root: dict[int, int] = {}
-
-        def find(x):
-            while root.get(x, x) != x:
-                root[x] = root.get(root[x], root[x])
-                x = root[x]
-            return x
-
-        edges = []
-        for p, q in zip(i, j):
-            x, y = int(ids_a[p]), int(ids_b[q])
-            counts[x] = counts.get(x, 0) + int(n_b[q])
-            counts[y] = counts.get(y, 0) + int(n_a[p])
-            rx, ry = find(x), find(y)
-            if rx != ry:  # a spanning forest of the group's links is enough for components
-                root[max(rx, ry)] = min(rx, ry)
-                edges.append((x, y))
-        rows = [(x, n, -1) for x, n in counts.items()] + [(x, 0, y) for x, y in edges]
-        return pd.DataFrame(rows, columns=["class", "links", "other"]).astype("int64")
+    """Over rows sorted by group: what :func:`_linked` finds. Holds a batch and one group."""
+    def done(pdf: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        for dim in pdf["dim"].unique():
+            rows = np.flatnonzero((pdf["dim"] == dim).to_numpy())
+            own = starts[(starts >= rows[0]) & (starts <= rows[-1])] - rows[0]
+            yield _linked(pdf.iloc[rows], own, min_cosine)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            change = (held[_GROUP] != held[_GROUP].shift()).any(axis=1).to_numpy()
+            starts = np.flatnonzero(change)
+            if len(starts) > 1:
+                yield from done(held.iloc[:starts[-1]], starts[:-1])
+                held = held.iloc[starts[-1]:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield from done(held, np.array([0]))
     return run
 
 
@@ -119,7 +139,9 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
     their own. A null id gets a null component.
     """
     require(vectors, id_column, vector_column, label_column)
-    v = F.col(vector_column).cast("array<double>")
+    # Single-precision vectors stay so on disk and in shuffles; all arithmetic is in double precision.
+    kind = "array<float>" if dict(vectors.dtypes)[vector_column] == "array<float>" else "array<double>"
+    v = F.col(vector_column).cast(kind)
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
                           F.col(label_column).cast("string").alias("label"), v.alias("v"))
     sound = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("v") > 0)
@@ -127,14 +149,14 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
                        & F.exists("v", lambda x: x != 0.0), F.lit(False))
     # -0.0 becomes 0.0, so that equal vectors are equal keys.
     rows = stage(rows.withColumn("sound", sound)
-                 .withColumn("v", F.when(F.col("sound"), F.transform("v", lambda x: x + F.lit(0.0)))), "vectors")
+                 .withColumn("v", F.when(F.col("sound"), F.transform("v", lambda x: x + F.lit(0.0).cast("float" if kind == "array<float>" else "double")))), "vectors")
     members = rows.where("sound")
     classes = stage(members.groupBy("label", "v").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
                     .withColumn("class", F.xxhash64("label", "v")),
                     "vector-classes")
     keyed = stage(classes.select("label", "v", "class", "n").mapInPandas(
         _hasher(seed, tables, projections, width),
-        "label string, v array<double>, class long, n long, keys array<long>"),
+        f"label string, v {kind}, class long, n long, keys array<int>"),
                   "vector-keys")
     buckets = stage(keyed.select("label", "class", F.size("v").alias("dim"), F.posexplode("keys").alias("t", "key")),
                     "vector-buckets")
@@ -147,12 +169,11 @@ def link(vectors: DataFrame, *, id_column: str = "vec_id", vector_column: str =
     met = met.withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
         "t", "key", "label", "dim", "class", F.least("own", "with").alias("lo"),
         F.greatest("own", "with").alias("hi"), (F.col("own") > F.col("with")).cast("int").alias("side"))
-    group = ["label", "dim", "t", "key", "lo", "hi"]
-    found = met.join(keyed.select("class", "v", "n", "keys"), "class").groupBy(*group).applyInPandas(
-        _compare(min_cosine), "class long, links long, other long")
+    met = met.join(keyed.select("class", "v", "n", "keys"), "class").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    found = met.mapInPandas(_compare(min_cosine), "class long, links long, edge boolean, other long")
     found = stage(found, "vector-links")
-    links = found.where("other < 0").groupBy("class").agg(F.sum("links").alias("links"))
-    component = connected_components(found.where("other >= 0").select(F.col("class").alias("a"), F.col("other").alias("b")))
+    links = found.where("not edge").groupBy("class").agg(F.sum("links").alias("links"))
+    component = connected_components(found.where("edge").select(F.col("class").alias("a"), F.col("other").alias("b")))
     by_class = stage(classes.join(links, "class", "left")
                      .join(component, classes["class"] == component["node"], "left")
                      .select("label", "v", "first", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
