@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratus.llm import decontamination, language_id, licenses, line_dedup, lsh_forest, mixing, pii, pstable, token_output
+from stratus.llm import decontamination, language_id, licenses, line_dedup, lsh_forest, mixing, pii, pstable, token_output, url_filter
 from stratus.llm.common import table
 from stratus.session import shared_dir
 
@@ -59,6 +59,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path)
 
 
+@register("op4_url_filter")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).withColumns({
+        "host_words": F.array_join("host_words", " "), "score": F.round("score", 6)})
+
+
 @register("op5_license_scan", licenses.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).withColumn(
