@@ -10,7 +10,8 @@ connected:
 1. every class with the neighbour of longest common prefix over all trees (the
    depth adapts to how dense the region is);
 2. all neighbours in any tree;
-3. what is left of each region: all pairs between its components.
+3. what is left of each region: the pairs between its components, compared in
+   blocks; only as many links are written as join components.
 
 So every pair that shares a region is confirmed, or already connected. A pair
 of similarity 0.8 shares a region in one tree with probability 0.41 and in none
@@ -37,7 +38,7 @@ MIN_AGREE = 77
 SHINGLE, MIN_PERCENT = 5, 80
 CHUNK_BYTES = 2_000_000
 #: Classes of one component that meet another's in one group.
-BLOCK = 1024
+BLOCK = 512
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -183,20 +184,60 @@ def _confirm(min_percent: int):
     return run
 
 
-def _across(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in a group whose signatures agree enough."""
-    sig, node = np.vstack(pdf["sig"].to_numpy()), pdf["node"].to_numpy()
-    comp, side = pdf["comp"].to_numpy(), pdf["side"].to_numpy()
-    out = []
-    for i in np.flatnonzero(side == 0):
-        # the other side; within one block, each pair once
-        j = np.flatnonzero((side == 1) & (comp != comp[i])) if (side == 1).any() else (
-            i + 1 + np.flatnonzero(comp[i + 1:] != comp[i]))
-        if len(j):
-            j = j[(sig[j] == sig[i]).sum(axis=1) >= MIN_AGREE]
-            out.append(np.column_stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-    pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-    return pd.DataFrame(pairs, columns=["a", "b"])
+_GROUP = ["t", "key", "left", "right"]
+
+
+def _met(min_percent: int | None):
+    """Over rows sorted by group: links between the components of each group.
+
+    Two classes of different components whose signatures agree enough are
+    alike; with ``min_percent`` they must also link on their full sets. Of
+    these, as many are given out, as (a, b) of components, as join what the
+    group holds: never more than it has components. Holds a batch and one group.
+    """
+    def linked(i: int, j: int, items) -> bool:
+        if min_percent is None:
+            return True
+        x, y = (np.frombuffer(items[k], dtype=np.uint64) for k in (i, j))
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= min_percent * (len(x) + len(y) - both)
+
+    def joined(held: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        sig, comp, side = np.vstack(held["sig"].to_numpy()), held["comp"].to_numpy(), held["side"].to_numpy()
+        items = held["items"].to_numpy() if min_percent is not None else None
+        out = []
+        for a, b in zip(starts, [*starts[1:], len(held)]):
+            root, right = {}, np.arange(a, b)[side[a:b] == 1]
+
+            def find(x):
+                while root.get(x, x) != x:
+                    root[x] = root.get(root[x], root[x])
+                    x = root[x]
+                return x
+            for i in range(a, b):
+                if side[i] == 1:
+                    continue
+                # the other side; within one block, each pair once
+                j = right if len(right) else np.arange(i + 1, b)
+                j = j[comp[j] != comp[i]]
+                for k in j[(sig[j] == sig[i]).sum(axis=1) >= MIN_AGREE] if len(j) else ():
+                    one, two = find(int(comp[i])), find(int(comp[k]))
+                    if one != two and linked(i, k, items):
+                        root[max(one, two)] = min(one, two)
+                        out.append((int(comp[i]), int(comp[k])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            starts = np.flatnonzero((held[_GROUP] != held[_GROUP].shift()).any(axis=1).to_numpy())
+            if len(starts) > 1:
+                yield joined(held.iloc[:starts[-1]], starts[:-1])
+                held = held.iloc[starts[-1]:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield joined(held, np.array([0]))
+    return run
 
 
 def _region_groups(members: DataFrame) -> DataFrame:
@@ -266,10 +307,11 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         agree = F.size(F.filter(F.zip_with("x", "y", lambda x, y: x == y), lambda e: e))
         return with_both(pairs, classes, "sig").where(agree >= MIN_AGREE).select("a", "b")
 
+    # A row with a repeated id and text has its set twice; one is enough.
+    one_set = sets.dropDuplicates(["node"]) if sets.count() > wanted.count() else sets
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs, "forest-pairs")
-        # A row with a repeated id and text has its set twice; one is enough.
-        return stage(with_both(pairs, sets.dropDuplicates(["node"]) if repeated else sets, "items")
+        return stage(with_both(stage(pairs, "forest-pairs"), one_set, "items")
                      .mapInPandas(_confirm(min_percent), "a long, b long"), "forest-links")
 
     def component(nodes: DataFrame, found: DataFrame, column: str, name: str) -> DataFrame:
@@ -277,7 +319,6 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         return nodes.join(c, F.col(column) == F.col("__n"), "left").withColumn(
             name, F.coalesce("__c", column)).drop("__n", "__c")
 
-    repeated = sets.count() > wanted.count()
     near = busy.where("lcp > 0 and prev <> node")
     # 1. the neighbour of longest common prefix
     ways = near.select("node", F.col("prev").alias("other"), "lcp").unionByName(
@@ -291,11 +332,20 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     open_ = component(component(pairs, found, "a", "ca"), found, "b", "cb").where("ca <> cb").select("a", "b")
     links = links.unionByName(confirmed(alike(stage(open_, "forest-open"))))
     found = stage(connected_components(links), "forest-components")
-    # 3. regions that still hold several components
+    # 3. regions that still hold several components: which of these are alike
+    # anywhere (a spanning forest of that), then the members of each such
+    # cluster against each other on their sets
+    def in_groups(groups: DataFrame, min_percent: int | None) -> DataFrame:
+        dealt = groups.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+        return stage(dealt.mapInPandas(_met(min_percent), "a long, b long").distinct(), "forest-met")
+
     members = stage(component(busy.select("t", "key", "node").distinct(), found, "node", "comp"), "forest-members")
-    groups = _region_groups(members).join(classes.select("node", "sig"), "node")
-    pairs = groups.groupBy("t", "key", "left", "right").applyInPandas(_across, "a long, b long").distinct()
-    links = links.unionByName(confirmed(pairs))
+    near_comps = in_groups(_region_groups(members).join(classes.select("node", "sig"), "node"), None)
+    clusters = stage(connected_components(near_comps), "forest-clusters")
+    clusters = clusters.select(F.col("node").alias("comp"), F.lit(0).alias("t"), F.col("component").alias("key"))
+    members = stage(members.select("node", "comp").distinct().join(clusters, "comp"), "forest-cluster-members")
+    groups = _region_groups(members).join(classes.select("node", "sig"), "node").join(one_set, "node")
+    links = links.unionByName(in_groups(groups, min_percent))  # components are named by a member
     found = connected_components(links)
 
     roots = stage(component(classes.select("node", "doc_id"), found, "node", "root"), "forest-roots")
