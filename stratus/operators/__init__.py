@@ -1,4 +1,5 @@
-"""DataFrame -> DataFrame operators. None of them triggers an action."""
+"""DataFrame -> DataFrame operators. None of them triggers an action
+(``policy.apply_policy`` runs one validation query unless it quarantines)."""
 
 from stratus.operators.clean import (
     clean_readings,
@@ -6,6 +7,7 @@ from stratus.operators.clean import (
     drop_critical_nulls,
     filter_invalid,
     invalid_condition,
+    staged_rows,
     standardize_columns,
 )
 from stratus.operators.daily import daily_agg
@@ -17,5 +19,5 @@ from stratus.operators.features import (
 )
 
 __all__ = ["clean_readings", "dedup_exact", "drop_critical_nulls", "filter_invalid",
-           "invalid_condition", "standardize_columns", "daily_agg", "calendar_features",
+           "invalid_condition", "staged_rows", "standardize_columns", "daily_agg", "calendar_features",
            "daily_features", "lag_features", "rolling_features"]

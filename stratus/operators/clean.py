@@ -31,6 +31,12 @@ def dedup_exact(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()
 
 
+def staged_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows with ``copies``, the number of times each stands in ``df``:
+    one whole-row shuffle from which counts, rejects and cleaned rows follow."""
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def _present(df: DataFrame, names) -> list[str]:
     return [c for c in (resolve(df, n) for n in names) if c is not None]
 

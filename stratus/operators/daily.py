@@ -10,23 +10,27 @@ from stratus.functions.exprs import resolve
 from stratus.profile import DAILY_METRICS, READINGS, Profile
 
 
-def date_of(df: DataFrame, column: str):
+def date_of(df: DataFrame, column: str, zone: str | None = None):
     """Calendar day of a timestamp/date/string column.
 
-    timestamp_ntz and date are zone-free; a zoned timestamp takes the session
-    zone (pinned to UTC by the session helpers); text goes through try_to_date
-    so a bad value yields null instead of an ANSI error.
+    timestamp_ntz and date are zone-free. An instant (timestamp) has its day in
+    ``zone``, or in the session zone where none is given; text goes through
+    try_to_date so a bad value yields null instead of an ANSI error.
     """
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.StringType):
         return F.try_to_date(F.col(column))
+    if zone is not None and isinstance(dtype, T.TimestampType):
+        # The cast drops the session zone that it also adds; from there to the zone asked for.
+        return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(zone),
+                                            F.col(column).cast("timestamp_ntz")))
     return F.to_date(F.col(column))
 
 
 def daily_agg(df: DataFrame, profile: Profile = READINGS,
               temperature_column: str | None = None, date_column: str | None = None,
-              series_keys: tuple[str, ...] = ()) -> DataFrame:
-    """One row per day (per series key, if given).
+              series_keys: tuple[str, ...] = (), zone: str | None = None) -> DataFrame:
+    """One row per day (per series key, if given); days of instants in ``zone``.
 
     Output: [series keys], date, n_rows, unique_days, avg/max/min/std_tempC,
     then avg_<metric> for each metric present. ``unique_days`` is 1 for a real
@@ -47,7 +51,7 @@ def daily_agg(df: DataFrame, profile: Profile = READINGS,
         if name is not None:
             exprs.append(F.avg(F.col(name)).alias(alias))
     keys = [F.col(k) for k in series_keys]
-    grouped = df.groupBy(*keys, date_of(df, date_col).alias("date")).agg(*exprs)
+    grouped = df.groupBy(*keys, date_of(df, date_col, zone).alias("date")).agg(*exprs)
     unique_days = F.when(F.col("date").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long")
     rest = [c for c in grouped.columns if c not in (*series_keys, "date", "n_rows")]
     return grouped.select(*series_keys, "date", "n_rows", unique_days.alias("unique_days"), *rest)

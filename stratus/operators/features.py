@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.exprs import is_weekend, season
+from stratus.functions.exprs import is_weekend, resolve, season
 
 CALENDAR_COLUMNS = ("year", "month", "day_of_week", "quarter")
 ROLLING_COLUMNS = ("temp_7d_avg", "temp_30d_avg", "temp_7d_std", "temp_7d_min", "temp_7d_max")
@@ -103,7 +103,8 @@ def daily_features(df: DataFrame, value: str = "avg_tempC", date_column: str = "
     date = F.col(date_column)
     src = _with_partition_keys(df, date_column)
     cols = {"day_of_week": F.dayofweek(date), "quarter": F.quarter(date)}
-    if value in df.columns:
-        cols.update(_window_exprs(value, date_column, scope, series_keys))
+    present = resolve(df, value)
+    if present is not None:
+        cols.update(_window_exprs(present, date_column, scope, series_keys))
     cols.update(_flags(date))
     return src.withColumns(cols)

@@ -1,66 +1,19 @@
-"""Lookup joins with a checked broadcast."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A dimension is broadcast only when, after projection to the columns the
-# join needs, it holds at most this many rows and about this many bytes;
-# otherwise the planner's shuffle join is used (AQE may still switch to a
-# broadcast at run time from measured sizes).
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 << 20
-
-
-# Width in bytes of fixed-size values.
-_WIDTHS = ((T.BooleanType, 1), (T.ByteType, 1), (T.ShortType, 2), (T.IntegerType, 4),
-           (T.FloatType, 4), (T.DateType, 4), (T.LongType, 8), (T.DoubleType, 8),
-           (T.TimestampType, 8), (T.TimestampNTZType, 8), (T.DecimalType, 16))
-
-
-def _value_bytes(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return F.octet_length(c)
-    for kind, width in _WIDTHS:
-        if isinstance(dtype, kind):
-            return F.when(c.isNotNull(), F.lit(width))
-    # Nested values: the length of their JSON text.
-    return F.octet_length(F.to_json(F.struct(c)))
-
-
-def _row_bytes(dim: DataFrame) -> Column:
-    """Size of a row as data: byte length of strings/binaries, the type's
-    width for fixed-size values (nulls count as 0)."""
-    parts = [F.coalesce(_value_bytes(F.col(f.name), f.dataType), F.lit(0)).cast("long")
-             for f in dim.schema.fields]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
-
-
-def dimension_size(dim: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``dim``: one distributed aggregate, each task sends a
-    single partial row, so nothing of the dimension is gathered anywhere."""
-    row = dim.agg(F.count(F.lit(1)).alias("n"),
-                  F.coalesce(F.sum(_row_bytes(dim)), F.lit(0)).alias("b")).first()
-    return int(row["n"]), int(row["b"])
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``dim`` with a broadcast hint if its measured size is within both bounds."""
-    rows, size = dimension_size(dim)
-    return F.broadcast(dim) if rows <= max_rows and size <= max_bytes else dim
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                dim_columns: list[str], how: str = "inner",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Attach ``dim_columns`` of ``dim`` to ``facts`` on fact_key = dim_key."""
+                dim_columns: list[str], how: str = "inner") -> DataFrame:
+    """Attach ``dim_columns`` of ``dim`` to ``facts`` on fact_key = dim_key.
+
+    Only the key and the asked columns of ``dim`` take part. How the join runs
+    is the planner's choice: a broadcast where the measured size of that side
+    is under spark.sql.autoBroadcastJoinThreshold, else a shuffle whose skewed
+    partitions AQE splits.
+    """
     small = dim.select(F.col(dim_key), *[F.col(c) for c in dim_columns])
-    side = bounded_broadcast(small, max_broadcast_rows, max_broadcast_bytes)
-    return facts.join(side, facts[fact_key] == side[dim_key], how).drop(side[dim_key])
+    return facts.join(small, facts[fact_key] == small[dim_key], how).drop(small[dim_key])

@@ -42,33 +42,35 @@ def describe_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         for i, c in enumerate(cols)])
 
 
-def _one_row(*frames: DataFrame) -> DataFrame:
-    """Merge one-row frames with distinct columns into one row, without a join."""
-    merged = frames[0]
-    for f in frames[1:]:
-        merged = merged.unionByName(f, allowMissingColumns=True)
-    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
-
-
-def transform_summary(original: DataFrame, transformed: DataFrame) -> DataFrame:
+def transform_summary(daily: DataFrame, n_in: int, n_out: int, *, staged: DataFrame) -> DataFrame:
     """original_rows, transformed_rows, rows_removed, original_columns,
-    transformed_columns, columns_added (one job, two scans)."""
-    row = _one_row(original.agg(F.count(F.lit(1)).alias("original_rows")),
-                   transformed.agg(F.count(F.lit(1)).alias("transformed_rows")))
-    n_in, n_out = len(original.columns), len(transformed.columns)
+    transformed_columns, columns_added, from the frames one pass holds.
+
+    ``staged``: (row, copies) of the input, see :func:`staged_rows`; ``daily``:
+    the daily frame made of it, one row per transformed row.
+    """
+    row = _counts(staged, daily)
     return row.select(
-        "original_rows", "transformed_rows",
-        (F.col("original_rows") - F.col("transformed_rows")).alias("rows_removed"),
+        F.col("extraction_rows").alias("original_rows"), F.col("final_rows").alias("transformed_rows"),
+        (F.col("extraction_rows") - F.col("final_rows")).alias("rows_removed"),
         F.lit(n_in).alias("original_columns"), F.lit(n_out).alias("transformed_columns"),
         F.lit(n_out - n_in).alias("columns_added"))
 
 
-def pipeline_summary(extracted: DataFrame, cleaned: DataFrame, final: DataFrame) -> DataFrame:
+def _counts(staged: DataFrame, daily: DataFrame) -> DataFrame:
+    """extraction_rows, cleaned_rows, final_rows: the sum of the copies, the sum
+    of the daily rows' n_rows, and the number of daily rows."""
+    z = F.lit(0).cast("long")
+    both = staged.select(F.col("copies").alias("e"), z.alias("c"), z.alias("f")).unionByName(
+        daily.select(z.alias("e"), F.col("n_rows").alias("c"), F.lit(1).cast("long").alias("f")))
+    return both.agg(*[F.coalesce(F.sum(a), z).alias(n) for a, n in (
+        ("e", "extraction_rows"), ("c", "cleaned_rows"), ("f", "final_rows"))])
+
+
+def pipeline_summary(staged: DataFrame, daily: DataFrame) -> DataFrame:
     """extraction_rows, cleaned_rows, final_rows, status (derived from the data:
     SUCCESS when the job produced rows, EMPTY otherwise)."""
-    row = _one_row(extracted.agg(F.count(F.lit(1)).alias("extraction_rows")),
-                   cleaned.agg(F.count(F.lit(1)).alias("cleaned_rows")),
-                   final.agg(F.count(F.lit(1)).alias("final_rows")))
+    row = _counts(staged, daily)
     return row.select("extraction_rows", "cleaned_rows", "final_rows",
                       F.when(F.col("final_rows") > 0, F.lit("SUCCESS"))
                        .otherwise(F.lit("EMPTY")).alias("status"))

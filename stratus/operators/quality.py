@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -383,29 +383,38 @@ def temporal_check(df: DataFrame, date_column: str, as_of: str | datetime,
 def temporal_gaps(df: DataFrame, date_column: str) -> DataFrame:
     """Runs of calendar days with no row: gap_start, gap_end, missing_days.
 
-    Distinct days (bounded by the calendar span, not by the data volume) are
-    windowed per year, so no window partition holds more than 366 rows; the
-    step from the last day of a year to the next present day comes from a
-    per-year summary whose size is the number of distinct years.
+    Distinct days and years are bounded by the calendar span, not by the data
+    volume.
     """
     name = resolve(df, date_column)
     if name is None:
         raise ValueError(f"date column {date_column!r} not found")
-    days = (df.select(F.to_date(F.col(name)).alias("d")).where(F.col("d").isNotNull())
-            .distinct().withColumn("y", F.year("d")))
-    within = days.withColumn("nxt", F.lead("d").over(Window.partitionBy("y").orderBy("d")))
-    # A second pass over the (pruned) date column only; partial aggregation
-    # reduces it to one row per year in each map task.
-    years = days.groupBy("y").agg(F.min("d").alias("first_d"))
-    # One row per distinct year: a global ordering over it is bounded by the
-    # calendar span, and so is broadcasting it.
-    next_year = years.select("y", F.lead("first_d").over(Window.orderBy("y")).alias("next_first"))
-    linked = within.join(F.broadcast(next_year), "y", "left")
-    nxt = F.coalesce(F.col("nxt"), F.col("next_first"))
-    step = F.datediff(nxt, F.col("d"))
+    # One scan: each task sends one row per day; a year's days (at most 366) are
+    # one sorted array. What the array of a year lacks is the step to the next
+    # year that has days: those steps come from the years' first and last days,
+    # one row per year of data.
+    days = df.select(F.to_date(F.col(name)).alias("d")).where(F.col("d").isNotNull()).distinct()
+    years = (days.groupBy(F.year("d").alias("y"))
+             .agg(F.array_sort(F.collect_list("d")).alias("days")))
+    # Every year offers its own steps, and itself to the century's summary of ends.
+    steps = F.zip_with(F.slice("days", 1, F.greatest(F.size("days") - 1, F.lit(0))),
+                       F.slice("days", 2, F.greatest(F.size("days") - 1, F.lit(0))),
+                       lambda a, b: F.struct(a.alias("d"), b.alias("nxt")))
+    ends = F.array(F.struct(F.element_at("days", 1).alias("d"), F.element_at("days", -1).alias("nxt")))
+    rows = years.select(F.inline(F.concat(
+        F.transform(F.filter(steps, lambda s: F.datediff(s["nxt"], s["d"]) > 1),
+                    lambda s: F.struct(F.lit(False).alias("end"), s["d"].alias("d"), s["nxt"].alias("nxt"))),
+        F.transform(ends, lambda s: F.struct(F.lit(True).alias("end"), s["d"].alias("d"), s["nxt"].alias("nxt"))))))
+    # (first, last) of the years in one sorted array: a row per year of the calendar.
+    merged = rows.groupBy("end").agg(F.array_sort(F.collect_list(F.struct("d", "nxt"))).alias("s"))
+    across = F.zip_with(F.slice("s", 1, F.greatest(F.size("s") - 1, F.lit(0))),
+                        F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0))),
+                        lambda a, b: F.struct(a["nxt"].alias("d"), b["d"].alias("nxt")))
+    linked = merged.select(F.inline(F.when(F.col("end"), across).otherwise(F.col("s"))))
+    step = F.datediff(F.col("nxt"), F.col("d"))
     return linked.where(step > 1).select(
         F.date_add(F.col("d"), 1).alias("gap_start"),
-        F.date_sub(nxt, 1).alias("gap_end"),
+        F.date_sub(F.col("nxt"), 1).alias("gap_end"),
         (step - 1).cast("long").alias("missing_days"))
 
 
@@ -428,18 +437,20 @@ def schema_issues(actual: T.StructType, expected: T.StructType):
     return out
 
 
-SCHEMA_CHECK_SCHEMA = T.StructType([
-    T.StructField("field", T.StringType(), False),
-    T.StructField("issue", T.StringType(), False),
-    T.StructField("expected_type", T.StringType(), True),
-    T.StructField("actual_type", T.StringType(), True),
-])
-
-
 def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Schema comparison as a DataFrame (metadata only, no job)."""
-    rows = schema_issues(df.schema, expected)
-    return df.sparkSession.createDataFrame(rows, SCHEMA_CHECK_SCHEMA)
+    """Schema comparison with what it concerns: field, issue, expected_type,
+    actual_type, n_rows, n_values (of the field as it is; 0 if missing). One scan."""
+    issues = schema_issues(df.schema, expected)
+    present = [f for f, issue, _, _ in issues if issue != "missing"]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{f}`")).alias(f"v{i}") for i, f in enumerate(present)])
+    none = F.lit(None).cast("string")
+    structs = [F.struct(F.lit(f).alias("field"), F.lit(issue).alias("issue"),
+                        (F.lit(want) if want else none).alias("expected_type"),
+                        (F.lit(have) if have else none).alias("actual_type"), F.col("n").alias("n_rows"),
+                        (F.col(f"v{present.index(f)}") if f in present else F.lit(0).cast("long")).alias("n_values"))
+               for f, issue, want, have in issues]
+    kind = "array<struct<field:string,issue:string,expected_type:string,actual_type:string,n_rows:bigint,n_values:bigint>>"
+    return row.select(F.inline(F.array(*structs).cast(kind)))
 
 
 def stage_quality_metrics(df: DataFrame, profile: Profile = READINGS) -> DataFrame:
@@ -483,53 +494,21 @@ def stage_quality_metrics(df: DataFrame, profile: Profile = READINGS) -> DataFra
     ])
 
 
-QUARANTINE_CHUNK = 1_000_000
-
-
-def quarantine_rows(df: DataFrame, profile: Profile = READINGS,
-                    chunk: int = QUARANTINE_CHUNK, partitions: int | None = None) -> DataFrame:
-    """Rows the cleaning rejects, each with the first rule it fails.
+def quarantine_rows(df: DataFrame, profile: Profile = READINGS) -> DataFrame:
+    """Rows the cleaning rejects: one row per distinct row and reason, with
+    ``copies``, the number of input rows it stands for.
 
     Order of rules: extra copies of an exact duplicate ('duplicate'), then a
     null critical column ('null_critical'), then an invalid pressure reading
-    ('invalid_pressure'). Cleaned rows + rejected rows = input rows.
-
-    One scan and one group-by on the row give each distinct row its
-    multiplicity and first failing rule, hence the number of rejected rows it
-    stands for. Those rows are regenerated locally; only a row that stands for
-    more than ``chunk`` rejects is cut into chunks spread over ``partitions``
-    tasks (through a shuffle of chunk descriptors reusing the same group-by),
-    so a row repeated billions of times is not expanded by a single task.
+    ('invalid_pressure'). Cleaned rows + sum(copies) = input rows. One scan and
+    one group-by on the row; a row repeated billions of times stays one row.
     """
     cols = df.columns
     critical = [c for c in (resolve(df, n) for n in profile.critical_columns) if c]
     inv = invalid_condition(df, profile)
     bad = inv if inv is not None else F.lit(False)
-    first_rule = (F.when(any_null(critical), F.lit("null_critical"))
-                  .when(bad, F.lit("invalid_pressure")))
-    g = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-         .withColumn("_rule", first_rule)
-         .withColumn("_e", F.col("_m") - 1 + F.when(F.col("_rule").isNotNull(), 1).otherwise(0)))
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    one = F.lit(1).cast("long")
-
-    def emit(frame: DataFrame, start: Column, stop: Column) -> DataFrame:
-        # Reject numbers start..stop of a row; number 0 is the row's own copy,
-        # which carries the failing rule (if any), the rest are extra copies.
-        idx = F.explode(F.sequence(start, stop)).alias("_i")
-        return frame.select(*cols, "_rule", idx).select(
-            *cols, F.when((F.col("_i") == 0) & F.col("_rule").isNotNull(), F.col("_rule"))
-            .otherwise(F.lit("duplicate")).alias("reason"))
-
-    # Row's own copy is number 0 only when it is rejected; otherwise 1..m-1.
-    first = F.when(F.col("_rule").isNotNull(), F.lit(0).cast("long")).otherwise(one)
-    last = F.col("_m") - 1
-    small = emit(g.where((F.col("_e") > 0) & (F.col("_e") <= chunk)), first, last)
-    big = (g.where(F.col("_e") > chunk)
-           .select(*cols, "_m", "_rule", first.alias("_first"),
-                   F.explode(F.sequence(F.lit(0).cast("long"),
-                                        F.floor((last - first) / chunk).cast("long"))).alias("_c"))
-           .repartition(n_parts, "_c", *cols))
-    lo = F.col("_first") + F.col("_c") * chunk
-    hi = F.least(lo + chunk - 1, F.col("_m") - 1)
-    return small.unionByName(emit(big, lo, hi))
+    rule = F.when(any_null(critical), F.lit("null_critical")).when(bad, F.lit("invalid_pressure"))
+    found = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    reasons = F.array(F.struct(F.lit("duplicate").alias("reason"), (F.col("_m") - 1).alias("copies")),
+                      F.struct(rule.alias("reason"), F.lit(1).cast("long").alias("copies")))
+    return (found.select(*cols, F.inline(F.filter(reasons, lambda r: r["reason"].isNotNull() & (r["copies"] > 0)))))

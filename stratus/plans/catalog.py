@@ -30,7 +30,7 @@ from stratus.plans import oracle as O
 from stratus.profile import FEATURES, READINGS, TIMESTAMP_FORMAT
 from stratus.session import shared_dir
 from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
-from stratus.sources.readings import raw_readings, readings, table
+from stratus.sources.readings import raw_readings, readings, table, text_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +83,35 @@ def q_daily_agg(spark, sf_dir):
     return rounded(daily(spark, sf_dir), DAILY_INEXACT)
 
 
+ZONES = ("Europe/Budapest", "America/New_York")
+
+
+@register("daily_agg_zoned", O.union_rows([
+    f"SELECT '{z}' AS zone, CAST(timezone('{z}', timezone('UTC', ts)) AS DATE) AS date, count(*) AS n_rows, "
+    f"min(value) AS min_tempC, max(value) AS max_tempC FROM events GROUP BY ALL" for z in ZONES]))
+def q_daily_agg_zoned(spark, sf_dir):
+    # The events' times as instants (UTC), whatever the session zone is.
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    ev = table(spark, sf_dir, "events").withColumn("ts", instant)
+    per_zone = [daily_ops.daily_agg(ev, READINGS, "value", "ts", zone=z).select(
+        F.lit(z).alias("zone"), "date", "n_rows", "min_tempC", "max_tempC") for z in ZONES]
+    return per_zone[0].unionByName(per_zone[1])
+
+
+@register("daily_features_by_user", """
+WITH D AS (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS n_rows, max(value) AS max_tempC, avg(value) AS avg_tempC
+           FROM events GROUP BY user_id, CAST(ts AS DATE))
+SELECT user_id, date, n_rows, max_tempC, round(avg_tempC, 6) AS avg_tempC, round(avg(avg_tempC) OVER w, 6) AS temp_7d_avg,
+       round(max(avg_tempC) OVER w, 6) AS temp_7d_max, round(avg_tempC - lag(avg_tempC) OVER o, 6) AS temp_change_1d FROM D
+WINDOW o AS (PARTITION BY user_id, year(date), month(date) ORDER BY date),
+       w AS (PARTITION BY user_id, year(date), month(date) ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def q_daily_features_by_user(spark, sf_dir):
+    d = daily_ops.daily_agg(table(spark, sf_dir, "events"), READINGS, "value", "ts", series_keys=("user_id",))
+    out = feature_ops.daily_features(d, series_keys=("user_id",)).select(
+        "user_id", "date", "n_rows", "max_tempC", "avg_tempC", "temp_7d_avg", "temp_7d_max", "temp_change_1d")
+    return rounded(out, ("avg_tempC", "temp_7d_avg", "temp_7d_max", "temp_change_1d"))
+
+
 @register("daily_features", O.sql(f"SELECT {O.FEATURES_SELECT} FROM F", "F"))
 def q_daily_features(spark, sf_dir):
     return rounded(features(spark, sf_dir), FEATURE_INEXACT)
@@ -248,16 +277,16 @@ def q_temporal_gaps(spark, sf_dir):
     return quality_ops.temporal_gaps(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
-@register("schema_check", """
-SELECT * FROM (VALUES
-  ('Formatted Date', 'type', 'timestamp', 'timestamp_ntz'),
-  ('Precip Type', 'missing', 'string', NULL),
-  ('Apparent Temperature (C)', 'missing', 'double', NULL),
-  ('Wind Bearing (degrees)', 'missing', 'double', NULL),
-  ('Loud Cover', 'missing', 'double', NULL),
-  ('Daily Summary', 'missing', 'string', NULL),
-  ('reading_id', 'extra', NULL, 'bigint')
-) AS t(field, issue, expected_type, actual_type)""")
+@register("schema_check", O.sql("""SELECT field, issue, expected_type, actual_type, n_rows, n_values FROM (
+  SELECT count(*) AS n_rows, count(formatted_date) AS dates, count(reading_id) AS ids FROM R) c, LATERAL (VALUES
+  ('Formatted Date', 'type', 'timestamp', 'timestamp_ntz', c.dates),
+  ('Precip Type', 'missing', 'string', NULL, 0),
+  ('Apparent Temperature (C)', 'missing', 'double', NULL, 0),
+  ('Wind Bearing (degrees)', 'missing', 'double', NULL, 0),
+  ('Loud Cover', 'missing', 'double', NULL, 0),
+  ('Daily Summary', 'missing', 'string', NULL, 0),
+  ('reading_id', 'extra', NULL, 'bigint', c.ids)
+) AS t(field, issue, expected_type, actual_type, n_values)""", "R"))
 def q_schema_check(spark, sf_dir):
     return quality_ops.schema_check(raw_readings(spark, sf_dir), RAW_CONTRACT)
 
@@ -297,12 +326,11 @@ _INVALID = f"NOT coalesce({O.VALID_PRESSURE}, false)"
 
 
 @register("quarantine_rows", O.sql(f"""
-SELECT {_R_NAMES}, 'duplicate' AS reason
-FROM (SELECT {_R_NAMES}, unnest(range(_m - 1)) AS _k FROM G WHERE _m > 1) x
+SELECT {_R_NAMES}, 'duplicate' AS reason, _m - 1 AS copies FROM G WHERE _m > 1
 UNION ALL
-SELECT {_R_NAMES}, 'null_critical' AS reason FROM G WHERE NOT {O.CRITICAL_OK}
+SELECT {_R_NAMES}, 'null_critical' AS reason, 1 AS copies FROM G WHERE NOT {O.CRITICAL_OK}
 UNION ALL
-SELECT {_R_NAMES}, 'invalid_pressure' AS reason FROM G WHERE {O.CRITICAL_OK} AND {_INVALID}""",
+SELECT {_R_NAMES}, 'invalid_pressure' AS reason, 1 AS copies FROM G WHERE {O.CRITICAL_OK} AND {_INVALID}""",
     "R", extra=(f"G AS (SELECT {_R_NAMES}, count(*) AS _m FROM R GROUP BY {_R_NAMES})",)))
 def q_quarantine_rows(spark, sf_dir):
     return quality_ops.quarantine_rows(readings(spark, sf_dir), READINGS)
@@ -374,7 +402,10 @@ def q_describe_stats(spark, sf_dir):
     "8 AS original_columns, 24 AS transformed_columns, 16 AS columns_added "
     "FROM (SELECT (SELECT count(*) FROM R) AS o, (SELECT count(*) FROM F) AS t) s", "R", "F"))
 def q_transform_summary(spark, sf_dir):
-    return profiling_ops.transform_summary(readings(spark, sf_dir), features(spark, sf_dir))
+    r = readings(spark, sf_dir)
+    staged = clean_ops.staged_rows(r)
+    d = daily_ops.daily_agg(clean_ops.clean_readings(staged.drop("copies"), READINGS, remove_duplicates=False), READINGS)
+    return profiling_ops.transform_summary(d, len(r.columns), len(feature_ops.daily_features(d).columns), staged=staged)
 
 
 @register("pipeline_summary", O.sql(
@@ -383,9 +414,9 @@ def q_transform_summary(spark, sf_dir):
     "(SELECT count(*) FROM R) AS e, (SELECT count(*) FROM C) AS c, (SELECT count(*) FROM F) AS f) s",
     "R", "C", "F"))
 def q_pipeline_summary(spark, sf_dir):
-    return profiling_ops.pipeline_summary(readings(spark, sf_dir), cleaned(spark, sf_dir),
-                                          features(spark, sf_dir))
-
+    staged = clean_ops.staged_rows(readings(spark, sf_dir))
+    return profiling_ops.pipeline_summary(staged, daily_ops.daily_agg(clean_ops.clean_readings(
+        staged.drop("copies"), READINGS, remove_duplicates=False), READINGS))
 
 
 # -- sources and sinks -------------------------------------------------------
@@ -403,16 +434,19 @@ def q_parquet_roundtrip(spark, sf_dir):
     return rounded(sources.read_parquet(spark, res.path), DAILY_INEXACT)
 
 
-@register("csv_roundtrip", _DAILY_SQL)
+_TEXT_SQL = O.sql("SELECT * FROM T", "T")
+
+
+@register("csv_roundtrip", _TEXT_SQL)
 def q_csv_roundtrip(spark, sf_dir):
-    res = sinks.write_csv(daily(spark, sf_dir), shared_dir(spark, "csv_roundtrip"))
-    return rounded(sinks.read_back(spark, res), DAILY_INEXACT)
+    res = sinks.write_csv(text_readings(spark, sf_dir), shared_dir(spark, "csv_roundtrip"))
+    return sinks.read_back(spark, res)
 
 
-@register("json_roundtrip", _DAILY_SQL)
+@register("json_roundtrip", _TEXT_SQL)
 def q_json_roundtrip(spark, sf_dir):
-    res = sinks.write_json(daily(spark, sf_dir), shared_dir(spark, "json_roundtrip"))
-    return rounded(sinks.read_back(spark, res), DAILY_INEXACT)
+    res = sinks.write_json(text_readings(spark, sf_dir), shared_dir(spark, "json_roundtrip"))
+    return sinks.read_back(spark, res)
 
 
 @register("partitioned_roundtrip", _DAILY_SQL)
@@ -444,7 +478,8 @@ _RAW_CSV_SCHEMA = T.StructType(RAW_CONTRACT.fields + [T.StructField("reading_id"
 @register("csv_scan", _DAILY_SQL)
 def q_csv_scan(spark, sf_dir):
     path = shared_dir(spark, "csv_scan")
-    sinks.write_csv(_raw_csv_frame(spark, sf_dir), path, timestamp_format=TIMESTAMP_FORMAT)
+    # The file is the query's input, not its output: the scan below is what is checked.
+    sinks.write_csv(_raw_csv_frame(spark, sf_dir), path, timestamp_format=TIMESTAMP_FORMAT, verify=False)
     scanned = sources.read_csv(spark, path, schema=_RAW_CSV_SCHEMA, expected=RAW_CONTRACT)
     cleaned_df = clean_ops.clean_readings(scanned, READINGS)
     return rounded(daily_ops.daily_agg(cleaned_df, READINGS), DAILY_INEXACT)
@@ -455,39 +490,90 @@ def q_csv_glob_scan(spark, sf_dir):
     base = shared_dir(spark, "csv_glob_scan")
     d = daily(spark, sf_dir)
     early = F.col("date") < F.lit("1998-01-01").cast("date")
-    sinks.write_csv(d.where(early), f"{base}/first_half")
-    sinks.write_csv(d.where(~early | F.col("date").isNull()), f"{base}/second_half")
+    sinks.write_csv(d.where(early), f"{base}/first_half", verify=False)
+    sinks.write_csv(d.where(~early | F.col("date").isNull()), f"{base}/second_half", verify=False)
     back = sources.read_csv_glob(spark, base, "*.csv", schema=d.schema)
     return rounded(back, DAILY_INEXACT)
 
 
-@register("multi_format_counts", O.sql(O.union_rows([
-    f"SELECT '{fmt}' AS format, count(*) AS n_rows, 11 AS n_columns FROM D"
-    for fmt in ("parquet", "csv", "json")]), "D"))
-def q_multi_format_counts(spark, sf_dir):
-    results = sinks.write_multiple_formats(daily(spark, sf_dir), shared_dir(spark, "multi_format"))
-    frames = [sinks.read_back(spark, r).agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(fmt).alias("format"), "n_rows", F.lit(len(r.schema.fields)).alias("n_columns"))
-              for fmt, r in results.items()]
+# A CSV file with line breaks in quotes, ragged lines and bad values: which
+# records are good and which lines are set aside, and why.
+_LINE_KINDS = """CASE WHEN l_linenumber = 1 AND l_orderkey % 7 = 0 THEN 'break'
+  WHEN l_linenumber = 2 AND l_orderkey % 5 = 0 THEN 'short' WHEN l_linenumber = 3 AND l_orderkey % 3 = 0 THEN 'long'
+  WHEN l_linenumber = 4 AND l_orderkey % 2 = 0 THEN 'text' ELSE 'good' END"""
+
+
+@register("csv_dead_letter", f"""
+WITH k AS (SELECT {_LINE_KINDS} AS kind, l_orderkey FROM lineitem)
+SELECT CASE kind WHEN 'good' THEN 'record' WHEN 'text' THEN 'value' ELSE 'fields' END AS status,
+       count(*) AS n, CAST(sum(CASE WHEN kind = 'good' THEN l_orderkey ELSE 0 END) AS BIGINT) AS key_sum
+FROM k WHERE kind <> 'break' GROUP BY 1
+UNION ALL
+SELECT 'open_quote' AS status, 2 * count(*) AS n, 0 AS key_sum FROM k WHERE kind = 'break' HAVING count(*) > 0""")
+def q_csv_dead_letter(spark, sf_dir):
+    path = shared_dir(spark, "csv_dead_letter")
+    kind = F.expr(_LINE_KINDS)
+    key, mode = F.col("l_orderkey").cast("string"), F.col("l_returnflag")
+    quoted = F.concat(F.lit('"'), mode, F.lit(', ""so"""'))
+    line = (F.when(kind == "break", F.concat(key, F.lit(',"'), mode, F.lit('\nrest",'), F.col("l_quantity")))
+            .when(kind == "short", F.concat_ws(",", key, quoted))
+            .when(kind == "long", F.concat_ws(",", key, quoted, F.lit("1.0"), F.lit("2.0")))
+            .when(kind == "text", F.concat_ws(",", key, quoted, F.lit("many")))
+            .otherwise(F.concat_ws(",", key, quoted, F.col("l_quantity").cast("string"))))
+    table(spark, sf_dir, "lineitem").select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("order", T.LongType()), T.StructField("mode", T.StringType()),
+                           T.StructField("quantity", T.DoubleType())])
+    records, rejected = sources.scan_csv(spark, path, schema)
+    good = records.select(F.lit("record").alias("status"), "order")
+    both = good.unionByName(rejected.select(F.col("reason").alias("status"), F.lit(0).cast("long").alias("order")))
+    return both.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("order").alias("key_sum"))
+
+
+# Each format stands first once: later formats must not inherit its losses.
+FORMAT_ORDERS = (("parquet", "csv", "json"), ("csv", "json", "parquet"), ("json", "parquet", "csv"))
+
+
+def _text_formats(spark, sf_dir, name: str, formats=FORMAT_ORDERS[0], verify: bool = True):
+    return sinks.write_multiple_formats(text_readings(spark, sf_dir), shared_dir(spark, name), formats, verify=verify)
+
+
+def _union(frames):
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-@register("write_verification", O.sql(
-    "SELECT count(*) AS expected_rows, count(*) AS actual_rows, 11 AS expected_columns, "
-    "11 AS actual_columns, true AS checksum_match, true AS valid FROM D", "D"))
+@register("multi_format_counts", O.sql(O.union_rows([
+    f"SELECT '{order[0]}' AS first_format, '{fmt}' AS format, count(*) AS n_rows, "
+    f"count(note) AS n_notes, count(DISTINCT note) AS distinct_notes, min(seen_at) AS min_seen, max(seen_at) AS max_seen FROM T"
+    for order in FORMAT_ORDERS for fmt in order]), "T"))
+def q_multi_format_counts(spark, sf_dir):
+    return _union([
+        sinks.read_back(spark, r).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count("note").alias("n_notes"), F.count_distinct("note").alias("distinct_notes"),
+            F.min("seen_at").alias("min_seen"), F.max("seen_at").alias("max_seen"))
+        .select(F.lit(order[0]).alias("first_format"), F.lit(fmt).alias("format"), "*")
+        for order in FORMAT_ORDERS
+        for fmt, r in _text_formats(spark, sf_dir, "multi_format", order, verify=False).items()])
+
+
+@register("write_verification", O.sql(O.union_rows([
+    f"SELECT '{fmt}' AS format, count(*) AS expected_rows, count(*) AS actual_rows, 10 AS expected_columns, "
+    f"10 AS actual_columns, true AS checksum_match, true AS valid FROM T" for fmt in FORMAT_ORDERS[1]]), "T"))
 def q_write_verification(spark, sf_dir):
-    res = sinks.write_parquet(daily(spark, sf_dir), shared_dir(spark, "write_verification"))
-    return res.verification(spark)
+    results = _text_formats(spark, sf_dir, "write_verification", FORMAT_ORDERS[1], verify=False)
+    return _union([r.verification(spark).select(F.lit(fmt).alias("format"), "*") for fmt, r in results.items()])
 
 
-@register("load_summary")
+@register("load_summary", O.sql(O.union_rows([
+    f"SELECT '{fmt}' AS format, count(*) AS n_rows, 10 AS n_columns, true AS has_files, true AS has_bytes FROM T"
+    for fmt in FORMAT_ORDERS[0]]), "T"))
 def q_load_summary(spark, sf_dir):
-    # Byte sizes depend on the engine's encoders: rows-only check.
-    results = sinks.write_multiple_formats(daily(spark, sf_dir), shared_dir(spark, "load_summary"))
-    return sinks.load_summary(spark, results)
+    # Byte sizes and file counts depend on the engine's encoders and tasks.
+    summary = sinks.load_summary(spark, _text_formats(spark, sf_dir, "load_summary", verify=False))
+    return summary.select("format", "n_rows", "n_columns", (F.col("n_files") > 0).alias("has_files"),
+                          (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 @register("compaction_plan", O.sql(
@@ -517,15 +603,10 @@ SELECT p_brand, CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS n,
 FROM lineitem JOIN part ON l_partkey = p_partkey
 GROUP BY p_brand, year(l_shipdate)""")
 def q_lookup_join(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    # Pre-aggregate the facts to (part, year) before the join: a hot part key
-    # becomes one row per map task, and the join input shrinks accordingly.
-    facts = li.groupBy("l_partkey", F.year("l_shipdate").alias("ship_year")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
-    joined = join_ops.lookup_join(facts, table(spark, sf_dir, "part"), "l_partkey", "p_partkey",
-                                  ["p_brand"])
-    return joined.groupBy("p_brand", "ship_year").agg(
-        F.sum("n").alias("n"), (F.sum("qty") / F.sum("n")).alias("avg_quantity"))
+    joined = join_ops.lookup_join(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
+                                  "l_partkey", "p_partkey", ["p_brand"])
+    return joined.groupBy("p_brand", F.year("l_shipdate").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("avg_quantity"))
 
 
 @register("metric_correlation", O.sql(O.union_rows([

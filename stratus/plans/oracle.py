@@ -75,8 +75,16 @@ CTE["F"] = """F AS (
          w30 AS (PARTITION BY year(date), month(date) ORDER BY date
                  ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))"""
 
+CTE["T"] = """T AS (
+  SELECT *, CASE reading_id % 8 WHEN 0 THEN 'two' || chr(10) || 'lines' WHEN 1 THEN 'say "hi", they'
+              WHEN 2 THEN 'back' || chr(92) || 'slash ' || chr(92) || 'n' WHEN 3 THEN ''
+              WHEN 5 THEN '  padded, comma ' WHEN 6 THEN 'cr' || chr(13) || chr(10) || 'lf'
+              WHEN 7 THEN 'ünï – 漢' END AS note,
+         formatted_date + to_microseconds(reading_id) AS seen_at
+  FROM R)"""
+
 # Dependencies between the CTEs, so a query names only what it reads.
-DEPS = {"R_base": (), "R": ("R_base",), "C": ("R",), "D": ("C",), "F": ("D",)}
+DEPS = {"R_base": (), "R": ("R_base",), "T": ("R",), "C": ("R",), "D": ("C",), "F": ("D",)}
 
 
 def _closure(names) -> list[str]:

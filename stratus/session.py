@@ -34,11 +34,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-# Sizing bounds for a large run.
+# Sizing of a large run.
 SCAN_SPLIT_BYTES = 512 << 20          # bytes of input per scan task
 SHUFFLE_TARGET_BYTES = 1 << 30        # initial shuffle bytes per reducer
 ADVISORY_PARTITION_BYTES = 256 << 20  # AQE target after coalescing/splitting
-MAX_SHUFFLE_PARTITIONS = 65_536
 
 
 def cluster_confs(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
@@ -47,15 +46,13 @@ def cluster_confs(input_bytes: int, executor_cores: int, executors: int) -> dict
     Map tasks read ``SCAN_SPLIT_BYTES`` each, so 100 TB is about 200k tasks
     rather than 800k. The initial reducer count gives each reducer about
     ``SHUFFLE_TARGET_BYTES`` of a shuffle as large as the input (a whole-row
-    de-duplication), rounded to whole waves of the cluster's task slots and
-    capped, so map tasks x reducers (the shuffle blocks to fetch) stays
-    manageable. AQE then coalesces small partitions to the advisory size,
-    honouring it over default parallelism, and splits skewed ones.
+    de-duplication), rounded up to whole waves of the cluster's task slots.
+    AQE then coalesces small partitions to the advisory size, honouring it over
+    default parallelism, and splits skewed ones.
     """
     slots = max(1, executor_cores * executors)
     wanted = max(slots * 2, -(-input_bytes // SHUFFLE_TARGET_BYTES))
-    waves = min(-(-wanted // slots), max(1, MAX_SHUFFLE_PARTITIONS // slots))
-    partitions = waves * slots
+    partitions = -(-wanted // slots) * slots
     return {
         "spark.sql.shuffle.partitions": str(int(partitions)),
         "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),

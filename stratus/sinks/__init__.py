@@ -1,9 +1,11 @@
 """Sinks: verified Parquet/CSV/JSON writes, multi-format fan-out, summaries."""
 
 from stratus.sinks.files import (
+    VerificationError,
     WriteResult,
     compaction_plan,
     compaction_target,
+    known_formats,
     load_summary,
     read_back,
     write_csv,
@@ -12,5 +14,5 @@ from stratus.sinks.files import (
     write_parquet,
 )
 
-__all__ = ["WriteResult", "compaction_plan", "compaction_target", "load_summary", "read_back",
+__all__ = ["VerificationError", "WriteResult", "compaction_plan", "compaction_target", "known_formats", "load_summary", "read_back",
            "write_csv", "write_json", "write_multiple_formats", "write_parquet"]

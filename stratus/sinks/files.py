@@ -1,28 +1,54 @@
-"""File sinks.
+"""File sinks that keep every value and check what they wrote.
 
 Each write is one job. The row count and an order-free checksum of what was
-written are collected by an ``Observation`` riding on that same job, so
-verification only scans the written files once (count + checksum), instead of
-recomputing the input.
+written are collected by an ``Observation`` riding on that same job; the
+written files are then scanned once under the options they were written with,
+and a difference raises :class:`VerificationError` (``verify=False`` leaves the
+check to the caller).
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+import warnings
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions.exprs import row_checksum
+from stratus.session import shared_dir
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 BYTES_PER_ROW_ESTIMATE = 100
 
+# Text formats of both directions: microseconds are kept.
+TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# One quoting rule on both sides (a quote is doubled), blanks kept.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", **TIME_OPTIONS}
+
+# The reader's name for a field that is empty and not quoted, so that it is told
+# apart from a quoted empty text. It is never written.
+CSV_NULL = "\x01null"
+
+
+class VerificationError(RuntimeError):
+    """The files do not hold what was written."""
+
 
 @dataclass
 class WriteResult:
+    """What a write left: where, how to read it, and what must be found there.
+
+    ``options`` are those the files must be read with. ``only``: the partition
+    values a dynamic overwrite replaced (the check reads these alone);
+    ``before``: rows and checksum that an append found (the check subtracts them).
+    """
+
     path: str
     fmt: str
     schema: T.StructType
@@ -30,16 +56,18 @@ class WriteResult:
     expected_checksum: object
     partition_by: tuple[str, ...] = ()
     metrics: dict | None = None
+    options: dict = field(default_factory=dict)
+    only: list | None = None
+    before: tuple = (0, 0)
 
     def verification(self, spark: SparkSession) -> DataFrame:
         """expected_rows, actual_rows, expected_columns, actual_columns,
         checksum_match, valid: one scan of the written files."""
         back = read_back(spark, self)
         cols = [f.name for f in self.schema.fields]
-        row = back.agg(F.count(F.lit(1)).alias("actual_rows"),
-                       F.coalesce(F.sum(row_checksum(cols)), F.lit(0).cast("decimal(30,0)"))
-                       .alias("_sum"))
-        expected_sum = F.lit(self.expected_checksum).cast("decimal(30,0)")
+        rows, total = self.before
+        row = back.agg((F.count(F.lit(1)) - F.lit(rows)).alias("actual_rows"), _checksum(cols).alias("_sum"))
+        expected_sum = F.lit(self.expected_checksum).cast("decimal(38,0)") + F.lit(total).cast("decimal(38,0)")
         out = row.select(
             F.lit(self.expected_rows).cast("long").alias("expected_rows"),
             F.col("actual_rows"),
@@ -50,6 +78,17 @@ class WriteResult:
                               & (F.col("expected_columns") == F.col("actual_columns"))
                               & F.col("checksum_match"))
 
+    def check(self, spark: SparkSession) -> WriteResult:
+        """Verify now; raise VerificationError on any difference."""
+        found = self.verification(spark).first()
+        if not found["valid"]:
+            raise VerificationError(f"{self.fmt} at {self.path}: {found.asDict()}")
+        return self
+
+
+def _checksum(cols: list[str]) -> Column:
+    return F.coalesce(F.sum(row_checksum(cols)), F.lit(0).cast("decimal(30,0)"))
+
 
 def _observed(df: DataFrame, name: str,
               metrics: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
@@ -58,119 +97,174 @@ def _observed(df: DataFrame, name: str,
     of the written plan, so it runs in the write's result stage, where Spark
     applies each task's update once even when tasks or stages are re-run."""
     obs = Observation(name)
-    cols = df.columns
     extra = [agg.alias(f"m_{k}") for k, agg in (metrics or {}).items()]
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                      F.coalesce(F.sum(row_checksum(cols)), F.lit(0).cast("decimal(30,0)"))
-                      .alias("checksum"), *extra), obs
-
-
-def _finish(df: DataFrame, obs: Observation, path: str, fmt: str,
-            partition_by=(), metrics: dict | None = None) -> WriteResult:
-    got = obs.get
-    extra = {k: got[f"m_{k}"] for k in (metrics or {})}
-    return WriteResult(path, fmt, df.schema, int(got["rows"]), got["checksum"],
-                       tuple(partition_by), extra)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), _checksum(df.columns).alias("checksum"),
+                      *extra), obs
 
 
-def _prepared(df: DataFrame, rebalance: bool | None, partition_by=()) -> DataFrame:
+def _prepared(df: DataFrame, rebalance: bool | None, partition_by=(), sort_by=()) -> DataFrame:
     """The frame as it is written.
 
-    ``rebalance=None`` (default): a partitioned write is rebalanced on its
-    partition columns, so each directory's rows come from few tasks (not every
-    task writing a small file into every directory) and AQE splits a
-    directory holding a large share of the rows; an unpartitioned write adds
-    no exchange, its files follow the scan splits or the final stage that AQE
-    has already coalesced. ``True`` forces a plain rebalance (AQE sizes the
-    files), ``False`` never adds one.
+    ``sort_by``: files in that order, one after another, over the whole output
+    (within each directory of a partitioned write). Else ``rebalance=None``
+    (default): a partitioned write is rebalanced on its partition columns, so
+    each directory's rows come from few tasks (not every task writing a small
+    file into every directory) and AQE splits a directory holding a large share
+    of the rows; an unpartitioned write adds no exchange, its files follow the
+    scan splits or the final stage that AQE has already coalesced. ``True``
+    forces a plain rebalance (AQE sizes the files), ``False`` never adds one.
     """
+    if sort_by:
+        return df.orderBy(*partition_by, *sort_by)
     if rebalance is None:
         return df.hint("rebalance", *partition_by) if partition_by else df
     return df.hint("rebalance", *partition_by) if rebalance else df
 
 
+def _write(df: DataFrame, path: str, fmt: str, write_options: dict, read_options: dict, mode: str,
+           prepared: DataFrame, metrics: dict | None, verify: bool, partition_by=(),
+           dynamic: bool = False) -> WriteResult:
+    spark, metrics, before = df.sparkSession, dict(metrics or {}), (0, 0)
+    if mode == "append":
+        before = _found(spark, path, fmt, df.schema, read_options)
+    own = {}
+    if fmt == "csv":  # a record of several lines must be read by one task; most outputs have none
+        texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        breaks = F.lit(False)
+        for c in texts:
+            breaks = breaks | F.coalesce(c.rlike("[\\r\\n]"), F.lit(False))
+        own["breaks"] = F.count_if(breaks)
+    if dynamic:  # as many values as directories, which the commit lists as well
+        own["parts"] = F.collect_set(F.struct(*[F.col(c) for c in partition_by]))
+    observed, obs = _observed(prepared, fmt, {**metrics, **own})
+    writer = observed.write.mode(mode).options(**write_options)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.format(fmt).save(path)
+    got = obs.get
+    if got.get("m_breaks"):
+        read_options = {**read_options, "multiLine": "true"}
+    result = WriteResult(path, fmt, df.schema, int(got["rows"]), got["checksum"], tuple(partition_by),
+                         {k: got[f"m_{k}"] for k in metrics}, read_options,
+                         [tuple(r) for r in got["m_parts"]] if dynamic else None, before)
+    return result.check(spark) if verify else result
+
+
+def _found(spark: SparkSession, path: str, fmt: str, schema: T.StructType, options: dict) -> tuple:
+    """Rows and checksum already at ``path``."""
+    result = WriteResult(path, fmt, schema, 0, 0, options={**options, **({"multiLine": "true"} if fmt == "csv" else {})})
+    try:
+        row = read_back(spark, result).agg(F.count(F.lit(1)), _checksum([f.name for f in schema.fields])).first()
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return 0, 0
+        raise
+    return int(row[0]), row[1]
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   compression: str = "snappy", mode: str = "overwrite",
                   dynamic_partitions: bool = False, rebalance: bool | None = None,
                   max_records_per_file: int | None = None,
-                  metrics: dict[str, Column] | None = None) -> WriteResult:
+                  metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
+                  verify: bool = True) -> WriteResult:
     """Write Parquet (optionally hive-partitioned). ``dynamic_partitions``
     replaces only the partitions present in ``df`` (incremental reruns);
     ``metrics`` are extra aggregates observed on the written rows."""
-    observed, obs = _observed(_prepared(df, rebalance, tuple(partition_by or ())), "parquet",
-                              metrics)
-    writer = observed.write.mode(mode).option("compression", compression)
-    if dynamic_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    parts = tuple(partition_by or ())
+    options = {"compression": compression}
     if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return _finish(df, obs, path, "parquet", partition_by or (), metrics)
+        options["maxRecordsPerFile"] = str(max_records_per_file)
+    return _write(df, path, "parquet", options, {}, mode, _prepared(df, rebalance, parts, sort_by),
+                  metrics, verify, parts, dynamic_partitions)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite", timestamp_format: str | None = None,
               compression: str | None = None, rebalance: bool | None = None,
-              metrics: dict[str, Column] | None = None) -> WriteResult:
-    observed, obs = _observed(_prepared(df, rebalance), "csv", metrics)
-    writer = observed.write.mode(mode).option("header", header).option("sep", sep)
+              metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
+              verify: bool = True) -> WriteResult:
+    """Write CSV. Quotes are doubled, blanks and line breaks in texts stay,
+    null is an empty field and an empty text a quoted one, times keep their
+    microseconds unless ``timestamp_format`` says otherwise. A frame of one
+    column cannot hold nulls (its line would be blank); the check raises."""
+    options = {**CSV_OPTIONS, "header": str(header).lower(), "sep": sep}
     if timestamp_format:
-        writer = writer.option("timestampFormat", timestamp_format)
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.csv(path)
-    return _finish(df, obs, path, "csv", (), metrics)
+        options["timestampFormat"] = timestamp_format
+    write_options = {**options, **({"compression": compression} if compression else {})}
+    return _write(df, path, "csv", write_options, {**options, "nullValue": CSV_NULL}, mode, _prepared(df, rebalance, (), sort_by),
+                  metrics, verify)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                compression: str | None = None, rebalance: bool | None = None,
-               metrics: dict[str, Column] | None = None) -> WriteResult:
-    """JSON Lines; null fields are written so every column survives a read."""
-    observed, obs = _observed(_prepared(df, rebalance), "json", metrics)
-    writer = observed.write.mode(mode).option("ignoreNullFields", False)
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.json(path)
-    return _finish(df, obs, path, "json", (), metrics)
+               metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
+               verify: bool = True) -> WriteResult:
+    """JSON Lines; null fields are written so every column survives a read,
+    times keep their microseconds."""
+    write_options = {**TIME_OPTIONS, "ignoreNullFields": "false", **({"compression": compression} if compression else {})}
+    return _write(df, path, "json", write_options, dict(TIME_OPTIONS), mode, _prepared(df, rebalance, (), sort_by),
+                  metrics, verify)
 
 
 def read_back(spark: SparkSession, result: WriteResult) -> DataFrame:
-    """The written data under the original schema and column order."""
-    if result.fmt == "parquet":
-        back = spark.read.parquet(result.path)
-    elif result.fmt == "csv":
-        back = spark.read.schema(result.schema).option("header", True).csv(result.path)
-    elif result.fmt == "json":
-        back = spark.read.schema(result.schema).json(result.path)
-    else:
+    """The written data under the original schema, column order and options."""
+    if result.fmt not in WRITERS:
         raise ValueError(f"unknown format {result.fmt!r}")
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in result.schema.fields])
+    reader = spark.read.options(**result.options)
+    if result.fmt != "parquet":
+        reader = reader.schema(result.schema).option("mode", "FAILFAST")
+    back = reader.format(result.fmt).load(result.path)
+    if result.only is not None:
+        kinds = T.StructType([result.schema[c] for c in result.partition_by])
+        parts = spark.createDataFrame(result.only, kinds).toDF(*[f"__{c}" for c in result.partition_by])
+        same = F.lit(True)
+        for c in result.partition_by:
+            same = same & F.col(c).cast(result.schema[c].dataType).eqNullSafe(F.col(f"__{c}"))
+        back = back.join(parts, same, "left_semi")
+    return back.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in result.schema.fields])
 
 
 WRITERS = {"parquet": write_parquet, "csv": write_csv, "json": write_json}
 
 
+def known_formats(formats: tuple[str, ...]) -> list[str]:
+    """The formats there is a writer for; warns about others, raises if none is left."""
+    known = [f for f in formats if f in WRITERS]
+    for f in formats:
+        if f not in WRITERS:
+            warnings.warn(f"unsupported output format {f!r} is skipped", stacklevel=3)
+    if not known:
+        raise ValueError(f"no supported output format in {formats!r}; there are {sorted(WRITERS)}")
+    return known
+
+
 def write_multiple_formats(df: DataFrame, base_path: str,
                            formats: tuple[str, ...] = ("parquet", "csv", "json"),
-                           metrics: dict[str, Column] | None = None) -> dict[str, WriteResult]:
+                           metrics: dict[str, Column] | None = None,
+                           verify: bool = True) -> dict[str, WriteResult]:
     """Fan one frame out to several formats.
 
-    The frame's plan runs once: the first format is written from it (with
-    the caller's ``metrics`` observed on that write), the others are written
-    from the files just written (a lineage cut on shared storage, no cache
-    that an executor loss could drop). Unknown formats are skipped.
+    The frame's plan runs once: with more than one format it is written to a
+    Parquet stage in the shared folder, every format is written from that
+    stage, and each is held against what was observed on the original.
+    Unsupported formats are skipped with a warning.
     """
-    known = [f for f in formats if f in WRITERS]
-    results: dict[str, WriteResult] = {}
-    source = df
-    for fmt in known:
-        first = source is df
-        results[fmt] = WRITERS[fmt](source, os.path.join(base_path, f"data.{fmt}"),
-                                    metrics=metrics if first else None)
-        if first:
-            source = read_back(df.sparkSession, results[fmt])
+    known = known_formats(formats)
+    at = {f: os.path.join(base_path, f"data.{f}") for f in known}
+    if len(known) == 1:
+        return {known[0]: WRITERS[known[0]](df, at[known[0]], metrics=metrics, verify=verify)}
+    spark = df.sparkSession
+    original = write_parquet(df, shared_dir(spark, "fan-out"), metrics=metrics, verify=False)
+    source = read_back(spark, original)
+    results = {}
+    for f in known:
+        result = WRITERS[f](source, at[f], verify=False)
+        result.expected_rows, result.expected_checksum = original.expected_rows, original.expected_checksum
+        result.metrics = original.metrics
+        results[f] = result.check(spark) if verify else result
     return results
 
 
@@ -195,15 +289,22 @@ def compaction_plan(df: DataFrame, current_partitions: int,
 
 
 def load_summary(spark: SparkSession, results: dict[str, WriteResult]) -> DataFrame:
-    """format, n_files, total_bytes of written data files (file listing via the
-    binaryFile source; file contents are not read)."""
+    """format, n_rows, n_columns, n_files, total_bytes of what was written: the
+    rows from a scan of the files, the sizes from a file listing (binaryFile
+    source; contents are not read)."""
     frames = []
     for fmt, res in results.items():
+        back = read_back(spark, res)
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
                  .option("recursiveFileLookup", True).load(res.path).select("path", "length"))
-        frames.append(files.agg(F.count(F.lit(1)).alias("n_files"),
-                                F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("total_bytes"))
-                      .select(F.lit(fmt).alias("format"), "n_files", "total_bytes"))
+        rows = back.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            "n_rows", F.lit(0).cast("long").alias("n_files"), F.lit(0).cast("long").alias("total_bytes"))
+        sizes = files.agg(F.count(F.lit(1)).alias("n_files"),
+                          F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("total_bytes")).select(
+            F.lit(0).cast("long").alias("n_rows"), "n_files", "total_bytes")
+        frames.append(rows.unionByName(sizes).agg(*[F.max(c).alias(c) for c in ("n_rows", "n_files", "total_bytes")])
+                      .select(F.lit(fmt).alias("format"), "n_rows", F.lit(len(back.columns)).alias("n_columns"),
+                              "n_files", "total_bytes"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -48,14 +48,18 @@ def _csv_reader(spark: SparkSession, schema: T.StructType | None, timestamp_form
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_CONTRACT,
              timestamp_format: str = TIMESTAMP_FORMAT, multi_line: bool = False,
-             corrupt_column: str | None = None, mode: str = "PERMISSIVE",
+             corrupt_column: str | None = None, mode: str | None = None,
              validate_schema: bool = True, expected: T.StructType | None = None) -> DataFrame:
     """Scan CSV with a header under a schema contract.
 
-    ``multi_line`` is off by default: with it a file can only be read by one
-    task. A missing path raises FileNotFoundError; when ``validate_schema`` is
+    A record that does not fit the schema fails the read, unless a
+    ``corrupt_column`` takes it or another ``mode`` is asked for.
+    ``multi_line`` is off by default, so that a file can be split; records that
+    hold line breaks in quotes need it, or :func:`scan_csv`, which sets them
+    aside. A missing path raises FileNotFoundError; when ``validate_schema`` is
     set, a header that lacks a contract field raises ValueError.
     """
+    mode = mode or ("PERMISSIVE" if corrupt_column else "FAILFAST")
     reader = _csv_reader(spark, schema, timestamp_format, multi_line, corrupt_column, mode,
                          check_headers=validate_schema)
     try:
@@ -97,7 +101,7 @@ def read_csv_glob(spark: SparkSession, directory: str, pattern: str = "*.csv",
     file with other columns fails any read of its columns (a bare row count
     parses no columns and is unaffected).
     """
-    reader = (_csv_reader(spark, schema, timestamp_format, multi_line, None, "PERMISSIVE",
+    reader = (_csv_reader(spark, schema, timestamp_format, multi_line, None, "FAILFAST",
                           check_headers=validate_schema)
               .option("pathGlobFilter", pattern).option("recursiveFileLookup", True))
     try:
@@ -115,6 +119,42 @@ def read_csv_glob(spark: SparkSession, directory: str, pattern: str = "*.csv",
     return df
 
 
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT,
+             timestamp_format: str = TIMESTAMP_FORMAT, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(records, rejected) of CSV files with a header, read line by line.
+
+    Files stay splittable and no line is lost: every line but the headers is
+    either a record or in ``rejected`` (line, reason). Reasons: 'open_quote'
+    (an odd number of quotes, as where a quoted field holds a line break),
+    'fields' (too few or too many, as between two such lines) and 'value' (a
+    field that is not of its type). A file whose first line is not the header
+    of the schema has that line rejected as well, as 'fields' or 'value'.
+    """
+    header = sep.join(f.name for f in schema.fields)
+    quoted = sep.join(f'"{f.name}"' for f in schema.fields)
+    lines = spark.read.text(path).select(F.regexp_replace("value", "\\r$", "").alias("line")).where(
+        ~F.col("line").isin(header, quoted) & (F.col("line") != ""))
+    corrupt = "_corrupt"
+    full = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt,
+               "timestampFormat": timestamp_format, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    # Fields are counted by their separators outside quotes.
+    bare = F.regexp_replace("line", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + len(sep)
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    parsed = lines.select("line", F.from_csv("line", _ddl(full), options).alias("r"))
+    reason = (F.when(quotes % 2 == 1, F.lit("open_quote"))
+              .when(fields != len(schema.fields) * len(sep), F.lit("fields"))
+              .when(F.col(f"r.{corrupt}").isNotNull(), F.lit("value")))
+    marked = parsed.withColumn("reason", reason)
+    records = marked.where("reason is null").select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    return records, marked.where("reason is not null").select("line", "reason")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan: column pruning, filter pushdown and partition discovery
     come from the reader."""

@@ -60,3 +60,15 @@ RAW_NAMES = {
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same readings under the raw sensor names."""
     return readings(spark, sf_dir).withColumnsRenamed(RAW_NAMES)
+
+
+def text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with what text formats get wrong: line breaks, quotes,
+    backslashes, blanks, empty and null texts, and times of microseconds."""
+    key = F.pmod(F.col("reading_id"), F.lit(8))
+    texts = ["two\nlines", 'say "hi", they', "back\\slash \\n", "", None, "  padded, comma ", "cr\r\nlf", "ünï – 漢"]
+    note = F.lit(None).cast("string")
+    for i, t in enumerate(texts):
+        note = F.when(key == i, F.lit(t)).otherwise(note)
+    return readings(spark, sf_dir).withColumns({
+        "note": note, "seen_at": F.expr("timestampadd(MICROSECOND, reading_id, formatted_date)")})

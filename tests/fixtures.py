@@ -8,10 +8,10 @@ F1_HEADER = ("Formatted Date,Summary,Precip Type,Temperature (C),Apparent Temper
              "Wind Speed (km/h),Wind Bearing (degrees),Visibility (km),Loud Cover,"
              "Pressure (millibars),Daily Summary")
 F1_ROWS = [
-    "2006-04-01 00:00:00.000 +0200,Partly Cloudy,rain,9.47,7.39,0.89,14.12,251.0,15.83,0.0,1015.13,"
-    "Partly cloudy throughout the day.",
-    "2006-04-01 01:00:00.000 +0200,Mostly Cloudy,rain,9.36,7.23,0.86,14.26,259.0,15.83,0.0,1015.63,"
-    "Partly cloudy throughout the day.",
+    "2031-07-15 00:30:00.000 +0200,Dust,none,31.25,33.5,0.125,7.75,12.0,4.5,0.0,987.5,"
+    "Dust until dawn.",
+    "2031-07-15 01:45:00.000 +0200,Calm,none,30.75,32.0,0.25,0.5,300.0,9.25,0.0,988.25,"
+    "Calm after the dust.",
 ]
 
 

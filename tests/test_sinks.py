@@ -2,12 +2,25 @@ import datetime as dt
 import glob
 import os
 
+import pytest
+
+from pyspark.sql import functions as F
+
 from stratus import sinks
 from stratus.sources import read_parquet
 
-F3 = [(dt.date(2011, 1, 1), 20.5, 25.0, 15.0, 5.0), (dt.date(2011, 1, 2), 22.0, 27.0, 17.0, 5.0),
-      (dt.date(2011, 1, 3), 18.5, 23.0, 14.0, 5.0)]
+F3 = [(dt.date(2031, 5, 3), -3.25, 0.5, -9.75, 11.0), (dt.date(2031, 5, 7), 1.0, 6.5, -2.0, 3.0),
+      (dt.date(2032, 2, 29), 30.125, 41.0, 17.5, 1.0)]
 F3_SCHEMA = "date date, avg_tempC double, max_tempC double, min_tempC double, n_rows double"
+TEXT_SCHEMA = "i int, text string, seen timestamp, local timestamp_ntz, x double"
+TEXTS = ["plain", "two\nlines", "cr\r\nlf", 'a "quote"', 'comma, and \\ backslash', "", None, "  blanks  ", "ünï 漢", '"', "\\"]
+
+
+def _texts(spark):
+    at = dt.datetime(2031, 1, 2, 3, 4, 5, 678901)
+    rows = [(i, t, at + dt.timedelta(microseconds=i), at if i % 2 else None, float("nan") if i == 3 else i / 3)
+            for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, TEXT_SCHEMA)
 
 
 def _f3(spark):
@@ -47,10 +60,61 @@ def test_json_keeps_null_columns(spark, tmp_dir):
 
 
 def test_multi_format_and_summary(spark, tmp_dir):
-    results = sinks.write_multiple_formats(_f3(spark), tmp_dir, ("parquet", "csv", "json", "xml"))
+    with pytest.warns(UserWarning, match="xml"):
+        results = sinks.write_multiple_formats(_f3(spark), tmp_dir, ("parquet", "csv", "json", "xml"))
     assert sorted(results) == ["csv", "json", "parquet"]
     summary = {r.format: r for r in sinks.load_summary(spark, results).collect()}
     assert all(summary[f].n_files >= 1 and summary[f].total_bytes > 0 for f in results)
+    assert all((summary[f].n_rows, summary[f].n_columns) == (3, 5) for f in results)
+
+
+def test_no_known_format_is_an_error_before_any_job(spark, tmp_dir):
+    with pytest.warns(UserWarning), pytest.raises(ValueError):
+        sinks.write_multiple_formats(_f3(spark), tmp_dir, ("xml",))
+    assert os.listdir(tmp_dir) == []
+
+
+@pytest.mark.parametrize("order", [("csv", "json", "parquet"), ("json", "parquet", "csv"), ("parquet", "csv", "json")])
+def test_texts_survive_every_format_order(spark, tmp_dir, order):
+    df = _texts(spark)
+    results = sinks.write_multiple_formats(df, tmp_dir, order)
+    want = sorted(map(repr, df.collect()))
+    for res in results.values():
+        assert sorted(map(repr, sinks.read_back(spark, res).collect())) == want
+        assert res.verification(spark).first().valid
+
+
+@pytest.mark.parametrize("options", [{"sep": ";"}, {"header": False}, {"sep": "\t", "header": False, "compression": "gzip"}])
+def test_csv_is_read_as_it_was_written(spark, tmp_dir, options):
+    res = sinks.write_csv(_texts(spark), os.path.join(tmp_dir, "c"), **options)
+    assert sorted(map(repr, sinks.read_back(spark, res).collect())) == sorted(map(repr, _texts(spark).collect()))
+
+
+def test_a_lossy_write_raises(spark, tmp_dir):
+    with pytest.raises(sinks.VerificationError):  # seconds only
+        sinks.write_csv(_texts(spark), os.path.join(tmp_dir, "l"), timestamp_format="yyyy-MM-dd HH:mm:ss")
+    with pytest.raises(sinks.VerificationError):  # blank lines
+        sinks.write_csv(spark.createDataFrame([(None,), ("a",)], "a string"), os.path.join(tmp_dir, "n"))
+
+
+def test_dynamic_overwrite_and_append_are_checked_on_what_they_wrote(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "d")
+    sinks.write_parquet(_f3(spark), path, partition_by=["date"])
+    day = spark.createDataFrame([(F3[0][0], 9.0, 9.0, 9.0, 9.0), (None, 1.0, 1.0, 1.0, 1.0)], F3_SCHEMA)
+    res = sinks.write_parquet(day, path, partition_by=["date"], dynamic_partitions=True)
+    assert res.verification(spark).first().valid and read_parquet(spark, path).count() == 4
+    more = sinks.write_parquet(_f3(spark), path, partition_by=["date"], mode="append")
+    assert more.expected_rows == 3 and read_parquet(spark, path).count() == 7
+    first = sinks.write_json(_f3(spark), os.path.join(tmp_dir, "j"), mode="append")
+    assert first.verification(spark).first().valid
+
+
+def test_sorted_output(spark, tmp_dir):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n")).repartition(6)
+    res = sinks.write_parquet(df, os.path.join(tmp_dir, "s"), sort_by=("n",))
+    files = sorted(glob.glob(os.path.join(res.path, "part-*")))
+    rows = [r.n for f in files for r in spark.read.parquet(f).collect()]
+    assert rows == sorted(rows) and len(rows) == 1000
 
 
 def test_verification_detects_change(spark, tmp_dir):

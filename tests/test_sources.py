@@ -24,7 +24,7 @@ def test_csv_timestamp_zone(spark, tmp_dir):
     write_f1(path)
     df = read_csv(spark, path)
     days = {r[0] for r in df.select(F.to_date("Formatted Date")).collect()}
-    assert days == {__import__("datetime").date(2006, 3, 31)}  # session zone is UTC
+    assert days == {__import__("datetime").date(2031, 7, 14)}  # session zone is UTC
 
 
 def test_csv_glob_two_files(spark, tmp_dir):
@@ -74,3 +74,42 @@ def test_csv_glob_checks_every_header(spark, tmp_dir):
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         read_csv_glob(spark, tmp_dir, "*.csv").collect()
     assert read_csv_glob(spark, tmp_dir, "*.csv", validate_schema=False).count() == 3
+
+
+def test_malformed_record_fails_by_default(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "q.csv")
+    with open(path, "w") as fh:
+        fh.write('a,b\n1,"line one\nline two"\n2,x\n')
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_csv(spark, path, schema=schema).collect()
+
+
+def test_scan_csv_sets_every_bad_line_aside(spark, tmp_dir):
+    from stratus.sources import scan_csv
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()),
+                           T.StructField("c", T.DoubleType())])
+    for name, body in (("1.csv", '1,"x, ""y""",2.5\n2,"open\nrest",1\n3,short\n4,a,1,2\nfive,a,1\n6,,\n'),
+                       ("2.csv", "7, padded ,1e3\r\n")):
+        with open(os.path.join(tmp_dir, name), "w", newline="") as fh:
+            fh.write("a,b,c\n" + body)
+    records, rejected = scan_csv(spark, tmp_dir, schema)
+    assert sorted(tuple(r) for r in records.collect()) == [(1, 'x, "y"', 2.5), (6, None, None), (7, " padded ", 1000.0)]
+    assert sorted(tuple(r) for r in rejected.collect()) == sorted([
+        ('2,"open', "open_quote"), ('rest",1', "open_quote"), ("3,short", "fields"), ("4,a,1,2", "fields"), ("five,a,1", "value")])
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "Europe/Budapest", "Asia/Tokyo"])
+def test_day_in_an_explicit_zone(spark, tmp_dir, session_zone):
+    from stratus.operators.daily import date_of
+    path = os.path.join(tmp_dir, "weather.csv")
+    write_f1(path)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", session_zone)
+        df = read_csv(spark, path)
+        for zone, day in (("UTC", 14), ("Europe/Budapest", 15), ("America/New_York", 14)):
+            days = {r[0].day for r in df.select(date_of(df, "Formatted Date", zone)).collect()}
+            assert days == {day}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
