@@ -18,24 +18,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions.exprs import any_null, as_timestamp, pct, resolve
-from stratus.operators.clean import invalid_condition
+from stratus.operators.clean import invalid_condition, staged_rows
 from stratus.profile import READINGS, Profile
 
 CHECK_ORDER = ("schema", "completeness", "ranges", "duplicates", "temporal")
 
 
-def _ts_literal(dtype: T.DataType, as_of: str | datetime) -> Column:
+def _ts_literal(dtype: T.DataType, as_of: str | datetime) -> str:
     text = as_of if isinstance(as_of, str) else as_of.strftime("%Y-%m-%d %H:%M:%S")
-    if isinstance(dtype, T.TimestampType):
-        return F.to_timestamp(F.lit(text))
-    return F.to_timestamp_ntz(F.lit(text))
+    return f"{'to_timestamp' if isinstance(dtype, T.TimestampType) else 'to_timestamp_ntz'}({_text(text)})"
 
 
-def _numeric(df: DataFrame, name: str) -> Column:
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _numeric(df: DataFrame, name: str) -> str:
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.col(name)
+        return _q(name)
     # Under ANSI a string compared with a number raises; count bad text as null.
-    return F.col(name).try_cast("double")
+    return f"try_cast({_q(name)} AS DOUBLE)"
+
+
+def _timestamp(df: DataFrame, name: str, fmt: str) -> str:
+    """As :func:`stratus.functions.exprs.as_timestamp`, in SQL."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType):
+        return f"try_to_timestamp({_q(name)}, {_text(fmt)})"
+    return f"CAST({_q(name)} AS TIMESTAMP_NTZ)" if isinstance(dtype, T.DateType) else _q(name)
+
+
+def _pct(part: str, total: str) -> str:
+    return f"(CASE WHEN {total} > 0 THEN 100.0D * {part} / {total} ELSE 0.0D END)"
 
 
 def _inline(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -43,40 +62,37 @@ def _inline(df: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 class Metric:
-    """One decomposable metric: ``op`` over ``arg``, reading column ``source``
-    (None for the row count). ``op`` is rows, count_if, count, min, max or sum."""
+    """One decomposable metric: ``op`` over ``arg`` (SQL text), reading column
+    ``source`` (None for the row count). ``op`` is rows, count_if, count, min,
+    max or sum. Aggregates are SQL text as well: a check of a wide frame has
+    hundreds of expressions, and text reaches the JVM in one call."""
 
-    def __init__(self, name: str, source: str | None, op: str, arg: Column | None = None):
+    def __init__(self, name: str, source: str | None, op: str, arg: str = "1"):
         self.name, self.source, self.op, self.arg = name, source, op, arg
 
-    def aggregate(self) -> Column:
+    def aggregate(self) -> str:
         """The metric over plain rows."""
-        if self.op == "rows":
-            return F.count(F.lit(1))
-        return {"count_if": F.count_if, "count": F.count, "min": F.min, "max": F.max,
-                "sum": F.sum}[self.op](self.arg)
+        return f"{'count' if self.op == 'rows' else self.op}({self.arg})"
 
-    def combine(self) -> Column:
+    def combine(self) -> str:
         """The metric from per-group partial values in column ``name``."""
-        part = F.col(self.name)
-        if self.op in ("min", "max"):
-            return F.min(part) if self.op == "min" else F.max(part)
-        if self.op == "sum":
-            return F.sum(part)
-        return F.coalesce(F.sum(part), F.lit(0).cast("long"))
-
-    def weighted(self, m: Column) -> Column:
+        if self.op in ("min", "max", "sum"):
+            return f"{self.op}({self.name})"
+        return f"coalesce(sum({self.name}), 0L)"
+
+    def weighted(self, m: str) -> str:
         """The metric over groups of identical values, each standing for ``m`` rows."""
-        zero = F.lit(0).cast("long")
         if self.op == "rows":
-            return F.coalesce(F.sum(m), zero)
+            return f"coalesce(sum({m}), 0L)"
         if self.op == "count_if":
-            return F.coalesce(F.sum(F.when(self.arg, m)), zero)
+            return f"coalesce(sum(CASE WHEN {self.arg} THEN {m} END), 0L)"
         if self.op == "count":
-            return F.coalesce(F.sum(F.when(self.arg.isNotNull(), m)), zero)
-        if self.op == "sum":
-            return F.sum(self.arg * m)
-        return F.min(self.arg) if self.op == "min" else F.max(self.arg)
+            return f"coalesce(sum(CASE WHEN {self.arg} IS NOT NULL THEN {m} END), 0L)"
+        return f"sum({self.arg} * {m})" if self.op == "sum" else f"{self.op}({self.arg})"
+
+
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{text} AS {name}") for name, text in expressions.items()]
 
 
 class QualityPlan:
@@ -89,8 +105,11 @@ class QualityPlan:
                  expected_schema: T.StructType | None = None,
                  as_of: str | datetime | None = None,
                  key_columns: list[str] | None = None,
-                 date_column: str | None = None):
+                 date_column: str | None = None, staged: DataFrame | None = None):
+        """``staged``: the (row, copies) form of ``df`` (clean.staged_rows), used
+        instead of grouping ``df`` again where the whole row is the key."""
         self.df = df
+        self.staged = staged
         self.profile = profile
         self.expected_schema = expected_schema
         self.as_of = as_of
@@ -120,9 +139,9 @@ class QualityPlan:
     # (the default), the shuffle carries the row and one count, nothing else.
     def completeness_parts(self) -> list[Metric]:
         parts = [Metric("total_rows", None, "rows")]
-        parts += [Metric(f"null_{i}", c, "count_if", F.col(c).isNull())
+        parts += [Metric(f"null_{i}", c, "count_if", f"{_q(c)} IS NULL")
                   for i, c in enumerate(self.columns)]
-        parts += [Metric(f"empty_{i}", c, "count_if", F.col(c) == F.lit(""))
+        parts += [Metric(f"empty_{i}", c, "count_if", f"{_q(c)} = ''")
                   for i, c in enumerate(self.columns) if c in self.strings]
         return parts
 
@@ -132,20 +151,20 @@ class QualityPlan:
             v = _numeric(self.df, name)
             parts += [Metric(f"min_{j}", name, "min", v), Metric(f"max_{j}", name, "max", v),
                       Metric(f"sum_{j}", name, "sum", v), Metric(f"n_{j}", name, "count", v),
-                      Metric(f"below_{j}", name, "count_if", v < F.lit(rule.lower)),
-                      Metric(f"above_{j}", name, "count_if", v > F.lit(rule.upper))]
+                      Metric(f"below_{j}", name, "count_if", f"{v} < {float(rule.lower)!r}D"),
+                      Metric(f"above_{j}", name, "count_if", f"{v} > {float(rule.upper)!r}D")]
         return parts
 
     def temporal_parts(self) -> list[Metric]:
         if self.date_column is None:
             return []
         c = self.date_column
-        ts = as_timestamp(self.df, c, self.profile.timestamp_format)
-        parts = [Metric("ts_invalid", c, "count_if", ts.isNull()),
+        ts = _timestamp(self.df, c, self.profile.timestamp_format)
+        parts = [Metric("ts_invalid", c, "count_if", f"{ts} IS NULL"),
                  Metric("ts_min", c, "min", ts), Metric("ts_max", c, "max", ts)]
         if self.as_of is not None:
-            dtype = self.df.schema[c].dataType
-            parts.append(Metric("ts_future", c, "count_if", ts > _ts_literal(dtype, self.as_of)))
+            bound = _ts_literal(self.df.schema[c].dataType, self.as_of)
+            parts.append(Metric("ts_future", c, "count_if", f"{ts} > {bound}"))
         return parts
 
     def parts(self) -> list[Metric]:
@@ -153,14 +172,12 @@ class QualityPlan:
 
     def completeness_aggs(self) -> list[Column]:
         """Single-level aggregates for a plain scan."""
-        return [m.aggregate().alias(m.name) for m in self.completeness_parts()]
+        return _named({m.name: m.aggregate() for m in self.completeness_parts()})
 
     def range_aggs(self) -> list[Column]:
-        aggs = []
-        for j, (_, name) in enumerate(self.rules):
-            aggs.append(F.avg(_numeric(self.df, name)).alias(f"avg_{j}"))
-        return aggs + [m.aggregate().alias(m.name) for m in self.range_parts()
-                       if not m.name.startswith("sum_")]
+        means = {f"avg_{j}": f"avg({_numeric(self.df, name)})" for j, (_, name) in enumerate(self.rules)}
+        return _named(means | {m.name: m.aggregate() for m in self.range_parts()
+                               if not m.name.startswith("sum_")})
 
     def duplicates_row(self) -> DataFrame:
         per_key = self.df.groupBy(*[F.col(k) for k in self.group_columns]).agg(
@@ -178,22 +195,20 @@ class QualityPlan:
         """
         parts = self.parts()
         keyset = set(self.group_columns)
-        inner = [m for m in parts if m.source is not None and m.source not in keyset]
-        per_key = self.df.groupBy(*[F.col(k) for k in self.group_columns]).agg(
-            F.count(F.lit(1)).alias("_m"), *[m.aggregate().alias(m.name) for m in inner])
-        zero = F.lit(0).cast("long")
+        if self.staged is not None and keyset == set(self.df.columns):
+            per_key, inner = self.staged.withColumnRenamed("copies", "_m"), []
+        else:
+            inner = [m for m in parts if m.source is not None and m.source not in keyset]
+            per_key = self.df.groupBy(*[_q(k) for k in self.group_columns]).agg(
+                *_named({"_m": "count(1)"} | {m.name: m.aggregate() for m in inner}))
         inner_names = {m.name for m in inner}
-        level2 = [(m.combine() if m.name in inner_names else m.weighted(F.col("_m"))).alias(m.name)
-                  for m in parts]
-        combined = per_key.agg(
-            *level2,
-            F.coalesce(F.sum("_m"), zero).alias("dup_total"),
-            F.count(F.lit(1)).alias("dup_unique"))
-        extra = {f"avg_{j}": F.try_divide(F.col(f"sum_{j}"), F.col(f"n_{j}"))
-                 for j in range(len(self.rules))}
+        combined = per_key.agg(*_named(
+            {m.name: m.combine() if m.name in inner_names else m.weighted("_m") for m in parts}
+            | {"dup_total": "coalesce(sum(_m), 0L)", "dup_unique": "count(1)"}))
+        extra = [f"try_divide(sum_{j}, n_{j}) AS avg_{j}" for j in range(len(self.rules))]
         if self.date_column is not None and self.as_of is None:
-            extra["ts_future"] = zero
-        return combined.withColumns(extra) if extra else combined
+            extra.append("0L AS ts_future")
+        return combined.selectExpr("*", *extra)
 
     # -- check definitions as expressions over the wide row ----------------------
     def schema_issues(self) -> list[tuple[str, str, str | None, str | None]]:
@@ -202,74 +217,58 @@ class QualityPlan:
     def duplicate_field(self) -> str:
         return "*" if self.keys == list(self.df.columns) else ",".join(self.keys)
 
-    def rows(self) -> list[tuple[str, str, str, Column, Column, Column]]:
-        """(check, field, metric, value, threshold, valid) for every check row."""
-        total = F.col("total_rows")
+    def rows(self) -> list[tuple[str, str, str, str, str, str]]:
+        """(check, field, metric, value, threshold, valid) for every check row;
+        the last three are SQL over the wide row."""
         out = []
         if self.expected_schema is not None:
             issues = [i for i in self.schema_issues() if i[1] != "extra"]
-            for field, issue, _, _ in issues:
-                out.append(("schema", field, issue, F.lit(1.0), F.lit(0.0), F.lit(False)))
+            out += [("schema", field, issue, "1.0D", "0.0D", "false") for field, issue, _, _ in issues]
             if not issues:
-                out.append(("schema", "*", "issues", F.lit(0.0), F.lit(0.0), F.lit(True)))
-        limit = F.lit(float(self.profile.max_null_pct))
+                out.append(("schema", "*", "issues", "0.0D", "0.0D", "true"))
+        limit = f"{float(self.profile.max_null_pct)!r}D"
         for i, c in enumerate(self.columns):
-            p = pct(F.col(f"null_{i}"), total)
-            out.append(("completeness", c, "null_pct", p, limit, ~(p > limit)))
+            p = _pct(f"null_{i}", "total_rows")
+            out.append(("completeness", c, "null_pct", p, limit, f"NOT ({p} > {limit})"))
         for i, c in enumerate(self.columns):
             if c in self.strings:
-                p = pct(F.col(f"empty_{i}"), total)
-                out.append(("completeness", c, "empty_pct", p, limit, ~(p > limit)))
+                p = _pct(f"empty_{i}", "total_rows")
+                out.append(("completeness", c, "empty_pct", p, limit, f"NOT ({p} > {limit})"))
         for j, (rule, name) in enumerate(self.rules):
-            below, above = F.col(f"below_{j}"), F.col(f"above_{j}")
-            out.append(("ranges", name, "below_min", below.cast("double"),
-                        F.lit(float(rule.lower)), below == 0))
-            out.append(("ranges", name, "above_max", above.cast("double"),
-                        F.lit(float(rule.upper)), above == 0))
-        dup_pct = pct(F.col("dup_total") - F.col("dup_unique"), F.col("dup_total"))
-        dup_limit = F.lit(float(self.profile.max_duplicate_pct))
-        out.append(("duplicates", self.duplicate_field(), "duplicate_pct", dup_pct, dup_limit,
-                    dup_pct <= dup_limit))
+            out.append(("ranges", name, "below_min", f"below_{j}", f"{float(rule.lower)!r}D", f"below_{j} = 0"))
+            out.append(("ranges", name, "above_max", f"above_{j}", f"{float(rule.upper)!r}D", f"above_{j} = 0"))
+        dup = _pct("(dup_total - dup_unique)", "dup_total")
+        dup_limit = f"{float(self.profile.max_duplicate_pct)!r}D"
+        out.append(("duplicates", self.duplicate_field(), "duplicate_pct", dup, dup_limit, f"{dup} <= {dup_limit}"))
         if self.date_column is not None:
-            for metric, col in (("invalid_dates", "ts_invalid"), ("future_dates", "ts_future")):
-                out.append(("temporal", self.date_column, metric, F.col(col).cast("double"),
-                            F.lit(0.0), F.col(col) == 0))
+            out += [("temporal", self.date_column, metric, col, "0.0D", f"{col} = 0")
+                    for metric, col in (("invalid_dates", "ts_invalid"), ("future_dates", "ts_future"))]
         else:
-            out.append(("temporal", self.profile.date_column, "missing_column",
-                        F.lit(0.0), F.lit(0.0), F.lit(True)))
+            out.append(("temporal", self.profile.date_column, "missing_column", "0.0D", "0.0D", "true"))
         return out
 
     def long(self, wide: DataFrame) -> DataFrame:
         """The long-form result generated from the one-row ``wide`` frame."""
-        structs = [F.struct(F.lit(check).alias("check_name"), F.lit(field).alias("field"),
-                            F.lit(metric).alias("metric"),
-                            value.cast("double").alias("metric_value"),
-                            thr.cast("double").alias("threshold"), valid.alias("valid"))
-                   for check, field, metric, value, thr, valid in self.rows()]
-        return _inline(wide, structs)
+        structs = [f"named_struct('check_name', {_text(check)}, 'field', {_text(field)}, 'metric', {_text(metric)}, "
+                   f"'metric_value', CAST({value} AS DOUBLE), 'threshold', CAST({threshold} AS DOUBLE), 'valid', {valid})"
+                   for check, field, metric, value, threshold, valid in self.rows()]
+        return wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
     def check_valid(self) -> dict[str, Column]:
         """check name -> validity expression over the wide row."""
-        by_check: dict[str, list[Column]] = {}
+        by_check: dict[str, list[str]] = {}
         for check, _, _, _, _, valid in self.rows():
-            by_check.setdefault(check, []).append(F.coalesce(valid, F.lit(False)))
-        out = {}
-        for check in self.checks:
-            conds = by_check.get(check, [F.lit(True)])
-            expr = conds[0]
-            for c in conds[1:]:
-                expr = expr & c
-            out[check] = expr
-        return out
+            by_check.setdefault(check, []).append(f"coalesce({valid}, false)")
+        return {check: F.expr(" AND ".join(by_check.get(check, ["true"]))) for check in self.checks}
 
 
 def full_validation(df: DataFrame, profile: Profile = READINGS,
                     expected_schema: T.StructType | None = None,
                     as_of: str | datetime | None = None,
-                    key_columns: list[str] | None = None) -> DataFrame:
+                    key_columns: list[str] | None = None, staged: DataFrame | None = None) -> DataFrame:
     """Long-form result of all checks: check_name, field, metric, metric_value,
     threshold, valid (one row per check x field x metric)."""
-    plan = QualityPlan(df, profile, expected_schema, as_of, key_columns)
+    plan = QualityPlan(df, profile, expected_schema, as_of, key_columns, staged=staged)
     return plan.long(plan.wide())
 
 
@@ -372,7 +371,7 @@ def temporal_check(df: DataFrame, date_column: str, as_of: str | datetime,
     if name is None:
         raise ValueError(f"date column {date_column!r} not found")
     ts = as_timestamp(df, name, profile.timestamp_format)
-    bound = _ts_literal(df.schema[name].dataType, as_of)
+    bound = F.expr(_ts_literal(df.schema[name].dataType, as_of))
     row = df.agg(F.count(F.lit(1)).alias("total_rows"),
                  F.count_if(ts.isNull()).alias("invalid_dates"),
                  F.count_if(ts > bound).alias("future_dates"),
@@ -494,21 +493,23 @@ def stage_quality_metrics(df: DataFrame, profile: Profile = READINGS) -> DataFra
     ])
 
 
-def quarantine_rows(df: DataFrame, profile: Profile = READINGS) -> DataFrame:
+def quarantine_rows(df: DataFrame, profile: Profile = READINGS,
+                    staged: DataFrame | None = None) -> DataFrame:
     """Rows the cleaning rejects: one row per distinct row and reason, with
     ``copies``, the number of input rows it stands for.
 
     Order of rules: extra copies of an exact duplicate ('duplicate'), then a
     null critical column ('null_critical'), then an invalid pressure reading
     ('invalid_pressure'). Cleaned rows + sum(copies) = input rows. One scan and
-    one group-by on the row; a row repeated billions of times stays one row.
+    one group-by on the row (``staged``, if it is there already); a row repeated
+    billions of times stays one row.
     """
     cols = df.columns
     critical = [c for c in (resolve(df, n) for n in profile.critical_columns) if c]
     inv = invalid_condition(df, profile)
     bad = inv if inv is not None else F.lit(False)
     rule = F.when(any_null(critical), F.lit("null_critical")).when(bad, F.lit("invalid_pressure"))
-    found = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    found = (staged_rows(df) if staged is None else staged).withColumnRenamed("copies", "_m")
     reasons = F.array(F.struct(F.lit("duplicate").alias("reason"), (F.col("_m") - 1).alias("copies")),
                       F.struct(rule.alias("reason"), F.lit(1).cast("long").alias("copies")))
     return (found.select(*cols, F.inline(F.filter(reasons, lambda r: r["reason"].isNotNull() & (r["copies"] > 0)))))

@@ -27,6 +27,7 @@ from stratus.operators import analytics as analytics_ops
 from stratus.operators import joins as join_ops
 from stratus.plans import incremental
 from stratus.plans import oracle as O
+from stratus.plans.pipeline import run_job
 from stratus.profile import FEATURES, READINGS, TIMESTAMP_FORMAT
 from stratus.session import shared_dir
 from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
@@ -657,6 +658,21 @@ def q_anomaly_zscore(spark, sf_dir):
     return rounded(analytics_ops.anomaly_zscore(daily(spark, sf_dir)), ("zscore",))
 
 
+@register("full_job_summary", O.sql(
+    "SELECT (SELECT count(*) FROM R) AS extraction_rows, (SELECT count(*) FROM C) AS cleaned_rows, "
+    "(SELECT count(*) FROM F) AS final_rows, 'SUCCESS' AS status, "
+    "(SELECT count(*) FROM R) - (SELECT count(*) FROM C) AS rejected_rows, (SELECT count(*) FROM F) * 2 AS loaded_rows", "R", "C", "F"))
+def q_full_job_summary(spark, sf_dir):
+    job = run_job(spark, readings(spark, sf_dir), shared_dir(spark, "full_job"), as_of=READINGS_AS_OF,
+                  formats=("parquet", "json"), on_fail="quarantine")
+    rejected = spark.read.parquet(job.rejected_path).agg(F.sum("copies").alias("rejected_rows"))
+    loaded = job.loads.agg(F.sum("n_rows").alias("loaded_rows"))
+    frames = (job.summary, rejected, loaded)
+    merged = _union([f.select(*[F.col(c) if c in f.columns else F.lit(None).alias(c) for g in frames for c in g.columns])
+                     for f in frames])
+    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+
+
 INCREMENT_CUTOFF = "1998-06-15 00:00:00"
 
 
@@ -688,13 +704,12 @@ def q_stream_daily_agg(spark, sf_dir):
 @register("stream_features", O.sql(f"SELECT {O.FEATURES_SELECT} FROM F", "F"))
 def q_stream_features(spark, sf_dir):
     base = shared_dir(spark, "stream_features")
-    # Stage the readings as time-ordered files, so that each micro-batch
-    # carries a slice of the calendar (as arriving sensor data would).
+    # The readings as files, one per partition of the table as it is; how many
+    # of them a micro-batch takes is the caller's choice (here: all there are).
     r = readings(spark, sf_dir)
-    r.repartitionByRange(4, "formatted_date").write.parquet(f"{base}/incoming")
+    r.write.parquet(f"{base}/incoming")
     out = streaming.feature_stream(spark, f"{base}/incoming", "*.parquet", r.schema,
-                                   f"{base}/store", f"{base}/features", f"{base}/checkpoint",
-                                   max_files_per_trigger=1)
+                                   f"{base}/store", f"{base}/features", f"{base}/checkpoint")
     return rounded(out.select(*feature_ops_columns()), FEATURE_INEXACT)
 
 

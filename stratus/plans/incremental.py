@@ -2,17 +2,17 @@
 
 Because every feature is scoped to a calendar month, a batch of new readings
 only changes the months it touches. Those months are recomputed from the
-readings source (semi-join on the touched months, which are bounded by the
-calendar and broadcast) and written with dynamic partition overwrite, so the
-other months' files are left as they are.
+readings source (semi-join on the touched months) and written with dynamic
+partition overwrite, so the other months' files are left as they are. A store
+fed batch by batch is laid out by month first, so a batch opens the
+directories of the months it touches and no others.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratus import sinks
@@ -24,9 +24,6 @@ from stratus.profile import READINGS, Profile
 PARTITION_COLUMNS = ("year", "month")
 # Layout of a readings store fed batch by batch (see ``store_batch``).
 STORE_PARTITIONS = ("reading_year", "reading_month", "batch_id")
-# Above this many touched months the store is filtered by a semi-join instead
-# of a partition-filter list (both exact; the list only prunes better).
-MAX_PRUNED_MONTHS = 10_000
 
 
 def feature_table(readings: DataFrame, profile: Profile = READINGS) -> DataFrame:
@@ -52,7 +49,7 @@ def apply_batch(source: DataFrame, batch: DataFrame, path: str,
     day = date_of(source, profile.date_column)
     keyed = source.withColumns({"_y": F.year(day), "_m": F.month(day)})
     months = touched_months(batch, profile).withColumnsRenamed({"year": "_y", "month": "_m"})
-    affected = keyed.join(F.broadcast(months), ["_y", "_m"], "left_semi").drop("_y", "_m")
+    affected = keyed.join(months, ["_y", "_m"], "left_semi").drop("_y", "_m")
     return write_feature_table(affected, path, profile, dynamic=True)
 
 
@@ -79,66 +76,43 @@ class StoredBatch:
 
 def store_batch(batch: DataFrame, store_path: str, batch_id: int,
                 profile: Profile = READINGS) -> StoredBatch:
-    """Add a batch of readings to a store laid out by reading month.
-
-    The batch goes to its own folder ``batch_id=<n>`` (plain overwrite, so a
-    batch replayed after a failure rewrites exactly that folder), split there
-    into (reading_year, reading_month) directories. The rebalance hint
-    clusters each month's rows into few files, and AQE splits a month that
-    holds a large share of the batch over several tasks. The row count and
-    the touched months are observed on the write itself (its result stage),
-    so no further job is needed to find them.
+    """Add a batch of readings to a store laid out by reading month, then batch.
+
+    Only the batch's own directories are written (dynamic partition overwrite),
+    so a batch replayed after a failure rewrites exactly those. The rebalance
+    hint clusters each month's rows into few files, and AQE splits a month that
+    holds a large share of the batch over several tasks. The row count and the
+    touched months are observed on the write itself (its result stage); the
+    months are as many as the directories that the write commits.
     """
     day = date_of(batch, profile.date_column)
-    keyed = (batch.withColumns({"reading_year": F.year(day), "reading_month": F.month(day)})
+    keyed = (batch.withColumns({"reading_year": F.year(day), "reading_month": F.month(day),
+                                "batch_id": F.lit(int(batch_id))})
              .hint("rebalance", "reading_year", "reading_month"))
     stored = Observation(f"store-{batch_id}")
     month = F.when(F.col("reading_year").isNotNull(),
                    F.struct(F.col("reading_year").alias("y"), F.col("reading_month").alias("m")))
     (keyed.observe(stored, F.count(F.lit(1)).alias("rows"), F.collect_set(month).alias("months"))
-     .write.mode("overwrite").partitionBy("reading_year", "reading_month")
-     .parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*STORE_PARTITIONS).parquet(store_path.rstrip("/")))
     got = stored.get
     months = tuple(sorted((int(r["y"]), int(r["m"])) for r in (got["months"] or [])))
     return StoredBatch(int(got["rows"]), months)
 
 
-def _month_filter(months: list[tuple[int, int]]) -> Column:
-    by_year: dict[int, list[int]] = {}
-    for y, m in months:
-        by_year.setdefault(y, []).append(m)
-    return reduce(lambda a, b: a | b, [
-        (F.col("reading_year") == F.lit(y)) & F.col("reading_month").isin(sorted(ms))
-        for y, ms in sorted(by_year.items())])
+def stored_months(spark: SparkSession, store_path: str, schema,
+                  months: tuple[tuple[int, int], ...]) -> DataFrame:
+    """The stored readings of the given months, opening their directories only."""
+    root = store_path.rstrip("/")
+    paths = [f"{root}/reading_year={y}/reading_month={m}" for y, m in months]
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
-def apply_stored_batch(spark: SparkSession, store_path: str, batch_id: int, path: str,
-                       profile: Profile = READINGS,
-                       touched: tuple[tuple[int, int], ...] | None = None
-                       ) -> sinks.WriteResult | None:
-    """Recompute the months that stored batch ``batch_id`` touches, reading
-    only those months of the store, and overwrite them at ``path``.
-
-    The touched months (``StoredBatch.months``, or read from the batch's
-    folder when not given) are a distinct set bounded by the calendar (at
-    most twelve per year the batch spans); they become a partition filter,
-    so the scan lists and reads only the affected month directories.
-    """
-    def batch_months() -> DataFrame:
-        return (spark.read.parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}")
-                .where(F.col("reading_year").isNotNull())
-                .select("reading_year", "reading_month").distinct())
-
-    if touched is None:
-        touched = tuple((r[0], r[1]) for r in
-                        batch_months().limit(MAX_PRUNED_MONTHS + 1).collect())
+def apply_stored_batch(spark: SparkSession, store_path: str, schema, path: str,
+                       touched: tuple[tuple[int, int], ...],
+                       profile: Profile = READINGS) -> sinks.WriteResult | None:
+    """Recompute the months a stored batch touched (``StoredBatch.months``) from
+    those months of the store (readings of ``schema``), and overwrite them at ``path``."""
     if not touched:
         return None
-    store = spark.read.parquet(store_path)
-    if len(touched) <= MAX_PRUNED_MONTHS:
-        affected = store.where(_month_filter(touched))
-    else:
-        affected = store.join(F.broadcast(batch_months()), ["reading_year", "reading_month"],
-                              "left_semi")
-    readings = affected.drop(*STORE_PARTITIONS)
-    return write_feature_table(readings, path, profile, dynamic=True)
+    return write_feature_table(stored_months(spark, store_path, schema, touched), path, profile, dynamic=True)

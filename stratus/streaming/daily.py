@@ -77,7 +77,7 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
     Each micro-batch is added to a readings store laid out by reading month
     (dynamic overwrite of its own directories: a replayed batch writes the
     same files); then only the months the batch touches are recomputed, from
-    those months' directories alone (partition pruning), and replaced in the
+    those months' directories alone (no others are listed), and replaced in the
     feature table with dynamic partition overwrite. Rolling and lag windows
     cannot run inside a stream; running them per batch on the touched months
     is exact because every window is scoped to one month.
@@ -91,8 +91,7 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
     def upsert(batch: DataFrame, batch_id: int) -> None:
         stored = incremental.store_batch(batch, store_path, batch_id, prof)
         if stored.rows:
-            incremental.apply_stored_batch(spark, store_path, batch_id, features_path, prof,
-                                           touched=stored.months)
+            incremental.apply_stored_batch(spark, store_path, schema, features_path, stored.months, prof)
 
     query = (readings.writeStream.foreachBatch(upsert)
              .option("checkpointLocation", checkpoint)

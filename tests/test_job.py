@@ -38,6 +38,44 @@ def test_run_job_summary_from_result_stages(spark, tmp_dir):
     assert job.verification.collect()[0].valid
     assert spark.read.json(job.raw_quality_path).count() > 0
     assert spark.read.json(job.feature_quality_path).count() > 0
+    assert [tuple(x) for x in job.loads.select("format", "n_rows", "n_columns").collect()] == [("parquet", s.final_rows, 24)]
+    assert {x.total_rows for x in job.extraction.collect()} == {r.count()}
+
+
+def test_run_job_from_csv_in_a_zone(spark, tmp_dir):
+    from tests.fixtures import write_f1
+    path = os.path.join(tmp_dir, "weather.csv")
+    write_f1(path, copies=3)
+    for zone, day in (("Europe/Budapest", 15), ("UTC", 14)):
+        with pytest.warns(UserWarning):
+            job = run_job(spark, path, os.path.join(tmp_dir, zone[:3]), zone=zone, formats=("parquet", "xml"))
+        rows = sinks.read_back(spark, job.outputs["parquet"]).collect()
+        assert [r.date.day for r in rows] == [day] and rows[0].n_rows == 2
+        assert tuple(job.summary.first())[:3] == (6, 2, 1)
+
+
+def test_run_job_rejects_unknown_formats_first(spark, tmp_dir):
+    with pytest.warns(UserWarning, match="xml"), pytest.raises(ValueError):
+        run_job(spark, readings(spark, SF), os.path.join(tmp_dir, "x"), formats=("xml",))
+    assert os.listdir(tmp_dir) == []
+
+
+def test_few_gateway_calls_per_validation(spark):
+    """Checks reach the JVM as text: far fewer calls than one per operator."""
+    from py4j.java_gateway import JavaMember
+
+    from stratus.operators.quality import full_validation
+    r, calls, old = readings(spark, SF), [0], JavaMember.__call__
+
+    def counted(self, *args):
+        calls[0] += 1
+        return old(self, *args)
+    JavaMember.__call__ = counted
+    try:
+        full_validation(r, READINGS, None, "2000-01-01 00:00:00")
+    finally:
+        JavaMember.__call__ = old
+    assert calls[0] < 600
 
 
 def test_job_observations_run_in_result_stage(spark):
