@@ -28,6 +28,7 @@ HEADLINE = [
     "completeness", "temporal_gaps", "lookup_join", "parquet_roundtrip", "csv_scan",
     "incremental_equals_full", "stream_daily_agg", "seasonal_decomposition",
     "metric_correlation", "parquet_scan",
+    "stream_features", "multi_format_counts", "pipeline_summary", "csv_glob_scan",
 ]
 
 

@@ -18,8 +18,13 @@ from pyspark.sql import types as T
 from stratus.operators.quality import QualityPlan, _inline
 from stratus.profile import READINGS, Profile
 
+# The texts of the report.
 RULE = "=" * 60
 THIN = "-" * 40
+TITLE, OVERALL, COUNT, DETAILS = "DATA QUALITY REPORT", "Overall Status: ", "Validations Passed: ", "DETAILED RESULTS:"
+PASSED, FAILED, NOT_AVAILABLE = "PASSED", "FAILED", "N/A"
+ISSUES, TOTAL, COMPLETE, DUPLICATES = "  Issues: ", "  Total Rows: ", "% complete", "  Duplicate Percentage: "
+DATES, INVALID, FUTURE, AS_OF = "  Date Range: ", "  Invalid Dates: ", ", Future Dates: ", "Report as of: "
 
 
 def _pct_text(part: str, total: str, scale: int, empty: int) -> Column:
@@ -31,7 +36,7 @@ def _pct_text(part: str, total: str, scale: int, empty: int) -> Column:
 
 
 def _num6(col: str) -> Column:
-    return F.coalesce(F.format_string("%.6f", F.col(col)), F.lit("N/A"))
+    return F.coalesce(F.format_string("%.6f", F.col(col)), F.lit(NOT_AVAILABLE))
 
 
 def quality_report(df: DataFrame, profile: Profile = READINGS,
@@ -40,7 +45,7 @@ def quality_report(df: DataFrame, profile: Profile = READINGS,
                    key_columns: list[str] | None = None) -> DataFrame:
     plan = QualityPlan(df, profile, expected_schema, as_of, key_columns)
     valid = plan.check_valid()
-    status = {k: F.when(v, F.lit("PASSED")).otherwise(F.lit("FAILED")) for k, v in valid.items()}
+    status = {k: F.when(v, F.lit(PASSED)).otherwise(F.lit(FAILED)) for k, v in valid.items()}
     overall = None
     passed = None
     for v in valid.values():
@@ -48,42 +53,42 @@ def quality_report(df: DataFrame, profile: Profile = READINGS,
         one = F.when(v, F.lit(1)).otherwise(F.lit(0))
         passed = one if passed is None else passed + one
     lines: list[Column] = [
-        F.lit(RULE), F.lit("DATA QUALITY REPORT"), F.lit(RULE),
-        F.concat(F.lit("Overall Status: "), F.when(overall, F.lit("PASSED")).otherwise(F.lit("FAILED"))),
-        F.concat(F.lit("Validations Passed: "), passed.cast("string"),
+        F.lit(RULE), F.lit(TITLE), F.lit(RULE),
+        F.concat(F.lit(OVERALL), F.when(overall, F.lit(PASSED)).otherwise(F.lit(FAILED))),
+        F.concat(F.lit(COUNT), passed.cast("string"),
                  F.lit(f"/{len(plan.checks)}")),
-        F.lit(""), F.lit("DETAILED RESULTS:"), F.lit(THIN),
+        F.lit(""), F.lit(DETAILS), F.lit(THIN),
     ]
     for check in plan.checks:
         lines += [F.lit(""), F.concat(F.lit(f"{check.upper()}: "), status[check])]
         if check == "schema":
             n = len([i for i in plan.schema_issues() if i[1] != "extra"])
-            lines.append(F.lit(f"  Issues: {n}"))
+            lines.append(F.lit(f"{ISSUES}{n}"))
         elif check == "completeness":
-            lines.append(F.concat(F.lit("  Total Rows: "), F.format_number(F.col("total_rows"), 0)))
+            lines.append(F.concat(F.lit(TOTAL), F.format_number(F.col("total_rows"), 0)))
             for i, c in enumerate(plan.columns):
                 lines.append(F.concat(F.lit(f"  {c}: "),
                                       _pct_text(f"total_rows - null_{i}", "total_rows", 1, 100),
-                                      F.lit("% complete")))
+                                      F.lit(COMPLETE)))
         elif check == "ranges":
             for j, (_, name) in enumerate(plan.rules):
                 lines.append(F.concat(F.lit(f"  {name}: min="), _num6(f"min_{j}"),
                                       F.lit(", max="), _num6(f"max_{j}")))
         elif check == "duplicates":
-            lines.append(F.concat(F.lit("  Duplicate Percentage: "),
+            lines.append(F.concat(F.lit(DUPLICATES),
                                   _pct_text("dup_total - dup_unique", "dup_total", 2, 0),
                                   F.lit("%")))
         elif check == "temporal" and plan.date_column is not None:
-            lines.append(F.concat(F.lit("  Date Range: "),
-                                  F.coalesce(F.col("ts_min").cast("string"), F.lit("N/A")),
+            lines.append(F.concat(F.lit(DATES),
+                                  F.coalesce(F.col("ts_min").cast("string"), F.lit(NOT_AVAILABLE)),
                                   F.lit(" to "),
-                                  F.coalesce(F.col("ts_max").cast("string"), F.lit("N/A"))))
-            lines.append(F.concat(F.lit("  Invalid Dates: "), F.col("ts_invalid").cast("string"),
-                                  F.lit(", Future Dates: "), F.col("ts_future").cast("string")))
+                                  F.coalesce(F.col("ts_max").cast("string"), F.lit(NOT_AVAILABLE))))
+            lines.append(F.concat(F.lit(INVALID), F.col("ts_invalid").cast("string"),
+                                  F.lit(FUTURE), F.col("ts_future").cast("string")))
         elif check == "temporal":
             lines.append(F.lit(f"  Date column {profile.date_column} not found"))
     stamp = as_of if isinstance(as_of, str) or as_of is None else as_of.strftime("%Y-%m-%d %H:%M:%S")
-    lines += [F.lit(""), F.lit(RULE), F.lit(f"Report as of: {stamp or 'unspecified'}")]
+    lines += [F.lit(""), F.lit(RULE), F.lit(f"{AS_OF}{stamp or 'unspecified'}")]
     structs = [F.struct(F.lit(n).alias("line_no"), line.alias("line"))
                for n, line in enumerate(lines, start=1)]
     return _inline(plan.wide(), structs)

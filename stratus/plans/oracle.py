@@ -12,13 +12,14 @@ CTE = {}
 
 CTE["R_base"] = """R_base AS (
   SELECT l_orderkey AS reading_id,
-         l_shipdate AS formatted_date,
+         CASE WHEN l_linenumber = 3 AND l_orderkey % 16 = 0 THEN NULL ELSE l_shipdate END AS formatted_date,
          CASE WHEN l_linenumber = 4 AND l_quantity < 10 THEN ''
               WHEN l_linenumber = 2 THEN NULL ELSE l_returnflag END AS summary,
          CASE WHEN l_linenumber = 6 THEN NULL ELSE l_quantity * 2.5e0 - 60e0 END AS temperatureC,
-         round(l_discount * 100e0) * 0.109375e0 AS humidity,
+         CASE WHEN l_linenumber = 4 AND l_orderkey % 4 = 1 THEN NULL
+              ELSE round(l_discount * 100e0) * 0.109375e0 END AS humidity,
          round(l_tax * 100e0) * 28.5e0 AS wind_speed_kmh,
-         CASE WHEN l_linenumber = 7 THEN 0e0 WHEN l_linenumber = 5 THEN NULL
+         CASE WHEN l_linenumber = 7 THEN 0e0 WHEN l_linenumber = 1 AND l_orderkey % 8 = 0 THEN 640.5e0 WHEN l_linenumber = 5 THEN NULL
               ELSE 900e0 + floor(l_extendedprice / 500e0) END AS pressure_millibars,
          l_quantity * 0.25e0 AS visibility_km
   FROM lineitem)"""

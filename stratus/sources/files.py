@@ -7,21 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratus.operators.quality import schema_issues
 from stratus.profile import TIMESTAMP_FORMAT
 from stratus.sources.contract import RAW_CONTRACT
 
 
-def _schema_issues(actual: T.StructType, expected: T.StructType) -> list[tuple[str, str]]:
-    have = {f.name: f.dataType for f in actual.fields}
-    issues = []
-    for f in expected.fields:
-        if f.name not in have:
-            issues.append((f.name, "missing"))
-        elif have[f.name] != f.dataType:
-            issues.append((f.name, "type"))
-    return issues
-
-
 def _csv_reader(spark: SparkSession, schema: T.StructType | None, timestamp_format: str,
                 multi_line: bool, corrupt_column: str | None, mode: str,
                 check_headers: bool = False):
@@ -75,7 +65,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_C
         if missing:
             raise ValueError(f"schema check failed for {path}: missing fields {missing}")
         if schema is None:
-            issues = _schema_issues(df.schema, contract)
+            issues = [i[:2] for i in schema_issues(df.schema, contract) if i[1] != "extra"]
             if issues:
                 raise ValueError(f"schema check failed for {path}: {issues}")
     return df
@@ -111,7 +101,7 @@ def read_csv_glob(spark: SparkSession, directory: str, pattern: str = "*.csv",
             raise FileNotFoundError(directory) from exc
         raise
     if validate_schema and schema is None:
-        issues = _schema_issues(df.schema, RAW_CONTRACT)
+        issues = [i[:2] for i in schema_issues(df.schema, RAW_CONTRACT) if i[1] != "extra"]
         if issues:
             raise ValueError(f"schema check failed for {directory}: {issues}")
     if with_source:

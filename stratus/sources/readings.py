@@ -29,15 +29,18 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     return li.select(
         F.col("l_orderkey").alias("reading_id"),
-        F.col("l_shipdate").alias("formatted_date"),
+        F.when((line == 3) & (F.col("l_orderkey") % 16 == 0), F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.col("l_shipdate")).alias("formatted_date"),
         F.when((line == 4) & (F.col("l_quantity") < 10), F.lit(""))
          .when(line == 2, F.lit(None).cast("string"))
          .otherwise(F.col("l_returnflag")).alias("summary"),
         F.when(line == 6, F.lit(None).cast("double"))
          .otherwise(F.col("l_quantity") * 2.5 - 60.0).alias("temperatureC"),
-        (F.round(F.col("l_discount") * 100.0) * 0.109375).alias("humidity"),
+        F.when((line == 4) & (F.col("l_orderkey") % 4 == 1), F.lit(None).cast("double"))
+         .otherwise(F.round(F.col("l_discount") * 100.0) * 0.109375).alias("humidity"),
         (F.round(F.col("l_tax") * 100.0) * 28.5).alias("wind_speed_kmh"),
         F.when(line == 7, F.lit(0.0))
+         .when((line == 1) & (F.col("l_orderkey") % 8 == 0), F.lit(640.5))
          .when(line == 5, F.lit(None).cast("double"))
          .otherwise(900.0 + F.floor(F.col("l_extendedprice") / 500.0).cast("double"))
          .alias("pressure_millibars"),
