@@ -20,6 +20,7 @@ import functools
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +35,15 @@ from stratus.llm.huffman import Code, code_lengths
 END_ID = 0
 BLOCK_TOKENS = 65_536
 #: Chunks whose ids a Python worker keeps.
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 600_000
 
 # Unicode white space (fixed values).
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_WORD = re.compile(f" ?[{_LETTERS}]+")
-_HEAD = re.compile(rf"([{_SPACE}]*[{_LETTERS}]+)([!-&(-@\[-`{{-~].*)", re.DOTALL)
+# White space and a word, where the next character ends the word for certain
+# (white space, or ASCII other than letters and the apostrophe); else all up to
+# the next white space.
+_CHUNK = re.compile(rf"[{_SPACE}]*+[{_LETTERS}]++(?=[{_SPACE}!-&(-@\[-`{{-~]|\Z)|[{_SPACE}]*+[^{_SPACE}]+|[{_SPACE}]+")
 
 
 class TextEncoder(dict):
@@ -51,18 +53,21 @@ class TextEncoder(dict):
     follows other characters, whatever stands on either side, and after a run
     of letters that an ASCII character other than a letter or an apostrophe
     follows. So a text's ids are those of its chunks, and chunks repeat: this
-    dict keeps the ids of those seen lately. Other kinds of tokenizers get whole texts.
+    dict keeps the ids of those seen lately: when it is full it becomes the older
+    generation, from which chunks that are met again come back. Other kinds of
+    tokenizers get whole texts.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         config = json.loads(spec)
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        self.dtype, self.code = ("<u2", "H") if self.vocabulary <= 1 << 16 else ("<u4", "I")
         split = config.get("pre_tokenizer") or {}
         self.chunked = (config.get("normalizer") is None and split.get("type") == "ByteLevel"
                         and not split.get("add_prefix_space") and split.get("use_regex", True)
@@ -70,21 +75,23 @@ class TextEncoder(dict):
                         and not any(re.search(f"[{_SPACE}]|^[{_LETTERS}]", t["content"]) or t["lstrip"] or t["rstrip"]
                                     or t["single_word"] for t in config.get("added_tokens", [])))
         if self.chunked:
-            letters = [chr(c) for c in range(256) if re.match(f"[ {_LETTERS}]", chr(c))]
+            letters = [" ", *filter(str.isalpha, map(chr, range(256)))]
             self.mapped = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHED_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        if _WORD.fullmatch(chunk):
-            ids = self._ids([t.id for t in self.model.tokenize(chunk.translate(self.mapped))])
-        elif head := _HEAD.fullmatch(chunk):
-            ids = self[head[1]] + self[head[2]]
-        else:
-            ids = self._ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        ids = self.older.get(chunk)
+        if ids is None:
+            word = chunk[1:] if chunk[0] == " " else chunk
+            if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):  # one piece for the model
+                ids = self._ids([t.id for t in self.model.tokenize(chunk.translate(self.mapped))])
+            else:
+                ids = self._ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
