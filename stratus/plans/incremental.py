@@ -26,13 +26,15 @@ PARTITION_COLUMNS = ("year", "month")
 STORE_PARTITIONS = ("reading_year", "reading_month", "batch_id")
 
 
-def feature_table(readings: DataFrame, profile: Profile = READINGS) -> DataFrame:
-    return daily_features(daily_agg(clean_readings(readings, profile), profile))
+def feature_table(readings: DataFrame, profile: Profile = READINGS,
+                  series_keys: tuple[str, ...] = ()) -> DataFrame:
+    daily = daily_agg(clean_readings(readings, profile), profile, series_keys=series_keys)
+    return daily_features(daily, series_keys=series_keys)
 
 
 def write_feature_table(readings: DataFrame, path: str, profile: Profile = READINGS,
-                        dynamic: bool = False) -> sinks.WriteResult:
-    return sinks.write_parquet(feature_table(readings, profile), path,
+                        dynamic: bool = False, series_keys: tuple[str, ...] = ()) -> sinks.WriteResult:
+    return sinks.write_parquet(feature_table(readings, profile, series_keys), path,
                                partition_by=list(PARTITION_COLUMNS), dynamic_partitions=dynamic)
 
 
