@@ -29,8 +29,6 @@ def connected_components(edges: DataFrame, seed: int = 23) -> DataFrame:
         own = F.struct(F.xxhash64(F.col("a"), F.lit(seed + turn)).alias("h"), F.col("a").alias("id"))
         hooks = stage(both.groupBy("a").agg(F.min(rank).alias("least"))
                       .select(F.col("a").alias("node"), F.least("least", own)["id"].alias("to")), "component-hooks")
-        # What a node hooked to may itself have hooked on: one jump further.
-        hooks = stage(_follow(hooks, hooks, "node", "to"), "component-jumps")
         nodes = hooks if nodes is None else stage(_follow(nodes, hooks, "node", "to"), "component-nodes")
         edges = _renamed(_renamed(edges, hooks, "a"), hooks, "b")
         edges = stage(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

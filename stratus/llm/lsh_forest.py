@@ -314,6 +314,17 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         return stage(with_both(stage(pairs, "forest-pairs"), one_set, "items")
                      .mapInPandas(_confirm(min_percent), "a long, b long"), "forest-links")
 
+    def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+        """``found`` after links (a, b) between its components, or nodes it does
+        not have; only what the links touch is walked again."""
+        again = stage(connected_components(links), "forest-again").withColumnsRenamed(
+            {"node": "__old", "component": "__new"})
+        moved = found.join(again, F.col("component") == F.col("__old"), "left").select(
+            "node", F.coalesce("__new", "component").alias("component"))
+        fresh = again.join(found, F.col("__old") == F.col("node"), "left_anti").select(
+            F.col("__old").alias("node"), F.col("__new").alias("component"))
+        return stage(moved.unionByName(fresh), "forest-components")
+
     def component(nodes: DataFrame, found: DataFrame, column: str, name: str) -> DataFrame:
         c = found.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
         return nodes.join(c, F.col(column) == F.col("__n"), "left").withColumn(
@@ -325,13 +336,13 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         near.select(F.col("prev").alias("node"), F.col("node").alias("other"), "lcp"))
     best = ways.groupBy("node").agg(F.max(F.struct("lcp", F.xxhash64("other").alias("h"), "other")).alias("best"))
     pairs = best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct()
-    links = confirmed(pairs)
-    found = stage(connected_components(links), "forest-components")
+    found = stage(connected_components(confirmed(pairs)), "forest-components")
     # 2. other neighbours, where they are not connected yet
     pairs = near.select(F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).distinct()
     open_ = component(component(pairs, found, "a", "ca"), found, "b", "cb").where("ca <> cb").select("a", "b")
-    links = links.unionByName(confirmed(alike(stage(open_, "forest-open"))))
-    found = stage(connected_components(links), "forest-components")
+    links = confirmed(alike(stage(open_, "forest-open")))
+    found = merged(found, component(component(links, found, "a", "ca"), found, "b", "cb").select(
+        F.col("ca").alias("a"), F.col("cb").alias("b")))
     # 3. regions that still hold several components: which of these are alike
     # anywhere (a spanning forest of that), then the members of each such
     # cluster against each other on their sets
@@ -345,8 +356,7 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     clusters = clusters.select(F.col("node").alias("comp"), F.lit(0).alias("t"), F.col("component").alias("key"))
     members = stage(members.select("node", "comp").distinct().join(clusters, "comp"), "forest-cluster-members")
     groups = _region_groups(members).join(classes.select("node", "sig"), "node").join(one_set, "node")
-    links = links.unionByName(in_groups(groups, min_percent))  # components are named by a member
-    found = connected_components(links)
+    found = merged(found, in_groups(groups, min_percent))
 
     roots = stage(component(classes.select("node", "doc_id"), found, "node", "root"), "forest-roots")
     least = stage(roots.groupBy("root").agg(F.min("doc_id").alias("component_id")), "forest-least")
