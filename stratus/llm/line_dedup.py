@@ -3,10 +3,11 @@
 A text is cut into units: its lines, and within a line its sentences, so that a
 passage pasted into the middle of a paragraph is still found. Units are
 normalised and hashed; per digest the earliest occurrence (by document id, then
-place) is kept. A later occurrence is removed when it stands in a run of
-repeated units that holds at least ``min_words`` words: passages and boilerplate
-go, short phrases that writers share by chance stay. What is removed is given
-as ranges of the original text.
+place) is kept. Whole lines and whole paragraphs are units too, and every later
+occurrence of one is removed, however short. A later sentence inside a line
+that is otherwise new is removed when it stands in a run of repeated units that
+holds at least ``min_words`` words: passages go, short sentences that writers
+share by chance stay. What is removed is given as ranges of the original text.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,7 @@ UNITS = {
     "paragraph": re.compile(r"(?:[^\n]|\n(?!\s*\n))*(?:\n\s*\n\s*|$)"),
 }
 _NOT_WORD = re.compile(r"[\W_]+")
+_BLANK_LINE = re.compile(r"\n\s*\n")
 
 
 def units(text: str, kind: str = "sentence") -> list[tuple[int, int, str]]:
@@ -44,15 +47,47 @@ def units(text: str, kind: str = "sentence") -> list[tuple[int, int, str]]:
     return out
 
 
+def _levels(text: str, kind: str) -> Iterator[tuple[int, int, int, int, str, bool]]:
+    """(nth, n, start, end, normalised, whole) of the units, and of the lines and
+    paragraphs that hold several of them (n units from the nth on).
+
+    ``whole``: the unit is all the words of its line or paragraph.
+    """
+    found = units(text, kind)
+    if kind != "sentence":
+        yield from ((nth, 1, start, end, norm, True) for nth, (start, end, norm) in enumerate(found))
+        return
+    lines, paragraphs, last = [], [], 0  # lists of (first unit, units), of (first line, lines)
+    for nth, (start, _, _) in enumerate(found):
+        # The break may lie before the unit's words or between it and the unit before.
+        between = text[last:start] if nth else "\n\n"
+        if "\n" in between:
+            if not nth or _BLANK_LINE.search(between):
+                paragraphs.append([len(lines), 0])
+            lines.append([nth, 0])
+            paragraphs[-1][1] += 1
+        lines[-1][1] += 1
+        last = found[nth][1] - (text[found[nth][1] - 1] == "\n")
+    for first, n in lines:
+        for nth in range(first, first + n):
+            yield nth, 1, *found[nth], n == 1
+        if n > 1:
+            yield first, n, found[first][0], found[first + n - 1][1], " ".join(x[2] for x in found[first:first + n]), True
+    for first, n in paragraphs:
+        if n > 1:
+            a, b = lines[first][0], sum(lines[first + n - 1])
+            yield a, b - a, found[a][0], found[b - 1][1], " ".join(x[2] for x in found[a:b]), True
+
+
 def _cutter(kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["has_id", "doc_id", "text_hash", "nth", "start", "end", "words", "d1", "d2"]
+        columns = ["has_id", "doc_id", "text_hash", "nth", "n", "start", "end", "words", "whole", "d1", "d2"]
         for pdf in batches:
             rows = []
             for has_id, doc_id, text_hash, text in zip(*(pdf[c] for c in ("has_id", "doc_id", "text_hash", "text"))):
-                for nth, (start, end, norm) in enumerate(units(text or "", kind)):
+                for nth, n, start, end, norm, whole in _levels(text or "", kind):
                     d = hashlib.blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    rows.append((has_id, doc_id, text_hash, nth, start, end, norm.count(" ") + 1,
+                    rows.append((has_id, doc_id, text_hash, nth, n, start, end, norm.count(" ") + 1, whole,
                                  int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
                 if len(rows) > 100_000:
                     yield pd.DataFrame(rows, columns=columns)
@@ -62,21 +97,28 @@ def _cutter(kind: str):
 
 
 def _runs(min_words: int):
-    """Over rows sorted by document and place: ranges of runs of repeated units of enough words."""
+    """Over rows sorted by document, place and length, longest first: ranges of
+    runs of repeated units of enough words, and of the whole lines and paragraphs in other runs."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, out, doc = None, [], None
+        at, out, doc = [], [], None  # at: pieces (next nth, n, start, end, words, whole) of the open run
 
         def close():
-            if at is not None and at[3] >= min_words:
-                out.append((*doc, at[0], at[1], at[4], at[3]))
+            enough = sum(p[4] for p in at) >= min_words
+            for gone, pieces in groupby(at, key=lambda p: enough or p[5]):
+                if gone:
+                    pieces = list(pieces)
+                    out.append((*doc, pieces[0][2], pieces[-1][3], sum(p[1] for p in pieces), sum(p[4] for p in pieces)))
+            at.clear()
 
         for pdf in batches:
-            for has_id, doc_id, text_hash, nth, start, end, words in pdf.itertuples(index=False, name=None):
-                if at is not None and (has_id, doc_id, text_hash) == doc and nth == at[2] + 1:
-                    at = (at[0], end, nth, at[3] + words, at[4] + 1)
-                else:
+            for has_id, doc_id, text_hash, nth, n, start, end, words, whole in pdf.itertuples(index=False, name=None):
+                same = (has_id, doc_id, text_hash) == doc
+                if at and same and nth < at[-1][0]:
+                    continue  # inside a line or paragraph that is repeated as a whole
+                if not (at and same and nth == at[-1][0]):
                     close()
-                    doc, at = (has_id, doc_id, text_hash), (start, end, nth, words, 1)
+                    doc = (has_id, doc_id, text_hash)
+                at.append((nth + n, n, start, end, words, whole))
             yield pd.DataFrame(out, columns=["has_id", "doc_id", "text_hash", "start", "end", "units", "words"])
             out = []
         close()
@@ -97,16 +139,16 @@ def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     key = F.col(id_column).cast("long")
     rows = docs.select(key.isNotNull().alias("has_id"), F.coalesce(key, F.lit(0)).alias("doc_id"),
                        F.xxhash64(F.col(text_column)).alias("text_hash"), F.col(text_column).alias("text"))
-    cut = stage(rows.mapInPandas(_cutter(kind), "has_id boolean, doc_id long, text_hash long, nth int, start int, end int, "
-                                                "words int, d1 long, d2 long"), "units")
+    cut = stage(rows.mapInPandas(_cutter(kind), "has_id boolean, doc_id long, text_hash long, nth int, n int, start int, end int, "
+                                                "words int, whole boolean, d1 long, d2 long"), "units")
     place = F.struct("has_id", "doc_id", "text_hash", "nth")
     # Only digests met at two places go on; the first place of each is kept.
     first = stage(cut.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                   .where("first <> last").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "first"), "unit-first")
     again = (cut.join(first, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))).where(place != F.col("first"))
-             .select("has_id", "doc_id", "text_hash", "nth", "start", "end", "words").distinct())
+             .select("has_id", "doc_id", "text_hash", "nth", "n", "start", "end", "words", "whole").distinct())
     order = ["has_id", "doc_id", "text_hash", "nth"]
-    ranges = (again.repartition(*order[:3]).sortWithinPartitions(*order)
+    ranges = (again.repartition(*order[:3]).sortWithinPartitions(*order, F.desc("n"))
               .mapInPandas(_runs(min_words), "has_id boolean, doc_id long, text_hash long, start int, end int, units int, words int"))
     removed = ranges.groupBy(*order[:3]).agg(F.sum("units").alias("n_removed"), F.sum("words").alias("words_removed"),
                                              F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))

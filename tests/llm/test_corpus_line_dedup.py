@@ -86,3 +86,16 @@ def test_repeated_rows_and_empty_table(spark):
     got = {r.doc_id: r.n_removed for r in D.find(df).collect()}
     assert got == {1: 0, 2: len(D.units(text))}
     assert D.find(df.limit(0)).count() == 0 and D.remove(df.limit(0)).count() == 0
+
+
+def test_short_lines_and_paragraphs_go_short_sentences_stay(spark):
+    rng = random.Random(3)
+    line, two = "Click here to read more", "Sign up now. It is free!"
+    rows = [(i, f"{prose(rng, 3)}\n{line.upper() if i % 2 else line}.\n{prose(rng, 1)} {line}. {prose(rng, 2)}\r\n{two}\n", "en", "s")
+            for i in range(6)]
+    rows += [(10, f"{prose(rng, 2)}\n\nOne two three\nfour five six.\n\n{prose(rng, 2)}", "en", "s"),
+             (11, f"{prose(rng, 2)}\n\none two\nthree four, five six\n \n{prose(rng, 2)}", "en", "s")]
+    got = {r.doc_id: [rows[min(r.doc_id, 10) if r.doc_id < 10 else r.doc_id - 4][1][a:b].strip() for a, b in r.removed]
+           for r in D.find(documents(spark, rows)).collect()}
+    assert got[0] == [] and got[10] == [] and got[11] == ["one two\nthree four, five six"]
+    assert all([x.lower() for x in got[i]] == [line.lower() + ".", two.lower()] for i in range(1, 6))
