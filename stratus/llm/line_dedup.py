@@ -7,14 +7,17 @@ place) is kept. Whole lines and whole paragraphs are units too, and every later
 occurrence of one is removed, however short. A later sentence inside a line
 that is otherwise new is removed when it stands in a run of repeated units that
 holds at least ``min_words`` words: passages go, short sentences that writers
-share by chance stay. What is removed is given as ranges of the original text.
+share by chance stay. Between sentences, repeated word runs of more than 50
+words are found wherever they begin and end, and repeated runs are extended into
+the units beside them (``word_runs``). What is removed is given as ranges of the
+original text.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
@@ -22,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratus.llm import word_runs
 from stratus.llm.common import require, stage
 
 MIN_WORDS = 20
@@ -81,18 +85,28 @@ def _levels(text: str, kind: str) -> Iterator[tuple[int, int, int, int, str, boo
 
 def _cutter(kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["has_id", "doc_id", "text_hash", "nth", "n", "start", "end", "words", "whole", "d1", "d2"]
+        columns = ["has_id", "doc_id", "text_hash", "nth", "n", "start", "end", "words", "whole"]
+
+        def frame(keys: list, sizes: list, rows: list, digests: list) -> pd.DataFrame:
+            d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            values = [*(np.repeat(np.array(c), sizes) for c in zip(*keys)), *map(np.array, zip(*rows))]
+            return pd.DataFrame(dict(zip(columns, values)) | {"d1": d[:, 0], "d2": d[:, 1]})
+
         for pdf in batches:
-            rows = []
-            for has_id, doc_id, text_hash, text in zip(*(pdf[c] for c in ("has_id", "doc_id", "text_hash", "text"))):
+            keys, sizes, rows, digests = [], [], [], []
+            for *key, text in zip(*(pdf[c] for c in ("has_id", "doc_id", "text_hash", "text"))):
+                before = len(rows)
                 for nth, n, start, end, norm, whole in _levels(text or "", kind):
-                    d = hashlib.blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    rows.append((has_id, doc_id, text_hash, nth, n, start, end, norm.count(" ") + 1, whole,
-                                 int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+                    rows.append((nth, n, start, end, norm.count(" ") + 1, whole))
+                    digests.append(blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                if len(rows) > before:
+                    keys.append(key)
+                    sizes.append(len(rows) - before)
                 if len(rows) > 100_000:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            yield pd.DataFrame(rows, columns=columns)
+                    yield frame(keys, sizes, rows, digests)
+                    keys, sizes, rows, digests = [], [], [], []
+            if rows:
+                yield frame(keys, sizes, rows, digests)
     return run
 
 
@@ -126,10 +140,45 @@ def _runs(min_words: int):
     return run
 
 
+def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Over rows sorted by document: its ranges of units and of word runs as ranges apart from each other."""
+    columns = ["has_id", "doc_id", "text_hash", "n_removed", "words_removed", "removed"]
+    doc, parts, out = None, [], []
+
+    def close():
+        if not parts:
+            return
+        whole = sorted(p[:2] for p in parts if p[4] is None)
+        starts = np.unique(np.concatenate([np.empty(0, np.int64), *(p[4] for p in parts if p[4] is not None)]))
+        if whole:
+            at = np.searchsorted([a for a, _ in whole], starts, side="right") - 1
+            starts = starts[(at < 0) | (starts >= np.array([b for _, b in whole])[at])]
+        ranges = []
+        for a, b in sorted(p[:2] for p in parts):
+            if ranges and a <= ranges[-1]["end"] and (a < ranges[-1]["end"] or len(whole) < len(parts)):
+                ranges[-1]["end"] = max(b, ranges[-1]["end"])
+            else:
+                ranges.append({"start": a, "end": b})
+        out.append((*doc, sum(p[2] for p in parts), sum(p[3] for p in parts) + len(starts), ranges))
+        parts.clear()
+
+    for pdf in batches:
+        for *key, start, end, n, words, starts in zip(*(pdf[c] for c in (*columns[:3], "start", "end", "units", "words", "starts"))):
+            if key != doc:
+                close()
+                doc = key
+            parts.append((start, end, n, words, starts))
+        yield pd.DataFrame(out, columns=columns)
+        out = []
+    close()
+    yield pd.DataFrame(out, columns=columns)
+
+
 def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
          kind: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per distinct (id, text): doc_id, text_hash, n_units, n_removed,
     words_removed, removed (ranges of the text, start and end in code points, end exclusive).
+    n_removed counts the units that go as such, words_removed also the words of other repeated runs.
 
     Null texts and texts without words have no units. Rows with a null id rank
     before all others. Rows that repeat both id and text are one document; a
@@ -150,8 +199,13 @@ def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     order = ["has_id", "doc_id", "text_hash", "nth"]
     ranges = (again.repartition(*order[:3]).sortWithinPartitions(*order, F.desc("n"))
               .mapInPandas(_runs(min_words), "has_id boolean, doc_id long, text_hash long, start int, end int, units int, words int"))
-    removed = ranges.groupBy(*order[:3]).agg(F.sum("units").alias("n_removed"), F.sum("words").alias("words_removed"),
-                                             F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    ranges = stage(ranges.withColumn("starts", F.lit(None).cast("array<int>")), "unit-ranges")
+    if kind == "sentence":
+        removed = ranges.groupBy(*order[:3]).agg(F.collect_list(F.struct("start", "end")).alias("removed"))
+        runs = word_runs.find(rows, removed, min_words)
+        ranges = ranges.unionByName(runs.withColumns({"units": F.lit(0), "words": F.lit(0)}))
+    removed = ranges.repartition(*order[:3]).sortWithinPartitions(*order[:3]).mapInPandas(
+        _merge, "has_id boolean, doc_id long, text_hash long, n_removed long, words_removed long, removed array<struct<start:int,end:int>>")
     removed = stage(removed, "unit-removed").withColumnsRenamed({c: f"r_{c}" for c in order[:3]})
     n = cut.groupBy(*order[:3]).agg((F.max("nth") + 1).alias("n_units"))
     all_docs = rows.select(*order[:3]).distinct()
@@ -171,7 +225,7 @@ def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
 def remove(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with the repeated passages cut out of the text; columns as they
     are, and all rows stay, those left without text with an empty one."""
-    found = find(docs, id_column=id_column, text_column=text_column, **options).where("n_removed > 0").select(
+    found = find(docs, id_column=id_column, text_column=text_column, **options).where("words_removed > 0").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed"))
     found = stage(found, "unit-cuts")
     same = docs[id_column].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_column]) == F.col("__hash"))

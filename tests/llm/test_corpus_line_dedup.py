@@ -99,3 +99,22 @@ def test_short_lines_and_paragraphs_go_short_sentences_stay(spark):
            for r in D.find(documents(spark, rows)).collect()}
     assert got[0] == [] and got[10] == [] and got[11] == ["one two\nthree four, five six"]
     assert all([x.lower() for x in got[i]] == [line.lower() + ".", two.lower()] for i in range(1, 6))
+
+
+def test_passages_inside_sentences_go(spark):
+    rng = random.Random(5)
+    passage = sentence(rng, 70, 5000)
+    rows = [(i, f"{sentence(rng, 30, 5000)} {passage.upper() if i % 2 else passage} {sentence(rng, 40, 5000)}", "en", "s") for i in range(8)]
+    rows += [(20 + i, sentence(rng, 120, 5000), "en", "s") for i in range(8)]
+    rows += [(30, prose(rng, 3) + " " + passage.replace(" ", ". ", 1) + "! " + prose(rng, 3), "en", "s"), (40, passage, "en", "s")]
+    texts = {r[0]: r[1] for r in rows}
+    got = {r.doc_id: r for r in D.find(documents(spark, rows)).collect()}
+    for i, r in got.items():
+        cut = " ".join(texts[i][a:b] for a, b in r.removed).lower()
+        if i == 0 or 20 <= i < 30:
+            assert r.removed == [] and r.words_removed == 0
+        else:
+            assert set(passage.split()) <= set(D._NOT_WORD.sub(" ", cut).split()), i
+            assert 70 <= r.words_removed <= 72 and len(r.removed) == 1
+    out = {r.doc_id: r.text for r in D.remove(documents(spark, rows)).collect()}
+    assert out[0] == texts[0] and all(passage not in out[i].lower() for i in range(1, 8)) and out[40] == ""
