@@ -1,4 +1,10 @@
-"""Texts of known licenses and one-line notices (fixed values: public texts, as published)."""
+"""Texts of known licenses and one-line notices (fixed values: public texts, as published).
+
+Long texts are files of ``license_files``, named by license.
+"""
+
+import re
+from importlib import resources
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -74,3 +80,34 @@ NOTICES = (
     ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
     ("SPDX-License-Identifier: CC-BY-4.0", "CC-BY-4.0"),
 )
+
+#: Lines that stand over the text of a license, besides none and "MIT License" (above).
+TITLES = {
+    "MIT": ("The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD 0-Clause License", "0BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License",
+                     "Simplified BSD License", "FreeBSD License", "BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License",
+                     "New BSD License", "The New BSD License", "Modified BSD License", "Revised BSD License", "BSD License", "BSD-3-Clause"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: Addresses of the Free Software Foundation in editions of its licenses.
+_ADDRESS = re.compile(r"51\s+Franklin\s+St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA")
+_ADDRESSES = ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301, USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+              "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA",
+              "675 Mass Ave, Cambridge, MA 02139, USA")
+_TERMS_END = re.compile(r"^.*END OF TERMS AND CONDITIONS.*$", re.MULTILINE)
+
+
+def editions() -> list[tuple[str, str]]:
+    """(license, entire text): under each of its titles; long texts also without
+    what follows the terms (how to apply them) and with other addresses."""
+    out = [(i, f"{title}\n\n{LICENSES[i]}") for i, titles in TITLES.items() for title in titles]
+    for file in sorted(resources.files("stratus.llm").joinpath("license_files").iterdir(), key=lambda f: f.name):
+        text = file.read_text(encoding="utf-8")
+        forms = [text] + [text[:at] for m in _TERMS_END.finditer(text) for at in m.span()]
+        forms += [_ADDRESS.sub(address, form) for form in forms for address in _ADDRESSES if _ADDRESS.search(form)]
+        out += [(file.name.removesuffix(".txt"), form) for form in forms]
+    return out

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm.common import ascii_lower, require
-from stratus.llm.license_texts import LICENSES, NOTICES
+from stratus.llm.license_texts import LICENSES, NOTICES, editions
 
 # Spellings held to be equal.
 SPELLINGS = (
@@ -47,9 +47,11 @@ def digest(text):
 
 def known(spark: SparkSession) -> DataFrame:
     """(license_digest, license_id, whole): the texts of license_texts, a fixed and small table."""
-    rows = [(k, v, True) for k, v in LICENSES.items()] + [(k, v, False) for v, k in NOTICES]
+    rows = [(k, v, True) for k, v in [*LICENSES.items(), *editions()]] + [(k, v, False) for v, k in NOTICES]
     texts = spark.createDataFrame(rows, "license_id string, text string, whole boolean")
-    return texts.select(digest(F.col("text")).alias("license_digest"), "license_id", "whole")
+    # Digested once, so that no plan carries the texts.
+    digests = texts.select(digest(F.col("text")).alias("license_digest"), "license_id", "whole").distinct().collect()
+    return spark.createDataFrame(digests, "license_digest string, license_id string, whole boolean")
 
 
 def scan(docs: DataFrame, licenses: DataFrame | None = None, *, id_column: str = "doc_id",
@@ -90,7 +92,7 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, *, id_column: str =
 
 
 def oracle() -> str:
-    """DuckDB SQL of the registered query."""
+    """DuckDB SQL of the registered query; it knows LICENSES and NOTICES, not the other editions."""
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 

@@ -1,5 +1,7 @@
 """License scans: editions of one text agree, other texts do not."""
 
+from pathlib import Path
+
 from corpus_cases import documents
 from stratus.llm import licenses
 from stratus.llm.license_texts import LICENSES, NOTICES
@@ -39,3 +41,18 @@ def test_ids_of_one_digest(spark):
     table = table.select(licenses.digest(table.text).alias("license_digest"), "license_id")
     got = licenses.scan(documents(spark, [(1, "SOME LICENSE TEXT", "en", "s")]), table).first()
     assert got.license_id == "L1" and got.line_licenses == ["L1", "L2"]
+
+
+def test_long_texts_and_titles(spark):
+    folder = Path(licenses.__file__).parent / "license_files"
+    long = {f.name.removesuffix(".txt"): f.read_text() for f in folder.iterdir()}
+    assert {"Apache-2.0", "GPL-1.0-only", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only",
+            "MPL-1.1", "MPL-2.0", "CC0-1.0"} <= set(long)
+    want = [(text, i) for i, text in long.items()]
+    want += [("\n".join(" * " + x for x in text.upper().split("\n")), i) for i, text in long.items()]
+    want += [(long[i].split("END OF TERMS")[0], i) for i in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only")]
+    want += [(f"{title}\n\nCopyright (c) 2021 Some One\n\n{LICENSES[i]}", i) for title, i in (
+        ("The MIT License (MIT)", "MIT"), ("BSD 3-Clause License", "BSD-3-Clause"), ("ISC License", "ISC"))]
+    want += [(long["Apache-2.0"] + "\nAnd more.", None), (long["GPL-3.0-only"].replace("freedom", "liberty", 1), None)]
+    got = {r.doc_id: r.license_id for r in licenses.scan(documents(spark, [(n, t, "en", "s") for n, (t, _) in enumerate(want)])).collect()}
+    assert [got[n] for n in range(len(want))] == [i for _, i in want]
