@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratus.llm import decontamination, language_id, licenses, line_dedup, lsh_forest, mixing, pii, pstable, token_output, url_filter
+from stratus.llm import decontamination, language_id, licenses, line_dedup, lsh_forest, mixing, packing, periodic_runs, pii, pstable, spelling, \
+    token_output, url_filter
 from stratus.llm.common import table
 from stratus.session import shared_dir
 
@@ -97,3 +98,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_embedding_near_dedup", pstable.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.link(table(spark, sf_dir, "embeddings"))
+
+
+def _repeated_tail(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents is made to repeat some of its
+    words from a place on: both chosen by the id's crc32."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("words"))
+    sized = words.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    placed = sized.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    unit = F.slice("words", F.col("a") + 1, "p")
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(unit, times))), F.lit(1), F.col("n"))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def runs_of(docs: DataFrame) -> DataFrame:
+    found = periodic_runs.find(_repeated_tail(docs))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", periodic_runs.strongest("runs")).select(
+        F.col("id").cast("long").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_of(table(spark, sf_dir, "documents"))
+
+
+@register("op12_pack_sequences")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("part", "row")
+
+
+@register("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), change=spelling.drop_letters)
