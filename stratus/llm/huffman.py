@@ -14,12 +14,12 @@ STEP = 64
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Lengths (0: not used) of an optimal code of at most ``max_bits`` bits, by package-merge."""
+    """Lengths (0: not used) of an optimal code of at most ``max_bits`` bits (or as
+    many as so many symbols need), by package-merge."""
     used = np.flatnonzero(counts)
     lengths = np.zeros(len(counts), dtype=np.uint8)
     n = len(used)
-    if n > 1 << max_bits:
-        raise ValueError(f"{n} symbols need codes of more than {max_bits} bits")
+    max_bits = max(max_bits, (n - 1).bit_length())
     if n <= 1:
         lengths[used] = 1
         return lengths
@@ -84,11 +84,13 @@ class Code:
         if not at:
             return np.zeros(0, dtype=np.uint32)
         data = np.frombuffer(pad.join(b for b, _, _ in blocks) + pad, dtype=np.uint8).astype(np.uint32)
-        windows = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
+        windows, wide = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:], 24
+        if self.bits > 17:  # a code and the 7 bits before it need a fourth byte
+            windows, wide = (windows[:-1] << 8) | data[3:], 32
         at, lanes = np.concatenate(at), np.concatenate(lanes)
         last = 8 * len(windows) - 1
         out = np.empty((STEP, len(at)), dtype=np.uint32)
-        drop = 24 - self.bits
+        drop = wide - self.bits
         for k in range(STEP):
             peek = (windows[at >> 3] >> (drop - (at & 7)).astype(np.uint32)) & np.uint32((1 << self.bits) - 1)
             out[k] = self.table_id[peek]

@@ -2,8 +2,8 @@
 
 Format, two Parquet tables under one folder:
 
-``codebook``: id, length. The canonical Huffman code of the corpus, at most 16
-bits long, from the counts of all its ids.
+``codebook``: id, length. The canonical Huffman code of the corpus, from the
+counts of all its ids; at most 16 bits long, or as long as so many ids need.
 
 ``blocks``: shard, first (number of the block's first document in its shard),
 tokens, doc_ids, lengths (ids of each document), bits, marks. Documents stand
@@ -16,113 +16,37 @@ the text moves once; ids are stored between counting and encoding.
 
 from __future__ import annotations
 
-import functools
-import json
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratus.llm.common import require, ship, stage
 from stratus.llm.huffman import Code, code_lengths
+from stratus.llm.text_ids import binary_column, read_spec, token_ids, with_end
 
 END_ID = 0
 BLOCK_TOKENS = 65_536
-#: Chunks whose ids a Python worker keeps.
-CACHED_CHUNKS = 600_000
-
-# Unicode white space (fixed values).
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# White space and a word, where the next character ends the word for certain
-# (white space, or ASCII other than letters and the apostrophe); else all up to
-# the next white space.
-_CHUNK = re.compile(rf"[{_SPACE}]*+[{_LETTERS}]++(?=[{_SPACE}!-&(-@\[-`{{-~]|\Z)|[{_SPACE}]*+[^{_SPACE}]+|[{_SPACE}]+")
-
-
-class TextEncoder(dict):
-    """Ids of whole texts as the tokenizers library gives them.
-
-    A byte-level tokenizer cuts a text before every run of white space that
-    follows other characters, whatever stands on either side, and after a run
-    of letters that an ASCII character other than a letter or an apostrophe
-    follows. So a text's ids are those of its chunks, and chunks repeat: this
-    dict keeps the ids of those seen lately: when it is full it becomes the older
-    generation, from which chunks that are met again come back. Other kinds of
-    tokenizers get whole texts.
-    """
-
-    def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.older: dict[str, bytes] = {}
-        config = json.loads(spec)
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.model = self.tokenizer.model
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype, self.code = ("<u2", "H") if self.vocabulary <= 1 << 16 else ("<u4", "I")
-        split = config.get("pre_tokenizer") or {}
-        self.chunked = (config.get("normalizer") is None and split.get("type") == "ByteLevel"
-                        and not split.get("add_prefix_space") and split.get("use_regex", True)
-                        and config["model"].get("type") == "BPE" and not config["model"].get("dropout")
-                        and not any(re.search(f"[{_SPACE}]|^[{_LETTERS}]", t["content"]) or t["lstrip"] or t["rstrip"]
-                                    or t["single_word"] for t in config.get("added_tokens", [])))
-        if self.chunked:
-            letters = [" ", *filter(str.isalpha, map(chr, range(256)))]
-            self.mapped = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
-
-    def _ids(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_CHUNKS:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(chunk)
-        if ids is None:
-            word = chunk[1:] if chunk[0] == " " else chunk
-            if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):  # one piece for the model
-                ids = self._ids([t.id for t in self.model.tokenize(chunk.translate(self.mapped))])
-            else:
-                ids = self._ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.chunked:
-            return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
-        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-@functools.lru_cache(maxsize=2)
-def encoder(spec: str) -> TextEncoder:
-    """The worker's encoder; it outlives a task."""
-    return TextEncoder(spec)
-
 
 def _tokenise(spec, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, shard, seq = encoder(spec.value), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=own.dtype).tobytes()
-        for pdf in batches:
-            ids = [own.encode(t) + end for t in pdf["text"]]
-            yield pd.DataFrame({"shard": shard, "seq": np.arange(seq, seq + len(ids)), "doc_id": pdf["doc_id"],
-                                "no_id": pdf["no_id"], "ids": ids})
-            seq += len(ids)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, shard, seq = token_ids(spec.value), TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            ids, offsets = with_end(*own.encode(batch.column("text")), end_id)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"),
+                 batch.column("no_id"), binary_column(ids, offsets)], ["shard", "seq", "doc_id", "no_id", "ids"])
+            seq += n
     return run
 
 
-def _count(dtype: str, size: int):
+def _count(dtype: np.dtype, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size, dtype=np.int64)
         for pdf in batches:
@@ -133,13 +57,13 @@ def _count(dtype: str, size: int):
     return run
 
 
-def _encode(dtype: str, lengths: np.ndarray, block_tokens: int):
+def _encode(dtype: np.dtype, lengths: np.ndarray, block_tokens: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code, held, size, shard = Code(lengths), [], 0, None
 
         def block():
             bits, marks = code.encode(np.frombuffer(b"".join(r[2] for r in held), dtype=dtype))
-            sizes = [len(r[2]) // np.dtype(dtype).itemsize for r in held]
+            sizes = [len(r[2]) // dtype.itemsize for r in held]
             return pd.DataFrame({"shard": [shard], "first": [held[0][0]], "tokens": [sum(sizes)],
                                  "doc_ids": [[r[1] for r in held]], "lengths": [sizes],
                                  "bits": [bits], "marks": [marks]})
@@ -150,7 +74,7 @@ def _encode(dtype: str, lengths: np.ndarray, block_tokens: int):
                     held, size = [], 0
                 shard = part
                 held.append((seq, None if no_id else doc_id, ids))
-                size += len(ids) // np.dtype(dtype).itemsize
+                size += len(ids) // dtype.itemsize
         if held:
             yield block()
     return run
@@ -165,15 +89,14 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, id_column: str = "
     """
     require(docs, id_column, text_column)
     spark = docs.sparkSession
-    with open(tokenizer_path, encoding="utf-8") as f:
-        spec = f.read()
-    kind = encoder(spec)
+    spec = read_spec(tokenizer_path)
+    kind = token_ids(spec)
     dtype, vocabulary = kind.dtype, kind.vocabulary
     key = F.col(id_column).cast("long")
     rows = docs.select(key.isNull().alias("no_id"), F.coalesce(key, F.lit(0)).alias("doc_id"), F.col(text_column).alias("text"))
     order = [F.desc("no_id"), "doc_id", F.xxhash64("text"), "text"]
     dealt = rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
-    ids = stage(dealt.mapInPandas(_tokenise(spark.sparkContext.broadcast(spec), end_id),
+    ids = stage(dealt.mapInArrow(_tokenise(spark.sparkContext.broadcast(spec), end_id),
                                   "shard int, seq long, doc_id long, no_id boolean, ids binary"), "token-ids")
     counts = (ids.select("ids").mapInPandas(_count(dtype, max(vocabulary, end_id + 1)), "id int, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).collect())  # at most one row per id of the vocabulary

@@ -6,13 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pytest
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpus_cases import documents, sentence
-from stratus.llm import token_output
+from stratus.llm import text_ids, token_output
 from stratus.llm.huffman import Code, code_lengths
 from stratus.session import shared_dir
 
@@ -50,9 +50,14 @@ def test_code_is_prefix_free_limited_and_round_trips(counts, seed):
     assert np.array_equal(code.decode(blocks[3:4]), parts[3])
 
 
-def test_too_many_symbols_is_an_error():
-    with pytest.raises(ValueError):
-        code_lengths(np.ones(9), 3)
+def test_more_symbols_than_the_limit_holds_get_longer_codes():
+    assert code_lengths(np.ones(9), 3).max() == 4
+    rng = np.random.default_rng(3)
+    counts = np.concatenate([np.ones(70_000, np.int64), rng.integers(1, 10 ** 9, 200_000)])
+    lengths = code_lengths(counts)
+    assert lengths.max() == 19 and sum(2.0 ** -lengths[lengths > 0].astype(float)) <= 1.0
+    code, ids = Code(lengths), rng.integers(0, len(counts), 5000)
+    assert np.array_equal(code.decode([(*code.encode(ids), len(ids))]), ids)
 
 
 PIECES = ["a", "Bc", "é", "ß", " ", "  ", "\n", "\t", "'s", "'", "'re", ".", "<|endoftext|>", "1", "²", "ő", "漢", "\x1c", "\xa0",
@@ -62,18 +67,32 @@ PIECES = ["a", "Bc", "é", "ß", " ", "  ", "\n", "\t", "'s", "'", "'re", ".", "
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.sampled_from(PIECES) | st.characters(exclude_categories=["Cs"]), max_size=14).map("".join))
 def test_encoder_equals_the_library(text):
-    own = token_output.encoder(open(PATH, encoding="utf-8").read())
+    own = text_ids.token_ids(text_ids.read_spec(PATH))
     assert own.chunked
-    assert np.frombuffer(own.encode(text), own.dtype).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    want = TOKENIZER.encode(text, add_special_tokens=False).ids
+    ids, offsets = own.encode(pa.array(["é", None, text, "", "x y"])[1:])
+    assert ids[offsets[1]:offsets[2]].tolist() == want and offsets[1] == 0 and offsets[3] == offsets[2]
+    ended, at = text_ids.with_end(ids, offsets, 7)
+    assert ended[at[1]:at[2]].tolist() == [*want, 7] and ended[at[0]:at[1]].tolist() == [7] == ended[at[2]:at[3]].tolist()
+
+
+def test_windows_cut_no_chunk(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(40))) for _ in range(300)] + ["x" * 500]
+    own = text_ids.TokenIds(text_ids.read_spec(PATH))
+    monkeypatch.setattr(text_ids, "WINDOW_BYTES", 29)
+    monkeypatch.setattr(text_ids, "CACHED_CHUNKS", 50)
+    ids, offsets = own.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [
+        TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
-    own = token_output.TextEncoder(open(path, encoding="utf-8").read())
+    own = text_ids.TokenIds(text_ids.read_spec(path))
     text = "Hello  THERE,\nyou're 12"
     assert not own.chunked
-    assert np.frombuffer(own.encode(text), own.dtype).tolist() == Tokenizer.from_file(path).encode(
-        text, add_special_tokens=False).ids
+    assert own.encode(pa.array([text]))[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 def test_round_trip(spark):
