@@ -8,6 +8,7 @@ same way in the oracle SQL.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from itertools import combinations
 
@@ -25,9 +26,10 @@ from stratus import sinks, sources
 from stratus import streaming
 from stratus.operators import analytics as analytics_ops
 from stratus.operators import joins as join_ops
-from stratus.plans import incremental
+from stratus.plans import daily_state, incremental
 from stratus.plans import oracle as O
 from stratus.plans.pipeline import run_job
+from stratus.plans.seen_rows import SeenRows
 from stratus.profile import FEATURES, READINGS, TIMESTAMP_FORMAT
 from stratus.session import shared_dir
 from stratus.sources.contract import RAW_CONTRACT, STANDARD_CONTRACT
@@ -577,11 +579,49 @@ def q_load_summary(spark, sf_dir):
                           (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
-@register("compaction_plan", O.sql(
-    "SELECT count(*) AS n_rows, 8 AS current_partitions, "
-    "greatest(1, least(8, (count(*) * 100) // 134217728)) AS target_partitions FROM R", "R"))
-def q_compaction_plan(spark, sf_dir):
-    return sinks.compaction_plan(readings(spark, sf_dir), current_partitions=8)
+@register("publish_versions", O.sql("""
+SELECT 1 AS version, count(*) AS n_rows, false AS live FROM D WHERE date < DATE '1998-01-01'
+UNION ALL SELECT 2 AS version, count(*) AS n_rows, false AS live FROM D WHERE date < DATE '2000-01-01'
+UNION ALL SELECT 3 AS version, count(*) AS n_rows, true AS live FROM D""", "D"))
+def q_publish_versions(spark, sf_dir):
+    versions = sinks.VersionedTable(spark, shared_dir(spark, "publish_versions"))
+    all_days = daily(spark, sf_dir)
+    whole = {"has_days": F.count(F.lit(1)) > 0, "days_known": F.count_if(F.col("date").isNull()) == 0}
+    versions.publish(all_days.where(F.col("date") < F.lit("1998-01-01").cast("date")), require=whole)
+    versions.publish(all_days.where(F.col("date") < F.lit("2000-01-01").cast("date")), require=whole)
+    try:  # the readings as they come hold rows without a date: not published
+        versions.publish(daily_ops.daily_agg(readings(spark, sf_dir), READINGS), require=whole)
+    except sinks.VerificationError:
+        pass
+    versions.publish(all_days, partition_by=["unique_days"], require=whole)
+    return versions.history().select("version", "n_rows", "live")
+
+
+@register("compact_small_files", O.sql("""
+SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS n_days, CAST(sum(n_rows) AS BIGINT) AS n_rows, sum(min_tempC) AS min_sum,
+       true AS merged, true AS fits FROM D GROUP BY year(date)""", "D"))
+def q_compact_small_files(spark, sf_dir):
+    path = shared_dir(spark, "compact_small_files")
+    days = daily(spark, sf_dir).withColumn("year", F.year("date"))
+    # Many writers, each with a small file in every year.
+    days.repartition(6, F.hash("date")).write.partitionBy("year").parquet(path)
+    counted = sinks.write_parquet(_files_by_year(spark, path), shared_dir(spark, "compact_counts"), verify=False)
+    before = sinks.read_back(spark, counted)  # counted now: the files themselves go
+    bins = sinks.compact_files(spark, path).groupBy(
+        F.regexp_extract("directory", "year=(\\d+)", 1).cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("bins"), F.sum("files").alias("replaced"))
+    after = _files_by_year(spark, path).withColumnRenamed("n_files", "n_after")
+    rows = spark.read.parquet(path).groupBy("year").agg(
+        F.count(F.lit(1)).alias("n_days"), F.sum("n_rows").alias("n_rows"), F.sum("min_tempC").alias("min_sum"))
+    joined = rows.join(before, "year").join(after, "year").join(bins, "year", "left")
+    kept = F.col("n_files") - F.coalesce("replaced", F.lit(0)) + F.coalesce("bins", F.lit(0))
+    return joined.select("year", "n_days", "n_rows", "min_sum", ((F.col("n_after") < F.col("n_files")) | (F.col("n_files") == 1)).alias("merged"),
+                         (F.col("n_after") == kept).alias("fits"))
+
+
+def _files_by_year(spark, path):
+    files = spark.read.parquet(path).select("year", F.col("_metadata.file_path").alias("file"))
+    return files.groupBy("year").agg(F.count_distinct("file").alias("n_files"))
 
 
 @register("parquet_scan", """
@@ -684,6 +724,36 @@ def q_incremental_equals_full(spark, sf_dir):
     return rounded(table_df.select(*order), FEATURE_INEXACT)
 
 
+def _overlapping_batches(spark, sf_dir) -> list[DataFrame]:
+    """Three batches of readings; each row stands in two of them."""
+    r = readings(spark, sf_dir)
+    return [r.where(F.pmod("reading_id", F.lit(3)) != left_out) for left_out in (2, 0, 1)]
+
+
+@register("incremental_merge", O.sql(f"SELECT {O.FEATURES_SELECT} FROM F", "F"))
+def q_incremental_merge(spark, sf_dir):
+    state = daily_state.DailyState(spark, shared_dir(spark, "incremental_merge"))
+    for number, batch in enumerate(_overlapping_batches(spark, sf_dir)):
+        state.add(batch, number)
+    return rounded(state.features().select(*feature_ops_columns()), FEATURE_INEXACT)
+
+
+@register("dedup_across_batches", O.sql("""
+SELECT batch_id, count(*) AS n_rows, CAST(sum(new) AS BIGINT) AS n_new, CAST(sum(new * reading_id) AS BIGINT) AS new_id_sum FROM (
+  SELECT b.batch_id, reading_id, CASE WHEN copy = 1 AND NOT (b.batch_id = 1 AND reading_id % 3 = 1) AND b.batch_id < 2 THEN 1 ELSE 0 END AS new
+  FROM (SELECT *, row_number() OVER (PARTITION BY R ORDER BY reading_id) AS copy FROM R) r
+  JOIN (VALUES (0, 2), (1, 0), (2, 1)) b(batch_id, left_out) ON reading_id % 3 <> left_out) t GROUP BY batch_id""", "R"))
+def q_dedup_across_batches(spark, sf_dir):
+    seen = SeenRows(spark, shared_dir(spark, "dedup_across_batches"))
+    frames = []
+    for number, batch in enumerate(_overlapping_batches(spark, sf_dir)):
+        got = seen.accept(batch, number)
+        frames.append(got.rows.agg(F.coalesce(F.sum("reading_id"), F.lit(0)).alias("new_id_sum")).select(
+            F.lit(number).alias("batch_id"), F.lit(got.n_rows).cast("long").alias("n_rows"),
+            F.lit(got.n_new).cast("long").alias("n_new"), "new_id_sum"))
+    return _union(frames)
+
+
 def feature_ops_columns() -> list[str]:
     return list(_D_COLUMNS) + ["year", "month", "day_of_week", "quarter",
                                *feature_ops.ROLLING_COLUMNS, *feature_ops.LAG_COLUMNS,
@@ -713,6 +783,53 @@ def q_stream_features(spark, sf_dir):
     return rounded(out.select(*feature_ops_columns()), FEATURE_INEXACT)
 
 
+def _fed_in_turns(spark, sf_dir, name: str, turn, process) -> str:
+    """The events as a stream of four turns of new files (``turn``: 0 to 3), a micro-batch each."""
+    base = shared_dir(spark, name)
+    events = table(spark, sf_dir, "events")
+    for number in range(4):
+        events.where(turn == number).write.mode("append").parquet(f"{base}/incoming")
+        streaming.run_batches(spark, f"{base}/incoming", "*.parquet", events.schema, process, f"{base}/checkpoint")
+    return base
+
+
+_LATE_TURN = "least(3, (day(ts) - 1) // 8 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)"
+
+
+@register("stream_late_rows", f"""
+WITH E AS (SELECT *, {_LATE_TURN} AS turn, CAST(ts AS DATE) + 1 AS day_end FROM events),
+B AS (SELECT turn, max(ts) AS last FROM E GROUP BY turn),
+L AS (SELECT E.*, (SELECT max(last) FROM B WHERE B.turn < E.turn) - INTERVAL 2 DAY AS bound,
+             (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS final FROM E)
+SELECT CASE WHEN bound IS NOT NULL AND day_end <= bound THEN 'late' WHEN day_end <= final THEN 'closed' ELSE 'open' END AS status,
+       event_type, count(*) AS n, round(sum(value), 4) AS total FROM L GROUP BY ALL""")
+def q_stream_late_rows(spark, sf_dir):
+    days = streaming.LateAwareDays(spark, shared_dir(spark, "late_days"), dt.timedelta(days=2))
+    delayed = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    turn = F.least(F.lit(3), F.floor((F.day("ts") - 1) / 8).cast("int") + delayed)
+    _fed_in_turns(spark, sf_dir, "stream_late_rows", turn, days.process)
+    late = days.late().select(F.lit("late").alias("status"), "event_type", F.lit(1).cast("long").alias("n"), F.col("value").alias("total"))
+    parts = [late] + [f.select(F.lit(s).alias("status"), "event_type", "n", "total") for s, f in (("closed", days.closed()), ("open", days.open()))]
+    out = _union(parts).groupBy("status", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
+    return out
+
+
+SESSION_GAP = dt.timedelta(hours=6)
+
+
+@register("session_windows", """
+WITH E AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+S AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM E)
+SELECT user_id, min(ts) AS start, max(ts) AS last, count(*) AS n, round(sum(value), 4) AS total FROM S GROUP BY user_id, session""")
+def q_session_windows(spark, sf_dir):
+    sessions = streaming.SessionStream(spark, shared_dir(spark, "sessions"), "user_id", "ts", "value", SESSION_GAP, dt.timedelta(hours=1))
+    # Turns of eight days; within one the files' rows come in any order, none is older than the turn before.
+    _fed_in_turns(spark, sf_dir, "session_windows", F.least(F.lit(3), F.floor((F.day("ts") - 1) / 8).cast("int")), sessions.process)
+    both = sessions.emitted("bigint").unionByName(sessions.open("bigint"))
+    return both.withColumn("total", F.round("total", 4))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -102,6 +102,16 @@ def store_batch(batch: DataFrame, store_path: str, batch_id: int,
     return StoredBatch(int(got["rows"]), months)
 
 
+def merge_batches(spark: SparkSession, store_path: str, before_batch: int, target_bytes: int = sinks.compaction.TARGET_FILE_BYTES) -> DataFrame:
+    """Merge the small files that batches before ``before_batch`` have left, month by
+    month, into the directory ``batch_id=-1``. Those batches are done; later ones,
+    which may be replayed, keep their directories."""
+    def into(directory: str) -> str | None:
+        month, _, batch = directory.rpartition("/batch_id=")
+        return f"{month}/batch_id=-1" if int(batch) < before_batch else None
+    return sinks.compact_files(spark, store_path, target_bytes, target_bytes, into)
+
+
 def stored_months(spark: SparkSession, store_path: str, schema,
                   months: tuple[tuple[int, int], ...]) -> DataFrame:
     """The stored readings of the given months, opening their directories only."""

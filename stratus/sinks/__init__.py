@@ -1,10 +1,9 @@
-"""Sinks: verified Parquet/CSV/JSON writes, multi-format fan-out, summaries."""
+"""Sinks: verified Parquet/CSV/JSON writes, versions, multi-format fan-out, file compaction, summaries."""
 
+from stratus.sinks.compaction import compact_files, recover
 from stratus.sinks.files import (
     VerificationError,
     WriteResult,
-    compaction_plan,
-    compaction_target,
     known_formats,
     load_summary,
     read_back,
@@ -13,6 +12,7 @@ from stratus.sinks.files import (
     write_multiple_formats,
     write_parquet,
 )
+from stratus.sinks.versions import Version, VersionedTable
 
-__all__ = ["VerificationError", "WriteResult", "compaction_plan", "compaction_target", "known_formats", "load_summary", "read_back",
-           "write_csv", "write_json", "write_multiple_formats", "write_parquet"]
+__all__ = ["VerificationError", "Version", "VersionedTable", "WriteResult", "compact_files", "known_formats", "load_summary",
+           "read_back", "recover", "write_csv", "write_json", "write_multiple_formats", "write_parquet"]

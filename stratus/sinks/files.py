@@ -1,10 +1,12 @@
-"""File sinks that keep every value and check what they wrote.
-
-Each write is one job. The row count and an order-free checksum of what was
-written are collected by an ``Observation`` riding on that same job; the
-written files are then scanned once under the options they were written with,
-and a difference raises :class:`VerificationError` (``verify=False`` leaves the
-check to the caller).
+"""File sinks that keep every value and check what they wrote before it counts.
+
+Each write is one job into a folder beside its target. The row count and an
+order-free checksum of what was written are collected by an ``Observation``
+riding on that same job; the new files alone are then scanned once under the
+options they were written with. A difference raises :class:`VerificationError`
+and leaves the target as it was; else the files are moved into place: the whole
+folder (overwrite), the partition directories that the frame has (dynamic
+overwrite) or each file (append). ``verify=False`` leaves the check to the caller.
 """
 
 from __future__ import annotations
@@ -13,16 +15,13 @@ import os
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions.exprs import row_checksum
 from stratus.session import shared_dir
-
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-BYTES_PER_ROW_ESTIMATE = 100
+from stratus.sinks import paths
 
 # Text formats of both directions: microseconds are kept.
 TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -44,9 +43,8 @@ class VerificationError(RuntimeError):
 class WriteResult:
     """What a write left: where, how to read it, and what must be found there.
 
-    ``options`` are those the files must be read with. ``only``: the partition
-    values a dynamic overwrite replaced (the check reads these alone);
-    ``before``: rows and checksum that an append found (the check subtracts them).
+    ``options`` are those the files must be read with. ``only``: the directories
+    or files of a dynamic overwrite or an append; the check reads these alone.
     """
 
     path: str
@@ -57,17 +55,15 @@ class WriteResult:
     partition_by: tuple[str, ...] = ()
     metrics: dict | None = None
     options: dict = field(default_factory=dict)
-    only: list | None = None
-    before: tuple = (0, 0)
+    only: tuple[str, ...] | None = None
 
     def verification(self, spark: SparkSession) -> DataFrame:
         """expected_rows, actual_rows, expected_columns, actual_columns,
         checksum_match, valid: one scan of the written files."""
         back = read_back(spark, self)
         cols = [f.name for f in self.schema.fields]
-        rows, total = self.before
-        row = back.agg((F.count(F.lit(1)) - F.lit(rows)).alias("actual_rows"), _checksum(cols).alias("_sum"))
-        expected_sum = F.lit(self.expected_checksum).cast("decimal(38,0)") + F.lit(total).cast("decimal(38,0)")
+        row = back.agg(F.count(F.lit(1)).alias("actual_rows"), _checksum(cols).alias("_sum"))
+        expected_sum = F.lit(self.expected_checksum).cast("decimal(38,0)")
         out = row.select(
             F.lit(self.expected_rows).cast("long").alias("expected_rows"),
             F.col("actual_rows"),
@@ -122,11 +118,20 @@ def _prepared(df: DataFrame, rebalance: bool | None, partition_by=(), sort_by=()
 
 
 def _write(df: DataFrame, path: str, fmt: str, write_options: dict, read_options: dict, mode: str,
-           prepared: DataFrame, metrics: dict | None, verify: bool, partition_by=(),
+           prepared: DataFrame, metrics: dict | None, verify: bool | WriteResult, partition_by=(),
            dynamic: bool = False) -> WriteResult:
-    spark, metrics, before = df.sparkSession, dict(metrics or {}), (0, 0)
-    if mode == "append":
-        before = _found(spark, path, fmt, df.schema, read_options)
+    """``verify``: hold the files against what this write observed, or against another
+    write's observation; False writes an overwrite straight to its target."""
+    spark, metrics, path = df.sparkSession, dict(metrics or {}), path.rstrip("/")
+    if mode not in ("overwrite", "append", "errorifexists", "error"):
+        raise ValueError(f"mode must be 'overwrite', 'append' or 'errorifexists', got {mode!r}")
+    if dynamic and mode != "overwrite":
+        raise ValueError("dynamic partitions are for mode 'overwrite'")
+    if mode in ("errorifexists", "error") and paths.exists(spark, path):
+        raise FileExistsError(path)
+    dynamic = dynamic and bool(partition_by)
+    parts = dynamic or mode == "append"
+    staged = verify is not False or parts
     own = {}
     if fmt == "csv":  # a record of several lines must be read by one task; most outputs have none
         texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -134,34 +139,49 @@ def _write(df: DataFrame, path: str, fmt: str, write_options: dict, read_options
         for c in texts:
             breaks = breaks | F.coalesce(c.rlike("[\\r\\n]"), F.lit(False))
         own["breaks"] = F.count_if(breaks)
-    if dynamic:  # as many values as directories, which the commit lists as well
-        own["parts"] = F.collect_set(F.struct(*[F.col(c) for c in partition_by]))
     observed, obs = _observed(prepared, fmt, {**metrics, **own})
-    writer = observed.write.mode(mode).options(**write_options)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    target = paths.beside(path, "new") if staged else path
+    writer = observed.write.mode("overwrite").options(**write_options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.format(fmt).save(path)
+    writer.format(fmt).save(target)
     got = obs.get
     if got.get("m_breaks"):
         read_options = {**read_options, "multiLine": "true"}
-    result = WriteResult(path, fmt, df.schema, int(got["rows"]), got["checksum"], tuple(partition_by),
-                         {k: got[f"m_{k}"] for k in metrics}, read_options,
-                         [tuple(r) for r in got["m_parts"]] if dynamic else None, before)
-    return result.check(spark) if verify else result
-
-
-def _found(spark: SparkSession, path: str, fmt: str, schema: T.StructType, options: dict) -> tuple:
-    """Rows and checksum already at ``path``."""
-    result = WriteResult(path, fmt, schema, 0, 0, options={**options, **({"multiLine": "true"} if fmt == "csv" else {})})
+    result = WriteResult(target, fmt, df.schema, int(got["rows"]), got["checksum"], tuple(partition_by),
+                         {k: got[f"m_{k}"] for k in metrics}, read_options)
+    if isinstance(verify, WriteResult):
+        result.expected_rows, result.expected_checksum, result.metrics = (
+            verify.expected_rows, verify.expected_checksum, verify.metrics)
+    if not staged:
+        return result
     try:
-        row = read_back(spark, result).agg(F.count(F.lit(1)), _checksum([f.name for f in schema.fields])).first()
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return 0, 0
-        raise
-    return int(row[0]), row[1]
+        if verify is not False:
+            result.check(spark)
+        if parts:
+            result.only = _into_place(spark, target, path, whole_folders=dynamic)
+        else:
+            paths.replace(spark, target, path)
+    finally:
+        paths.remove(spark, target)
+    result.path = path
+    return result
+
+
+def _into_place(spark: SparkSession, source: str, target: str, whole_folders: bool) -> tuple[str, ...]:
+    """Move the files of ``source`` to the same folders of ``target``, replacing these
+    folders or beside what is there; returns what was moved, by its new place."""
+    moved = []
+    for folder, names in sorted(paths.data_files(spark, source).items()):
+        if whole_folders and folder:
+            paths.replace(spark, f"{source}/{folder}", f"{target}/{folder}")
+            moved.append(f"{target}/{folder}")
+            continue
+        for name in names:
+            place = f"{target}/{folder}/{name}" if folder else f"{target}/{name}"
+            paths.move(spark, f"{source}/{folder}/{name}" if folder else f"{source}/{name}", place)
+            moved.append(place)
+    return tuple(moved)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -169,7 +189,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
                   dynamic_partitions: bool = False, rebalance: bool | None = None,
                   max_records_per_file: int | None = None,
                   metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
-                  verify: bool = True) -> WriteResult:
+                  verify: bool | WriteResult = True) -> WriteResult:
     """Write Parquet (optionally hive-partitioned). ``dynamic_partitions``
     replaces only the partitions present in ``df`` (incremental reruns);
     ``metrics`` are extra aggregates observed on the written rows."""
@@ -185,7 +205,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite", timestamp_format: str | None = None,
               compression: str | None = None, rebalance: bool | None = None,
               metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
-              verify: bool = True) -> WriteResult:
+              verify: bool | WriteResult = True) -> WriteResult:
     """Write CSV. Quotes are doubled, blanks and line breaks in texts stay,
     null is an empty field and an empty text a quoted one, times keep their
     microseconds unless ``timestamp_format`` says otherwise. A frame of one
@@ -201,7 +221,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                compression: str | None = None, rebalance: bool | None = None,
                metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
-               verify: bool = True) -> WriteResult:
+               verify: bool | WriteResult = True) -> WriteResult:
     """JSON Lines; null fields are written so every column survives a read,
     times keep their microseconds."""
     write_options = {**TIME_OPTIONS, "ignoreNullFields": "false", **({"compression": compression} if compression else {})}
@@ -216,14 +236,13 @@ def read_back(spark: SparkSession, result: WriteResult) -> DataFrame:
     reader = spark.read.options(**result.options)
     if result.fmt != "parquet":
         reader = reader.schema(result.schema).option("mode", "FAILFAST")
-    back = reader.format(result.fmt).load(result.path)
-    if result.only is not None:
-        kinds = T.StructType([result.schema[c] for c in result.partition_by])
-        parts = spark.createDataFrame(result.only, kinds).toDF(*[f"__{c}" for c in result.partition_by])
-        same = F.lit(True)
-        for c in result.partition_by:
-            same = same & F.col(c).cast(result.schema[c].dataType).eqNullSafe(F.col(f"__{c}"))
-        back = back.join(parts, same, "left_semi")
+    if result.only is not None or result.partition_by:
+        where = list(result.only) if result.only is not None else [result.path]
+        if not where or result.only is None and not paths.data_files(spark, result.path):
+            return spark.createDataFrame([], result.schema)
+        back = reader.format(result.fmt).option("basePath", result.path).load(where)
+    else:
+        back = reader.format(result.fmt).load(result.path)
     return back.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in result.schema.fields])
 
 
@@ -259,35 +278,13 @@ def write_multiple_formats(df: DataFrame, base_path: str,
     spark = df.sparkSession
     original = write_parquet(df, shared_dir(spark, "fan-out"), metrics=metrics, verify=False)
     source = read_back(spark, original)
-    results = {}
-    for f in known:
-        result = WRITERS[f](source, at[f], verify=False)
-        result.expected_rows, result.expected_checksum = original.expected_rows, original.expected_checksum
-        result.metrics = original.metrics
-        results[f] = result.check(spark) if verify else result
+    results = {f: WRITERS[f](source, at[f], verify=original if verify else False) for f in known}
+    for result in results.values():
+        result.expected_rows, result.expected_checksum, result.metrics = (
+            original.expected_rows, original.expected_checksum, original.metrics)
     return results
 
 
-def compaction_target(n_rows: int, current_partitions: int,
-                      bytes_per_row: int = BYTES_PER_ROW_ESTIMATE,
-                      target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Output partition count from a size estimate (only ever shrinks)."""
-    return max(1, min(current_partitions, (n_rows * bytes_per_row) // target_bytes))
-
-
-def compaction_plan(df: DataFrame, current_partitions: int,
-                    bytes_per_row: int = BYTES_PER_ROW_ESTIMATE,
-                    target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """n_rows, current_partitions, target_partitions as a one-row frame."""
-    n = F.count(F.lit(1))
-    return df.agg(n.alias("n_rows")).select(
-        "n_rows", F.lit(current_partitions).alias("current_partitions"),
-        F.greatest(F.lit(1).cast("long"), F.least(
-            F.lit(current_partitions).cast("long"),
-            F.floor(F.col("n_rows") * bytes_per_row / target_bytes).cast("long")))
-        .alias("target_partitions"))
-
-
 def load_summary(spark: SparkSession, results: dict[str, WriteResult]) -> DataFrame:
     """format, n_rows, n_columns, n_files, total_bytes of what was written: the
     rows from a scan of the files, the sizes from a file listing (binaryFile

@@ -1,5 +1,8 @@
-"""Structured Streaming forms of the daily aggregate."""
+"""Structured Streaming forms of the daily aggregate, late rows and sessions."""
 
-from stratus.streaming.daily import closed_window_stream, daily_event_stream, feature_stream
+from stratus.streaming.daily import closed_window_stream, daily_event_stream, feature_stream, run_batches
+from stratus.streaming.late import LateAwareDays
+from stratus.streaming.sessions import SessionStream, session_windows
 
-__all__ = ["closed_window_stream", "daily_event_stream", "feature_stream"]
+__all__ = ["LateAwareDays", "SessionStream", "closed_window_stream", "daily_event_stream", "feature_stream", "run_batches",
+           "session_windows"]

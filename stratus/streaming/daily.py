@@ -1,9 +1,10 @@
 """Streaming daily aggregates over an event source.
 
 ``daily_event_stream`` keeps one state row per (day, key) -- bounded by the
-calendar times the key domain -- and emits the complete result each
-micro-batch through ``foreachBatch``; every batch overwrites the output, so a
-batch replayed after a failure writes the same files (idempotent sink).
+calendar times the key domain -- and emits the rows that a micro-batch changed
+through ``foreachBatch``, into a folder of that micro-batch, so one replayed
+after a failure writes the same files (idempotent sink) and readers never meet
+an empty table.
 ``closed_window_stream`` is the append form: a watermark on event time closes
 day windows, late rows beyond it are dropped by design, and only closed
 windows are emitted.
@@ -31,20 +32,24 @@ def daily_event_stream(spark: SparkSession, directory: str, pattern: str, schema
                        out_path: str, checkpoint: str, ts_column: str = "ts",
                        key: str = "event_type", value: str = "value",
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """date, <key>, n, avg_value per day in complete mode; returns the output
-    table once the stream has processed everything available."""
+    """date, <key>, n, avg_value per day in update mode: each micro-batch writes the
+    days it changed; returns the latest row of every day and key once the stream
+    has processed everything available."""
     events = _source(spark, directory, pattern, schema, max_files_per_trigger)
     agg = (events.groupBy(F.to_date(F.col(ts_column)).alias("date"), F.col(key))
            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(value)).alias("avg_value")))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        # Keys that changed; a later micro-batch's row of a key replaces an earlier one's.
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    query = (agg.writeStream.outputMode("complete").foreachBatch(publish)
+    query = (agg.writeStream.outputMode("update").foreachBatch(publish)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.parquet(out_path)
+    written = spark.read.parquet(out_path)
+    latest = written.groupBy("date", key).agg(F.max_by(F.struct("n", "avg_value"), "batch_id").alias("row"))
+    return latest.select("date", key, "row.n", "row.avg_value")
 
 
 def closed_window_stream(spark: SparkSession, directory: str, pattern: str, schema: T.StructType,
@@ -98,3 +103,12 @@ def feature_stream(spark: SparkSession, directory: str, pattern: str, schema: T.
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return spark.read.parquet(features_path)
+
+
+def run_batches(spark: SparkSession, directory: str, pattern: str, schema: T.StructType, process, checkpoint: str,
+                max_files_per_trigger: int | None = None) -> None:
+    """Feed what is in ``directory`` to ``process(batch, batch_id)``, micro-batch by
+    micro-batch, until everything available has been processed."""
+    query = (_source(spark, directory, pattern, schema, max_files_per_trigger).writeStream.foreachBatch(process)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()

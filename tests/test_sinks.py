@@ -124,8 +124,130 @@ def test_verification_detects_change(spark, tmp_dir):
     assert not v.valid and v.actual_rows == 2
 
 
-def test_compaction_target():
-    assert sinks.compaction_target(1000, 8) == 1
-    assert sinks.compaction_target(10 * 134217728 // 100, 8) == 8
-    assert sinks.compaction_target(4_026_532, 8) == 3  # 402,653,200 bytes / 128 MiB
-    assert sinks.compaction_target(4_026_531, 8) == 2
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_a_failed_check_leaves_the_old_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "kept")
+    good = spark.createDataFrame([("a", dt.datetime(2031, 1, 1, 2, 3, 4))], "a string, t timestamp")
+    sinks.write_csv(good, path, timestamp_format="yyyy-MM-dd HH:mm:ss")
+    lossy = good.withColumn("t", F.expr("t + interval 5 microsecond"))
+    with pytest.raises(sinks.VerificationError):
+        sinks.write_csv(lossy, path, timestamp_format="yyyy-MM-dd HH:mm:ss")
+    assert spark.read.option("header", True).csv(path).count() == 1
+    other = sinks.write_parquet(_f3(spark).limit(1), os.path.join(tmp_dir, "other"))
+    table = os.path.join(tmp_dir, "table")
+    for options in ({}, {"mode": "append"}, {"partition_by": ["date"], "dynamic_partitions": True}):
+        first = {"partition_by": options["partition_by"]} if "partition_by" in options else {}
+        sinks.write_parquet(_f3(spark), table, **first)
+        before = _rows(read_parquet(spark, table))
+        with pytest.raises(sinks.VerificationError):  # held against another write
+            sinks.write_parquet(_f3(spark), table, verify=other, **options)
+        assert _rows(read_parquet(spark, table)) == before
+    assert sorted(os.listdir(tmp_dir)) == ["kept", "other", "table"]  # nothing is left beside them
+
+
+def test_a_check_opens_only_what_was_written(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "months")
+    df = spark.range(400).select("id", (F.col("id") % 40).cast("int").alias("m"))
+    sinks.write_parquet(df, path, partition_by=["m"])
+    one = sinks.write_parquet(df.where("m = 7"), path, partition_by=["m"], dynamic_partitions=True)
+    opened = sinks.read_back(spark, one).inputFiles()
+    assert opened and all("/m=7/" in f for f in opened)
+    more = sinks.write_parquet(df.where("m = 9"), path, partition_by=["m"], mode="append")
+    opened = sinks.read_back(spark, more).inputFiles()
+    assert opened and all("/m=9/" in f for f in opened) and len(opened) < len(glob.glob(f"{path}/m=9/part-*"))
+    assert more.verification(spark).first().valid and one.verification(spark).first().valid
+    back = {r.m: r.n for r in spark.read.parquet(path).groupBy("m").agg(F.count("*").alias("n")).collect()}
+    assert back == {m: 20 if m == 9 else 10 for m in range(40)}
+    empty = sinks.write_parquet(df.where("m > 99"), path, partition_by=["m"], dynamic_partitions=True)
+    assert empty.expected_rows == 0 and empty.only == () and spark.read.parquet(path).count() == 410
+
+
+def test_writes_over_what_they_read_and_existing_targets(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "self")
+    sinks.write_parquet(_f3(spark), path)
+    sinks.write_parquet(read_parquet(spark, path).limit(2), path)
+    assert read_parquet(spark, path).count() == 2
+    with pytest.raises(FileExistsError):
+        sinks.write_parquet(_f3(spark), path, mode="errorifexists")
+    with pytest.raises(ValueError):
+        sinks.write_parquet(_f3(spark), path, mode="ignore")
+    sinks.write_parquet(_f3(spark).limit(0), os.path.join(tmp_dir, "none"), partition_by=["date"])
+
+
+def test_versions(spark, tmp_dir):
+    table = sinks.VersionedTable(spark, os.path.join(tmp_dir, "v"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.history().count() == 0
+    assert table.publish(_f3(spark).limit(2)).number == 1
+    plan = table.read()
+    with pytest.raises(sinks.VerificationError, match="some_rows"):
+        table.publish(_f3(spark).limit(0), require={"some_rows": F.count("*") > 0, "known": F.count("date") >= 0})
+    assert table.read().count() == 2
+    assert table.publish(_f3(spark), partition_by=["date"], require={"some_rows": F.count("*") > 0}).number == 2
+    assert table.read().count() == 3 and table.read(1).count() == 2 and plan.count() == 2
+    history = {r.version: (r.n_rows, r.live) for r in table.history().collect()}
+    assert history == {1: (2, False), 2: (3, True)}
+    from stratus.sinks import paths
+    assert paths.claim(spark, f"{table.path}/claims/3")  # another writer was faster, or died
+    assert table.publish(_f3(spark)).number == 4
+    assert table.expire(keep=1) == [1, 2] and table.read().count() == 3
+    assert len(os.listdir(f"{table.path}/data")) == 1
+    with pytest.raises(FileNotFoundError):
+        table.read(2)
+
+
+def test_first_fit():
+    from stratus.sinks.compaction import first_fit
+    sizes = [(s, ("d", f"f{i}")) for i, s in enumerate([7, 5, 4, 3, 1, 9, 2])]
+    assert [[s for s, _ in b] for b in first_fit(sizes, 10)] == [[9, 1], [7, 3], [5, 4], [2]]
+    assert [[s for s, _ in b] for b in first_fit([(1, ("", str(i))) for i in range(10)], 3)] == [[1] * 3] * 3 + [[1]]
+    assert first_fit([], 5) == []
+
+
+def _many_files(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "small")
+    df = spark.range(600).select("id", F.concat(F.lit("p q:"), (F.col("id") % 3).cast("string")).alias("k"), F.lit("x y").alias("t"))
+    df.repartition(12).write.partitionBy("k").parquet(path)
+    df.where("id = 1").write.mode("append").partitionBy("k").parquet(path)
+    return path, _rows(spark.read.parquet(path))
+
+
+def test_compaction(spark, tmp_dir):
+    path, before = _many_files(spark, tmp_dir)
+    one = os.path.getsize(glob.glob(f"{path}/k=*/part-*")[0])
+    done = sinks.compact_files(spark, path, target_bytes=5 * one, small_bytes=4 * one).collect()
+    assert _rows(spark.read.parquet(path)) == before
+    files = {d: len(os.listdir(d)) for d in glob.glob(f"{path}/k=*")}
+    assert len(done) >= 6 and sum(r.files for r in done) >= 30
+    for d in glob.glob(f"{path}/k=*"):
+        mine = [r for r in done if os.path.basename(d) == r.directory]
+        left = [f for f in os.listdir(d) if f.endswith(".parquet")]
+        assert {r.file for r in mine} <= set(left) and len(left) <= len(mine) + 1 and len(left) <= 4
+    assert files and not [f for f in glob.glob(f"{path}/**/_*", recursive=True) if "_SUCCESS" not in f]
+    assert sinks.compact_files(spark, path, target_bytes=one, small_bytes=1).count() == 0
+
+
+@pytest.mark.parametrize("dies_at", [1, 3, 9])
+def test_a_compaction_that_dies_is_recovered(spark, tmp_dir, monkeypatch, dies_at):
+    from stratus.sinks import paths
+    path, before = _many_files(spark, tmp_dir)
+    move, calls = paths.move, [0]
+
+    def failing(*args):
+        calls[0] += 1
+        if calls[0] == dies_at:
+            raise OSError("gone")
+        return move(*args)
+    monkeypatch.setattr(paths, "move", failing)
+    one = os.path.getsize(glob.glob(f"{path}/k=*/part-*")[0])
+    with pytest.raises(OSError):
+        sinks.compact_files(spark, path, target_bytes=4 * one, small_bytes=3 * one)
+    monkeypatch.setattr(paths, "move", move)
+    sinks.recover(spark, path)
+    assert _rows(spark.read.parquet(path)) == before
+    assert not [f for f in glob.glob(f"{path}/**/_*", recursive=True) if "_SUCCESS" not in f]
+    assert sinks.recover(spark, path) == {"undone": 0, "finished": 0}
