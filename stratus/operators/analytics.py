@@ -13,8 +13,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratus import sinks
 from stratus.functions.exprs import resolve, season
 from stratus.operators.quality import _inline
+from stratus.session import shared_dir
 
 METRICS = ("temperatureC", "humidity", "wind_speed_kmh", "pressure_millibars", "visibility_km")
 
@@ -29,6 +31,56 @@ def metric_correlation(df: DataFrame, metrics: tuple[str, ...] = METRICS) -> Dat
                          for i, (a, b) in enumerate(pairs)])
 
 
+def rank_correlation(df: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
+    """metric_a, metric_b, n, corr (Spearman: of average ranks) for every pair of present
+    metrics, over the rows that have both.
+
+    All pairs go through together. Equal value pairs are counted first; values are
+    then dealt by ranges, so a value's rank is the rows in earlier ranges (one count
+    per range reaches the driver) plus those before it in its own. No window spans
+    more than a range, and equal values, however many, are one row.
+    """
+    present = [m for m in (resolve(df, x) for x in metrics) if m is not None]
+    pairs = [F.struct(F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"), F.col(a).cast("double").alias("x"),
+                      F.col(b).cast("double").alias("y")) for a, b in combinations(present, 2)]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "metric_a string, metric_b string, n long, corr double")
+    pair = ["metric_a", "metric_b"]
+    both = df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").where("x is not null and y is not null")
+    points = _written(both.groupBy(*pair, "x", "y").agg(F.count(F.lit(1)).alias("n")), "rank-points")
+    sides = points.select(*pair, "n", F.explode(F.array(F.struct(F.lit("x").alias("side"), F.col("x").alias("value")),
+                                                       F.struct(F.lit("y").alias("side"), F.col("y").alias("value")))).alias("s"))
+    values = sides.groupBy(*pair, "s.side", "s.value").agg(F.sum("n").alias("n"))
+    keys = [*pair, "side"]
+    dealt = _written(values.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id()), "rank-values")
+    totals, offsets = {}, []
+    for r in sorted(dealt.groupBy(*keys, "part").agg(F.sum("n").alias("n")).collect()):  # a row per range, and pair at its ends
+        key = (r["metric_a"], r["metric_b"], r["side"])
+        offsets.append((*key, r["part"], totals.get(key, 0)))
+        totals[key] = totals.get(key, 0) + r["n"]
+    spark = df.sparkSession
+    before = spark.createDataFrame(offsets, "metric_a string, metric_b string, side string, part int, before long")
+    own = Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("before") + F.coalesce(F.sum("n").over(own), F.lit(0)) + (F.col("n") + 1) / 2
+    ranks = _written(dealt.join(before, [*keys, "part"]).select(*keys, "value", rank.alias("rank")), "ranks")
+
+    def of(side: str) -> DataFrame:
+        return ranks.where(F.col("side") == side).select(*pair, F.col("value").alias(side), F.col("rank").alias(f"rank_{side}"))
+    middle = spark.createDataFrame([(a, b, (n + 1) / 2) for (a, b, side), n in totals.items() if side == "x"],
+                                   "metric_a string, metric_b string, middle double")
+    a, b = F.col("rank_x") - F.col("middle"), F.col("rank_y") - F.col("middle")  # the mean rank is exact
+    joined = points.join(of("x"), [*pair, "x"]).join(of("y"), [*pair, "y"]).join(middle, pair)
+    sums = joined.groupBy(*pair).agg(F.sum("n").alias("n"), F.sum(F.col("n") * a * b).alias("ab"),
+                                     F.sum(F.col("n") * a * a).alias("aa"), F.sum(F.col("n") * b * b).alias("bb"))
+    spread = F.sqrt(F.col("aa")) * F.sqrt(F.col("bb"))
+    return sums.select(*pair, "n", (F.col("ab") / F.when(spread > 0, spread)).alias("corr"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared folder: read several times below, computed once."""
+    return sinks.read_back(df.sparkSession, sinks.write_parquet(df, shared_dir(df.sparkSession, name), verify=False))
+
+
 def seasonal_stats(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date",
                    series_keys: tuple[str, ...] = ()) -> DataFrame:
     """[series keys], season, n, mean, p50 (exact median), skewness, kurtosis

@@ -2,8 +2,10 @@
 
 ``scope="month"`` (default) partitions every window by (series keys, year,
 month of the date), so rolling values and lags restart on the 1st of each
-month and frames count rows. ``scope="series"`` partitions by caller-given series keys and uses
-calendar-day range frames (missing days are not counted as rows).
+month and frames count rows. ``scope="series"`` runs on through caller-given series and uses
+calendar-day range frames (missing days are not counted as rows). A series is cut into
+chunks of ``CHUNK_DAYS`` for that, and the last days of a chunk stand in the next one as
+well, as many as the longest frame looks back; so one long series is many tasks.
 
 All window columns share one partitioning and ordering and are added in one
 ``withColumns``, so the plan holds one Exchange, one Sort and one Window.
@@ -19,6 +21,8 @@ from stratus.functions.exprs import is_weekend, resolve, season
 CALENDAR_COLUMNS = ("year", "month", "day_of_week", "quarter")
 ROLLING_COLUMNS = ("temp_7d_avg", "temp_30d_avg", "temp_7d_std", "temp_7d_min", "temp_7d_max")
 LAG_COLUMNS = ("temp_change_1d", "temp_change_7d")
+#: Days of a series that one window partition holds, and days that frames look back.
+CHUNK_DAYS, HALO_DAYS = 360, 29
 
 
 def _calendar(date: Column) -> dict[str, Column]:
@@ -53,7 +57,7 @@ def _window_exprs(value: str, date_column: str, scope: str,
             raise ValueError("scope='series' needs series_keys; a window without a "
                              "partition key would run in a single task")
         day = F.unix_date(F.col(date_column))
-        base = Window.partitionBy(*series_keys).orderBy(day)
+        base = Window.partitionBy(*series_keys, "_chunk").orderBy(day)
         w7, w30 = base.rangeBetween(-6, 0), base.rangeBetween(-29, 0)
         prev1 = F.first(v).over(base.rangeBetween(-1, -1))
         prev7 = F.first(v).over(base.rangeBetween(-7, -7))
@@ -70,6 +74,17 @@ def _window_exprs(value: str, date_column: str, scope: str,
     }
 
 
+def _windowed(df: DataFrame, columns: dict[str, Column], date_column: str, scope: str) -> DataFrame:
+    """``df`` with window columns; in series scope over chunks with the days before them."""
+    if scope != "series":
+        return df.withColumns(columns)
+    day = F.unix_date(F.col(date_column))
+    ahead = F.pmod(day, F.lit(CHUNK_DAYS)) >= CHUNK_DAYS - HALO_DAYS
+    copies = F.when(ahead, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    chunked = df.withColumn("_copy", F.explode(copies)).withColumn("_chunk", F.floor(day / CHUNK_DAYS) + F.col("_copy"))
+    return chunked.withColumns(columns).where("_copy = 0").drop("_copy", "_chunk")
+
+
 def calendar_features(df: DataFrame, date_column: str = "date") -> DataFrame:
     """year, month, day_of_week (1 = Sunday), quarter, is_weekend, season."""
     date = F.col(date_column)
@@ -81,7 +96,7 @@ def rolling_features(df: DataFrame, value: str = "avg_tempC", date_column: str =
     """7-row mean/std/min/max and 30-row mean of ``value``."""
     src = _with_partition_keys(df, date_column) if scope == "month" else df
     exprs = _window_exprs(value, date_column, scope, series_keys)
-    return src.withColumns({k: exprs[k] for k in ROLLING_COLUMNS})
+    return _windowed(src, {k: exprs[k] for k in ROLLING_COLUMNS}, date_column, scope)
 
 
 def lag_features(df: DataFrame, value: str = "avg_tempC", date_column: str = "date",
@@ -89,7 +104,7 @@ def lag_features(df: DataFrame, value: str = "avg_tempC", date_column: str = "da
     """Change against 1 and 7 rows (month scope) or days (series scope) back."""
     src = _with_partition_keys(df, date_column) if scope == "month" else df
     exprs = _window_exprs(value, date_column, scope, series_keys)
-    return src.withColumns({k: exprs[k] for k in LAG_COLUMNS})
+    return _windowed(src, {k: exprs[k] for k in LAG_COLUMNS}, date_column, scope)
 
 
 def daily_features(df: DataFrame, value: str = "avg_tempC", date_column: str = "date",
@@ -107,4 +122,4 @@ def daily_features(df: DataFrame, value: str = "avg_tempC", date_column: str = "
     if present is not None:
         cols.update(_window_exprs(present, date_column, scope, series_keys))
     cols.update(_flags(date))
-    return src.withColumns(cols)
+    return _windowed(src, cols, date_column, scope if present is not None else "month")

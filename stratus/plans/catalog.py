@@ -657,6 +657,36 @@ def q_metric_correlation(spark, sf_dir):
     return rounded(analytics_ops.metric_correlation(cleaned(spark, sf_dir)), ("corr",))
 
 
+def _spearman_sql() -> str:
+    pairs = [f"""SELECT {O.lit(a)} AS metric_a, {O.lit(b)} AS metric_b, count(*) AS n, round(corr(rx, ry), 6) AS corr FROM (
+      SELECT rank() OVER (ORDER BY {O.q(a)}) + (count(*) OVER (PARTITION BY {O.q(a)}) - 1) / 2.0e0 AS rx,
+             rank() OVER (ORDER BY {O.q(b)}) + (count(*) OVER (PARTITION BY {O.q(b)}) - 1) / 2.0e0 AS ry
+      FROM C WHERE {O.q(a)} IS NOT NULL AND {O.q(b)} IS NOT NULL) t""" for a, b in combinations(analytics_ops.METRICS, 2)]
+    return O.sql(O.union_rows(pairs), "C")
+
+
+@register("rank_correlation", _spearman_sql())
+def q_rank_correlation(spark, sf_dir):
+    return rounded(analytics_ops.rank_correlation(cleaned(spark, sf_dir)), ("corr",))
+
+
+@register("series_features", """
+WITH D AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS date, max(floor(o_totalprice)) AS top FROM orders GROUP BY ALL)
+SELECT o_orderstatus, date, top, round(avg(top) OVER w7, 6) AS temp_7d_avg, round(avg(top) OVER w30, 6) AS temp_30d_avg,
+       min(top) OVER w7 AS temp_7d_min, max(top) OVER w7 AS temp_7d_max,
+       top - first(top) OVER (PARTITION BY o_orderstatus ORDER BY date RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS temp_change_1d,
+       top - first(top) OVER (PARTITION BY o_orderstatus ORDER BY date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS temp_change_7d
+FROM D WINDOW w7 AS (PARTITION BY o_orderstatus ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW),
+              w30 AS (PARTITION BY o_orderstatus ORDER BY date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""")
+def q_series_features(spark, sf_dir):
+    top = table(spark, sf_dir, "orders").groupBy("o_orderstatus", F.to_date("o_orderdate").alias("date")).agg(
+        F.max(F.floor("o_totalprice").cast("double")).alias("top"))  # whole numbers: means are alike in any order
+    out = feature_ops.daily_features(top, "top", scope="series", series_keys=("o_orderstatus",))
+    return rounded(out.select("o_orderstatus", "date", "top", "temp_7d_avg", "temp_30d_avg", "temp_7d_min", "temp_7d_max",
+                              "temp_change_1d", "temp_change_7d"),
+                   ("temp_7d_avg", "temp_30d_avg"))
+
+
 _SEASON_SQL = ("CASE WHEN month(date) IN (12, 1, 2) THEN 'Winter' WHEN month(date) IN (3, 4, 5) "
                "THEN 'Spring' WHEN month(date) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END")
 
@@ -830,6 +860,44 @@ def q_session_windows(spark, sf_dir):
     return both.withColumn("total", F.round("total", 4))
 
 
+def _live_quality_sql() -> str:
+    ranges = {r.field: r for r in READINGS.range_rules}
+    texts, rows = {"summary"}, []
+    for c in O.READINGS_COLUMNS.replace(" ", "").split(","):
+        name, q = c.strip('"'), c
+        r = ranges.get(name)
+        low, high = (f"count(*) FILTER ({q} < {r.lower})", f"count(*) FILTER ({q} > {r.upper})") if r else ("NULL::BIGINT", "NULL::BIGINT")
+        least, most = (f"min({q})", f"max({q})") if r else ("NULL::DOUBLE", "NULL::DOUBLE")
+        empty = f"count(*) FILTER ({q} = '')" if name in texts else "NULL::BIGINT"
+        rows.append(f"SELECT {O.lit(name)} AS field, count(*) AS n_rows, count(*) - count({q}) AS nulls, {empty} AS empty, "
+                    f"{low} AS below, {high} AS above, {least} AS min, {most} AS max, true AS distinct_near, true AS median_near FROM R")
+    return O.sql(O.union_rows(rows), "R")
+
+
+@register("live_quality", _live_quality_sql())
+def q_live_quality(spark, sf_dir):
+    base = shared_dir(spark, "live_quality")
+    r = readings(spark, sf_dir)
+    live = streaming.LiveQuality(spark, f"{base}/quality")
+    for turn in range(3):
+        r.where(F.pmod("reading_id", F.lit(3)) == turn).write.mode("append").parquet(f"{base}/incoming")
+        streaming.run_batches(spark, f"{base}/incoming", "*.parquet", r.schema, live.process, f"{base}/checkpoint")
+    found = live.summary((0.5,)).withColumn("median", F.col("quantiles")[0]).drop("quantiles")
+    # The estimates against exact counts: within 3 % of the distinct values, 3 % of the ranks from the middle.
+    ranged = [x.field for x in READINGS.range_rules]
+    medians = found.where(F.col("median").isNotNull()).groupBy().pivot("field", ranged).agg(F.first("median"))
+    compared = r.crossJoin(medians.select(*[F.col(c).alias(f"m:{c}") for c in ranged]))  # one row on the right
+    exact = compared.agg(*[F.count_distinct(f"`{c}`").alias(f"d:{c}") for c in r.columns],
+                         *[((F.count_if(F.col(c) < F.col(f"`m:{c}`")) - 0.03 * F.count(c) <= 0.5 * F.count(c))
+                            & (F.count_if(F.col(c) <= F.col(f"`m:{c}`")) + 0.03 * F.count(c) >= 0.5 * F.count(c))).alias(f"m:{c}") for c in ranged])
+    truth = exact.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(f"`d:{c}`").alias("exact"),
+                 (F.col(f"`m:{c}`") if c in ranged else F.lit(True)).alias("median_near")) for c in r.columns])))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))
+    return found.join(truth, "field").select("field", "n_rows", "nulls", "empty", "below", "above", "min", "max",
+                                             near.alias("distinct_near"), "median_near")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

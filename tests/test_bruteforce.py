@@ -160,3 +160,25 @@ def test_series_scope_features_brute_force(spark, points):
         assert _close(r.temp_change_1d, v - prev1 if v is not None and prev1 is not None else None)
         assert _close(r.temp_change_7d, v - prev7 if v is not None and prev7 is not None else None)
     assert len(got) == len(by_key)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(*[st.none() | st.sampled_from([0.0, -0.0, 1.0, 2.5, 7.0]) | st.integers(-50, 50).map(float)] * 3), min_size=2, max_size=80))
+def test_rank_correlation(spark, rows):
+    """Average ranks by counting, then Pearson, per pair over the rows that have both."""
+    from stratus.operators.analytics import rank_correlation
+    df = spark.createDataFrame(rows, "temperatureC double, humidity double, visibility_km double")
+    got = {(r.metric_a, r.metric_b): (r.n, r.corr) for r in rank_correlation(df).collect()}
+    names = ["temperatureC", "humidity", "visibility_km"]
+    for i in range(3):
+        for j in range(i + 1, 3):
+            both = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+            if not both:
+                assert (names[i], names[j]) not in got
+                continue
+            x, y = ([sum(w < v for w in c) + (sum(w == v for w in c) + 1) / 2 for v in c] for c in zip(*both))
+            m = (len(both) + 1) / 2
+            ab, aa, bb = (sum((p - m) * (q - m) for p, q in zip(u, v)) for u, v in ((x, y), (x, x), (y, y)))
+            n, corr = got[names[i], names[j]]
+            assert n == len(both)
+            assert corr is None if aa * bb == 0 else abs(corr - ab / (aa * bb) ** 0.5) < 1e-9

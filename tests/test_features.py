@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -82,3 +83,28 @@ def test_month_scope_keeps_series_apart(spark):
     assert out[("a", dt.date(2020, 1, 3))].temp_7d_avg == 2.0
     assert out[("b", dt.date(2020, 1, 3))].temp_7d_avg == 200.0
     assert out[("b", dt.date(2020, 1, 2))].temp_change_1d == 100.0
+
+
+def test_series_scope_runs_on_across_chunks_in_many_tasks(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from stratus.operators import features
+    from stratus.plans.inspect import plan_text
+    rng = random.Random(3)
+    days = sorted(rng.sample(range(3000), 1800))
+    df = spark.createDataFrame([("s", dt.date(2015, 1, 1) + dt.timedelta(days=d), float(rng.randrange(100))) for d in days]
+                               + [("t", None, 1.0)], "station string, date date, avg_tempC double")
+    got = features.daily_features(df, scope="series", series_keys=("station",))
+    plain = Window.partitionBy("station").orderBy(F.unix_date("date"))
+    want = df.select("station", "date", F.round(F.avg("avg_tempC").over(plain.rangeBetween(-29, 0)), 9).alias("m"),
+                     F.first("avg_tempC").over(plain.rangeBetween(-7, -7)).alias("p"), "avg_tempC")
+    left = sorted(map(repr, got.select("date", F.round("temp_30d_avg", 9), F.col("temp_change_7d")).collect()))
+    assert len(left) == 1801
+    a = {r.date: (r[1], r.temp_change_7d) for r in got.select("date", F.round("temp_30d_avg", 9), "temp_change_7d").collect()}
+    b = {r.date: (r.m, None if r.p is None else r.avg_tempC - r.p) for r in want.where("date is not null").collect()}
+    assert {k: v for k, v in a.items() if k} == b
+    # Partitions of the window hold a chunk and its halo, never the series.
+    assert "_chunk" in plan_text(got)
+    chunked = features._windowed(df, {"n": F.count("*").over(Window.partitionBy("station", "_chunk"))}, "date", "series")
+    assert chunked.agg(F.max("n")).first()[0] <= features.CHUNK_DAYS + features.HALO_DAYS

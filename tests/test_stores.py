@@ -195,3 +195,28 @@ def test_stream_store_batches_merge(spark, tmp_dir):
     assert _rows(spark.read.parquet(store).drop("batch_id")) == before
     assert len(spark.read.parquet(store).inputFiles()) == 3
     assert sinks.recover(spark, store) == {"undone": 0, "finished": 0}
+
+
+def test_live_quality_adds_up_and_replays(spark, tmp_dir):
+    from stratus.operators.quality import completeness, range_violations
+    whole = _readings(spark, 4, 900).withColumn("summary", F.when(F.col("reading_id") % 5 == 0, "").otherwise(F.col("summary")))
+    live = streaming.LiveQuality(spark, os.path.join(tmp_dir, "q"))
+    with pytest.raises(FileNotFoundError):
+        live.summary()
+    for i in range(3):
+        live.process(whole.where(F.col("reading_id") % 3 == i), i)
+    live.process(whole.where(F.col("reading_id") % 3 == 1), 1)  # again, as after a failure
+    live.process(whole.limit(0), 3)
+    got = {r.field: r for r in live.summary((0.1, 0.9)).collect()}
+    assert set(got) == set(whole.columns)
+    exact = whole.agg(*[F.count_distinct(c).alias(c) for c in whole.columns]).first()
+    for c, r in got.items():
+        values = whole.agg(F.count_if(F.col(c).isNull()), F.count("*")).first()
+        assert (r.nulls, r.n_rows) == tuple(values)
+        assert abs(r.distinct - exact[c]) <= max(1, 0.03 * exact[c])
+    t = whole.agg(F.min("temperatureC"), F.max("temperatureC"), F.count_if(F.col("temperatureC") > 60),
+                  F.percentile("temperatureC", F.array(F.lit(0.07), F.lit(0.13), F.lit(0.87), F.lit(0.93)))).first()
+    r = got["temperatureC"]
+    assert (r.min, r.max, r.above) == tuple(t)[:3]
+    assert t[3][0] <= r.quantiles[0] <= t[3][1] and t[3][2] <= r.quantiles[1] <= t[3][3]
+    assert got["summary"].empty == whole.where("summary = ''").count() and got["reading_id"].quantiles is None
