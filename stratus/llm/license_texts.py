@@ -101,13 +101,23 @@ _ADDRESSES = ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301, USA", "51
 _TERMS_END = re.compile(r"^.*END OF TERMS AND CONDITIONS.*$", re.MULTILINE)
 
 
+def titled() -> list[tuple[str, str]]:
+    """(license, entire text) under each of its titles."""
+    return [(i, f"{title}\n\n{LICENSES[i]}") for i, titles in TITLES.items() for title in titles]
+
+
+def files() -> list[tuple[str, str]]:
+    """(license, entire text) of the license files."""
+    folder = resources.files("stratus.llm").joinpath("license_files")
+    return [(f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in sorted(folder.iterdir(), key=lambda f: f.name)]
+
+
 def editions() -> list[tuple[str, str]]:
     """(license, entire text): under each of its titles; long texts also without
     what follows the terms (how to apply them) and with other addresses."""
-    out = [(i, f"{title}\n\n{LICENSES[i]}") for i, titles in TITLES.items() for title in titles]
-    for file in sorted(resources.files("stratus.llm").joinpath("license_files").iterdir(), key=lambda f: f.name):
-        text = file.read_text(encoding="utf-8")
+    out = titled()
+    for name, text in files():
         forms = [text] + [text[:at] for m in _TERMS_END.finditer(text) for at in m.span()]
         forms += [_ADDRESS.sub(address, form) for form in forms for address in _ADDRESSES if _ADDRESS.search(form)]
-        out += [(file.name.removesuffix(".txt"), form) for form in forms]
+        out += [(name, form) for form in forms]
     return out

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm.common import ascii_lower, require
-from stratus.llm.license_texts import LICENSES, NOTICES, editions
+from stratus.llm.license_texts import LICENSES, NOTICES, editions, files, titled
 
 # Spellings held to be equal.
 SPELLINGS = (
@@ -25,13 +25,21 @@ SPELLINGS = (
     ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("sub license", "sublicense"),
     ("sublicence", "sublicense"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
 )
-_COPYRIGHT = r"^[^\w\n]*(?:copyright\b|\(c\)|©)[^\n]*$|^[^\w\n]*all rights reserved[^\w\n]*$"
+# The beginning of a copyright line: a sign or "copyright", with a year, a sign or a place for them on the same line.
+# Lines of a license's body that happen to begin with the word have none.
+_CLAIM = (r"^[^\w\n]*(?:copyright\b[^\n]*(?:\b(?:19|20)[0-9][0-9]\b|\(c\)|©|[<\[{][^\n]*[>\]}])"
+          r"|(?:\(c\)|©)[^\n]*\b(?:19|20)[0-9][0-9]\b)[^\n]*$")
+#: What the forms of a text leave out: copyright lines; the rest of their paragraphs as well (for claims that
+#: were broken into several lines); nothing (for texts whose claim is fixed, broken anywhere).
+_COPYRIGHT = _CLAIM + r"|^[^\w\n]*all rights reserved[^\w\n]*$"
+_CLAIM_PARAGRAPH = _CLAIM + r"(?:\r?\n[^\n]*\w[^\n]*$)*|^[^\w\n]*all rights reserved[^\w\n]*$"
+FORMS = (_COPYRIGHT, _CLAIM_PARAGRAPH, None)
 _PUNCTUATION = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F\u2010-\u201f\u00a0]+"
 
 
-def normalise(text):
+def normalise(text, left_out: str | None = _COPYRIGHT):
     """Column of the canonical form: words of a-z, 0-9 and letters beyond ASCII, one blank apart."""
-    c = F.regexp_replace(text, "(?imd)" + _COPYRIGHT, " ")
+    c = text if left_out is None else F.regexp_replace(text, "(?imd)" + left_out, " ")
     c = F.regexp_replace(ascii_lower(c), _PUNCTUATION, " ")
     # only texts that hold a word of the table are searched for each of its words
     table = "|".join(a for a, _ in SPELLINGS)
@@ -49,8 +57,9 @@ def known(spark: SparkSession) -> DataFrame:
     """(license_digest, license_id, whole): the texts of license_texts, a fixed and small table."""
     rows = [(k, v, True) for k, v in [*LICENSES.items(), *editions()]] + [(k, v, False) for v, k in NOTICES]
     texts = spark.createDataFrame(rows, "license_id string, text string, whole boolean")
-    # Digested once, so that no plan carries the texts.
-    digests = texts.select(digest(F.col("text")).alias("license_digest"), "license_id", "whole").distinct().collect()
+    # Digested once, so that no plan carries the texts. A text is known by each of its forms.
+    forms = F.explode(F.array(*[F.sha2(normalise(F.col("text"), f), 256) for f in FORMS]))
+    digests = texts.select(forms.alias("license_digest"), "license_id", "whole").distinct().collect()
     return spark.createDataFrame(digests, "license_digest string, license_id string, whole boolean")
 
 
@@ -72,27 +81,32 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, *, id_column: str =
     table = licenses.where(F.col("license_digest") != empty).groupBy("license_digest").agg(
         F.array_sort(F.collect_set("license_id")).alias("ids"))
     text = F.coalesce(F.col(text_column), F.lit(""))
+    # A text without a copyright line has one form.
+    claims = text.rlike("(?imd)" + _COPYRIGHT)
+    others = F.when(claims, F.array(*[F.sha2(normalise(text, f), 256) for f in FORMS[1:]])).otherwise(F.array().cast("array<string>"))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_hash"),
-                       normalise(text).alias("norm"), F.split(text, r"\r\n|\r|\n").alias("lines"))
-    # A header with the whole text's digest, then the lines that could be a notice.
-    notice = F.transform(F.filter("lines", lambda x: x.rlike(r"(?i)licen[cs]e")), lambda x: F.struct(
-        F.lit(False).alias("whole"), digest(x).alias("digest")))
-    whole = F.array(F.struct(F.lit(True).alias("whole"), F.sha2("norm", 256).alias("digest")))
+                       normalise(text).alias("norm"), others.alias("others"), F.split(text, r"\r\n|\r|\n").alias("lines"))
+    # A header with the whole text's digest, its other forms, then every line.
+    unit = lambda whole, value: F.struct(F.lit(whole).alias("whole"), value.alias("digest"))
+    notice = F.transform(F.filter("lines", lambda x: F.length(x) > 0), lambda x: unit("line", digest(x)))
+    whole = F.concat(F.array(unit("text", F.sha2("norm", 256))), F.transform("others", lambda x: unit("form", x)))
     n_words = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     units = rows.select("doc_id", "text_hash", n_words.cast("long").alias("n_words"), F.concat(whole, notice).alias("units"))
     units = units.select("doc_id", "text_hash", "n_words", F.explode_outer("units").alias("u")).select(
         "doc_id", "text_hash", "n_words", F.col("u.whole").alias("whole"), F.col("u.digest").alias("digest"))
-    met = units.join(table, F.col("digest") == F.col("license_digest"), "left").where("whole or ids is not null")
+    met = units.join(table, F.col("digest") == F.col("license_digest"), "left").where("whole = 'text' or ids is not null")
+    first, line = F.col("whole") == "text", F.col("whole") == "line"
     return (met.groupBy("doc_id", "text_hash").agg(
-        F.max("n_words").alias("n_words"), F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_digest"),
-        F.max(F.when(F.col("whole"), F.col("ids")[0])).alias("license_id"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("whole"), F.col("ids")))))).alias("line_licenses"),
-        F.sum(F.col("whole").cast("int")).alias("copies"))
+        F.max("n_words").alias("n_words"), F.max(F.when(first, F.col("digest"))).alias("text_digest"),
+        F.min(F.when(~line, F.col("ids")[0])).alias("license_id"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(line, F.col("ids")))))).alias("line_licenses"),
+        F.sum(first.cast("int")).alias("copies"))
         .withColumn("copy", F.explode(F.expr("sequence(1, cast(copies as int))"))).drop("copy", "copies", "text_hash"))
 
 
 def oracle() -> str:
-    """DuckDB SQL of the registered query; it knows LICENSES and NOTICES, not the other editions."""
+    """DuckDB SQL of the registered query, with the texts of LICENSES, NOTICES and the
+    license files under every title; of the files not the editions that differ in parts."""
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
@@ -100,25 +114,29 @@ def oracle() -> str:
     for a, b in SPELLINGS:
         levelled = f"replace({levelled}, {quoted(f' {a} ')}, {quoted(f' {b} ')})"
 
-    def macro(name: str, table: str, keep: str) -> str:
+    def norm(name: str, table: str, keep: str, left_out: str | None = _COPYRIGHT) -> str:
         """CTE with ``norm`` of the column ``text``."""
-        lower = "translate(regexp_replace(text, {}, ' ', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format(
-            quoted("(?im)" + _COPYRIGHT))
+        bare = "text" if left_out is None else f"regexp_replace(text, {quoted('(?im)' + left_out)}, ' ', 'g')"
+        lower = f"translate({bare}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
         return (f"{name} AS (SELECT {keep}, trim({levelled}) AS norm FROM (SELECT {keep}, regexp_replace({lower}, "
                 f"{quoted(_PUNCTUATION)}, ' ', 'g') AS c FROM {table}))")
-    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in [*LICENSES.items(), *[(i, t) for t, i in NOTICES]])
+    texts = [*LICENSES.items(), *[(i, t) for t, i in NOTICES], *titled(), *files()]
+    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in texts)
+    forms = range(len(FORMS))
     return f"""
 WITH k AS (SELECT * FROM (VALUES {values}) AS t(license_id, text)),
-{macro("kn", "k", "license_id")},
-known AS (SELECT sha256(norm) AS dig, list_sort(list(DISTINCT license_id)) AS ids FROM kn WHERE norm <> '' GROUP BY 1),
+{", ".join(norm(f"k{i}", "k", "license_id", FORMS[i]) for i in forms)},
+known AS (SELECT sha256(norm) AS dig, list_sort(list(DISTINCT license_id)) AS ids
+          FROM ({" UNION ALL ".join(f"SELECT * FROM k{i}" for i in forms)}) f WHERE norm <> '' GROUP BY 1),
 docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-{macro("dn", "docs", "r, doc_id")},
+{", ".join(norm(f"d{i}", "docs", "r, doc_id", FORMS[i]) for i in forms)},
+whole AS (SELECT r, min(ids[1]) AS license_id FROM ({" UNION ALL ".join(f"SELECT r, norm FROM d{i}" for i in forms)}) f
+          JOIN known ON dig = sha256(norm) GROUP BY r),
 ls AS (SELECT r, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS text FROM docs),
-lc AS (SELECT * FROM ls WHERE regexp_matches(text, '(?i)licen[cs]e')),
-{macro("ln", "lc", "r")},
+{norm("ln", "ls", "r")},
 lf AS (SELECT r, string_agg(DISTINCT id, ',' ORDER BY id) AS found FROM (
     SELECT r, unnest(ids) AS id FROM ln JOIN known ON dig = sha256(norm)) GROUP BY r)
 SELECT doc_id, CAST(CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS BIGINT) AS n_words,
-    sha256(norm) AS text_digest, ids[1] AS license_id, coalesce(found, '') AS line_licenses
-FROM dn LEFT JOIN known ON dig = sha256(norm) LEFT JOIN lf USING (r)
+    sha256(norm) AS text_digest, license_id, coalesce(found, '') AS line_licenses
+FROM d0 LEFT JOIN whole USING (r) LEFT JOIN lf USING (r)
 """

@@ -1,10 +1,12 @@
 """License scans: editions of one text agree, other texts do not."""
 
+import re
+import textwrap
 from pathlib import Path
 
 from corpus_cases import documents
 from stratus.llm import licenses
-from stratus.llm.license_texts import LICENSES, NOTICES
+from stratus.llm.license_texts import LICENSES, NOTICES, files
 
 
 def test_scan(spark):
@@ -56,3 +58,30 @@ def test_long_texts_and_titles(spark):
     want += [(long["Apache-2.0"] + "\nAnd more.", None), (long["GPL-3.0-only"].replace("freedom", "liberty", 1), None)]
     got = {r.doc_id: r.license_id for r in licenses.scan(documents(spark, [(n, t, "en", "s") for n, (t, _) in enumerate(want)])).collect()}
     assert [got[n] for n in range(len(want))] == [i for _, i in want]
+
+
+def test_every_text_is_found_at_any_width(spark):
+    """Paragraphs joined and broken again at 40 to 120 columns; holders and years of one's own."""
+    claim = "Copyright (c) 2019-2024 The Authors of a Rather Long Named Project and all of its Contributors. All rights reserved."
+    texts = [(i, claim + "\n\n" + t) for i, t in LICENSES.items()] + files()
+    rows, want = [], {}
+    for i, text in texts:
+        paragraphs = re.split(r"\n[ \t]*\n", text)
+        for width in range(40, 121, 8 if len(text) < 5000 else 40):
+            wrapped = "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in paragraphs)
+            want[len(rows)] = (i, width)
+            rows.append((len(rows), wrapped, "en", "s"))
+    got = {r.doc_id: r.license_id for r in licenses.scan(documents(spark, rows)).collect()}
+    assert [w for n, w in want.items() if got[n] != w[0]] == []
+
+
+def test_lines_without_the_word_license_and_body_lines(spark):
+    isc = " ".join(LICENSES["ISC"].split())
+    body = "Copyright holders be liable for any claim.\n(c) You must retain the notices.\ncopyright notice and this list"
+    rows = [(1, f"intro\n{isc}\noutro", "en", "s"), (2, body, "en", "s"), (3, "x\nany words at all!\ny", "en", "s")]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got[2].n_words == len(re.findall(r"\w+", body))
+    own = spark.createDataFrame([("own", "Any words at all")], "license_id string, text string")
+    own = own.select(licenses.digest(own.text).alias("license_digest"), "license_id")
+    assert {r.doc_id: r.line_licenses for r in licenses.scan(documents(spark, rows), own).collect()} == {1: [], 2: [], 3: ["own"]}
+    assert got[1].line_licenses == ["ISC"]
