@@ -50,7 +50,8 @@ FEATURES = ["kind", "generator", "digits", "luhn", "octets", "plus", "separators
 #: Bounds of the fit: distinct feature vectors that reach the driver (the most frequent ones).
 MAX_VECTORS = 5_000
 MIN_PRECISION = 0.98
-DEFAULT_THRESHOLD = 0.9
+#: Above every score: a kind whose precision is out of reach gets no added spans.
+NEVER = 2.0
 _SCAN = 256
 
 
@@ -129,45 +130,62 @@ def propose(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     return rows.select("doc_id", *[c.alias(f"base_{k}") for k, c in slim.items()], proposals.alias("proposals"))
 
 
+def calibrate(scored: list[tuple[float, int, int]], precision: float = MIN_PRECISION) -> float:
+    """The lowest score at and above which ``precision`` of the (score, positive, negative)
+    are positive; above every score if there is none, so that nothing is added.
+    Equal scores stand or fall together."""
+    by: dict[float, list[int]] = {}
+    for score, pos, neg in scored:
+        own = by.setdefault(score, [0, 0])
+        own[0] += pos
+        own[1] += neg
+    threshold, good, bad = NEVER, 0, 0
+    for score, (pos, neg) in sorted(by.items(), reverse=True):
+        good, bad = good + pos, bad + neg
+        if good and good >= precision * (good + bad):
+            threshold = score
+    return threshold
+
+
+def _score(model: Boosted, names: list[str]) -> str:
+    """SQL of the score in steps of 0.001, as it is calibrated and applied."""
+    return f"(floor({model.sql(names)} * 1000) / 1000)"
+
+
 def fit(proposed: DataFrame) -> tuple[Boosted, list[float]]:
     """The trees and the threshold of each kind.
 
-    Trained on three quarters of the documents, by a hash of their id; a kind's
-    threshold is the lowest score of the other quarter at and above which
-    MIN_PRECISION of the labelled proposals are positive.
+    Trained on three quarters of the rows, by a hash of id and proposals, from the
+    MAX_VECTORS most frequent feature vectors. The thresholds are calibrated on
+    all labelled proposals of the other quarter, scored where they lie.
     """
-    flat = proposed.select(F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("fold"), F.explode_outer("proposals").alias("x"))
-    counts = (flat.where("x.label is not null")
-              .groupBy((F.col("fold") == 0).alias("test"), *[F.col(f"x.{f}").alias(f) for f in FEATURES])
-              .agg(F.sum("x.label").alias("pos"), F.sum(1 - F.col("x.label")).alias("neg")))
-    rows = counts.orderBy(F.desc(F.col("pos") + F.col("neg")), "test", *FEATURES).limit(MAX_VECTORS).collect()
-    vector = lambda r: tuple(int(r[f]) for f in FEATURES)
-    model = Boosted().fit([(vector(r), int(r["pos"]), int(r["neg"])) for r in rows if not r["test"]])
-    thresholds = []
-    for k in range(len(KINDS)):
-        scored = sorted(((model.score(vector(r)), int(r["pos"]), int(r["neg"])) for r in rows
-                         if r["test"] and r["kind"] == k), reverse=True)
-        threshold, good, bad = DEFAULT_THRESHOLD, 0, 0
-        for score, pos, neg in scored:
-            good, bad = good + pos, bad + neg
-            if good and good >= MIN_PRECISION * (good + bad):
-                threshold = min(threshold, max(score, 0.5))
-        thresholds.append(round(threshold, 6))
-    return model, thresholds
+    fold = F.pmod(F.xxhash64("doc_id", "proposals"), F.lit(4))
+    flat = proposed.select(fold.alias("fold"), F.explode_outer("proposals").alias("x"))
+    counts = stage(flat.where("x.label is not null")
+                   .groupBy((F.col("fold") == 0).alias("test"), *[F.col(f"x.{f}").alias(f) for f in FEATURES])
+                   .agg(F.sum("x.label").alias("pos"), F.sum(1 - F.col("x.label")).alias("neg")), "pii-counts")
+    rows = (counts.where("not test").orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES)
+            .limit(MAX_VECTORS).collect())
+    model = Boosted().fit([(tuple(int(r[f]) for f in FEATURES), int(r["pos"]), int(r["neg"])) for r in rows])
+    scored = (counts.where("test").groupBy("kind", F.expr(_score(model, FEATURES)).alias("score"))
+              .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect())  # 1001 scores of a kind at most
+    return model, [calibrate([(float(r["score"]), int(r["pos"]), int(r["neg"])) for r in scored if r["kind"] == k])
+                   for k in range(len(KINDS))]
 
 
 def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: doc_id, base and spans (arrays of kind, start, end in code
     points, end exclusive, by kind and start); spans holds base and what the trees add.
 
-    A null or empty text has no spans. An added span touches no base span nor
-    another added one of its kind. Ids are not looked at but to split the fit.
+    A null or empty text has no spans. An added span overlaps no base span nor
+    another added one of its own kind; it may overlap one of another kind. Ids are
+    not looked at but to split the fit. Without labelled proposals nothing is added.
     """
     require(docs, id_column, text_column)
     proposed = stage(propose(docs, id_column, text_column), "pii-proposals")
     model, thresholds = fit(proposed)
     limit = "element_at(array(" + ", ".join(f"{t!r}D" for t in thresholds) + "), c.kind + 1)"
-    chosen = (f"array_sort(transform(filter(proposals, c -> not c.taken and {model.sql([f'c.{f}' for f in FEATURES])} >= {limit}), "
+    chosen = (f"array_sort(transform(filter(proposals, c -> not c.taken and {_score(model, [f'c.{f}' for f in FEATURES])} >= {limit}), "
               f"c -> struct(c.kind as k, c.start as start, c.end as end)))")
     # Of those that overlap, the first and then longest stays.
     apart = ("aggregate(array_sort(chosen, (x, y) -> case when x.k <> y.k then x.k - y.k when x.start <> y.start "

@@ -84,3 +84,27 @@ def test_boosting_separates_and_its_sql_agrees(spark):
         assert abs(r.s - model.score((r.a, r.b))) < 1e-9
         assert (r.s > 0.5) == (r.a > 2 and r.b <= 1)
     assert Boosted().fit([]).score((1, 2)) == 0.5
+
+
+def test_thresholds_are_those_of_the_held_out_rows():
+    assert pii.calibrate([(.95, 100, 0), (.92, 0, 50)]) == .95
+    assert pii.calibrate([(.9, 100, 0), (.9, 0, 90)]) == pii.NEVER  # equal scores stand or fall together
+    assert pii.calibrate([(.99, 0, 5), (.2, 0, 7)]) == pii.NEVER == pii.calibrate([])
+    assert pii.calibrate([(.99, 40, 0), (.7, 0, 1), (.4, 60, 0), (.1, 0, 30)]) == .4
+    assert pii.calibrate([(.3, 10, 0)]) == .3  # no floor
+
+
+def test_the_fit_bound_cuts_no_calibration(spark, monkeypatch):
+    """Vectors beyond the bound of the fit still count for the thresholds; null ids are dealt too."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(pii, "MAX_VECTORS", 3)
+    seen = []
+    kept = pii.calibrate
+    monkeypatch.setattr(pii, "calibrate", lambda rows: seen.extend(rows) or kept(rows))
+    rows = [(None, f"call +1 (366) 555-{1000 + i} or m{i}@mail.example.com {10 ** (6 + i % 4)} 10.0.{i}.2", "en", "s") for i in range(300)]
+    df = documents(spark, rows)
+    proposed = pii.stage(pii.propose(df), "test-pii")
+    pii.fit(proposed)
+    labelled = proposed.where(F.pmod(F.xxhash64("doc_id", "proposals"), F.lit(4)) == 0).selectExpr(
+        "size(filter(proposals, x -> x.label is not null)) as n").agg(F.sum("n")).first()[0]
+    assert sum(p + n for _, p, n in seen) == labelled > 100
