@@ -29,6 +29,7 @@ HEADLINE = [
     "incremental_equals_full", "stream_daily_agg", "seasonal_decomposition",
     "metric_correlation", "parquet_scan",
     "stream_features", "multi_format_counts", "pipeline_summary", "csv_glob_scan",
+    "rank_correlation", "series_features", "dedup_across_batches", "compact_small_files", "publish_versions",
 ]
 
 

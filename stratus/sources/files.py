@@ -113,8 +113,9 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT
              timestamp_format: str = TIMESTAMP_FORMAT, sep: str = ",") -> tuple[DataFrame, DataFrame]:
     """(records, rejected) of CSV files with a header, read line by line.
 
-    Files stay splittable and no line is lost: every line but the headers is
-    either a record or in ``rejected`` (line, reason). Reasons: 'open_quote'
+    Files stay splittable and no line is lost: every line but one header of each
+    file is either a record or in ``rejected`` (line, reason). Reasons: 'blank',
+    'header' (a header line again in the same file), 'open_quote'
     (an odd number of quotes, as where a quoted field holds a line break),
     'fields' (too few or too many, as between two such lines) and 'value' (a
     field that is not of its type). A file whose first line is not the header
@@ -122,8 +123,14 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT
     """
     header = sep.join(f.name for f in schema.fields)
     quoted = sep.join(f'"{f.name}"' for f in schema.fields)
-    lines = spark.read.text(path).select(F.regexp_replace("value", "\\r$", "").alias("line")).where(
-        ~F.col("line").isin(header, quoted) & (F.col("line") != ""))
+    text = spark.read.text(path).select(F.regexp_replace("value", "\\r$", "").alias("line"), F.col("_metadata.file_path").alias("_file"))
+    is_header, is_blank = F.col("line").isin(header, quoted), F.col("line") == ""
+    lines = text.where(~is_header & ~is_blank)
+    # Header lines are alike, so which of a file's was the first does not matter.
+    again = (text.where(is_header).groupBy("_file", "line").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("_file").agg(F.max_by("line", "n").alias("line"), F.sum("n").alias("n"))
+             .select("line", F.explode(F.expr("if(n > 1, sequence(2, n), array())"))).select("line", F.lit("header").alias("reason")))
+    blank = text.where(is_blank).select("line", F.lit("blank").alias("reason"))
     corrupt = "_corrupt"
     full = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt,
@@ -138,7 +145,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT
               .when(F.col(f"r.{corrupt}").isNotNull(), F.lit("value")))
     marked = parsed.withColumn("reason", reason)
     records = marked.where("reason is null").select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
-    return records, marked.where("reason is not null").select("line", "reason")
+    rejected = marked.where("reason is not null").select("line", "reason")
+    return records, rejected.unionByName(again).unionByName(blank)
 
 
 def _ddl(schema: T.StructType) -> str:

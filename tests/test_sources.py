@@ -113,3 +113,16 @@ def test_day_in_an_explicit_zone(spark, tmp_dir, session_zone):
             assert days == {day}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_blank_and_repeated_header_lines_are_accounted_for(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from stratus.sources import scan_csv
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for name, text in (("x.csv", "a,b\n1,p\n\na,b\n2,q\na,b\n"), ("y.csv", "a,b\r\n3,r\r\n\r\n")):
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+    records, rejected = scan_csv(spark, tmp_dir, schema)
+    assert sorted(tuple(r) for r in records.collect()) == [(1, "p"), (2, "q"), (3, "r")]
+    assert sorted(tuple(r) for r in rejected.collect()) == [("", "blank"), ("", "blank"), ("a,b", "header"), ("a,b", "header")]
