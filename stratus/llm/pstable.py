@@ -31,7 +31,14 @@ TABLES, PROJECTIONS, WIDTH = 48, 12, 1.6
 BLOCK = 512
 
 
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows brought to components of at most 1 by powers of two: squares neither overflow
+    nor vanish, and cosines keep every bit."""
+    return np.ldexp(matrix, -np.frexp(np.abs(matrix).max(axis=1))[1][:, None])
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
+    matrix = _scaled(matrix)
     return matrix / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
 
 
@@ -65,7 +72,7 @@ def _hasher(seed, tables, projections, width):
 
 def _linked(part: pd.DataFrame, starts: np.ndarray, min_cosine: float) -> pd.DataFrame:
     """Links within the groups of ``part`` (rows of one dimension), counted where a pair first meets."""
-    v = np.vstack(part["v"].to_numpy()).astype(np.float64)
+    v = _scaled(np.vstack(part["v"].to_numpy()).astype(np.float64))
     unit, keys = _unit(v), np.vstack(part["keys"].to_numpy())
     side, whole = part["side"].to_numpy(), (part["lo"] == part["hi"]).to_numpy()
     first, second = [], []

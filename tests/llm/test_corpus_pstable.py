@@ -61,3 +61,22 @@ def test_matches_brute_force(spark, kind, block):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert pstable.link(df).count() == 0
+
+
+def test_vectors_of_any_size(spark):
+    """Near-equal directions link however long the vectors are; scaling changes no cosine."""
+    rng = np.random.default_rng(4)
+    centre, rows = rng.standard_normal(16), []
+    for i, size in enumerate([1e-200, 1e200, 1.0, 1e-300, 1e300, 1e-160]):
+        rows.append((i, ((centre + 0.01 * rng.standard_normal(16)) * size).tolist(), 1))
+    rows += [(10, [1e-310] + [0.0] * 15, 1), (11, [5e-310] + [0.0] * 15, 1), (12, (-centre * 1e200).tolist(), 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pstable.link(spark.createDataFrame(
+        rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i] for i in range(6)] == [(5, 0)] * 6
+    assert got[10] == got[11] == (1, 10) and got[12] == (0, 12)
+    m = rng.standard_normal((50, 16)) * 10.0 ** rng.integers(-9, 9, (50, 1))
+
+    def cosines(v):
+        norm = np.sqrt((v * v).sum(axis=1))
+        return (v[1:] * v[:-1]).sum(axis=1) / (norm[1:] * norm[:-1])
+    assert np.array_equal(cosines(m), cosines(pstable._scaled(m)))
