@@ -143,3 +143,89 @@ def anomaly_zscore(daily: DataFrame, value: str = "avg_tempC", date_column: str
     z = F.when(F.col("_sd") > 0, (F.col(value) - F.col("_mu")) / F.col("_sd"))
     return (scored.withColumn("zscore", z).where(F.abs(F.col("zscore")) > threshold)
             .select(*series_keys, "date", value, "zscore"))
+
+
+def change_points(daily: DataFrame, value: str = "avg_tempC", date_column: str = "date",
+                  penalty: float = 3.0, series_keys: tuple[str, ...] = ()) -> DataFrame:
+    """[series keys], segment, start_date, end_date, n_days, mean, change: the stretches of
+    a series between shifts of its mean, numbered from 1 by date.
+
+    The segmentation is the one of least cost: squared deviations from the segments' means
+    plus, for each segment, ``penalty`` * s2 * ln(n), where s2 is the noise of the series:
+    the squared median absolute difference of neighbouring days, scaled for normal noise.
+    (At least 1e-6, so that a series whose days mostly agree is still cut where it shifts.)
+    ``change`` is a segment's mean less the one before it, null for the first.
+
+    Solved exactly by dynamic programming over the days; a start that already costs more
+    than the best cut at some day can never win later and is dropped, so few are kept.
+    The recurrence runs inside one series' array, a row per day of the calendar, however
+    many readings stand behind a day. Days without a value are left out, rows of one date
+    are taken as they come by (date, value), an empty frame gives no rows.
+    """
+    day = F.struct(F.col(date_column).alias("d"), F.col(value).cast("double").alias("v"))
+    usable = daily.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    if series_keys:  # small arrays, much work each: as many tasks as the session has, not merged to few
+        usable = usable.repartition(int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions")), *series_keys)
+    series = usable.groupBy(*series_keys).agg(F.array_sort(F.collect_list(day)).alias("days")).where("size(days) > 0")
+    series = series.withColumn("n", F.size("days")).withColumn(
+        "mu", F.aggregate("days", F.lit(0.0), lambda a, x: a + x["v"]) / F.col("n"))
+    # Median absolute difference of neighbours; 0.9539 is that of unit normal noise.
+    steps = F.when(F.col("n") > 1, F.array_sort(F.transform(
+        F.sequence(F.lit(2), F.greatest(F.col("n"), F.lit(2))),
+        lambda i: F.abs(F.col("days")[i - 1]["v"] - F.col("days")[i - 2]["v"]))))
+    series = series.withColumn("steps", steps)
+    m = F.size("steps")
+    middle = (F.element_at("steps", ((m + 1) / 2).cast("int")) + F.element_at("steps", (m / 2).cast("int") + 1)) / 2
+    noise = F.when(F.col("n") > 1, middle / 0.9539).otherwise(F.lit(0.0))
+    series = series.withColumn("beta", F.greatest(F.lit(penalty) * noise * noise * F.log(F.col("n").cast("double")), F.lit(1e-6)))
+
+    def begin(at, base, s):
+        return F.struct(base.alias("now"), at.alias("at"), base.alias("base"), s.alias("s"))
+
+    def turn(t, s, opened, best, cut):
+        return F.struct(t.alias("t"), s.alias("s"), opened.alias("open"), best.alias("best"), cut.alias("cut"))
+
+    zero = F.lit(0.0)
+    first = begin(F.lit(0), zero, zero)
+
+    # Costs are kept less the sum of squares up to their day, which is the same for all starts.
+    def extend(state, x):
+        """Each start's cost with one segment from there to this day, but for the penalty."""
+        s, t = state["s"] + x["v"], state["t"] + 1
+        opened = F.transform(state["open"], lambda c: F.struct(
+            (c["base"] - (s - c["s"]) * (s - c["s"]) / (t - c["at"])).alias("now"), c["at"].alias("at"), c["base"].alias("base"), c["s"].alias("s")))
+        return turn(t, s, opened, state["best"], state["cut"])
+
+    def choose(state, x):
+        """The least cost, and of equal ones the earliest start; kept, so that it is found once a day."""
+        return turn(state["t"], state["s"], state["open"], F.array_min(state["open"]), state["cut"])
+
+    def prune(state, x):
+        best = state["best"]
+        kept = F.filter(state["open"], lambda c: c["now"] <= best["now"] + x["beta"])
+        return turn(state["t"], state["s"], F.array_append(kept, begin(state["t"], best["now"] + x["beta"], state["s"])),
+                    best, F.array_append(state["cut"], best["at"]))
+
+    centred = F.transform("days", lambda x: F.struct((x["v"] - F.col("mu")).alias("v"), F.col("beta").alias("beta")))
+    # Each day goes in three times: costs of all starts, the best of them, starts that can no longer win.
+    turns = F.flatten(F.transform(centred, lambda x: F.array(*[
+        F.struct(x["v"], x["beta"], F.lit(k).alias("turn")) for k in range(3)])))
+    start = turn(F.lit(0), zero, F.array(first), first, F.array().cast("array<int>"))
+    series = series.withColumn("cut", F.aggregate(
+        turns, start, lambda a, x: F.when(x["turn"] == 0, extend(a, x)).when(x["turn"] == 1, choose(a, x)).otherwise(prune(a, x)),
+        lambda a: a["cut"]))
+    back = F.aggregate(
+        "cut", F.struct(F.col("n").alias("at"), F.array().cast("array<int>").alias("ends")),
+        lambda a, _: F.when(a["at"] > 0, F.struct(F.element_at("cut", F.greatest(a["at"], F.lit(1))).alias("at"),
+                                                  F.array_append(a["ends"], a["at"]).alias("ends"))).otherwise(a),
+        lambda a: F.reverse(a["ends"]))
+    series = series.withColumn("ends", back)
+    bounds = F.transform("ends", lambda e, i: F.struct(
+        (i + 1).alias("segment"), F.when(i > 0, F.col("ends")[i - 1]).otherwise(F.lit(0)).alias("a"), e.alias("b")))
+    cuts = series.select(*series_keys, "days", F.explode(bounds).alias("c"))
+    part = F.slice("days", F.col("c.a") + 1, F.col("c.b") - F.col("c.a"))
+    found = cuts.select(*series_keys, "c.segment", F.col("days")[F.col("c.a")]["d"].alias("start_date"),
+                        F.col("days")[F.col("c.b") - 1]["d"].alias("end_date"), (F.col("c.b") - F.col("c.a")).alias("n_days"),
+                        (F.aggregate(part, F.lit(0.0), lambda a, x: a + x["v"]) / (F.col("c.b") - F.col("c.a"))).alias("mean"))
+    earlier = Window.partitionBy(*series_keys).orderBy("segment")
+    return found.withColumn("change", F.col("mean") - F.lag("mean").over(earlier))

@@ -532,6 +532,31 @@ def q_csv_dead_letter(spark, sf_dir):
     return both.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("order").alias("key_sum"))
 
 
+@register("csv_joined_records", """
+SELECT l_returnflag || CASE WHEN l_linenumber % 2 = 1 THEN chr(10) || chr(10) || l_linestatus || ',"' || l_linestatus || '"' ELSE '' END AS note,
+       count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, sum(l_quantity) AS quantity
+FROM lineitem GROUP BY 1
+UNION ALL
+SELECT 'rejected: open_quote' AS note, CAST(1 AS BIGINT) AS n, NULL AS key_sum, NULL AS quantity FROM lineitem HAVING count(*) > 0""")
+def q_csv_joined_records(spark, sf_dir):
+    """Every other line's note holds line breaks, a separator and quotes; a file of its own
+    holds a quote that is never closed."""
+    path = shared_dir(spark, "csv_joined_records")
+    items = table(spark, sf_dir, "lineitem")
+    text = F.concat(F.lit('"'), "l_returnflag", F.when(F.col("l_linenumber") % 2 == 1, F.concat(
+        F.lit("\n\n"), "l_linestatus", F.lit(',""'), "l_linestatus", F.lit('""'))).otherwise(F.lit("")), F.lit('"'))
+    line = F.concat_ws(",", F.col("l_orderkey").cast("string"), text, F.col("l_quantity").cast("string"))
+    items.select(line.alias("value")).write.text(f"{path}/whole")
+    items.agg(F.concat(F.max("l_orderkey").cast("string"), F.lit(',"open,1')).alias("value")).where("value is not null").write.text(f"{path}/open")
+    schema = T.StructType([T.StructField("order", T.LongType()), T.StructField("note", T.StringType()),
+                           T.StructField("quantity", T.DoubleType())])
+    records, rejected = sources.scan_csv(spark, f"{path}/*", schema, join_breaks=True)
+    bad = rejected.select(F.concat(F.lit("rejected: "), "reason").alias("note"), F.lit(None).cast("long").alias("order"),
+                          F.lit(None).cast("double").alias("quantity"))
+    return records.select("note", "order", "quantity").unionByName(bad).groupBy("note").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order").alias("key_sum"), F.sum("quantity").alias("quantity"))
+
+
 # Each format stands first once: later formats must not inherit its losses.
 FORMAT_ORDERS = (("parquet", "csv", "json"), ("csv", "json", "parquet"), ("json", "parquet", "csv"))
 
@@ -728,6 +753,37 @@ def q_anomaly_zscore(spark, sf_dir):
     return rounded(analytics_ops.anomaly_zscore(daily(spark, sf_dir)), ("zscore",))
 
 
+_SHIFTING = ("n_rows", "avg_tempC", "avg_humidity", "avg_pressure")
+
+
+# The same least-cost segmentation, without dropping any start on the way.
+@register("change_points", O.sql("""
+SELECT metric, segment, start_date, end_date, n_days, round(mean, 6) AS mean,
+       round(mean - lag(mean) OVER (PARTITION BY metric ORDER BY segment), 6) AS change
+FROM (SELECT c.metric, CAST(row_number() OVER (PARTITION BY c.metric ORDER BY c.b) AS INTEGER) AS segment, min(p.date) AS start_date,
+             max(p.date) AS end_date, CAST(c.b - c.a AS INTEGER) AS n_days, avg(p.v) AS mean
+      FROM CUTS c JOIN P p ON p.metric = c.metric AND p.i > c.a AND p.i <= c.b GROUP BY c.metric, c.a, c.b)""", "D",
+    extra=(f"U AS ({' UNION ALL '.join(f'SELECT {chr(39)}{m}{chr(39)} AS metric, date, CAST({m} AS DOUBLE) AS v FROM D WHERE {m} IS NOT NULL' for m in _SHIFTING)})",
+           "P AS (SELECT *, row_number() OVER w AS i, v - avg(v) OVER (PARTITION BY metric) AS x, abs(v - lag(v) OVER w) AS step "
+           "FROM U WINDOW w AS (PARTITION BY metric ORDER BY date))",
+           "Q AS (SELECT metric, i, step, sum(x) OVER w AS s, sum(x * x) OVER w AS q FROM P WINDOW w AS (PARTITION BY metric ORDER BY i))",
+           "A AS (SELECT metric, count(*) AS n, list_prepend(0e0, list(s ORDER BY i)) AS s, list_prepend(0e0, list(q ORDER BY i)) AS q, "
+           "greatest(CASE WHEN count(*) > 1 THEN 3e0 * pow(median(step) / 0.9539e0, 2) * ln(count(*)) ELSE 0e0 END, 1e-6) AS beta "
+           "FROM Q GROUP BY metric)",
+           "STEPS(metric, t, costs, cuts) AS (SELECT metric, CAST(0 AS BIGINT), [0e0], CAST([] AS BIGINT[]) FROM A UNION ALL "
+           "SELECT metric, t + 1, list_append(costs, best.cost), list_append(cuts, best.at) FROM ("
+           "SELECT r.metric, r.t, r.costs, r.cuts, list_min(list_transform(range(r.t + 1), lambda j: {'cost': r.costs[j + 1] "
+           "+ (A.q[r.t + 2] - A.q[j + 1]) - pow(A.s[r.t + 2] - A.s[j + 1], 2) / (r.t + 1 - j) + A.beta, 'at': j})) AS best "
+           "FROM STEPS r JOIN A ON A.metric = r.metric WHERE r.t < A.n))",
+           "CUTS(metric, a, b, cuts) AS (SELECT r.metric, r.cuts[A.n], A.n, r.cuts FROM STEPS r JOIN A ON A.metric = r.metric AND A.n = r.t "
+           "UNION ALL SELECT metric, cuts[a], a, cuts FROM CUTS WHERE a > 0)")).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_change_points(spark, sf_dir):
+    d = daily(spark, sf_dir)
+    series = d.select("date", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in _SHIFTING])).alias("s"))
+    found = analytics_ops.change_points(series.select("date", "s.*"), "v", series_keys=("metric",))
+    return rounded(found, ("mean", "change"))
+
+
 @register("full_job_summary", O.sql(
     "SELECT (SELECT count(*) FROM R) AS extraction_rows, (SELECT count(*) FROM C) AS cleaned_rows, "
     "(SELECT count(*) FROM F) AS final_rows, 'SUCCESS' AS status, "

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from stratus.operators.quality import schema_issues
 from stratus.profile import TIMESTAMP_FORMAT
 from stratus.sources.contract import RAW_CONTRACT
+from stratus.sources.records import whole_lines
 
 
 def _csv_reader(spark: SparkSession, schema: T.StructType | None, timestamp_format: str,
@@ -110,9 +111,15 @@ def read_csv_glob(spark: SparkSession, directory: str, pattern: str = "*.csv",
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT,
-             timestamp_format: str = TIMESTAMP_FORMAT, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+             timestamp_format: str = TIMESTAMP_FORMAT, sep: str = ",",
+             join_breaks: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, rejected) of CSV files with a header, read line by line.
 
+    With ``join_breaks`` the lines of a record whose quoted fields hold line
+    breaks are put together first (:func:`stratus.sources.records.whole_lines`),
+    and the files stay splittable; what is never closed, or too long, is read
+    line by line as without it.
+
     Files stay splittable and no line is lost: every line but one header of each
     file is either a record or in ``rejected`` (line, reason). Reasons: 'blank',
     'header' (a header line again in the same file), 'open_quote'
@@ -123,7 +130,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CONTRACT
     """
     header = sep.join(f.name for f in schema.fields)
     quoted = sep.join(f'"{f.name}"' for f in schema.fields)
-    text = spark.read.text(path).select(F.regexp_replace("value", "\\r$", "").alias("line"), F.col("_metadata.file_path").alias("_file"))
+    text = whole_lines(spark, path) if join_breaks else spark.read.text(path).select(
+        F.regexp_replace("value", "\\r$", "").alias("line"), F.col("_metadata.file_path").alias("_file"))
     is_header, is_blank = F.col("line").isin(header, quoted), F.col("line") == ""
     lines = text.where(~is_header & ~is_blank)
     # Header lines are alike, so which of a file's was the first does not matter.
