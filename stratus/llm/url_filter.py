@@ -1,8 +1,8 @@
 """URL filter: rules first, then segmented host and path words under naive Bayes.
 
 Hosts write words together. Each part of a host is split into words by a
-Viterbi search under unigram counts of all the pages' text; a multinomial naive
-Bayes over the words of host and path, learned from the urls that a rule
+Viterbi search under unigram counts of all the pages' text, by hosts that use a
+word and are not named by it; a multinomial naive Bayes over the words of host and path, learned from the urls that a rule
 decides, judges the rest. Scores are worked out per distinct host and per
 distinct set of path words, so a host with a third of all pages is scored once.
 """
@@ -50,12 +50,19 @@ def rule_of(host, path, rules=RULES):
     return F.coalesce(*fits)
 
 
-def word_counts(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """(word, n) over the visible text of all pages."""
+def word_counts(pages: DataFrame, html_column: str = "html", url_column: str = "url") -> DataFrame:
+    """(word, n): on the pages of how many hosts the visible text holds the word.
+
+    A host counts once for each word, however many pages it has, and not at all
+    for words that its own name contains: a site that writes its name on its
+    pages would otherwise make that name a word, and it would never be split.
+    """
     text = F.regexp_replace(F.coalesce(F.col(html_column), F.lit("")),
                             r"(?is)<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>|&#?\w+;", " ")
-    words = pages.select(F.explode_outer(F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), F.lit(0))).alias("word"))
-    return words.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = pages.select(parse(F.col(url_column))[0].alias("host"), F.explode(F.array_distinct(
+        F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), F.lit(0)))).alias("word"))
+    return (words.where(~F.contains("host", "word")).distinct()
+            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def split_words(name: str, counts: dict[str, int], total: int) -> list[str]:
@@ -123,7 +130,7 @@ def judge(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "ur
     hosts = stage(rows.groupBy("host").agg(
         F.count_if(F.col("verdict") == "block").alias("block"), F.count_if(F.col("verdict") == "allow").alias("allow"))
         .withColumn("parts", F.regexp_extract_all("host", F.lit(_WORD), F.lit(0))), "url-hosts")
-    counts = stage(word_counts(pages, html_column), "url-words")
+    counts = stage(word_counts(pages, html_column, url_column), "url-words")
     split = stage(segment(hosts.select(F.explode("parts").alias("part")).distinct(), counts), "url-parts")
     by_host = (hosts.select("host", F.posexplode_outer("parts").alias("nth", "part")).join(split, "part", "left")
                .groupBy("host").agg(F.array_sort(F.collect_list(F.struct("nth", "words"))).alias("w"))

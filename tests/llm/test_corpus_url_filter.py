@@ -77,6 +77,25 @@ def test_naive_bayes(judged):
             assert r.score == pytest.approx(score) and r.verdict == ("block" if score > 0 else "allow")
 
 
+def test_words_count_once_a_host_and_not_for_hosts_they_name(spark):
+    pages = [("http://blueshop.net/1", "<p>blueshop sells Blue shoes, shoes</p>"), ("http://blueshop.net/2", "shoes <b>sky</b>"),
+             ("http://sky.org/", "the sky is blue <script>shoes</script>"), ("http://other.org", "shop blue the"),
+             ("http://other.org/x", None), (None, "shop the")]
+    got = {r.word: r.n for r in U.word_counts(spark.createDataFrame(pages, "url string, html string")).collect()}
+    hosts = {}
+    for url, html in pages:
+        text = re.sub(r"<script>.*?</script>|<[^>]*>", " ", html or "").lower()
+        hosts.setdefault(host_path(url)[0], set()).update(re.findall("[a-z]+", text))
+    want = {}
+    for host, words in hosts.items():
+        for w in words:
+            if w not in host:
+                want[w] = want.get(w, 0) + 1
+    assert got == want and got["blue"] == 2 and "blueshop" not in got and got["shoes"] == 1
+    split = U.segment(spark.createDataFrame([("blueshop",)], "part string"), spark.createDataFrame(list(got.items()), "word string, n long"))
+    assert split.first().words == ["blue", "shop"]
+
+
 def test_best_split():
     counts, total = {"a": 5, "ab": 9, "abc": 2, "bc": 7, "c": 3, "cab": 4}, 40
 
