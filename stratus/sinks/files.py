@@ -34,6 +34,9 @@ CSV_OPTIONS = {"quote": '"', "escape": '"', "lineSep": "\n", "ignoreLeadingWhite
 # apart from a quoted empty text. It is never written.
 CSV_NULL = "\x01null"
 
+# Of the compressed text files of a fan-out: one task reads a whole file.
+RECORDS_PER_FILE = 500_000
+
 
 class VerificationError(RuntimeError):
     """The files do not hold what was written."""
@@ -184,6 +187,11 @@ def _into_place(spark: SparkSession, source: str, target: str, whole_folders: bo
     return tuple(moved)
 
 
+def _file_options(compression: str | None, max_records_per_file: int | None) -> dict[str, str]:
+    options = {"compression": compression} if compression else {}
+    return {**options, "maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else options
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   compression: str = "snappy", mode: str = "overwrite",
                   dynamic_partitions: bool = False, rebalance: bool | None = None,
@@ -194,10 +202,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     replaces only the partitions present in ``df`` (incremental reruns);
     ``metrics`` are extra aggregates observed on the written rows."""
     parts = tuple(partition_by or ())
-    options = {"compression": compression}
-    if max_records_per_file:
-        options["maxRecordsPerFile"] = str(max_records_per_file)
-    return _write(df, path, "parquet", options, {}, mode, _prepared(df, rebalance, parts, sort_by),
+    return _write(df, path, "parquet", _file_options(compression, max_records_per_file), {}, mode, _prepared(df, rebalance, parts, sort_by),
                   metrics, verify, parts, dynamic_partitions)
 
 
@@ -205,7 +210,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite", timestamp_format: str | None = None,
               compression: str | None = None, rebalance: bool | None = None,
               metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
-              verify: bool | WriteResult = True) -> WriteResult:
+              verify: bool | WriteResult = True, max_records_per_file: int | None = None) -> WriteResult:
     """Write CSV. Quotes are doubled, blanks and line breaks in texts stay,
     null is an empty field and an empty text a quoted one, times keep their
     microseconds unless ``timestamp_format`` says otherwise. A frame of one
@@ -213,7 +218,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
     options = {**CSV_OPTIONS, "header": str(header).lower(), "sep": sep}
     if timestamp_format:
         options["timestampFormat"] = timestamp_format
-    write_options = {**options, **({"compression": compression} if compression else {})}
+    write_options = {**options, **_file_options(compression, max_records_per_file)}
     return _write(df, path, "csv", write_options, {**options, "nullValue": CSV_NULL}, mode, _prepared(df, rebalance, (), sort_by),
                   metrics, verify)
 
@@ -221,10 +226,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                compression: str | None = None, rebalance: bool | None = None,
                metrics: dict[str, Column] | None = None, sort_by: tuple[str, ...] = (),
-               verify: bool | WriteResult = True) -> WriteResult:
+               verify: bool | WriteResult = True, max_records_per_file: int | None = None) -> WriteResult:
     """JSON Lines; null fields are written so every column survives a read,
     times keep their microseconds."""
-    write_options = {**TIME_OPTIONS, "ignoreNullFields": "false", **({"compression": compression} if compression else {})}
+    write_options = {**TIME_OPTIONS, "ignoreNullFields": "false", **_file_options(compression, max_records_per_file)}
     return _write(df, path, "json", write_options, dict(TIME_OPTIONS), mode, _prepared(df, rebalance, (), sort_by),
                   metrics, verify)
 
@@ -263,22 +268,39 @@ def known_formats(formats: tuple[str, ...]) -> list[str]:
 def write_multiple_formats(df: DataFrame, base_path: str,
                            formats: tuple[str, ...] = ("parquet", "csv", "json"),
                            metrics: dict[str, Column] | None = None,
-                           verify: bool = True) -> dict[str, WriteResult]:
+                           verify: bool = True, compression: str | None = "gzip") -> dict[str, WriteResult]:
     """Fan one frame out to several formats.
 
-    The frame's plan runs once: with more than one format it is written to a
-    Parquet stage in the shared folder, every format is written from that
-    stage, and each is held against what was observed on the original.
+    The frame's plan runs once: with more than one format it is written as Parquet
+    beside its target, every other format is written from there, and each is held
+    against what was observed on the original. That Parquet is itself the Parquet
+    output, or goes when no such output is asked for. Text formats take several
+    times the bytes of Parquet: they are compressed by ``compression`` (None: not),
+    in files of at most RECORDS_PER_FILE records, since each of them is read whole.
     Unsupported formats are skipped with a warning.
     """
     known = known_formats(formats)
     at = {f: os.path.join(base_path, f"data.{f}") for f in known}
+    text = {"compression": compression, "max_records_per_file": RECORDS_PER_FILE}
+    own = {f: {} if f == "parquet" else text for f in known}
     if len(known) == 1:
-        return {known[0]: WRITERS[known[0]](df, at[known[0]], metrics=metrics, verify=verify)}
+        return {known[0]: WRITERS[known[0]](df, at[known[0]], metrics=metrics, verify=verify, **own[known[0]])}
     spark = df.sparkSession
-    original = write_parquet(df, shared_dir(spark, "fan-out"), metrics=metrics, verify=False)
-    source = read_back(spark, original)
-    results = {f: WRITERS[f](source, at[f], verify=original if verify else False) for f in known}
+    stage = paths.beside(at["parquet"], "new") if "parquet" in at else shared_dir(spark, "fan-out")
+    try:
+        original = write_parquet(df, stage, metrics=metrics, verify=False)
+        results = {}
+        for f in known:
+            if f == "parquet":
+                if verify:
+                    original.check(spark)
+                paths.replace(spark, stage, at[f])
+                original.path = at[f]
+                results[f] = original
+            else:
+                results[f] = WRITERS[f](read_back(spark, original), at[f], verify=original if verify else False, **own[f])
+    finally:
+        paths.remove(spark, stage)
     for result in results.values():
         result.expected_rows, result.expected_checksum, result.metrics = (
             original.expected_rows, original.expected_checksum, original.metrics)
