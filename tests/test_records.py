@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from stratus.sources import scan_csv, whole_lines
+from stratus.plans.inspect import plan_text
+from stratus.sources import records, scan_csv, whole_lines
 
 SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()), T.StructField("c", T.DoubleType())])
 
@@ -100,3 +101,24 @@ def test_pieces_without_breaks_are_not_put_in_order(spark, tmp_dir):
     assert plan.count("Union") == 1
     first = plan.split("Union", 1)[1].split("Project", 2)
     assert "Window" not in "".join(first[:2])
+
+
+def test_lines_are_joined_where_they_are_read(spark, tmp_dir, monkeypatch):
+    _write(tmp_dir, "a.csv", "".join(f'{i},"x\ny",1.5\n' for i in range(500)))
+    plans, write = {}, records.sinks.write_parquet
+
+    def kept(df, path, **options):
+        plans[os.path.basename(path).rsplit("-", 1)[0]] = plan_text(df)
+        return write(df, path, **options)
+    monkeypatch.setattr(records.sinks, "write_parquet", kept)
+    assert sorted(r["line"] for r in whole_lines(spark, tmp_dir).collect()) == sorted(f'{i},"x\ny",1.5' for i in range(500))
+    assert "MapInArrow" in plans["text-records"]
+    assert not any(move in plans["text-records"] for move in ("Window", "hashpartitioning", "rangepartitioning"))
+
+
+@pytest.mark.parametrize("limit", [40, 100_000])
+def test_record_over_many_pieces(spark, tmp_dir, small_pieces, limit):
+    text = '1,a,1.0\n2,"' + "\n".join(f"line {i}" for i in range(90)) + '",2.0\n3,"b\n\n",3.0\n' + '4,"open,4.0\n\nrest\n' * 2 + '5,"open\n'
+    _write(tmp_dir, "a.csv", text)
+    got = collections.Counter(r["line"] for r in whole_lines(spark, tmp_dir, limit).collect())
+    assert got == collections.Counter(_records(text, limit))
