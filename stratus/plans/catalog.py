@@ -830,7 +830,9 @@ SELECT batch_id, count(*) AS n_rows, CAST(sum(new) AS BIGINT) AS n_new, CAST(sum
   FROM (SELECT *, row_number() OVER (PARTITION BY R ORDER BY reading_id) AS copy FROM R) r
   JOIN (VALUES (0, 2), (1, 0), (2, 1)) b(batch_id, left_out) ON reading_id % 3 <> left_out) t GROUP BY batch_id""", "R"))
 def q_dedup_across_batches(spark, sf_dir):
-    seen = SeenRows(spark, shared_dir(spark, "dedup_across_batches"))
+    # A quarter of the rows expected and more; there are about a tenth more readings than lines.
+    words = max(1 << 22, table(spark, sf_dir, "lineitem").count() // 3)
+    seen = SeenRows(spark, shared_dir(spark, "dedup_across_batches"), words=words)
     frames = []
     for number, batch in enumerate(_overlapping_batches(spark, sf_dir)):
         got = seen.accept(batch, number)

@@ -23,6 +23,8 @@ from stratus.sinks import paths
 
 INDEX = "_d1 long, _d2 long, prefix int, batch_id int"
 FILTER = "_word long, _bits long, batch_id int"
+#: Digests of a filter word that are compared one by one.
+CROWDED = 32
 
 
 def digest(columns: list[str], salt: int) -> Column:
@@ -77,25 +79,42 @@ class SeenRows:
         rows = self._marked(copies, columns)
         bloom = self._stored("filter", FILTER, batch_id)
         if bloom is None:
-            possible = F.lit(False)
+            rows = rows.withColumns({"_possible": F.lit(False), "_new": F.lit(True)})
         else:
             merged = bloom.groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
             rows = rows.join(merged, "_word", "left")
             possible = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
-        rows = rows.withColumn("_possible", possible).drop("_bits")
-        probed = sinks.write_parquet(rows, shared_dir(self.spark, "seen-probed"), verify=False, metrics={
-            "rows": F.sum("_copies"), "possible": F.count_if("_possible")})
-        rows = sinks.read_back(self.spark, probed)
-        new = rows.where(~F.col("_possible"))
-        if probed.metrics["possible"]:
-            index = self._stored("digests", INDEX, batch_id).select("prefix", "_d1", "_d2")
-            new = new.unionByName(rows.where("_possible").join(index, ["prefix", "_d1", "_d2"], "left_anti").select(rows.columns))
-        kept = sinks.write_parquet(new, shared_dir(self.spark, "seen-new"), verify=False)
-        new = sinks.read_back(self.spark, kept)
+            rows = self._looked_up(rows.withColumn("_possible", possible).drop("_bits"), batch_id)
+        # Rows that are not new count, but their values need not be kept.
+        probed = sinks.write_parquet(
+            rows.select(*[F.when(F.col("_new"), F.col(f"`{c}`")).alias(c) for c in columns],
+                        "_d1", "_d2", "_word", "_mask", "prefix", "_possible", "_new", "_copies"),
+            shared_dir(self.spark, "seen-probed"), verify=False, metrics={
+                "rows": F.sum("_copies"), "possible": F.count_if("_possible"), "new": F.count_if("_new")})
+        new = sinks.read_back(self.spark, probed).where("_new")
         own = F.lit(int(batch_id)).alias("batch_id")
         sinks.write_parquet(new.select("_d1", "_d2", "prefix", own), f"{self.path}/digests",
                             partition_by=["prefix", "batch_id"], dynamic_partitions=True, verify=False)
         sinks.write_parquet(new.groupBy("_word").agg(F.bit_or("_mask").alias("_bits")).withColumn("batch_id", own),
-                            f"{self.path}/filter", partition_by=["batch_id"], dynamic_partitions=True, verify=False)
+                            f"{self.path}/filter", partition_by=["batch_id"], dynamic_partitions=True, rebalance=False, verify=False)
         return Accepted(new.select(*[F.col(f"`{c}`") for c in columns]), int(probed.metrics["rows"] or 0),
-                        probed.expected_rows, int(probed.metrics["possible"] or 0), kept.expected_rows)
+                        probed.expected_rows, int(probed.metrics["possible"] or 0), int(probed.metrics["new"] or 0))
+
+    def _looked_up(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """``rows`` with _new: whether no earlier batch left their digest.
+
+        The rows stand by filter word already, so the digests are brought to them by
+        word, and those of a word are compared there; with many to a word (the filter
+        is too small) they are joined by digest, for which the rows move again.
+        """
+        index = self._stored("digests", INDEX, batch_id).select("_d1", "_d2")
+        by_word = index.count() <= CROWDED * self.words
+        index = index.withColumn("_word", F.pmod("_d1", F.lit(self.words)))
+        if by_word:
+            index = index.repartition("_word")
+        index = index.distinct().select(*[F.col(c).alias(f"_i{c}") for c in ("_word", "_d1", "_d2")])
+        d1, d2 = (F.col(c) == F.col(f"_i{c}") for c in ("_d1", "_d2"))
+        if by_word:  # a condition beside the key, not a key: keys would move the rows
+            d1, d2 = (F.col(c).bitwiseXOR(F.col(f"_i{c}")) == 0 for c in ("_d1", "_d2"))
+        found = rows.join(index, (F.col("_word") == F.col("_i_word")) & F.col("_possible") & d1 & d2, "left")
+        return found.withColumn("_new", F.col("_i_word").isNull()).drop("_i_word", "_i_d1", "_i_d2")

@@ -11,7 +11,7 @@ from stratus import sinks, streaming
 from stratus.operators.clean import clean_readings, dedup_exact
 from stratus.operators.daily import daily_agg
 from stratus.operators.features import daily_features
-from stratus.plans import daily_state
+from stratus.plans import daily_state, seen_rows
 from stratus.plans.inspect import plan_text
 from stratus.plans.seen_rows import SeenRows, digest
 from tests.fixtures import READING_SCHEMA, reading
@@ -220,3 +220,23 @@ def test_live_quality_adds_up_and_replays(spark, tmp_dir):
     assert (r.min, r.max, r.above) == tuple(t)[:3]
     assert t[3][0] <= r.quantiles[0] <= t[3][1] and t[3][2] <= r.quantiles[1] <= t[3][3]
     assert got["summary"].empty == whole.where("summary = ''").count() and got["reading_id"].quantiles is None
+
+
+@pytest.mark.parametrize("words", [4, 1 << 12])
+def test_seen_rows_are_written_once_and_looked_up_where_they_stand(spark, tmp_dir, monkeypatch, words):
+    batches, _ = _batches(spark, n=4)
+    writes, write = [], seen_rows.sinks.write_parquet
+
+    def kept(df, path, **options):
+        writes.append((os.path.basename(path).rsplit("-", 1)[0], df.columns))
+        return write(df, path, **options)
+    monkeypatch.setattr(seen_rows.sinks, "write_parquet", kept)
+    seen = SeenRows(spark, os.path.join(tmp_dir, "s"), words=words, prefixes=2)
+    # Batches 1 and 2 do not see each other's digests, so the index holds some twice.
+    for i in (2, 1):
+        seen.accept(batches[i], i)
+    got = seen.accept(batches[1].unionByName(batches[2]).unionByName(batches[3]), 3)
+    whole = _rows(dedup_exact(batches[1].unionByName(batches[2])))
+    assert _rows(got.rows) == sorted(set(_rows(dedup_exact(batches[3]))) - set(whole))
+    assert got.n_rows == 450 and got.n_distinct == len(set(_rows(dedup_exact(batches[3]))) | set(whole))
+    assert [name for name, columns in writes if "a" in columns] == ["seen-probed"] * 3
