@@ -20,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks whose ids a Python worker keeps (two generations of as many).
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 300_000
 #: Bytes of text that are cut at once.
-WINDOW_BYTES = 8 << 20
+WINDOW_BYTES = 2 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -62,6 +62,7 @@ class TokenIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHED_CHUNKS:
+            self.older = {}  # freed before the copy is made
             self.older = dict(self)
             self.clear()
         ids = self.older.get(chunk)

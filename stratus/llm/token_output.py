@@ -32,11 +32,13 @@ from stratus.llm.text_ids import binary_column, read_spec, token_ids, with_end
 
 END_ID = 0
 BLOCK_TOKENS = 65_536
+#: Texts of an Arrow batch that are tokenised at once.
+TEXTS = 1000
 
 def _tokenise(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, shard, seq = token_ids(spec.value), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (whole.slice(i, TEXTS) for whole in batches for i in range(0, whole.num_rows, TEXTS)):
             n = batch.num_rows
             ids, offsets = with_end(*own.encode(batch.column("text")), end_id)
             yield pa.RecordBatch.from_arrays(

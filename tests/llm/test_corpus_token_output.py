@@ -2,6 +2,7 @@
 
 import heapq
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -123,3 +124,16 @@ def test_empty_table(spark):
     path = shared_dir(spark, "test-tokens")
     token_output.write(documents(spark, [(1, "x", "en", "s")]).limit(0), path, PATH)
     assert token_output.read(spark, path).count() == 0
+
+
+def test_a_worker_holds_little_beside_its_batch():
+    own = text_ids.TokenIds(text_ids.read_spec(PATH))
+    texts = pa.array(["some words that come again and again, " * 200] * 1300)  # 10 MB
+    own.encode(texts.slice(0, 1))
+    tracemalloc.start()
+    try:
+        own.encode(texts)
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    finally:
+        tracemalloc.stop()
+    assert 2 * text_ids.CACHED_CHUNKS <= 600_000
