@@ -29,6 +29,8 @@ RULES = (
 )
 MAX_WORD = 20
 _WORD = r"[^\x00-\x60\x7B-\x7F]+"
+#: Scripts and styles whole, tags, entities; every match begins with < or &, which is looked for first.
+_MARKUP = r"(?is)[<&](?:(?<=<)(?:(?:script|style)\b.*?</(?:script|style)>|[^>]*+>)|(?<=&)#?\w++;)"
 _TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -58,10 +60,12 @@ def word_counts(pages: DataFrame, html_column: str = "html", url_column: str = "
     pages would otherwise make that name a word, and it would never be split.
     Hosts are told apart by 64-bit hashes: a chance collision makes a count one less.
     """
-    text = F.regexp_replace(F.coalesce(F.col(html_column), F.lit("")),
-                            r"(?is)<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>|&#?\w+;", " ")
-    words = pages.select(parse(F.col(url_column))[0].alias("host"), F.explode(F.array_distinct(
-        F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), F.lit(0)))).alias("word"))
+    text = F.regexp_replace(F.coalesce(F.col(html_column), F.lit("")), _MARKUP, " ")
+    # A column of its own: lower-casing names the text four times, and a generator would work it out for each.
+    texts = pages.select(parse(F.col(url_column))[0].alias("host"), text.alias("text")).select(
+        "host", ascii_lower(F.col("text")).alias("text"))
+    words = texts.select("host", F.explode(F.array_distinct(
+        F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))).alias("word"))
     return (words.where(~F.contains("host", "word")).select("word", F.xxhash64("host").alias("host")).distinct()
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
