@@ -136,3 +136,30 @@ def test_a_worker_holds_little_beside_its_batch():
         assert tracemalloc.get_traced_memory()[1] < 100 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_kept_chunks_replace_one_another(monkeypatch):
+    monkeypatch.setattr(text_ids, "PLACES", 64)
+    rng = random.Random(9)
+    pieces = [*PIECES, "\0", "\0\0", "a\0", "abcdefghijklmn", "abcdefghijklmno", "Zqxjkvbz"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(200)]
+    own = text_ids.TokenIds(text_ids.read_spec(PATH))
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    for i in range(0, 200, 20):
+        for _ in range(2):  # the second time from what was kept
+            ids, offsets = own.encode(pa.array(texts[i:i + 20]))
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want[i:i + 20]
+
+
+def test_kept_chunks_take_little_memory(monkeypatch):
+    monkeypatch.setattr(text_ids, "PLACES", 1 << 17, raising=False)
+    rng = random.Random(10)
+    words = ["".join(rng.choices("aeioubdgklmnprst", k=7)) for _ in range(100_000)]
+    spec = text_ids.read_spec(PATH)
+    tracemalloc.start()
+    try:
+        own = text_ids.TokenIds(spec)
+        own.encode(pa.array([" ".join(words)]))
+        assert tracemalloc.get_traced_memory()[0] < 8 << 20
+    finally:
+        tracemalloc.stop()
