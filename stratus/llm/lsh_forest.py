@@ -317,13 +317,13 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     def merged(found: DataFrame, links: DataFrame) -> DataFrame:
         """``found`` after links (a, b) between its components, or nodes it does
         not have; only what the links touch is walked again."""
-        again = stage(connected_components(links), "forest-again").withColumnsRenamed(
+        again = bounded(stage(connected_components(links), "forest-again")).withColumnsRenamed(
             {"node": "__old", "component": "__new"})
         moved = found.join(again, F.col("component") == F.col("__old"), "left").select(
             "node", F.coalesce("__new", "component").alias("component"))
         fresh = again.join(found, F.col("__old") == F.col("node"), "left_anti").select(
             F.col("__old").alias("node"), F.col("__new").alias("component"))
-        return stage(moved.unionByName(fresh), "forest-components")
+        return bounded(stage(moved.unionByName(fresh), "forest-components"))
 
     def component(nodes: DataFrame, found: DataFrame, column: str, name: str) -> DataFrame:
         c = found.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
@@ -336,7 +336,7 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         near.select(F.col("prev").alias("node"), F.col("node").alias("other"), "lcp"))
     best = ways.groupBy("node").agg(F.max(F.struct("lcp", F.xxhash64("other").alias("h"), "other")).alias("best"))
     pairs = best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct()
-    found = stage(connected_components(confirmed(pairs)), "forest-components")
+    found = bounded(stage(connected_components(confirmed(pairs)), "forest-components"))
     # 2. other neighbours, where they are not connected yet
     pairs = near.select(F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).distinct()
     open_ = component(component(pairs, found, "a", "ca"), found, "b", "cb").where("ca <> cb").select("a", "b")
@@ -352,7 +352,7 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
 
     members = stage(component(busy.select("t", "key", "node").distinct(), found, "node", "comp"), "forest-members")
     near_comps = in_groups(_region_groups(members).join(classes.select("node", "sig"), "node"), None)
-    clusters = stage(connected_components(near_comps), "forest-clusters")
+    clusters = bounded(stage(connected_components(near_comps), "forest-clusters"))
     clusters = clusters.select(F.col("node").alias("comp"), F.lit(0).alias("t"), F.col("component").alias("key"))
     members = stage(members.select("node", "comp").distinct().join(clusters, "comp"), "forest-cluster-members")
     groups = _region_groups(members).join(classes.select("node", "sig"), "node").join(one_set, "node")
@@ -360,7 +360,7 @@ def link(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
 
     roots = stage(component(classes.select("node", "doc_id"), found, "node", "root"), "forest-roots")
     least = stage(roots.groupBy("root").agg(F.min("doc_id").alias("component_id")), "forest-least")
-    by_node = stage(roots.join(least, "root").select(F.col("node").alias("__node"), "component_id"), "forest-result")
+    by_node = stage(roots.join(bounded(least), "root").select(F.col("node").alias("__node"), "component_id"), "forest-result")
     linked = signed.drop("sig").join(by_node, (F.col("node") == F.col("__node")) & (F.col("n") > 0) & ~F.col("no_id"), "left")
     doc_id = F.when(~F.col("no_id"), F.col("doc_id"))
     return linked.select(doc_id.alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"),

@@ -100,3 +100,23 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert sorted(map(tuple, got.collect())) == sorted(root.items())
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("local_edges", [0, 100, None])
+def test_components_by_rounds_and_in_one_task(spark, local_edges):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(300)] * 2 + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(150)]
+    edges += [(None, 3), (9000, 9000)]
+    real = [e for e in edges if None not in e and e[0] != e[1]]
+    root = components(sorted({x for e in real for x in e}), real)
+    got = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5), local_edges=local_edges)
+    assert sorted(map(tuple, got.collect())) == sorted(root.items())
+
+
+def test_few_edges_take_no_rounds(spark, monkeypatch):
+    from stratus.llm import components as module
+    staged = []
+    monkeypatch.setattr(module, "stage", lambda df, name, f=module.stage: staged.append(name) or f(df, name))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(2000)], "a long, b long")
+    assert connected_components(edges).where("component = 0").count() == 2001
+    assert len(staged) == 2
